@@ -52,3 +52,165 @@ def _weekly(r: Retail, profile="prod") -> DataFrame:
 @register("weekly_segment_sales")
 def q_weekly_segment_sales(spark, sf_dir):
     return finish(_weekly(Retail(spark, sf_dir)))
+
+
+# ------------------------------------------------------------- step 1: sources
+import uuid  # noqa: E402
+
+from ..operators import clean  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import io  # noqa: E402
+from ..functions.columns import clean_attribute_code, clip, discount_fraction, not_sentinel  # noqa: E402
+
+HISTORY_SALES_SCHEMA = T.StructType([
+    T.StructField("date", T.DateType()), T.StructField("store_code", T.StringType()),
+    T.StructField("product_id", T.StringType()), T.StructField("stok_kodu", T.StringType()),
+    T.StructField("net_quantity", T.DoubleType()), T.StructField("discount_amount", T.DoubleType()),
+    T.StructField("net_amount_wovat", T.DoubleType()), T.StructField("unit_price", T.DoubleType())])
+
+
+def _scratch(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("src_parquet_pruned")
+def q_src_parquet_pruned(spark, sf_dir):
+    df = io.read_parquet_pruned(spark, f"{sf_dir}/lineitem.parquet",
+                                ["l_partkey", "l_suppkey", "l_quantity", "l_shipdate"])
+    return finish(df.withColumn("l_shipdate", F.col("l_shipdate").cast("date")))
+
+
+@register("src_csv")
+def q_src_csv(spark, sf_dir):
+    path = _scratch(spark, "history_sales_csv")
+    io.write_csv(Retail(spark, sf_dir).history_sales, path)
+    return finish(io.read_csv(spark, path, HISTORY_SALES_SCHEMA))
+
+
+@register("src_csv_locale")
+def q_src_csv_locale(spark, sf_dir):
+    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"]
+    src = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(*cols)
+    path = _scratch(spark, "lineitem_locale_csv")
+    io.write_csv_formatted(src, path, decimals=2, decimal_comma=True, sep=";", thousands=True)
+    schema = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+                           T.StructField("l_quantity", T.DoubleType()), T.StructField("l_extendedprice", T.DoubleType()),
+                           T.StructField("l_discount", T.DoubleType())])
+    return finish(io.read_csv_locale(spark, path, schema))
+
+
+@register("dim_store_cluster")
+def q_dim_store_cluster(spark, sf_dir):
+    r = Retail(spark, sf_dir)
+    path = _scratch(spark, "store_cluster_csv")
+    # the file carries a leading unnamed index column, as the cluster export does
+    with_index = r.store_clustering.select(F.monotonically_increasing_id().cast("string").alias(""), "store_code", "store_cluster")
+    io.write_csv(with_index.coalesce(1), path)
+    return finish(io.read_store_cluster_file(spark, path))
+
+
+@register("normalize_sales")
+def q_normalize_sales(spark, sf_dir):
+    return finish(prep.normalize_sales(Retail(spark, sf_dir).history_sales))
+
+
+@register("clean_attribute_code")
+def q_clean_attribute_code(spark, sf_dir):
+    p = Retail(spark, sf_dir).dim_product
+    return finish(p.select("product_id", "product_att_02",
+                           clean_attribute_code("product_att_02").alias("product_att_02_clean")))
+
+
+@register("exclude_sentinels")
+def q_exclude_sentinels(spark, sf_dir):
+    p = Retail(spark, sf_dir).dim_product
+    p = p.select("product_id", "product_att_01", clean_attribute_code("product_att_02").alias("product_att_02"))
+    return finish(clean.exclude_sentinels(p, values=(9, 999)))
+
+
+@register("negative_qty_modes")
+def q_negative_qty_modes(spark, sf_dir):
+    hs = Retail(spark, sf_dir).history_sales
+    q = F.col("net_quantity")
+    return finish(hs.groupBy("store_code", "product_id").agg(
+        F.sum(clip(q, lo=0.0)).alias("qty_clipped"),
+        F.sum(F.when(q >= 0, q)).alias("qty_filtered"),
+        F.greatest(F.sum(q), F.lit(0.0)).alias("qty_zeroed_after_sum")))
+
+
+@register("discount_fraction")
+def q_discount_fraction(spark, sf_dir):
+    hs = Retail(spark, sf_dir).history_sales
+    frac, denom = discount_fraction()
+    return finish(hs.select("date", "store_code", "product_id", frac.alias("discount_frac"), denom.alias("rev_pre_disc")))
+
+
+@register("daily_unit_price")
+def q_daily_unit_price(spark, sf_dir):
+    return finish(prep.daily_unit_price(Retail(spark, sf_dir).history_sales))
+
+
+@register("month_floor_lookback")
+def q_month_floor_lookback(spark, sf_dir):
+    hs = clean.month_floor_filter(Retail(spark, sf_dir).history_sales, as_of_lit(), months=24)
+    return finish(hs.groupBy(F.trunc("date", "month").alias("month_start")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("net_quantity").alias("net_quantity")))
+
+
+@register("lookback_filter")
+def q_lookback_filter(spark, sf_dir):
+    hs = clean.lookback_filter(Retail(spark, sf_dir).history_sales, 28)
+    return finish(hs.groupBy("date", "store_code").agg(F.sum("net_quantity").alias("net_quantity")))
+
+
+@register("enrich_sales")
+def q_enrich_sales(spark, sf_dir):
+    r = Retail(spark, sf_dir)
+    e = prep.enrich_sales(r.history_sales, r.dim_product, r.store_clustering)
+    return finish(e.select("date", "store_code", "product_id", "net_quantity", "product_att_01", "product_att_02",
+                           "product_att_05", "store_cluster"))
+
+
+@register("calendar_week_join")
+def q_calendar_week_join(spark, sf_dir):
+    r = Retail(spark, sf_dir)
+    e = prep.calendar_week_join(r.history_sales, r.dim_calendar)
+    return finish(e.select("date", "store_code", "product_id", "net_quantity", "week_start_date"))
+
+
+def _prepared(r: Retail) -> DataFrame:
+    return prep.prepared_sales(r.history_sales, r.dim_product, r.store_clustering, as_of=as_of_lit())
+
+
+@register("weekly_quantity")
+def q_weekly_quantity(spark, sf_dir):
+    return finish(prep.weekly_quantity(_prepared(Retail(spark, sf_dir))))
+
+
+@register("weekly_price_stats")
+def q_weekly_price_stats(spark, sf_dir):
+    return finish(prep.weekly_price_stats(_prepared(Retail(spark, sf_dir))))
+
+
+@register("weighted_discount")
+def q_weighted_discount(spark, sf_dir):
+    return finish(prep.weighted_discount(_prepared(Retail(spark, sf_dir))))
+
+
+@register("top_segments")
+def q_top_segments(spark, sf_dir):
+    return finish(prep.top_segments(_weekly(Retail(spark, sf_dir)), 20))
+
+
+@register("segment_keys")
+def q_segment_keys(spark, sf_dir):
+    return finish(prep.segment_keys(_weekly(Retail(spark, sf_dir))))
+
+
+@register("sales_profile")
+def q_sales_profile(spark, sf_dir):
+    hs = Retail(spark, sf_dir).history_sales
+    return finish(hs.agg(F.count(F.lit(1)).alias("row_count"), F.min("date").alias("min_date"),
+                         F.max("date").alias("max_date"), F.countDistinct("store_code").alias("stores"),
+                         F.countDistinct("product_id").alias("products"),
+                         F.sum("net_quantity").alias("net_quantity")))

@@ -189,3 +189,99 @@ SELECT {WEEKLY_KEYS}, total_quantity,
        {r4('discount_frac_mean', 'discount_frac_mean')}, {r4('discount_frac_wavg', 'discount_frac_wavg')}
 FROM weekly
 """)
+
+# ---------------------------------------------------------------- step 1 oracles
+HS_COLS = "date, store_code, product_id, stok_kodu"
+ORACLES["src_parquet_pruned"] = build(f"""
+SELECT l_partkey, l_suppkey, {r4('l_quantity', 'l_quantity')}, CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem
+""")
+ORACLES["src_csv"] = build(f"""
+SELECT {HS_COLS}, {r4('net_quantity', 'net_quantity')}, {r4('discount_amount', 'discount_amount')},
+       {r4('net_amount_wovat', 'net_amount_wovat')}, {r4('unit_price', 'unit_price')} FROM history_sales
+""")
+ORACLES["normalize_sales"] = ORACLES["src_csv"]
+ORACLES["src_csv_locale"] = build(f"""
+SELECT l_orderkey, l_linenumber, {r4('l_quantity', 'l_quantity')}, {r4('l_extendedprice', 'l_extendedprice')},
+       {r4('l_discount', 'l_discount')} FROM lineitem
+""")
+ORACLES["dim_store_cluster"] = build("SELECT store_code, store_cluster FROM store_clustering")
+ORACLES["clean_attribute_code"] = build(f"""
+SELECT product_id, product_att_02, {r4("TRY_CAST(translate(product_att_02, 'DN', '99') AS DOUBLE)", 'product_att_02_clean')}
+FROM dim_product
+""")
+ORACLES["exclude_sentinels"] = build(f"""
+SELECT product_id, product_att_01, {r4('att02', 'product_att_02')}
+FROM (SELECT product_id, product_att_01, TRY_CAST(translate(product_att_02, 'DN', '99') AS DOUBLE) AS att02 FROM dim_product) x
+WHERE product_att_01 IS DISTINCT FROM 9 AND product_att_01 IS DISTINCT FROM 999
+  AND att02 IS DISTINCT FROM 9 AND att02 IS DISTINCT FROM 999
+""")
+ORACLES["negative_qty_modes"] = build(f"""
+SELECT store_code, product_id,
+       {r4('sum(greatest(net_quantity, 0.0))', 'qty_clipped')},
+       {r4('sum(CASE WHEN net_quantity >= 0 THEN net_quantity END)', 'qty_filtered')},
+       {r4('greatest(sum(net_quantity), 0.0)', 'qty_zeroed_after_sum')}
+FROM history_sales GROUP BY 1, 2
+""")
+ORACLES["discount_fraction"] = build(f"""
+SELECT date, store_code, product_id,
+       {r4('''least(greatest(CASE WHEN coalesce(discount_amount, 0) + coalesce(net_amount_wovat, 0) > 0
+              THEN coalesce(discount_amount, 0) / (coalesce(discount_amount, 0) + coalesce(net_amount_wovat, 0))
+              ELSE 0.0 END, 0.0), 0.9)''', 'discount_frac')},
+       {r4('coalesce(discount_amount, 0) + coalesce(net_amount_wovat, 0)', 'rev_pre_disc')}
+FROM history_sales
+""")
+ORACLES["daily_unit_price"] = build(f"""
+SELECT date, store_code, product_id, {r4('sum(discount_amount)', 'discount_amount')},
+       {r4('sum(net_amount_wovat)', 'net_amount_wovat')}, {r4('sum(net_quantity)', 'net_quantity')},
+       {r4('sum(net_amount_wovat) / NULLIF(sum(net_quantity), 0)', 'unit_price')}
+FROM history_sales GROUP BY 1, 2, 3
+""")
+ORACLES["month_floor_lookback"] = build(f"""
+SELECT date_trunc('month', date)::DATE AS month_start, count(*) AS row_count, {r4('sum(net_quantity)', 'net_quantity')}
+FROM history_sales WHERE date >= date_trunc('month', {AS_OF} - INTERVAL 24 MONTH)::DATE GROUP BY 1
+""")
+ORACLES["lookback_filter"] = build(f"""
+SELECT date, store_code, {r4('sum(net_quantity)', 'net_quantity')}
+FROM history_sales WHERE date >= (SELECT max(date) FROM history_sales) - 27 AND date <= (SELECT max(date) FROM history_sales)
+GROUP BY 1, 2
+""")
+ORACLES["enrich_sales"] = build(f"""
+SELECT h.date, h.store_code, h.product_id, {r4('h.net_quantity', 'net_quantity')}, p.product_att_01, p.product_att_02,
+       p.product_att_05, c.store_cluster
+FROM history_sales h LEFT JOIN dim_product p ON p.product_id = h.product_id
+LEFT JOIN store_clustering c ON c.store_code = h.store_code
+""")
+ORACLES["calendar_week_join"] = build(f"""
+SELECT h.date, h.store_code, h.product_id, {r4('h.net_quantity', 'net_quantity')},
+       date_trunc('week', c.date)::DATE AS week_start_date
+FROM history_sales h LEFT JOIN dim_calendar c ON c.date = h.date
+""")
+cte("prep_keyed", f"""
+SELECT * FROM prep_enriched
+WHERE product_att_01 IS DISTINCT FROM 9 AND product_att_02 IS DISTINCT FROM 9
+  AND product_att_01 IS NOT NULL AND product_att_02 IS NOT NULL AND product_att_05 IS NOT NULL
+  AND product_att_01_desc IS NOT NULL AND product_att_02_desc IS NOT NULL AND product_att_05_desc IS NOT NULL
+  AND store_cluster IS NOT NULL AND week_start_date IS NOT NULL
+""")
+ORACLES["weekly_quantity"] = build(f"""
+SELECT {WEEKLY_KEYS}, {r4('sum(net_quantity)', 'total_quantity')} FROM prep_keyed GROUP BY ALL
+""")
+ORACLES["weekly_price_stats"] = build(f"""
+SELECT {WEEKLY_KEYS}, {r4('avg(unit_price)', 'unit_price_mean')}, {r4('median(unit_price)', 'unit_price_median')}
+FROM prep_keyed GROUP BY ALL
+""")
+ORACLES["weighted_discount"] = build(f"""
+SELECT {WEEKLY_KEYS}, {r4('CASE WHEN sum(rev_pre_disc) > 0 THEN sum(discount_frac * rev_pre_disc) / sum(rev_pre_disc) END', 'discount_frac_wavg')}
+FROM prep_rows GROUP BY ALL
+""")
+ORACLES["top_segments"] = build(f"""
+SELECT {WEEKLY_KEYS}, total_quantity,
+       {r4('unit_price_mean', 'unit_price_mean')}, {r4('unit_price_median', 'unit_price_median')},
+       {r4('discount_frac_mean', 'discount_frac_mean')}, {r4('discount_frac_wavg', 'discount_frac_wavg')}
+FROM weekly ORDER BY total_quantity DESC, {WEEKLY_KEYS} LIMIT 20
+""")
+ORACLES["segment_keys"] = build("SELECT DISTINCT product_att_01, product_att_02, product_att_05, store_cluster FROM weekly")
+ORACLES["sales_profile"] = build(f"""
+SELECT count(*) AS row_count, min(date) AS min_date, max(date) AS max_date, count(DISTINCT store_code) AS stores,
+       count(DISTINCT product_id) AS products, {r4('sum(net_quantity)', 'net_quantity')} FROM history_sales
+""")
