@@ -15,8 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import prep
+from ..profiles import PROD
 from ..sources.fixtures import AS_OF, Retail
 
+# Registered weekly jobs run the prod rules over the WHOLE sales history: the
+# 24-month window is a profile parameter (``prep_lookback_months``) and is
+# exercised on its own by ``month_floor_lookback``.
+PROD_ALL_HISTORY = PROD.with_(name="prod_all_history", prep_lookback_months=None)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -44,7 +50,7 @@ def as_of_lit():
 
 
 # ------------------------------------------------------------------ step 1: H1
-def _weekly(r: Retail, profile="prod") -> DataFrame:
+def _weekly(r: Retail, profile=PROD_ALL_HISTORY) -> DataFrame:
     return prep.weekly_segment_sales(r.history_sales, r.dim_product, r.store_clustering,
                                      calendar=r.dim_calendar, profile=profile, as_of=as_of_lit())
 
@@ -179,7 +185,7 @@ def q_calendar_week_join(spark, sf_dir):
 
 
 def _prepared(r: Retail) -> DataFrame:
-    return prep.prepared_sales(r.history_sales, r.dim_product, r.store_clustering, as_of=as_of_lit())
+    return prep.prepared_sales(r.history_sales, r.dim_product, r.store_clustering, as_of=as_of_lit(), months=None)
 
 
 @register("weekly_quantity")
@@ -214,3 +220,45 @@ def q_sales_profile(spark, sf_dir):
                          F.max("date").alias("max_date"), F.countDistinct("store_code").alias("stores"),
                          F.countDistinct("product_id").alias("products"),
                          F.sum("net_quantity").alias("net_quantity")))
+
+
+# ------------------------------------------------------------- step 2: features
+from ..operators import features as feat  # noqa: E402
+
+_FEATURE_GROUPS = {
+    "lag_features": feat.lag_columns,
+    "lag_last_year": feat.last_year_column,
+    "pct_change_features": feat.pct_change_columns,
+    "rolling_features": lambda spec, w: feat.rolling_columns(spec, w, 2),
+    "price_lag_features": lambda spec, w: feat.price_lag_columns(spec, w, 2),
+    "segment_mean": feat.segment_mean_column,
+}
+
+_KEYS_OUT = prep.SEGMENT + prep.SEGMENT_DESCS + ["week_start_date", "total_quantity"]
+
+
+def _feature_group(key):
+    def q(spark, sf_dir):
+        w = feat.zero_negative_target(_weekly(Retail(spark, sf_dir)))
+        spec = feat.FeatureSpec()
+        return finish(w.select(*_KEYS_OUT, *_FEATURE_GROUPS[key](spec, feat.segment_window())))
+    q.__name__ = f"q_{key}"
+    return q
+
+
+for _k in _FEATURE_GROUPS:
+    register(_k)(_feature_group(_k))
+
+
+@register("calendar_weekly")
+def q_calendar_weekly(spark, sf_dir):
+    return finish(feat.calendar_weekly(Retail(spark, sf_dir).dim_calendar))
+
+
+def _features(r: Retail) -> DataFrame:
+    return feat.demand_features(_weekly(r), r.dim_calendar, profile=PROD_ALL_HISTORY)
+
+
+@register("demand_features")
+def q_demand_features(spark, sf_dir):
+    return finish(_features(Retail(spark, sf_dir)))

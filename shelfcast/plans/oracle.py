@@ -138,7 +138,6 @@ SELECT date, store_code, product_id,
        sum(net_quantity) AS net_quantity,
        sum(net_amount_wovat) / NULLIF(sum(net_quantity), 0) AS unit_price
 FROM history_sales
-WHERE date >= date_trunc('month', {AS_OF} - INTERVAL 24 MONTH)::DATE
 GROUP BY 1, 2, 3
 """)
 
@@ -285,3 +284,84 @@ ORACLES["sales_profile"] = build(f"""
 SELECT count(*) AS row_count, min(date) AS min_date, max(date) AS max_date, count(DISTINCT store_code) AS stores,
        count(DISTINCT product_id) AS products, {r4('sum(net_quantity)', 'net_quantity')} FROM history_sales
 """)
+
+# ---------------------------------------------------------------- step 2 oracles
+from ..operators.features import FeatureSpec  # noqa: E402
+
+SEG = "product_att_01, product_att_02, product_att_05, store_cluster"
+SEG_W = f"PARTITION BY {SEG} ORDER BY week_start_date, product_att_01_desc, product_att_02_desc, product_att_05_desc"
+KEYS_OUT = f"{SEG}, product_att_01_desc, product_att_02_desc, product_att_05_desc, week_start_date"
+
+
+def _frame(lo: int, hi: int) -> str:
+    def b(x):
+        return "CURRENT ROW" if x == 0 else (f"{-x} PRECEDING" if x < 0 else f"{x} FOLLOWING")
+    return f"({SEG_W} ROWS BETWEEN {b(lo)} AND {b(hi)})"
+
+
+def _guarded_sql(fn: str, c: str, lo: int, hi: int, mp: int) -> str:
+    f = _frame(lo, hi)
+    return f"CASE WHEN count({c}) OVER {f} >= {mp} THEN {fn}({c}) OVER {f} END"
+
+
+def feature_sql(group: str, spec: FeatureSpec = FeatureSpec(), min_periods=2, price_mp=2) -> list[str]:
+    t = spec.target
+    out = []
+    if group in ("lags", "all"):
+        out += [f"lag({t}, {k}) OVER ({SEG_W}) AS {t}_shifted_{k}" for k in spec.lag_set()]
+    if group in ("last_year", "all"):
+        out += [f"lag({t}, {spec.last_year_lag}) OVER ({SEG_W}) AS {t}_last_year"]
+    if group in ("pct", "all"):
+        for d in spec.pct_diffs:
+            a, b = f"lag({t}, {d}) OVER ({SEG_W})", f"lag({t}, {d + 1}) OVER ({SEG_W})"
+            out.append(r4(f"CAST({a} - {b} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0)", f"pct_change_{d}"))
+    if group in ("rolling", "all"):
+        for s, ws in spec.rolls.items():
+            for n in ws:
+                mp = n if min_periods is None else min_periods
+                lo, hi = -(s + n - 1), -s
+                out.append(f"{_guarded_sql('min', t, lo, hi, mp)} AS min_{t}_roll{n}_shift{s}")
+                out.append(r4(_guarded_sql('avg', t, lo, hi, mp), f"mean_{t}_roll{n}_shift{s}"))
+                out.append(f"{_guarded_sql('max', t, lo, hi, mp)} AS max_{t}_roll{n}_shift{s}")
+    if group in ("price", "all"):
+        for c in spec.price_cols:
+            out.append(r4(f"lag({c}, 1) OVER ({SEG_W})", f"{c}_l1"))
+            out.append(r4(_guarded_sql('avg', c, -4, -1, price_mp), f"{c}_ma4_l1"))
+    if group in ("segment_mean", "all"):
+        out.append(r4(f"avg({t}) OVER (PARTITION BY {SEG})", "segment_mean"))
+    return out
+
+
+cte("weekly_z", """
+SELECT * REPLACE (CASE WHEN total_quantity < 0 THEN 0 ELSE total_quantity END AS total_quantity),
+       CAST(weekofyear(week_start_date) AS INTEGER) AS week_of_year
+FROM weekly
+""")
+
+cte("calendar_weekly", """
+SELECT date_trunc('week', date)::DATE AS week_start_date,
+       arg_min(month, date) FILTER (WHERE month IS NOT NULL) AS month,
+       arg_min(special_day_tag, date) FILTER (WHERE special_day_tag IS NOT NULL) AS tag,
+       max(ramazan_bayrami) AS ramazan_bayrami, max(kurban_bayrami) AS kurban_bayrami, max(kara_cuma) AS kara_cuma
+FROM dim_calendar GROUP BY 1
+""")
+
+CAL_OUT = ("cw.month, cw.ramazan_bayrami, cw.kurban_bayrami, cw.kara_cuma, "
+           "CAST(coalesce(cw.tag, 'YOK') <> 'YOK' AS INTEGER) AS is_special_day")
+
+ORACLES["calendar_weekly"] = build(f"SELECT week_start_date, {CAL_OUT} FROM calendar_weekly cw")
+
+for _key, _grp in [("lag_features", "lags"), ("lag_last_year", "last_year"), ("pct_change_features", "pct"),
+                   ("rolling_features", "rolling"), ("price_lag_features", "price"), ("segment_mean", "segment_mean")]:
+    ORACLES[_key] = build(f"SELECT {KEYS_OUT}, total_quantity, {', '.join(feature_sql(_grp))} FROM weekly_z")
+
+WEEKLY_VALUES = ", ".join([r4(c, c) for c in ["unit_price_mean", "unit_price_median", "discount_frac_mean", "discount_frac_wavg"]])
+
+cte("features", f"""
+SELECT {KEYS_OUT}, total_quantity, week_of_year, {WEEKLY_VALUES}, {', '.join(feature_sql('all'))}
+FROM weekly_z
+""")
+
+ORACLES["demand_features"] = build(f"""
+SELECT f.*, {CAL_OUT} FROM features f LEFT JOIN calendar_weekly cw ON cw.week_start_date = f.week_start_date
+""")
