@@ -123,3 +123,12 @@ def require_columns(df, cols: Iterable[str], what: str = "input") -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise KeyError(f"{what} is missing column(s): {missing}")
+
+
+def bround_decimal(c: "str | Column", scale: int = 0) -> Column:
+    """Half-even rounding of a double through DECIMAL(38,10).
+
+    Rounding the decimal value (not the binary double) makes x.xx5 ties behave the
+    same on every engine; the result is a double again."""
+    from pyspark.sql import types as T
+    return F.bround(col(c).cast(T.DecimalType(38, 10)), scale).cast("double")

@@ -262,3 +262,175 @@ def _features(r: Retail) -> DataFrame:
 @register("demand_features")
 def q_demand_features(spark, sf_dir):
     return finish(_features(Retail(spark, sf_dir)))
+
+
+# ------------------------------------------------ step 3: universe, weights, safety
+from ..operators import breakdown as bd  # noqa: E402
+from ..operators import safety, universe, weights  # noqa: E402
+from ..sources.fixtures import naive_weekly_forecast  # noqa: E402
+
+
+def _repl_sales(r: Retail) -> DataFrame:
+    return universe.replenishment_sales(r.history_sales, r.dim_product, as_of_lit(), profile="prod")
+
+
+def _stock_agg(r: Retail) -> DataFrame:
+    return universe.stock_by_day(r.store_stock, as_of=as_of_lit())
+
+
+def _product_pairs(r: Retail) -> DataFrame:
+    return universe.store_product_pairs(_stock_agg(r), r.dim_product)
+
+
+def _weekly_forecast(r: Retail) -> DataFrame:
+    return naive_weekly_forecast(_weekly(r))
+
+
+def _ratio(r: Retail) -> DataFrame:
+    return bd.store_ratio(r.history_sales, r.dim_product, r.store_clustering, as_of=as_of_lit(), profile="prod")
+
+
+def _breakdown(r: Retail) -> DataFrame:
+    return bd.breakdown_to_store(_weekly_forecast(r), _ratio(r))
+
+
+def _daily_pred(r: Retail) -> DataFrame:
+    return bd.weekly_to_daily(_breakdown(r))
+
+
+def _weight_map(r: Retail) -> DataFrame:
+    return weights.variant_weight_map(_repl_sales(r), _stock_agg(r), _product_pairs(r))
+
+
+@register("stock_product_id")
+def q_stock_product_id(spark, sf_dir):
+    r = Retail(spark, sf_dir)
+    attrs = r.dim_product.select("product_id", F.col("product_att_03").alias("color_code"),
+                                 F.col("product_att_04").alias("size"))
+    st = r.store_stock.drop("color_code", "size").join(attrs, "product_id", "left")
+    out = clean.stock_product_id(st, out="sku_id")
+    return finish(out.select("stok_tarihi", "magaza", "stok_kodu", "color_code", "size", "product_id", "sku_id",
+                             "toplam_miktar"))
+
+
+@register("active_products")
+def q_active_products(spark, sf_dir):
+    p = clean.active_products(Retail(spark, sf_dir).dim_product)
+    return finish(p.select("product_id", "product_code", "is_blocked"))
+
+
+@register("style_to_variants")
+def q_style_to_variants(spark, sf_dir):
+    return finish(_product_pairs(Retail(spark, sf_dir)))
+
+
+@register("store_product_pairs")
+def q_store_product_pairs(spark, sf_dir):
+    return finish(_product_pairs(Retail(spark, sf_dir)))
+
+
+@register("store_sku_pairs")
+def q_store_sku_pairs(spark, sf_dir):
+    r = Retail(spark, sf_dir)
+    return finish(universe.store_sku_pairs(_stock_agg(r), _daily_pred(r)))
+
+
+@register("stock_by_day")
+def q_stock_by_day(spark, sf_dir):
+    return finish(_stock_agg(Retail(spark, sf_dir)))
+
+
+@register("open_order_qty")
+def q_open_order_qty(spark, sf_dir):
+    return finish(clean.open_order_qty(Retail(spark, sf_dir).stock_movement))
+
+
+@register("extract_open_orders")
+def q_extract_open_orders(spark, sf_dir):
+    path = _scratch(spark, "open_order_parquet")
+    io.write_parquet(clean.extract_open_orders(Retail(spark, sf_dir).stock_movement), path)
+    return finish(spark.read.parquet(path))
+
+
+@register("seasonal_months")
+def q_seasonal_months(spark, sf_dir):
+    s = _repl_sales(Retail(spark, sf_dir))
+    s = clean.seasonal_months(s, s.agg(F.max("date")).scalar(), window=1)
+    return finish(s.groupBy(F.year("date").alias("year"), F.month("date").alias("month"))
+                   .agg(F.count(F.lit(1)).alias("row_count"), F.sum("net_quantity").alias("net_quantity")))
+
+
+@register("demand_stats")
+def q_demand_stats(spark, sf_dir):
+    return finish(safety.demand_stats(safety.daily_demand(_repl_sales(Retail(spark, sf_dir)))))
+
+
+@register("weighted_demand_stats")
+def q_weighted_demand_stats(spark, sf_dir):
+    return finish(safety.weighted_demand_stats(safety.daily_demand(_repl_sales(Retail(spark, sf_dir)))))
+
+
+@register("safety_stock")
+def q_safety_stock(spark, sf_dir):
+    return finish(safety.seasonal_safety_stock(_repl_sales(Retail(spark, sf_dir)), use_weighted_calculation=False))
+
+
+def _safety_weighted(r: Retail) -> DataFrame:
+    return safety.seasonal_safety_stock(_repl_sales(r), use_weighted_calculation=True,
+                                        weight_strategy="exponential_decay", weight_decay_factor=0.95,
+                                        recent_days_weight=0.6)
+
+
+@register("safety_stock_weighted")
+def q_safety_stock_weighted(spark, sf_dir):
+    return finish(_safety_weighted(Retail(spark, sf_dir)))
+
+
+@register("compare_weighting_strategies")
+def q_compare_weighting_strategies(spark, sf_dir):
+    return finish(safety.compare_weighting_strategies(_repl_sales(Retail(spark, sf_dir))))
+
+
+@register("pairs_semi_join")
+def q_pairs_semi_join(spark, sf_dir):
+    r = Retail(spark, sf_dir)
+    return finish(universe.pairs_semi_join(_repl_sales(r), _product_pairs(r)))
+
+
+@register("variant_sales_share")
+def q_variant_sales_share(spark, sf_dir):
+    r = Retail(spark, sf_dir)
+    return finish(weights.variant_sales_share(_repl_sales(r), _product_pairs(r)))
+
+
+@register("variant_weight_map")
+def q_variant_weight_map(spark, sf_dir):
+    return finish(_weight_map(Retail(spark, sf_dir)))
+
+
+# ------------------------------------------------------ step 4: breakdown, daily
+@register("store_ratio")
+def q_store_ratio(spark, sf_dir):
+    return finish(_ratio(Retail(spark, sf_dir)))
+
+
+@register("breakdown_to_store")
+def q_breakdown_to_store(spark, sf_dir):
+    return finish(_breakdown(Retail(spark, sf_dir)))
+
+
+@register("week_length")
+def q_week_length(spark, sf_dir):
+    return finish(bd.week_length(_breakdown(Retail(spark, sf_dir))))
+
+
+@register("weekly_to_daily")
+def q_weekly_to_daily(spark, sf_dir):
+    return finish(_daily_pred(Retail(spark, sf_dir)))
+
+
+@register("prediction_14d_by_product")
+def q_prediction_14d_by_product(spark, sf_dir):
+    r = Retail(spark, sf_dir)
+    s = _repl_sales(r)
+    return finish(weights.prediction_14d_by_product(_daily_pred(r), _weight_map(r), s.agg(F.max("date")).scalar()))

@@ -365,3 +365,264 @@ FROM weekly_z
 ORACLES["demand_features"] = build(f"""
 SELECT f.*, {CAL_OUT} FROM features f LEFT JOIN calendar_weekly cw ON cw.week_start_date = f.week_start_date
 """)
+
+# ------------------------------------------------------------- step 3-4 oracles
+import math as _math  # noqa: E402
+import statistics as _stats  # noqa: E402
+
+SAFETY_K = repr(_stats.NormalDist().inv_cdf(0.9) * _math.sqrt(2))
+
+
+def rnd_even(expr: str, scale: int) -> str:
+    """Half-even rounding through DECIMAL(38,10), as ``bround_decimal``."""
+    return f"CAST(round_even(CAST({expr} AS DECIMAL(38,10)), {scale}) AS DOUBLE)"
+
+
+def not_sent(c: str, values=(9, 999)) -> str:
+    return " AND ".join(f"{c} IS DISTINCT FROM {v}" for v in values)
+
+
+cte("repl_sales", f"""
+SELECT h.date, h.store_code, h.product_id, h.stok_kodu, coalesce(h.net_quantity, 0.0) AS net_quantity
+FROM history_sales h
+LEFT JOIN (SELECT product_id, product_att_01, TRY_CAST(translate(product_att_02, 'DN', '99') AS DOUBLE) AS a2
+           FROM dim_product) p ON p.product_id = h.product_id
+WHERE h.date >= date_trunc('month', {AS_OF} - 180)::DATE AND coalesce(h.net_quantity, 0.0) >= 0
+  AND {not_sent('p.product_att_01')} AND {not_sent('p.a2')}
+""")
+cte("repl_max", "SELECT max(date) AS mx FROM repl_sales")
+
+cte("stock_agg", f"""
+SELECT stok_tarihi, magaza, stok_kodu, product_id, CAST(trunc(sum(toplam_miktar)) AS BIGINT) AS stok_miktar
+FROM store_stock WHERE stok_tarihi >= date_trunc('month', {AS_OF} - 30)::DATE AND toplam_miktar > 0
+GROUP BY 1, 2, 3, 4
+""")
+cte("stock_max", "SELECT max(stok_tarihi) AS today FROM stock_agg")
+cte("sku_pairs", """
+SELECT DISTINCT magaza, stok_kodu FROM stock_agg, stock_max
+WHERE stok_tarihi >= today - 29 AND stok_tarihi <= today AND stok_miktar > 0
+""")
+cte("active_product", "SELECT * FROM dim_product WHERE coalesce(is_blocked, 0) = 0")
+cte("product_pairs", """
+SELECT DISTINCT sp.magaza AS store_code, sp.stok_kodu, ap.product_id
+FROM sku_pairs sp LEFT JOIN active_product ap ON ap.product_code = sp.stok_kodu
+""")
+
+# seasonal daily demand (+-1 month around the last sales month, all years)
+cte("daily_demand", """
+SELECT s.store_code, s.product_id, s.date, sum(s.net_quantity) AS net_quantity,
+       CAST(max(m.mx) - s.date AS INTEGER) AS days_from_today
+FROM repl_sales s, repl_max m
+WHERE ((month(s.date) - month(m.mx)) % 12 + 12) % 12 IN (0, 1, 11)
+GROUP BY 1, 2, 3
+""")
+cte("demand_stats", """
+SELECT store_code, product_id, avg(net_quantity) AS daily_avg, coalesce(stddev_samp(net_quantity), 0.0) AS daily_std
+FROM daily_demand GROUP BY 1, 2
+""")
+
+
+def weighted_stats_sql(weight_expr: str) -> str:
+    return f"""
+SELECT a.store_code, a.product_id, a.m AS daily_avg,
+       CASE WHEN a.n > 1 THEN sqrt(greatest(sum(d.w * (d.net_quantity - a.m) * (d.net_quantity - a.m)) / a.sw, 0.0)) ELSE 0.0 END AS daily_std
+FROM (SELECT *, {weight_expr} AS w FROM daily_demand) d
+JOIN (SELECT store_code, product_id, sum(w * net_quantity) / sum(w) AS m, count(*) AS n, sum(w) AS sw
+      FROM (SELECT *, {weight_expr} AS w FROM daily_demand) x GROUP BY 1, 2) a
+  ON a.store_code = d.store_code AND a.product_id = d.product_id
+GROUP BY a.store_code, a.product_id, a.m, a.n, a.sw
+"""
+
+
+W_EXP = "pow(0.95, CAST(days_from_today AS DOUBLE))"
+W_LIN = "greatest(1.0 - CAST(days_from_today AS DOUBLE) / NULLIF(CAST((SELECT max(days_from_today) FROM daily_demand) AS DOUBLE), 0), 0.1)"
+W_RECENT = "CASE WHEN days_from_today <= 7 THEN 0.6 ELSE 0.4 END"
+cte("wstats_exp", weighted_stats_sql(W_EXP))
+cte("wstats_lin", weighted_stats_sql(W_LIN))
+cte("wstats_recent", weighted_stats_sql(W_RECENT))
+
+
+def safety_sql(src: str) -> str:
+    return (f"SELECT store_code, product_id, {r4('daily_avg', 'daily_avg')}, {r4('daily_std', 'daily_std')}, "
+            f"{rnd_even(f'{SAFETY_K} * daily_std', 2)} AS safety_stock FROM {src}")
+
+
+cte("safety_weighted", f"SELECT store_code, product_id, daily_avg, daily_std, {rnd_even(f'{SAFETY_K} * daily_std', 2)} AS safety_stock FROM wstats_exp")
+
+ORACLES["seasonal_months"] = build(f"""
+SELECT CAST(year(s.date) AS INTEGER) AS year, CAST(month(s.date) AS INTEGER) AS month, count(*) AS row_count,
+       {r4('sum(s.net_quantity)', 'net_quantity')}
+FROM repl_sales s, repl_max m WHERE ((month(s.date) - month(m.mx)) % 12 + 12) % 12 IN (0, 1, 11) GROUP BY 1, 2
+""")
+ORACLES["demand_stats"] = build(f"SELECT store_code, product_id, {r4('daily_avg', 'daily_avg')}, {r4('daily_std', 'daily_std')} FROM demand_stats")
+ORACLES["weighted_demand_stats"] = build(f"SELECT store_code, product_id, {r4('daily_avg', 'daily_avg')}, {r4('daily_std', 'daily_std')} FROM wstats_exp")
+ORACLES["safety_stock"] = build(safety_sql("demand_stats"))
+ORACLES["safety_stock_weighted"] = build(safety_sql("wstats_exp"))
+ORACLES["compare_weighting_strategies"] = build(" UNION ALL ".join(
+    f"SELECT *, '{name}' AS strategy FROM ({safety_sql(src)})" for name, src in
+    [("no_weight", "demand_stats"), ("exponential_decay", "wstats_exp"), ("linear_decay", "wstats_lin"),
+     ("recent_heavy", "wstats_recent")]))
+
+ORACLES["stock_by_day"] = build("SELECT * FROM stock_agg")
+ORACLES["active_products"] = build("SELECT product_id, product_code, is_blocked FROM active_product")
+ORACLES["style_to_variants"] = build("SELECT * FROM product_pairs")
+ORACLES["store_product_pairs"] = build("SELECT * FROM product_pairs")
+ORACLES["stock_product_id"] = build(f"""
+SELECT s.stok_tarihi, s.magaza, s.stok_kodu, p.product_att_03 AS color_code, p.product_att_04 AS size, s.product_id,
+       s.stok_kodu || p.product_att_03 || p.product_att_04 AS sku_id, {r4('s.toplam_miktar', 'toplam_miktar')}
+FROM store_stock s LEFT JOIN dim_product p ON p.product_id = s.product_id
+""")
+
+cte("open_orders", """
+SELECT urun_kodu AS product_id, left(giris_depo_kodu, 4) AS store_code,
+       sum(toplam_yoldaki_miktar) AS toplam_yoldaki_miktar, sum(toplanmayan_urun) AS toplanmayan_urun,
+       sum(toplam_yoldaki_miktar) + sum(toplanmayan_urun) AS acik_siparis
+FROM stock_movement WHERE toplam_yoldaki_miktar > 0 OR toplanmayan_urun > 0 GROUP BY 1, 2
+""")
+ORACLES["open_order_qty"] = build(f"""
+SELECT product_id, store_code, {r4('toplam_yoldaki_miktar', 'toplam_yoldaki_miktar')},
+       {r4('toplanmayan_urun', 'toplanmayan_urun')}, {r4('acik_siparis', 'acik_siparis')} FROM open_orders
+""")
+ORACLES["extract_open_orders"] = build(f"""
+SELECT urun_kodu AS product_id, cikis_depo_kodu AS depo_kodu, {r4('sum(toplam_yoldaki_miktar)', 'toplam_yoldaki_miktar')},
+       {r4('sum(toplanmayan_urun)', 'toplanmayan_urun')} FROM stock_movement GROUP BY 1, 2
+""")
+
+ORACLES["pairs_semi_join"] = build(f"""
+SELECT s.date, s.store_code, s.product_id, s.stok_kodu, {r4('s.net_quantity', 'net_quantity')} FROM repl_sales s
+WHERE EXISTS (SELECT 1 FROM product_pairs p WHERE p.store_code = s.store_code AND p.stok_kodu = s.stok_kodu
+              AND p.product_id = s.product_id)
+""")
+
+cte("sales_share", """
+SELECT store_code, stok_kodu, product_id, sales_90d,
+       sales_90d / NULLIF(sum(sales_90d) OVER (PARTITION BY store_code, stok_kodu), 0) AS weight_sales
+FROM (SELECT s.store_code, s.stok_kodu, s.product_id, greatest(sum(s.net_quantity), 0.0) AS sales_90d
+      FROM repl_sales s, repl_max m
+      WHERE s.date >= m.mx - 89 AND s.date <= m.mx AND s.net_quantity > 0
+        AND EXISTS (SELECT 1 FROM product_pairs p WHERE p.store_code = s.store_code AND p.stok_kodu = s.stok_kodu
+                    AND p.product_id = s.product_id)
+      GROUP BY 1, 2, 3) x
+""")
+cte("stock_share", """
+SELECT store_code, stok_kodu, product_id, onhand_30d,
+       onhand_30d / NULLIF(sum(onhand_30d) OVER (PARTITION BY store_code, stok_kodu), 0) AS weight_onhand
+FROM (SELECT st.magaza AS store_code, st.stok_kodu, st.product_id, sum(st.stok_miktar) AS onhand_30d
+      FROM stock_agg st, repl_max m
+      WHERE st.stok_tarihi >= m.mx - 59 AND st.stok_tarihi <= m.mx AND st.stok_miktar > 0
+        AND EXISTS (SELECT 1 FROM product_pairs p WHERE p.store_code = st.magaza AND p.stok_kodu = st.stok_kodu
+                    AND p.product_id = st.product_id)
+      GROUP BY 1, 2, 3) x
+""")
+ORACLES["variant_sales_share"] = build(f"""
+SELECT store_code, stok_kodu, product_id, {r4('sales_90d', 'sales_90d')}, {r4('weight_sales', 'weight_sales')} FROM sales_share
+""")
+cte("wm1", """
+SELECT p.store_code, p.stok_kodu, p.product_id, coalesce(ss.weight_sales, so.weight_onhand) AS w,
+       count(p.product_id) OVER (PARTITION BY p.store_code, p.stok_kodu) AS n,
+       bool_or(coalesce(ss.weight_sales, so.weight_onhand) IS NOT NULL) OVER (PARTITION BY p.store_code, p.stok_kodu) AS anyw
+FROM product_pairs p
+LEFT JOIN sales_share ss ON ss.store_code = p.store_code AND ss.stok_kodu = p.stok_kodu AND ss.product_id = p.product_id
+LEFT JOIN stock_share so ON so.store_code = p.store_code AND so.stok_kodu = p.stok_kodu AND so.product_id = p.product_id
+""")
+cte("wm2", "SELECT *, CASE WHEN anyw THEN w ELSE 1.0 / NULLIF(n, 0) END AS w1 FROM wm1")
+cte("wm3", """
+SELECT *, CASE WHEN coalesce(sum(w1) OVER (PARTITION BY store_code, stok_kodu), 0) = 0 THEN 1.0 / NULLIF(n, 0) ELSE w1 END AS w2
+FROM wm2
+""")
+cte("weight_map", """
+SELECT store_code, stok_kodu, product_id, w2 / NULLIF(sum(w2) OVER (PARTITION BY store_code, stok_kodu), 0) AS weight FROM wm3
+""")
+ORACLES["variant_weight_map"] = build(f"SELECT store_code, stok_kodu, product_id, {r4('weight', 'weight')} FROM weight_map")
+
+# naive forecast stand-in, breakdown, week -> day
+SEG4 = "product_att_01, product_att_02, product_att_05, store_cluster"
+cte("wf_level", f"""
+SELECT {SEG4}, avg(q) AS predicted_quantity
+FROM (SELECT {SEG4}, greatest(CAST(total_quantity AS DOUBLE), 0.0) AS q,
+             row_number() OVER (PARTITION BY {SEG4} ORDER BY week_start_date DESC, product_att_01_desc,
+                                product_att_02_desc, product_att_05_desc) AS rn
+      FROM weekly) x WHERE rn <= 4 GROUP BY ALL
+""")
+cte("weekly_forecast", f"""
+SELECT {SEG4}, CAST((SELECT max(week_start_date) FROM weekly) + CAST(7 * h AS INTEGER) AS DATE) AS week_start_date,
+       predicted_quantity
+FROM wf_level, range(1, 13) t(h)
+""")
+cte("ratio_src", f"""
+SELECT h.store_code, h.stok_kodu, coalesce(h.net_quantity, 0.0) AS net_quantity, c.store_cluster,
+       st.product_att_01, TRY_CAST(translate(st.product_att_02, 'DN', '99') AS DOUBLE) AS product_att_02, st.product_att_05
+FROM history_sales h
+LEFT JOIN store_clustering c ON c.store_code = h.store_code
+LEFT JOIN (SELECT DISTINCT product_code, product_att_01, product_att_02, product_att_05 FROM dim_product) st
+       ON st.product_code = h.stok_kodu
+WHERE h.date >= date_trunc('month', {AS_OF} - 56)::DATE AND coalesce(h.net_quantity, 0.0) >= 0
+""")
+cte("ratio", """
+SELECT *, sum(net_quantity) OVER (PARTITION BY store_cluster, product_att_01, product_att_02, product_att_05) AS cluster_total,
+       CASE WHEN sum(net_quantity) OVER (PARTITION BY store_cluster, product_att_01, product_att_02, product_att_05) > 0
+            THEN net_quantity / sum(net_quantity) OVER (PARTITION BY store_cluster, product_att_01, product_att_02, product_att_05)
+            ELSE 0.0 END AS store_ratio
+FROM (SELECT CAST(store_cluster AS DOUBLE) AS store_cluster, CAST(product_att_01 AS DOUBLE) AS product_att_01,
+             product_att_02, CAST(product_att_05 AS DOUBLE) AS product_att_05, store_code, stok_kodu,
+             sum(net_quantity) AS net_quantity
+      FROM ratio_src
+      WHERE product_att_01 IS DISTINCT FROM 9 AND product_att_02 IS DISTINCT FROM 9
+        AND store_cluster IS NOT NULL AND product_att_01 IS NOT NULL AND product_att_02 IS NOT NULL
+        AND product_att_05 IS NOT NULL AND store_code IS NOT NULL AND stok_kodu IS NOT NULL
+      GROUP BY ALL) g
+""")
+cte("breakdown", """
+SELECT f.week_start_date, r.store_cluster, r.store_code, r.product_att_01, r.product_att_02, r.product_att_05, r.stok_kodu,
+       f.predicted_quantity * r.store_ratio AS store_predicted_quantity, f.predicted_quantity, r.store_ratio
+FROM (SELECT CAST(store_cluster AS DOUBLE) AS store_cluster, CAST(product_att_01 AS DOUBLE) AS product_att_01,
+             CAST(product_att_02 AS DOUBLE) AS product_att_02, CAST(product_att_05 AS DOUBLE) AS product_att_05,
+             week_start_date, predicted_quantity FROM weekly_forecast) f
+JOIN ratio r ON r.store_cluster = f.store_cluster AND r.product_att_01 = f.product_att_01
+            AND r.product_att_02 = f.product_att_02 AND r.product_att_05 = f.product_att_05
+""")
+cte("wl", """
+SELECT *, CAST(CASE WHEN next_week_start - week_start_date <= 0 THEN 7 ELSE next_week_start - week_start_date END AS INTEGER) AS n_days
+FROM (SELECT trim(store_code) AS store_code, trim(stok_kodu) AS stok_kodu, week_start_date,
+             coalesce(store_predicted_quantity, 0.0) AS store_predicted_quantity,
+             store_cluster, product_att_01, product_att_02, product_att_05,
+             coalesce(lead(week_start_date) OVER (PARTITION BY trim(store_code), trim(stok_kodu)
+                      ORDER BY week_start_date, store_cluster, product_att_01, product_att_02, product_att_05),
+                      week_start_date + 7) AS next_week_start
+      FROM breakdown) x
+""")
+cte("daily_pred", """
+SELECT store_code, stok_kodu, CAST(week_start_date + CAST(o AS INTEGER) AS DATE) AS date,
+       sum(store_predicted_quantity / n_days) AS prediction_store_daily
+FROM (SELECT *, unnest(range(0, n_days)) AS o FROM wl) x GROUP BY 1, 2, 3
+""")
+ORACLES["store_ratio"] = build(f"""
+SELECT store_cluster, product_att_01, product_att_02, product_att_05, store_code, stok_kodu,
+       {r4('net_quantity', 'net_quantity')}, {r4('cluster_total', 'cluster_total')}, {r4('store_ratio', 'store_ratio')} FROM ratio
+""")
+ORACLES["breakdown_to_store"] = build(f"""
+SELECT week_start_date, store_cluster, store_code, product_att_01, product_att_02, product_att_05, stok_kodu,
+       {r4('store_predicted_quantity', 'store_predicted_quantity')}, {r4('predicted_quantity', 'predicted_quantity')},
+       {r4('store_ratio', 'store_ratio')} FROM breakdown
+""")
+ORACLES["week_length"] = build(f"""
+SELECT store_code, stok_kodu, week_start_date, {r4('store_predicted_quantity', 'store_predicted_quantity')},
+       store_cluster, product_att_01, product_att_02, product_att_05, next_week_start, n_days FROM wl
+""")
+ORACLES["weekly_to_daily"] = build(f"SELECT store_code, stok_kodu, date, {r4('prediction_store_daily', 'prediction_store_daily')} FROM daily_pred")
+ORACLES["store_sku_pairs"] = build("""
+SELECT DISTINCT magaza, stok_kodu FROM (
+  SELECT magaza, stok_kodu FROM sku_pairs
+  UNION ALL
+  SELECT d.store_code AS magaza, d.stok_kodu FROM daily_pred d, stock_max m
+  WHERE d.date <= m.today + 29 AND coalesce(d.prediction_store_daily, 0.0) > 0.0) u
+""")
+cte("pred14", """
+SELECT w.store_code, w.stok_kodu, w.product_id, coalesce(s.q * w.weight, 0.0) AS prediction_df
+FROM (SELECT store_code, stok_kodu, sum(q) AS q
+      FROM (SELECT store_code, stok_kodu, date, coalesce(prediction_store_daily, 0.0) AS q FROM daily_pred) d, repl_max m
+      WHERE q >= 0 AND d.date > m.mx AND d.date <= m.mx + 14 GROUP BY 1, 2) s
+JOIN weight_map w ON w.store_code = s.store_code AND w.stok_kodu = s.stok_kodu
+WHERE w.product_id IS NOT NULL
+""")
+ORACLES["prediction_14d_by_product"] = build(f"SELECT store_code, stok_kodu, product_id, {r4('prediction_df', 'prediction_df')} FROM pred14")

@@ -182,3 +182,18 @@ class Retail:
         x = li.join(p, li.l_partkey == p.p_partkey, "inner")
         return (x.groupBy(warehouse_of("l_suppkey").alias("alt_yer"), F.col("p_brand").alias("product_id"))
                  .agg(F.sum(F.floor(F.col("l_quantity") / 12)).cast("long").alias("miktar")))
+
+
+def naive_weekly_forecast(weekly: DataFrame, horizon_weeks: int = 12, last_n: int = 4) -> DataFrame:
+    """Deterministic forecast stand-in (FIXTURES.md): per segment, the mean of
+    max(total_quantity, 0) over its last ``last_n`` observed weeks, repeated for each
+    of the ``horizon_weeks`` weeks after the last week in the data."""
+    from pyspark.sql import Window
+    seg = ["product_att_01", "product_att_02", "product_att_05", "store_cluster"]
+    descs = ["product_att_01_desc", "product_att_02_desc", "product_att_05_desc"]
+    last_week = weekly.agg(F.max("week_start_date")).scalar()
+    rn = F.row_number().over(Window.partitionBy(*seg).orderBy(F.col("week_start_date").desc(), *descs))
+    recent = weekly.select(*seg, F.greatest(F.col("total_quantity").cast("double"), F.lit(0.0)).alias("q"), rn.alias("rn"))
+    level = recent.filter(F.col("rn") <= last_n).groupBy(*seg).agg(F.avg("q").alias("predicted_quantity"))
+    return level.select(*seg, F.explode(F.sequence(F.lit(1), F.lit(horizon_weeks))).alias("h"), "predicted_quantity") \
+                .select(*seg, F.date_add(last_week, F.col("h") * 7).alias("week_start_date"), "predicted_quantity")
