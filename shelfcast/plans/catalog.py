@@ -434,3 +434,118 @@ def q_prediction_14d_by_product(spark, sf_dir):
     r = Retail(spark, sf_dir)
     s = _repl_sales(r)
     return finish(weights.prediction_14d_by_product(_daily_pred(r), _weight_map(r), s.agg(F.max("date")).scalar()))
+
+
+# --------------------------------------------------- step 5: need, allocation
+from ..operators import allocate, need  # noqa: E402
+from ..profiles import LOCAL  # noqa: E402
+
+
+def _orders(r: Retail) -> DataFrame:
+    return clean.open_order_qty(r.stock_movement)
+
+
+def _base(r: Retail, weighted_safety: bool = True) -> DataFrame:
+    sales = _repl_sales(r)
+    end = sales.agg(F.max("date")).scalar()
+    stock = _stock_agg(r)
+    pairs = _product_pairs(r)
+    ss = _safety_weighted(r) if weighted_safety else safety.seasonal_safety_stock(sales, use_weighted_calculation=False)
+    wm = weights.variant_weight_map(sales, stock, pairs, end)
+    p14 = weights.prediction_14d_by_product(_daily_pred(r), wm, end)
+    return need.replenishment_base(pairs, ss, p14, universe.latest_stock(stock), need.sales_7_14_28(sales, end), _orders(r))
+
+
+def _need_prod(r: Retail) -> DataFrame:
+    return need.need_with_14day_coverage(_base(r), "prod")
+
+
+@register("sales_7_14_28")
+def q_sales_7_14_28(spark, sf_dir):
+    return finish(need.sales_7_14_28(_repl_sales(Retail(spark, sf_dir))))
+
+
+@register("replenishment_base")
+def q_replenishment_base(spark, sf_dir):
+    return finish(_base(Retail(spark, sf_dir)))
+
+
+@register("blend_weight")
+def q_blend_weight(spark, sf_dir):
+    b = _base(Retail(spark, sf_dir))
+    return finish(b.select("store_code", "product_id", need.momentum_column().alias("momentum"),
+                           need.blend_weight(b, "prod").alias("w_model")))
+
+
+@register("replenishment_need_prod")
+def q_replenishment_need_prod(spark, sf_dir):
+    return finish(_need_prod(Retail(spark, sf_dir)))
+
+
+@register("replenishment_need_local")
+def q_replenishment_need_local(spark, sf_dir):
+    res = need.need_with_14day_coverage(_base(Retail(spark, sf_dir), weighted_safety=False), LOCAL)
+    return finish(res.filter(F.col("ihtiyac_adet") > 0))
+
+
+def _dense_distribution(r: Retail) -> DataFrame:
+    return allocate.distribute_warehouse_stock(r.dense_need, r.dense_stock)
+
+
+@register("warehouse_distribution")
+def q_warehouse_distribution(spark, sf_dir):
+    return finish(_dense_distribution(Retail(spark, sf_dir)))
+
+
+@register("warehouse_stockouts")
+def q_warehouse_stockouts(spark, sf_dir):
+    r = Retail(spark, sf_dir)
+    return finish(allocate.warehouse_stockouts(r.dense_need, r.dense_stock))
+
+
+@register("fulfilment_summary")
+def q_fulfilment_summary(spark, sf_dir):
+    return finish(allocate.fulfilment_summary(_dense_distribution(Retail(spark, sf_dir))))
+
+
+@register("fulfilment_by_warehouse")
+def q_fulfilment_by_warehouse(spark, sf_dir):
+    return finish(allocate.fulfilment_by_warehouse(_dense_distribution(Retail(spark, sf_dir))))
+
+
+@register("publish_replenishment")
+def q_publish_replenishment(spark, sf_dir):
+    return finish(need.publish_rows(_need_prod(Retail(spark, sf_dir)), as_of_lit()))
+
+
+def _sku_distribution(r: Retail) -> DataFrame:
+    return allocate.distribute_warehouse_stock(_need_prod(r), r.warehouse_stock)
+
+
+@register("publish_distribution")
+def q_publish_distribution(spark, sf_dir):
+    return finish(need.publish_rows(_sku_distribution(Retail(spark, sf_dir)), as_of_lit(), only_positive=False))
+
+
+@register("audit_zero_need")
+def q_audit_zero_need(spark, sf_dir):
+    res = _need_prod(Retail(spark, sf_dir))
+    return finish(res.filter(F.col("ihtiyac_adet") <= 0).select("store_code", "stok_kodu", "product_id", "ihtiyac_adet",
+                                                               "net_quantity_28", "stok_miktar"))
+
+
+@register("audit_14d_point")
+def q_audit_14d_point(spark, sf_dir):
+    """14-day quantity per (product, store): the point check for every pair at once."""
+    hs = Retail(spark, sf_dir).history_sales
+    end = hs.agg(F.max("date")).scalar()
+    s = hs.filter((F.col("date") >= F.date_sub(end, 13)) & (F.col("date") <= end))
+    return finish(s.groupBy("product_id", "store_code").agg(F.sum("net_quantity").alias("net_quantity")))
+
+
+@register("audit_14d_daily")
+def q_audit_14d_daily(spark, sf_dir):
+    hs = Retail(spark, sf_dir).history_sales
+    end = hs.agg(F.max("date")).scalar()
+    s = hs.filter((F.col("date") >= F.date_sub(end, 13)) & (F.col("date") <= end))
+    return finish(s.groupBy("product_id", "store_code", "date").agg(F.sum("net_quantity").alias("net_quantity_14")))

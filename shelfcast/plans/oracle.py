@@ -626,3 +626,157 @@ JOIN weight_map w ON w.store_code = s.store_code AND w.stok_kodu = s.stok_kodu
 WHERE w.product_id IS NOT NULL
 """)
 ORACLES["prediction_14d_by_product"] = build(f"SELECT store_code, stok_kodu, product_id, {r4('prediction_df', 'prediction_df')} FROM pred14")
+
+# ---------------------------------------------------------------- step 5 oracles
+LT_FACTOR = repr(2 / 14.0)
+
+cte("on_hand", "SELECT magaza AS store_code, product_id, arg_max(stok_miktar, stok_tarihi) AS stok_miktar FROM stock_agg GROUP BY 1, 2")
+cte("sales_win", """
+SELECT s.product_id, s.store_code,
+       greatest(coalesce(sum(CASE WHEN s.date >= m.mx - 6 THEN s.net_quantity END), 0.0), 0.0) AS net_quantity_7,
+       greatest(coalesce(sum(CASE WHEN s.date >= m.mx - 13 THEN s.net_quantity END), 0.0), 0.0) AS net_quantity_14,
+       greatest(coalesce(sum(s.net_quantity), 0.0), 0.0) AS net_quantity_28
+FROM repl_sales s, repl_max m WHERE s.date >= m.mx - 27 AND s.date <= m.mx GROUP BY 1, 2
+""")
+cte("safety_plain", f"SELECT store_code, product_id, daily_avg, daily_std, {rnd_even(f'{SAFETY_K} * daily_std', 2)} AS safety_stock FROM demand_stats")
+
+
+def base_sql(safety_src: str) -> str:
+    q = {n: f"CAST(trunc(greatest(coalesce(sw.net_quantity_{n}, 0.0), 0.0)) AS BIGINT)" for n in (7, 14, 28)}
+    return f"""
+SELECT p.store_code, p.stok_kodu, p.product_id,
+       coalesce(ss.safety_stock, 0.0) AS safety_stock,
+       CAST(coalesce(pr.prediction_df, 0.0) AS DOUBLE) AS prediction_df,
+       CAST(coalesce(oh.stok_miktar, 0) AS BIGINT) AS stok_miktar,
+       {q[7]} AS net_quantity_7, {q[14]} AS net_quantity_14, {q[28]} AS net_quantity_28,
+       ((CAST({q[7]} AS DOUBLE) / 7) * 0.5 + (CAST({q[14]} AS DOUBLE) / 14) * 0.3 + (CAST({q[28]} AS DOUBLE) / 28) * 0.2) * 14 AS prediction_ma,
+       CAST(trunc(coalesce(oo.acik_siparis, 0.0)) AS BIGINT) AS acik_siparis
+FROM product_pairs p
+LEFT JOIN {safety_src} ss ON ss.store_code = p.store_code AND ss.product_id = p.product_id
+LEFT JOIN pred14 pr ON pr.store_code = p.store_code AND pr.product_id = p.product_id
+LEFT JOIN on_hand oh ON oh.store_code = p.store_code AND oh.product_id = p.product_id
+LEFT JOIN sales_win sw ON sw.store_code = p.store_code AND sw.product_id = p.product_id
+LEFT JOIN open_orders oo ON oo.store_code = p.store_code AND oo.product_id = p.product_id
+"""
+
+
+cte("base", base_sql("safety_weighted"))
+cte("base_local", base_sql("safety_plain"))
+
+MOMENTUM = ("least(greatest(coalesce(CAST(net_quantity_14 AS DOUBLE) / NULLIF(CAST(net_quantity_28 AS DOUBLE) / 2.0, 0.0), 1.0), 0.0), 2.0)")
+
+
+def need_sql(src: str, prod: bool) -> str:
+    if prod:
+        w = f"""CASE WHEN net_quantity_7 < 4 THEN 0.0
+                WHEN prediction_df <= 0 AND prediction_ma > 0 AND net_quantity_28 > 0 THEN 0.0
+                WHEN prediction_ma <= 0 AND prediction_df > 0 THEN 1.0
+                ELSE least(greatest(0.1 + 0.1 * ({MOMENTUM} - 1.0), 0.0), 0.2) END"""
+    else:
+        w = f"""CASE WHEN prediction_df <= 0 AND prediction_ma > 0 AND net_quantity_28 > 0 THEN 0.0
+                WHEN prediction_ma <= 0 AND prediction_df > 0 THEN 1.0
+                ELSE least(greatest(0.5 + 0.25 * ({MOMENTUM} - 1.0), 0.25), 0.75) END"""
+    gap = "greatest(0.0, oul - (stok_miktar - pred_LT + acik_siparis))"
+    if prod:
+        need = f"CASE WHEN net_quantity_28 = 0 THEN 0 ELSE CAST({rnd_even(gap, 0)} AS BIGINT) END"
+        ss = "CASE WHEN safety_stock > 1.15 * prediction_ma THEN safety_stock * 0.8 ELSE safety_stock END"
+        df = "CASE WHEN prediction_df > net_quantity_14 THEN 0.0 ELSE prediction_df END"
+        extra = ""
+    else:
+        need = f"CAST(ceil({gap}) AS BIGINT)"
+        ss, df, extra = "safety_stock", "prediction_df", ", oul AS OUL_14"
+    return f"""
+SELECT store_code, stok_kodu, product_id, {ss} AS safety_stock, {df} AS prediction_df, stok_miktar,
+       net_quantity_7, net_quantity_14, net_quantity_28, prediction_ma, acik_siparis, w_model, pred_14_blended, pred_LT,
+       {need} AS ihtiyac_adet{extra}
+FROM (SELECT *, pred_14_blended * {LT_FACTOR} AS pred_LT, safety_stock + pred_14_blended AS oul
+      FROM (SELECT *, w_model * prediction_df + (1.0 - w_model) * prediction_ma AS pred_14_blended
+            FROM (SELECT *, {w} AS w_model FROM {src}) a) b) c
+"""
+
+
+cte("need_prod", need_sql("base", True))
+cte("need_local", need_sql("base_local", False))
+
+NEED_OUT = ["safety_stock", "prediction_df", "prediction_ma", "w_model", "pred_14_blended", "pred_LT"]
+NEED_INT = "stok_miktar, net_quantity_7, net_quantity_14, net_quantity_28, acik_siparis, ihtiyac_adet"
+
+
+def need_select(src: str, extra: str = "", where: str = "", prefix: str = "") -> str:
+    cols = ", ".join(r4(c, c) for c in NEED_OUT)
+    return f"SELECT {prefix}store_code, stok_kodu, product_id, {NEED_INT}, {cols}{extra} FROM {src} {where}"
+
+
+ORACLES["sales_7_14_28"] = build(f"""
+SELECT product_id, store_code, {r4('net_quantity_7', 'net_quantity_7')}, {r4('net_quantity_14', 'net_quantity_14')},
+       {r4('net_quantity_28', 'net_quantity_28')} FROM sales_win
+""")
+ORACLES["replenishment_base"] = build(f"""
+SELECT store_code, stok_kodu, product_id, {r4('safety_stock', 'safety_stock')}, {r4('prediction_df', 'prediction_df')},
+       stok_miktar, net_quantity_7, net_quantity_14, net_quantity_28, {r4('prediction_ma', 'prediction_ma')}, acik_siparis
+FROM base
+""")
+ORACLES["blend_weight"] = build(f"""
+SELECT store_code, product_id, {r4(MOMENTUM, 'momentum')}, {r4('w_model', 'w_model')} FROM need_prod
+""")
+ORACLES["replenishment_need_prod"] = build(need_select("need_prod"))
+ORACLES["replenishment_need_local"] = build(need_select("need_local", extra=", " + r4("OUL_14", "OUL_14"), where="WHERE ihtiyac_adet > 0"))
+ORACLES["publish_replenishment"] = build(need_select("need_prod", where="WHERE ihtiyac_adet > 0", prefix=f"{AS_OF} AS model_date, "))
+ORACLES["audit_zero_need"] = build("SELECT store_code, stok_kodu, product_id, ihtiyac_adet, net_quantity_28, stok_miktar FROM need_prod WHERE ihtiyac_adet <= 0")
+
+
+def alloc_ctes(name: str, needs_sql: str, stock_sql: str) -> None:
+    cte(f"{name}_n", f"SELECT CAST(store_code AS VARCHAR) AS store, CAST(product_id AS VARCHAR) AS product, CAST(ihtiyac_adet AS BIGINT) AS need FROM ({needs_sql}) x WHERE ihtiyac_adet > 0 AND product_id IS NOT NULL")
+    cte(f"{name}_w", f"""
+SELECT warehouse, product, qty, cap, hi, hi - cap AS lo
+FROM (SELECT *, CAST(ceil(qty) AS BIGINT) AS cap,
+             CAST(sum(CAST(ceil(qty) AS BIGINT)) OVER (PARTITION BY product ORDER BY warehouse ROWS UNBOUNDED PRECEDING) AS BIGINT) AS hi
+      FROM (SELECT CAST(alt_yer AS VARCHAR) AS warehouse, CAST(product_id AS VARCHAR) AS product, sum(CAST(miktar AS DOUBLE)) AS qty
+            FROM ({stock_sql}) s WHERE miktar > 0 GROUP BY 1, 2) a) b
+""")
+    cte(f"{name}_s", f"SELECT product, CAST(sum(cap) AS BIGINT) AS s FROM {name}_w GROUP BY 1")
+    cte(f"{name}_u", f"""
+SELECT product, store, need, r, row_number() OVER (PARTITION BY product ORDER BY r, pos) AS k
+FROM (SELECT *, unnest(range(1, least(need, s) + 1)) AS r
+      FROM (SELECT n.*, st.s, row_number() OVER (PARTITION BY n.product ORDER BY n.need DESC, n.store) AS pos
+            FROM {name}_n n JOIN {name}_s st ON st.product = n.product) p) q
+""")
+    cte(f"{name}_p", f"""
+SELECT u.product, w.warehouse, u.store, count(*) AS shipped, min(u.r) AS first_round, max(u.need) AS need, max(w.qty) AS opening
+FROM {name}_u u JOIN {name}_w w ON w.product = u.product AND u.k > w.lo AND u.k <= w.hi
+GROUP BY 1, 2, 3
+""")
+    cte(name, f"""
+SELECT warehouse AS gonderen_depo, store AS alan_magaza, product AS urun, CAST(opening AS DOUBLE) AS baslangic_depo_stok,
+       CAST(need - first_round + 1 AS BIGINT) AS ihtiyac_adet, CAST(shipped AS BIGINT) AS karsilanan_adet,
+       CAST(need - first_round + 1 - shipped AS BIGINT) AS kalan_ihtiyac,
+       CAST(sum(shipped) OVER (PARTITION BY product, warehouse) AS BIGINT) AS depo_sevk_toplam,
+       CAST(opening - sum(shipped) OVER (PARTITION BY product, warehouse) AS DOUBLE) AS depo_kalan_nihai
+FROM {name}_p
+UNION ALL
+SELECT 'STOK_YOK', store, product, 0.0, need, 0, need, 0, 0.0
+FROM {name}_n WHERE product NOT IN (SELECT product FROM {name}_s)
+""")
+
+
+alloc_ctes("dense_alloc", "SELECT * FROM dense_need", "SELECT * FROM dense_stock")
+alloc_ctes("sku_alloc", "SELECT * FROM need_prod", "SELECT * FROM warehouse_stock")
+
+DIST_COLS = ("gonderen_depo, alan_magaza, urun, ihtiyac_adet, karsilanan_adet, kalan_ihtiyac, depo_sevk_toplam, "
+             + r4("baslangic_depo_stok", "baslangic_depo_stok") + ", " + r4("depo_kalan_nihai", "depo_kalan_nihai"))
+ORACLES["warehouse_distribution"] = build(f"SELECT {DIST_COLS} FROM dense_alloc")
+ORACLES["warehouse_stockouts"] = build(f"SELECT {DIST_COLS} FROM dense_alloc WHERE gonderen_depo = 'STOK_YOK'")
+ORACLES["publish_distribution"] = build(f"SELECT {AS_OF} AS model_date, {DIST_COLS} FROM sku_alloc")
+ORACLES["fulfilment_summary"] = build(f"""
+SELECT CAST(sum(ihtiyac_adet) AS BIGINT) AS total_need, CAST(sum(karsilanan_adet) AS BIGINT) AS total_shipped,
+       CAST(sum(kalan_ihtiyac) AS BIGINT) AS total_unmet,
+       {r4('CAST(sum(karsilanan_adet) AS DOUBLE) / NULLIF(CAST(sum(ihtiyac_adet) AS DOUBLE), 0)', 'fill_rate')}
+FROM dense_alloc
+""")
+ORACLES["fulfilment_by_warehouse"] = build("""
+SELECT gonderen_depo, CAST(sum(ihtiyac_adet) AS BIGINT) AS ihtiyac_adet, CAST(sum(karsilanan_adet) AS BIGINT) AS karsilanan_adet
+FROM dense_alloc GROUP BY 1
+""")
+cte("hs14", "SELECT h.* FROM history_sales h, (SELECT max(date) AS mx FROM history_sales) m WHERE h.date >= m.mx - 13 AND h.date <= m.mx")
+ORACLES["audit_14d_point"] = build(f"SELECT product_id, store_code, {r4('sum(net_quantity)', 'net_quantity')} FROM hs14 GROUP BY 1, 2")
+ORACLES["audit_14d_daily"] = build(f"SELECT product_id, store_code, date, {r4('sum(net_quantity)', 'net_quantity_14')} FROM hs14 GROUP BY 1, 2, 3")
