@@ -549,3 +549,81 @@ def q_audit_14d_daily(spark, sf_dir):
     end = hs.agg(F.max("date")).scalar()
     s = hs.filter((F.col("date") >= F.date_sub(end, 13)) & (F.col("date") <= end))
     return finish(s.groupBy("product_id", "store_code", "date").agg(F.sum("net_quantity").alias("net_quantity_14")))
+
+
+# ------------------------------------------------------------- step 6: forecast
+from ..operators import forecast as fc  # noqa: E402
+
+
+def _frame(r: Retail) -> DataFrame:
+    return fc.model_frame(_features(r))
+
+
+@register("future_grid")
+def q_future_grid(spark, sf_dir):
+    return finish(fc.future_grid(_frame(Retail(spark, sf_dir)), 12))
+
+
+@register("last_observed_features")
+def q_last_observed_features(spark, sf_dir):
+    f = _frame(Retail(spark, sf_dir))
+    return finish(fc.last_observed_features(f, fc.frozen_columns(fc.model_feature_columns(f))))
+
+
+@register("future_features")
+def q_future_features(spark, sf_dir):
+    return finish(fc.future_features(_frame(Retail(spark, sf_dir)), 12))
+
+
+@register("forecast_12w")
+def q_forecast_12w(spark, sf_dir):
+    """Rows-only check: the learner is Spark ML's, its values differ from any other library's."""
+    return finish(fc.forecast_12w(_features(Retail(spark, sf_dir)), PROD_ALL_HISTORY))
+
+
+# -------------------------------------------------- step 7: extracts and sinks
+@register("extract_sales_12m")
+def q_extract_sales_12m(spark, sf_dir):
+    """12 months of sales (month floor) written as parquet partitioned by month, read back."""
+    hs = clean.month_floor_filter(Retail(spark, sf_dir).history_sales, as_of_lit(), months=12)
+    path = _scratch(spark, "sales_12m_parquet")
+    io.write_parquet(hs.withColumn("month", F.date_format("date", "yyyy-MM")), path, partition_by=["month"])
+    back = spark.read.parquet(path)
+    return finish(back.select("date", "store_code", "product_id", "stok_kodu", "net_quantity", "discount_amount",
+                              "net_amount_wovat", "unit_price", F.col("month").cast("string").alias("month")))
+
+
+@register("sink_parquet_roundtrip")
+def q_sink_parquet_roundtrip(spark, sf_dir):
+    """The weekly aggregate written as snappy parquet and read back."""
+    path = _scratch(spark, "weekly_parquet")
+    io.write_parquet(_weekly(Retail(spark, sf_dir)), path)
+    return finish(spark.read.parquet(path))
+
+
+@register("sink_csv_formatted")
+def q_sink_csv_formatted(spark, sf_dir):
+    """Store x style forecast as ';'-separated text, 6 decimals, decimal comma; read back."""
+    path = _scratch(spark, "breakdown_csv")
+    src = _breakdown(Retail(spark, sf_dir)).select("week_start_date", "store_code", "stok_kodu",
+                                                    "store_predicted_quantity", "store_ratio")
+    io.write_csv_formatted(src, path, decimals=6, decimal_comma=True, sep=";")
+    schema = T.StructType([T.StructField("week_start_date", T.DateType()), T.StructField("store_code", T.StringType()),
+                           T.StructField("stok_kodu", T.StringType()),
+                           T.StructField("store_predicted_quantity", T.StringType()),
+                           T.StructField("store_ratio", T.StringType())])
+    back = io.read_csv(spark, path, schema, sep=";")
+    num = lambda c: F.translate(F.col(c), ",", ".").cast("double").alias(c)
+    return finish(back.select("week_start_date", "store_code", "stok_kodu", num("store_predicted_quantity"), num("store_ratio")))
+
+
+@register("land_raw_text")
+def q_land_raw_text(spark, sf_dir):
+    """A CSV export with awkward headers landed as an all-text table with clean names."""
+    path = _scratch(spark, "raw_landing_csv")
+    hs = Retail(spark, sf_dir).history_sales
+    awkward = hs.select(F.col("date").alias("Satış Tarihi"), F.col("store_code").alias("Mağaza Kodu"),
+                        F.col("product_id").alias("1 Ürün-ID"), F.col("net_quantity").alias("Net Adet (%)"),
+                        F.col("stok_kodu").alias("net adet (%)"))
+    io.write_csv(awkward, path)
+    return io.land_raw_text(spark, path)

@@ -780,3 +780,62 @@ FROM dense_alloc GROUP BY 1
 cte("hs14", "SELECT h.* FROM history_sales h, (SELECT max(date) AS mx FROM history_sales) m WHERE h.date >= m.mx - 13 AND h.date <= m.mx")
 ORACLES["audit_14d_point"] = build(f"SELECT product_id, store_code, {r4('sum(net_quantity)', 'net_quantity')} FROM hs14 GROUP BY 1, 2")
 ORACLES["audit_14d_daily"] = build(f"SELECT product_id, store_code, date, {r4('sum(net_quantity)', 'net_quantity_14')} FROM hs14 GROUP BY 1, 2, 3")
+
+# ---------------------------------------------------------------- step 6 oracles
+FEATURE_COLS = (["unit_price_mean", "unit_price_median", "discount_frac_mean", "discount_frac_wavg", "week_of_year"]
+                + [f"{c}_{s}" for c in ["discount_frac_wavg", "discount_frac_mean", "unit_price_mean", "unit_price_median"]
+                   for s in ("l1", "ma4_l1")]
+                + ["total_quantity_last_year"]
+                + [f"total_quantity_shifted_{k}" for k in FeatureSpec().lag_set()]
+                + [f"pct_change_{d}" for d in FeatureSpec().pct_diffs]
+                + [f"{a}_total_quantity_roll{n}_shift{s}" for s, ws in FeatureSpec().rolls.items() for n in ws
+                   for a in ("min", "mean", "max")]
+                + ["segment_mean", "month", "ramazan_bayrami", "kurban_bayrami", "kara_cuma", "is_special_day"])
+FROZEN_COLS = [c for c in FEATURE_COLS if c not in ("month", "week_of_year", "ramazan_bayrami", "kurban_bayrami",
+                                                     "kara_cuma", "is_special_day")]
+cte("model_frame", "SELECT * FROM features f LEFT JOIN (SELECT week_start_date AS cw_week, month, ramazan_bayrami, "
+    "kurban_bayrami, kara_cuma, CAST(coalesce(tag, 'YOK') <> 'YOK' AS INTEGER) AS is_special_day FROM calendar_weekly) cw "
+    "ON cw.cw_week = f.week_start_date")
+cte("frame_last", f"SELECT {SEG4}, " + ", ".join(
+    f"arg_max({c}, week_start_date) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in FROZEN_COLS)
+    + " FROM model_frame GROUP BY ALL")
+cte("future_grid", f"""
+SELECT {SEG4}, CAST((SELECT max(week_start_date) FROM model_frame) + CAST(7 * h AS INTEGER) AS DATE) AS week_start_date
+FROM (SELECT DISTINCT {SEG4} FROM model_frame) s, range(1, 13) t(h)
+""")
+
+
+def _out(c: str) -> str:
+    # rolling min/max and lags are integers; everything else is a double
+    if c.startswith(("min_", "max_")) or c.startswith("total_quantity_") or c == "week_of_year":
+        return c
+    return r4(c, c)
+
+
+ORACLES["future_grid"] = build("SELECT * FROM future_grid")
+ORACLES["last_observed_features"] = build(f"SELECT {SEG4}, " + ", ".join(_out(c) for c in FROZEN_COLS) + " FROM frame_last")
+ORACLES["future_features"] = build(f"""
+SELECT g.product_att_01, g.product_att_02, g.product_att_05, g.store_cluster, g.week_start_date,
+       {', '.join(f'l.{c} AS {c}' if _out(c) == c else r4(f'l.{c}', c) for c in FROZEN_COLS)},
+       CAST(month(g.week_start_date) AS INTEGER) AS month, CAST(weekofyear(g.week_start_date) AS INTEGER) AS week_of_year,
+       0 AS ramazan_bayrami, 0 AS kurban_bayrami, 0 AS kara_cuma, 0 AS is_special_day
+FROM future_grid g LEFT JOIN frame_last l ON l.product_att_01 = g.product_att_01 AND l.product_att_02 = g.product_att_02
+ AND l.product_att_05 = g.product_att_05 AND l.store_cluster = g.store_cluster
+""")
+
+# ---------------------------------------------------------------- step 7 oracles
+ORACLES["extract_sales_12m"] = build(f"""
+SELECT {HS_COLS}, {r4('net_quantity', 'net_quantity')}, {r4('discount_amount', 'discount_amount')},
+       {r4('net_amount_wovat', 'net_amount_wovat')}, {r4('unit_price', 'unit_price')}, strftime(date, '%Y-%m') AS month
+FROM history_sales WHERE date >= date_trunc('month', {AS_OF} - INTERVAL 12 MONTH)::DATE
+""")
+ORACLES["sink_parquet_roundtrip"] = ORACLES["weekly_segment_sales"]
+ORACLES["sink_csv_formatted"] = build(f"""
+SELECT week_start_date, store_code, stok_kodu,
+       {r4("round(CAST(store_predicted_quantity AS DECIMAL(38,10)), 6)", 'store_predicted_quantity')},
+       {r4("round(CAST(store_ratio AS DECIMAL(38,10)), 6)", 'store_ratio')} FROM breakdown
+""")
+ORACLES["land_raw_text"] = build("""
+SELECT CAST(date AS VARCHAR) AS sat_tarihi, store_code AS ma_aza_kodu, product_id AS c_1_r_n_id,
+       CAST(net_quantity AS VARCHAR) AS net_adet, stok_kodu AS net_adet_1 FROM history_sales
+""")
