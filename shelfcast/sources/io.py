@@ -131,7 +131,7 @@ def sanitize_column_names(names: list[str], max_len: int = 60) -> list[str]:
     out: list[str] = []
     seen: dict[str, int] = {}
     for i, n in enumerate(names):
-        s = (n or "").replace("﻿", "").strip().lower()
+        s = (n or "").replace("\ufeff", "").strip().lower()
         s = _BAD.sub("_", s).strip("_")
         if not s:
             s = f"col_{i + 1}"
@@ -152,6 +152,8 @@ def sanitize_column_names(names: list[str], max_len: int = 60) -> list[str]:
 def land_raw_text(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
     """Every column as text, names sanitised and de-duplicated (only the header
     row's names are handled on the driver; the data stays distributed)."""
-    df = (spark.read.option("header", True).option("inferSchema", False).option("sep", sep)
-          .option("encoding", encoding).csv(path))
-    return df.toDF(*sanitize_column_names(df.columns))
+    reader = spark.read.option("inferSchema", False).option("sep", sep).option("encoding", encoding)
+    # Spark de-duplicates header names on its own ('a3', 'a4'); take the raw header line
+    header = reader.option("header", False).csv(path).limit(1).collect()[0]
+    df = reader.option("header", True).csv(path)
+    return df.toDF(*sanitize_column_names([str(v) if v is not None else "" for v in header]))
