@@ -88,7 +88,8 @@ def fit_forecast_model(frame: DataFrame, profile: "Profile | str | None" = None,
     feats = model_feature_columns(frame)
     train = frame.select(*feats, F.col(TARGET).cast("double").alias("label"))
     if checkpoint:
-        train = train.checkpoint(eager=True)
+        from ..plans.jobs import cut
+        train = cut(train, "gbt-train")
     data = _assembled(train, feats)
     gbt = GBTRegressor(featuresCol="features_vec", labelCol="label", maxIter=max_iter or pf.gbt_max_iter,
                        maxDepth=pf.gbt_max_depth, stepSize=pf.gbt_step_size, seed=seed, maxBins=64,

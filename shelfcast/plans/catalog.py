@@ -49,6 +49,14 @@ def as_of_lit():
     return F.lit(AS_OF)
 
 
+def _memo(r: Retail, name: str, build):
+    """Build a stage output once per query call (chained keys share it)."""
+    store = r.__dict__.setdefault("_memo", {})
+    if name not in store:
+        store[name] = build()
+    return store[name]
+
+
 # ------------------------------------------------------------------ step 1: H1
 def _weekly(r: Retail, profile=PROD_ALL_HISTORY) -> DataFrame:
     return prep.weekly_segment_sales(r.history_sales, r.dim_product, r.store_clustering,
@@ -295,7 +303,10 @@ def _breakdown(r: Retail) -> DataFrame:
 
 
 def _daily_pred(r: Retail) -> DataFrame:
-    return bd.weekly_to_daily(_breakdown(r))
+    """Daily store x style forecast from the deterministic weekly stand-in, materialised
+    once (it is the daily job's input, read by several consumers)."""
+    from .jobs import cut
+    return _memo(r, "daily_pred", lambda: cut(bd.weekly_to_daily(_breakdown(r))))
 
 
 def _weight_map(r: Retail) -> DataFrame:
@@ -445,19 +456,25 @@ def _orders(r: Retail) -> DataFrame:
     return clean.open_order_qty(r.stock_movement)
 
 
+def _daily_job(r: Retail):
+    from .jobs import daily_replenishment_job
+    return _memo(r, "daily_job", lambda: daily_replenishment_job(
+        r.history_sales, r.dim_product, r.store_stock, r.warehouse_stock, r.stock_movement, _daily_pred(r),
+        as_of_lit(), profile="prod"))
+
+
 def _base(r: Retail, weighted_safety: bool = True) -> DataFrame:
-    sales = _repl_sales(r)
-    end = sales.agg(F.max("date")).scalar()
-    stock = _stock_agg(r)
-    pairs = _product_pairs(r)
-    ss = _safety_weighted(r) if weighted_safety else safety.seasonal_safety_stock(sales, use_weighted_calculation=False)
-    wm = weights.variant_weight_map(sales, stock, pairs, end)
-    p14 = weights.prediction_14d_by_product(_daily_pred(r), wm, end)
-    return need.replenishment_base(pairs, ss, p14, universe.latest_stock(stock), need.sales_7_14_28(sales, end), _orders(r))
+    job = _daily_job(r)
+    if weighted_safety:
+        return job.base
+    end = job.sales.agg(F.max("date")).scalar()
+    ss = safety.seasonal_safety_stock(job.sales, end, use_weighted_calculation=False)
+    return need.replenishment_base(job.pairs, ss, job.prediction, universe.latest_stock(job.stock),
+                                   need.sales_7_14_28(job.sales, end), _orders(r))
 
 
 def _need_prod(r: Retail) -> DataFrame:
-    return need.need_with_14day_coverage(_base(r), "prod")
+    return _daily_job(r).results
 
 
 @register("sales_7_14_28")
@@ -519,7 +536,7 @@ def q_publish_replenishment(spark, sf_dir):
 
 
 def _sku_distribution(r: Retail) -> DataFrame:
-    return allocate.distribute_warehouse_stock(_need_prod(r), r.warehouse_stock)
+    return _daily_job(r).distribution
 
 
 @register("publish_distribution")

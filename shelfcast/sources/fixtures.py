@@ -44,7 +44,12 @@ class Retail:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One DataFrame per table and instance: the file listing and footer read happen
+        once, and identical scans in different branches can share an exchange."""
+        cache = self.__dict__.setdefault("_tables", {})
+        if name not in cache:
+            cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return cache[name]
 
     # ---------------------------------------------------------------- dimensions
     @cached_property
