@@ -10,7 +10,8 @@ the segment's last observed value (no recursion).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..functions.columns import last_non_null, require_columns
@@ -37,8 +38,12 @@ def model_frame(features: DataFrame) -> DataFrame:
     (description columns order rows inside a week)."""
     require_columns(features, SEGMENT + ["week_start_date", TARGET], "features")
     feats = [c for c in model_feature_columns(features) if c not in SEGMENT]
-    order = F.struct(*[F.col(c) for c in SEGMENT_DESCS]) if all(c in features.columns for c in SEGMENT_DESCS) else F.lit(0)
-    f = features.withColumn("_ord", order)
+    descs = [c for c in SEGMENT_DESCS if c in features.columns]
+    # an integer position inside the segment-week keeps every max_by buffer fixed-width,
+    # so the aggregate stays a code-generated hash aggregate (a struct key would force
+    # an interpreted sort aggregate); the window and the aggregate share one exchange
+    pos = F.row_number().over(Window.partitionBy(*SEGMENT, "week_start_date").orderBy(*descs)) if descs else F.lit(1)
+    f = features.withColumn("_ord", pos)
     return f.groupBy(*SEGMENT, "week_start_date").agg(
         F.sum(TARGET).alias(TARGET), *[last_non_null(c, "_ord").alias(c) for c in feats])
 
@@ -90,19 +95,27 @@ def fit_forecast_model(frame: DataFrame, profile: "Profile | str | None" = None,
     if checkpoint:
         from ..plans.jobs import cut
         train = cut(train, "gbt-train")
-    data = _assembled(train, feats)
+    # boosting reads the assembled rows once per tree: keep them cached (spilling to disk
+    # when large) for the fit only; the error RDD is checkpointed every 10 trees
+    data = _assembled(train, feats).select("features_vec", "label").persist(StorageLevel.MEMORY_AND_DISK)
     gbt = GBTRegressor(featuresCol="features_vec", labelCol="label", maxIter=max_iter or pf.gbt_max_iter,
                        maxDepth=pf.gbt_max_depth, stepSize=pf.gbt_step_size, seed=seed, maxBins=64,
-                       checkpointInterval=10, cacheNodeIds=True)
-    return gbt.fit(data), feats
+                       checkpointInterval=10)
+    try:
+        model = gbt.fit(data)
+    finally:
+        data.unpersist()
+    return model, feats
 
 
 def forecast_12w(features: DataFrame, profile: "Profile | str | None" = None, seed: int = 42,
                  max_iter: int | None = None) -> DataFrame:
     """H3: predicted weekly quantity per segment for the next weeks, clipped at 0."""
+    from ..plans.jobs import cut
     pf = get_profile(profile)
-    frame = model_frame(features)
-    model, feats = fit_forecast_model(frame, pf, seed=seed, max_iter=max_iter)
+    # the frame feeds the fit, the grid, the last week and the frozen values: materialise once
+    frame = cut(model_frame(features), "model-frame")
+    model, feats = fit_forecast_model(frame, pf, seed=seed, max_iter=max_iter, checkpoint=False)
     fut = future_features(frame, pf.forecast_weeks)
     pred = model.transform(_assembled(fut, feats))
     return pred.select(*SEGMENT, "week_start_date",
