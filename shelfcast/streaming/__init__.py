@@ -1 +1,7 @@
+"""Intentionally empty.
 
+The pipeline this library rebuilds has no streaming operator: its jobs run on a
+schedule (weekly forecast, daily replenishment, nightly extracts).  Each job in
+``shelfcast.plans.jobs`` is a batch plan over whole tables; running it on a
+schedule belongs to the orchestrator, not to a Spark library.
+"""
