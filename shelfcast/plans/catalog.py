@@ -290,8 +290,15 @@ def _product_pairs(r: Retail) -> DataFrame:
     return universe.store_product_pairs(_stock_agg(r), r.dim_product)
 
 
+def _weekly_cut(r: Retail) -> DataFrame:
+    """The weekly aggregate as a stage output (read by the forecast stand-in twice: rows
+    and the last week)."""
+    from .jobs import cut
+    return _memo(r, "weekly", lambda: cut(_weekly(r), "weekly"))
+
+
 def _weekly_forecast(r: Retail) -> DataFrame:
-    return naive_weekly_forecast(_weekly(r))
+    return naive_weekly_forecast(_weekly_cut(r))
 
 
 def _ratio(r: Retail) -> DataFrame:

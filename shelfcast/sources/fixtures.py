@@ -52,16 +52,33 @@ class Retail:
         return cache[name]
 
     # ---------------------------------------------------------------- dimensions
-    @cached_property
-    def dim_product(self) -> DataFrame:
-        p = self.table("part")
+    @staticmethod
+    def _att01():
         t = F.col("p_type")
         att01 = None
         for name, code in ATT01_BY_TYPE.items():
             att01 = (F.when(t == name, F.lit(code)) if att01 is None
                      else att01.when(t == name, F.lit(code)))
+        return att01
+
+    @staticmethod
+    def _att02():
+        m5 = F.col("p_size") % 5
+        return F.when(m5 == 0, F.lit("D")).when(m5 == 1, F.lit("N")).otherwise(m5.cast("string"))
+
+    @cached_property
+    def part_codes(self) -> DataFrame:
+        """(p_partkey, product_code): facts join on the numeric key, not the string id."""
+        return self.table("part").select(
+            "p_partkey", F.concat(self._att01().cast("string"), F.lit("-"), F.col("p_brand"), F.lit("-"),
+                                  self._att02()).alias("product_code"))
+
+    @cached_property
+    def dim_product(self) -> DataFrame:
+        p = self.table("part")
+        att01 = self._att01()
         m5 = F.col("p_size") % 5
-        att02 = F.when(m5 == 0, F.lit("D")).when(m5 == 1, F.lit("N")).otherwise(m5.cast("string"))
+        att02 = self._att02()
         att05 = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int") % 4
         pk = F.col("p_partkey") % 20
         words = F.split("p_name", " ")
@@ -123,10 +140,11 @@ class Retail:
     def history_sales(self) -> DataFrame:
         x = self._lines_with_store(["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
                                     "l_returnflag", "l_linestatus", "l_shipdate"])
-        prod = self.dim_product.select("product_id", "product_code")
+        x = x.join(self.part_codes, x.l_partkey == self.part_codes.p_partkey, "inner")
         sign = F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit(-1.0)).otherwise(F.lit(1.0))
         x = x.select(
             F.col("l_shipdate").cast("date").alias("date"),
+            F.col("product_code").alias("stok_kodu"),
             store_code_of("s_nationkey").alias("store_code"),
             F.col("l_partkey").cast("string").alias("product_id"),
             (sign * F.col("l_quantity")).alias("net_quantity"),
@@ -134,7 +152,6 @@ class Retail:
             (sign * F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("net_amount_wovat"),
             F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"),
         )
-        x = x.join(prod, "product_id", "inner").withColumnRenamed("product_code", "stok_kodu")
         return x.select("date", "store_code", "product_id", "stok_kodu", "net_quantity",
                         "discount_amount", "net_amount_wovat", "unit_price")
 
@@ -142,13 +159,13 @@ class Retail:
     def store_stock(self) -> DataFrame:
         x = self._lines_with_store(["l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"])
         x = x.filter((F.col("l_linestatus") == "O") & (F.col("l_returnflag") != "R") & _after(60))
-        prod = self.dim_product.select("product_id", "product_code")
+        x = x.join(self.part_codes, x.l_partkey == self.part_codes.p_partkey, "inner")
         x = x.select(
             F.col("l_shipdate").cast("date").alias("stok_tarihi"),
             store_code_of("s_nationkey").alias("magaza"),
             F.col("l_partkey").cast("string").alias("product_id"),
             F.col("l_quantity").alias("toplam_miktar"),
-        ).join(prod, "product_id", "inner")
+            "product_code")
         return x.select("stok_tarihi", "magaza", F.col("product_code").alias("stok_kodu"),
                         F.lit(None).cast("string").alias("color_code"), F.lit(None).cast("string").alias("size"),
                         "product_id", "toplam_miktar")
