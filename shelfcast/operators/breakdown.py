@@ -1,9 +1,8 @@
 """Cluster forecast -> store x style (H4) and week -> day (H5).
 
 ``store_ratio`` aggregates recent sales once per (cluster, attributes, store, style)
-and takes each row's share of its segment with a window sum; the segment key is
-low-cardinality but the window only sees the already-aggregated rows, so a hot
-segment costs one partition of store x style rows, not of raw sales.
+and divides by the segment total, itself a partial aggregate joined back on the
+segment key (one row per segment), so no task ever holds a whole hot segment.
 ``weekly_to_daily`` expands rows with ``sequence`` + ``posexplode`` (a generator
 inside the same stage) and sums per (store, style, day).
 """
@@ -48,8 +47,11 @@ def store_ratio(sales: DataFrame, product: DataFrame, clusters: DataFrame, as_of
          .withColumn("product_att_05", F.col("product_att_05").try_cast("double")) \
          .withColumn("store_cluster", F.col("store_cluster").try_cast("double"))
     g = s.dropna(subset=RATIO_KEYS).groupBy(*RATIO_KEYS).agg(F.sum("net_quantity").alias("net_quantity"))
-    total = F.sum("net_quantity").over(Window.partitionBy(*MERGE_KEYS))
-    g = g.withColumn("cluster_total", total)
+    # segment totals by a partial aggregate joined back, not a window: a window would put
+    # every store x style row of a hot segment into one task; the totals table has one row
+    # per segment and is joined by key (broadcast by AQE when small)
+    totals = g.groupBy(*MERGE_KEYS).agg(F.sum("net_quantity").alias("cluster_total"))
+    g = g.join(totals, MERGE_KEYS, "inner")
     return g.withColumn("store_ratio", F.when(F.col("cluster_total") > 0, F.col("net_quantity") / F.col("cluster_total"))
                         .otherwise(F.lit(0.0)))
 

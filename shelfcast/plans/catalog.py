@@ -279,11 +279,16 @@ from ..sources.fixtures import naive_weekly_forecast  # noqa: E402
 
 
 def _repl_sales(r: Retail) -> DataFrame:
-    return universe.replenishment_sales(r.history_sales, r.dim_product, as_of_lit(), profile="prod")
+    """Cleaned replenishment sales, materialised once per call: every replenishment key
+    reads it from several branches (day sums, shares, the last sales date)."""
+    from .jobs import cut
+    return _memo(r, "repl_sales", lambda: cut(
+        universe.replenishment_sales(r.history_sales, r.dim_product, as_of_lit(), profile="prod"), "repl-sales"))
 
 
 def _stock_agg(r: Retail) -> DataFrame:
-    return universe.stock_by_day(r.store_stock, as_of=as_of_lit())
+    from .jobs import cut
+    return _memo(r, "stock_agg", lambda: cut(universe.stock_by_day(r.store_stock, as_of=as_of_lit()), "stock"))
 
 
 def _product_pairs(r: Retail) -> DataFrame:
