@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            # a folder on the driver's disk is invisible to executors and lost with the driver
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. an object-store or HDFS path)")
         path = tempfile.mkdtemp(prefix="shelfcast-ckpt-", dir=os.environ.get("SHELFCAST_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     if sc.getCheckpointDir() is None:
