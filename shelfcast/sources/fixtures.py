@@ -24,7 +24,8 @@ STOCK_OUT_BRAND = "Brand#7"
 def _after(days: int):
     """Rows shipped strictly after AS_OF - days, written on the raw timestamp column so
     the comparison reaches the parquet reader as a pushed filter."""
-    bound = dt.datetime.combine(AS_OF - dt.timedelta(days=days - 1), dt.time())
+    bound = (AS_OF - dt.timedelta(days=days - 1)).isoformat() + " 00:00:00"
+    # a string literal cast to timestamp_ntz does not depend on any time zone
     return F.col("l_shipdate") >= F.lit(bound).cast("timestamp_ntz")
 
 
