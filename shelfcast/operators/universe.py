@@ -60,7 +60,7 @@ def latest_stock(stock_agg: DataFrame) -> DataFrame:
 
 
 def store_sku_pairs(stock_agg: DataFrame, prediction: DataFrame | None = None,
-                    lookback_stock_days: int = 30, lookahead_pred_days: int = 30, min_pred: float = 0.0,
+                    lookback_stock_days: int = 30, lookahead_pred_days: int | None = 30, min_pred: float = 0.0,
                     anchor: str = "stock", pred_qty: str = "prediction_store_daily") -> DataFrame:
     """(store, style) pairs with stock in the last 30 days, union forecast pairs.
 
@@ -74,7 +74,10 @@ def store_sku_pairs(stock_agg: DataFrame, prediction: DataFrame | None = None,
     pairs = st.select(F.col("magaza").cast("string").alias("magaza"), F.col("stok_kodu").cast("string").alias("stok_kodu"))
     if prediction is not None:
         q = F.coalesce(F.col(pred_qty).try_cast("double"), F.lit(0.0))
-        pr = prediction.filter((F.col("date").cast("date") <= F.date_add(today, lookahead_pred_days - 1)) & (q > min_pred))
+        keep = q > min_pred
+        if lookahead_pred_days is not None:
+            keep = keep & (F.col("date").cast("date") <= F.date_add(today, lookahead_pred_days - 1))
+        pr = prediction.filter(keep)
         pairs = pairs.unionByName(pr.select(F.col("store_code").cast("string").alias("magaza"),
                                             F.col("stok_kodu").cast("string").alias("stok_kodu")))
     return pairs.distinct()

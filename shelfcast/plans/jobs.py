@@ -87,12 +87,21 @@ def daily_replenishment_job(sales: DataFrame, product: DataFrame, store_stock: D
     s = cut(universe.replenishment_sales(sales, product, as_of, pf))
     end = s.agg(F.max("date")).scalar()
     stock = cut(universe.stock_by_day(store_stock, as_of=as_of))
-    pairs = universe.store_product_pairs(stock, product)
+    if pf.forecast_universe:
+        # forecast-driven universe: forecast pairs join the stock pairs, 'today' is the later
+        # of the two dates, and variant weights are only needed where a forecast exists
+        pairs = universe.store_product_pairs(stock, product, daily_pred, anchor="max", lookahead_pred_days=None)
+        positive = (daily_pred.filter(F.col("prediction_store_daily") > 0)
+                              .select("store_code", "stok_kodu").distinct())
+        weight_pairs = pairs.join(positive, ["store_code", "stok_kodu"], "left_semi")
+    else:
+        pairs = universe.store_product_pairs(stock, product)
+        weight_pairs = pairs
     ss = safety.seasonal_safety_stock(
         s, end, lead_time_days=pf.lead_time_days, service_level=pf.service_level,
         use_weighted_calculation=pf.weighted_safety, weight_strategy=pf.weight_strategy,
         weight_decay_factor=pf.weight_decay_factor, recent_days_weight=pf.recent_days_weight)
-    wm = weights.variant_weight_map(s, stock, pairs, end)
+    wm = weights.variant_weight_map(s, stock, weight_pairs, end)
     p14 = weights.prediction_14d_by_product(daily_pred, wm, end, drop_negative=pf.drop_negative_predictions)
     orders = open_order_qty(stock_movement, null_safe=pf.null_safe_open_orders, depot=pf.open_order_depot)
     base = need.replenishment_base(pairs, ss, p14, universe.latest_stock(stock), need.sales_7_14_28(s, end), orders)

@@ -53,6 +53,7 @@ class Profile:
     drop_negative_predictions: bool = True
     null_safe_open_orders: bool = False
     open_order_depot: str = "entry"          # "entry" (first 4 chars) or "exit"
+    forecast_universe: bool = False          # pairs include forecast pairs; weights only where forecast > 0
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Profile":
@@ -93,6 +94,8 @@ FUSED = LOCAL.with_(
     sentinels=(9, 999),
     null_safe_open_orders=True,
     daily_preaggregate=True,
+    forecast_universe=True,
+    drop_negative_predictions=False,
 )
 
 PROFILES = {p.name: p for p in (PROD, LOCAL, FUSED)}

@@ -50,3 +50,15 @@ def test_need_and_allocation_bounds(outputs, spark):
     shipped = d.groupBy("urun").agg(F.sum("karsilanan_adet").alias("s"))
     need = dy.results.groupBy(F.col("product_id").alias("urun")).agg(F.sum("ihtiyac_adet").alias("n"))
     assert shipped.join(need, "urun").filter(F.col("s") > F.col("n")).count() == 0
+
+
+def test_fused_profile_runs(spark, outputs):
+    wk, _ = outputs
+    r = Retail(spark, SF)
+    dy = daily_replenishment_job(r.history_sales, r.dim_product, r.store_stock, r.warehouse_stock, r.stock_movement,
+                                 wk.daily, F.lit(AS_OF), profile="fused")
+    prod_pairs = daily_replenishment_job(r.history_sales, r.dim_product, r.store_stock, r.warehouse_stock,
+                                         r.stock_movement, wk.daily, F.lit(AS_OF), profile="prod").pairs.count()
+    assert dy.pairs.count() >= prod_pairs          # forecast pairs widen the universe
+    assert dy.results.filter(F.col("ihtiyac_adet") < 0).count() == 0
+    assert "OUL_14" in dy.results.columns           # kept by the local/fused rules
