@@ -12,13 +12,15 @@ out goes to a closed-form slot:
   is the number of units handed out in earlier rounds;
 * warehouse w covers unit numbers (lo_w, hi_w] of the running sum of its units.
 
-Plan: needs are exploded to one row per (store, round) capped at the product's
-stock (a store can never get more); ``U(r)`` comes from a count per (product,
-round) and a running sum over rounds (rows per product = its largest need).
-Warehouse units are exploded up to the product's total demand, so both sides are
-bounded by the units that can ship, and the unit-to-warehouse match is an
-equi-join on (product, unit) -- hash-partitioned on the unit number, so one hot
-product spreads over all tasks instead of landing in one.
+Plan: the number of stores still queued in each round comes from two +-1 events
+per store (a difference array summed per round boundary), so ``U(r)`` is known in
+closed form without touching units; the last round that still finds stock is
+solved per segment.  Needs are then exploded only over rounds that can ship
+(fewer than stock + stores rows per product) and warehouse units only up to
+min(stock, total need), so both sides are bounded by what ships, and the
+unit-to-warehouse match is an equi-join on (product, unit) -- hash-partitioned on
+the unit number, so one hot product spreads over all tasks instead of landing in
+one.
 """
 
 from __future__ import annotations
@@ -57,28 +59,46 @@ def distribute_warehouse_stock(replenishment_needs: DataFrame, warehouse_stock:
     w = w.withColumn("hi", F.sum("cap").over(by_wh)).withColumn("lo", F.col("hi") - F.col("cap"))
     stock = w.groupBy("product").agg(F.sum("cap").alias("stock_units"))
 
-    # queue position and demand per product
+    # queue position per product (a group bounded by the number of stores)
     pos = F.row_number().over(Window.partitionBy("product").orderBy(F.col("need").desc(), F.col("store")))
     n = n.withColumn("pos", pos)
     served_products = n.join(stock, "product", "inner")
-    demand = served_products.groupBy("product").agg(F.sum(F.least("need", "stock_units")).alias("demand_units"))
-
-    # one row per (store, round), rounds capped at the product's stock
-    units = served_products.select("product", "store", "need", "pos", "stock_units",
-                                   F.explode(F.sequence(F.lit(1).cast("long"), F.least("need", "stock_units"))).alias("r"))
-    per_round = units.groupBy("product", "r").agg(F.count(F.lit(1)).alias("m"))
-    before = Window.partitionBy("product").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    per_round = per_round.select("product", "r", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("u_before"))
-    units = (units.join(per_round, ["product", "r"], "inner")
-                  .withColumn("k", F.col("u_before") + F.col("pos"))
-                  .filter(F.col("k") <= F.col("stock_units"))
-                  .select("product", "store", "need", "r", "k"))
-
-    # warehouse units up to what can ship
+
+    # m(t) = stores still queued in round t, from one +1 and one -1 event per store; it is
+    # constant on [t, t_next), so U(r) = units handed out before round r is piecewise linear
+    ev = served_products.select("product", "stock_units", F.explode(F.array(
+        F.struct(F.lit(1).cast("long").alias("t"), F.lit(1).alias("d")),
+        F.struct((F.col("need") + 1).alias("t"), F.lit(-1).alias("d")))).alias("e"))
+    seg = ev.groupBy("product", "stock_units", F.col("e.t").alias("t")).agg(F.sum("e.d").alias("d"))
+    by_t = Window.partitionBy("product").orderBy("t")
+    seg = (seg.withColumn("m", F.sum("d").over(by_t.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("t_next", F.lead("t").over(by_t)))
+    seg = seg.withColumn("u_start", F.coalesce(
+        F.sum((F.col("t_next") - F.col("t")) * F.col("m")).over(by_t.rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)))
+    # rounds whose first unit still finds stock: U(r) < stock, solved per segment
+    seg = seg.filter((F.col("m") > 0) & (F.col("u_start") < F.col("stock_units")))
+    r_last = F.least(F.col("t_next") - 1,
+                     F.col("t") + F.floor((F.col("stock_units") - 1 - F.col("u_start")) / F.col("m")).cast("long"))
+    rounds = seg.select("product", "t", "m", "u_start", F.explode(F.sequence(F.col("t"), r_last)).alias("r")) \
+                .select("product", "r", (F.col("u_start") + (F.col("r") - F.col("t")) * F.col("m")).alias("u_before"))
+    last_round = rounds.groupBy("product").agg(F.max("r").alias("r_max"))
+
+    # one row per (store, round) that can ship: fewer than stock + stores rows per product
+    units = (served_products.join(last_round, "product", "inner")
+             .select("product", "store", "need", "pos", "stock_units",
+                     F.explode(F.sequence(F.lit(1).cast("long"), F.least("need", "r_max"))).alias("r"))
+             .join(rounds, ["product", "r"], "inner")
+             .withColumn("k", F.col("u_before") + F.col("pos"))
+             .filter(F.col("k") <= F.col("stock_units"))
+             .select("product", "store", "need", "r", "k"))
+
+    # warehouse units up to what ships: min(stock, total need)
+    demand = served_products.groupBy("product").agg(F.sum("need").alias("total_need"))
     wu = (w.join(demand, "product", "inner")
-           .filter(F.col("lo") < F.col("demand_units"))
+           .filter(F.col("lo") < F.col("total_need"))
            .select("product", "warehouse", "qty",
-                   F.explode(F.sequence(F.col("lo") + 1, F.least("hi", "demand_units"))).alias("k")))
+                   F.explode(F.sequence(F.col("lo") + 1, F.least("hi", "total_need"))).alias("k")))
 
     shipped = units.join(wu, ["product", "k"], "inner")
     pairs = shipped.groupBy("product", "warehouse", "store").agg(

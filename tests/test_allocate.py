@@ -81,3 +81,19 @@ def test_fractional_stock_serves_ceiling(spark):
     needs = {("s1", "A"): 5}
     got, _ = _run(spark, needs, {("w1", "A"): 2.5})
     assert got[0][5] == math.ceil(2.5)
+
+
+def test_random_scarce_and_deep(spark):
+    # many stores with large, uneven needs against scarce or ample stock: the per-round
+    # queue sizes change many times and the last shipping round falls mid-segment
+    rnd = random.Random(11)
+    needs, stock = {}, {}
+    for p in range(60):
+        prod = f"Q{p:02d}"
+        for s in range(rnd.randint(1, 25)):
+            needs[(f"S{s:02d}", prod)] = rnd.choice([1, 2, 3, 4, 7, 12, 30, 55])
+        total = sum(v for (s, pp), v in needs.items() if pp == prod)
+        for w in range(rnd.randint(1, 4)):
+            stock[(f"W{w}", prod)] = rnd.choice([0.5, 1, 3, total // 7 + 1, total // 2 + 0.5, total + 5])
+    got, _ = _run(spark, needs, stock)
+    assert got == queue_model(needs, stock)
