@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from ..functions.columns import last_non_null, require_columns
+from ..functions.columns import require_columns
 from ..profiles import Profile, get_profile
 from .prep import SEGMENT, SEGMENT_DESCS
 
@@ -35,17 +35,20 @@ def frozen_columns(feature_cols: list[str]) -> list[str]:
 
 def model_frame(features: DataFrame) -> DataFrame:
     """(a) one row per segment-week: target summed, other features = last non-null
-    (description columns order rows inside a week)."""
+    (description columns order rows inside a week).
+
+    Written as one ordered window over the segment-week with a full frame
+    (``last(..., ignorenulls)`` per column) keeping the first row: a partition holds the
+    rows of one segment-week, and ~70 window expressions share one Window operator,
+    where ~70 ``max_by`` aggregates would generate one oversized aggregation method."""
     require_columns(features, SEGMENT + ["week_start_date", TARGET], "features")
     feats = [c for c in model_feature_columns(features) if c not in SEGMENT]
-    descs = [c for c in SEGMENT_DESCS if c in features.columns]
-    # an integer position inside the segment-week keeps every max_by buffer fixed-width,
-    # so the aggregate stays a code-generated hash aggregate (a struct key would force
-    # an interpreted sort aggregate); the window and the aggregate share one exchange
-    pos = F.row_number().over(Window.partitionBy(*SEGMENT, "week_start_date").orderBy(*descs)) if descs else F.lit(1)
-    f = features.withColumn("_ord", pos)
-    return f.groupBy(*SEGMENT, "week_start_date").agg(
-        F.sum(TARGET).alias(TARGET), *[last_non_null(c, "_ord").alias(c) for c in feats])
+    descs = [c for c in SEGMENT_DESCS if c in features.columns] or ["week_start_date"]
+    ordered = Window.partitionBy(*SEGMENT, "week_start_date").orderBy(*descs)
+    full = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cols = [F.sum(TARGET).over(full).alias(TARGET)] + [F.last(c, ignorenulls=True).over(full).alias(c) for c in feats]
+    out = features.select(*SEGMENT, "week_start_date", *cols, F.row_number().over(ordered).alias("_rn"))
+    return out.filter(F.col("_rn") == 1).drop("_rn")
 
 
 def future_grid(frame: DataFrame, horizon_weeks: int = 12) -> DataFrame:
@@ -57,8 +60,13 @@ def future_grid(frame: DataFrame, horizon_weeks: int = 12) -> DataFrame:
 
 
 def last_observed_features(frame: DataFrame, cols: list[str]) -> DataFrame:
-    """Per segment, each feature's last non-null value in week order."""
-    return frame.groupBy(*SEGMENT).agg(*[last_non_null(c, "week_start_date").alias(c) for c in cols])
+    """Per segment, each feature's last non-null value in week order (one ordered
+    window per segment -- its rows are the segment's weeks -- keeping one row)."""
+    ordered = Window.partitionBy(*SEGMENT).orderBy("week_start_date")
+    full = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out = frame.select(*SEGMENT, *[F.last(c, ignorenulls=True).over(full).alias(c) for c in cols],
+                       F.row_number().over(ordered).alias("_rn"))
+    return out.filter(F.col("_rn") == 1).drop("_rn")
 
 
 def future_features(frame: DataFrame, horizon_weeks: int = 12) -> DataFrame:
