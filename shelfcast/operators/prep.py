@@ -113,12 +113,20 @@ def weekly_segment_sales(sales: DataFrame, product: DataFrame, clusters: DataFra
     return s.groupBy(*WEEKLY_KEYS).agg(
         total.cast("long").alias("total_quantity"),
         F.avg("unit_price").alias("unit_price_mean"),
-        F.median("unit_price").alias("unit_price_median"),
+        median_of("unit_price", pf).alias("unit_price_median"),
         F.avg("discount_frac").alias("discount_frac_mean"),
         F.when(w_den > 0, w_num / w_den).otherwise(fallback).alias("discount_frac_wavg"),
     )
 
 
+def median_of(c: str, pf: Profile) -> Column:
+    """Exact median (a partial aggregate of value counts: memory per group grows with its
+    distinct values) or, when the profile says so, a fixed-memory approximate one."""
+    if pf.exact_median:
+        return F.median(c)
+    return F.percentile_approx(c, 0.5, pf.median_accuracy).cast("double")
+
+
 # --------------------------------------------------------------- primitives (keys)
 
 def weekly_quantity(sales_enriched: DataFrame) -> DataFrame:

@@ -41,3 +41,11 @@ def test_local_profile_weekly(spark):
     assert loc.count() > prod.count() > 0
     assert loc.agg(F.min("week_start_date")).collect()[0][0] < dt.date(1996, 1, 1)
     assert prod.agg(F.min("week_start_date")).collect()[0][0] >= dt.date(1999, 10, 25)
+
+
+def test_approx_median_option(spark):
+    from shelfcast.profiles import PROD
+    df = spark.createDataFrame([(float(v),) for v in range(1, 102)], "unit_price double")
+    exact = df.agg(prep.median_of("unit_price", PROD)).collect()[0][0]
+    approx = df.agg(prep.median_of("unit_price", PROD.with_(exact_median=False))).collect()[0][0]
+    assert exact == 51.0 and abs(approx - 51.0) <= 1.0
