@@ -85,7 +85,10 @@ def daily_replenishment_job(sales: DataFrame, product: DataFrame, store_stock: D
     """Need per store x product and the allocation of warehouse stock."""
     pf = get_profile(profile)
     s = cut(universe.replenishment_sales(sales, product, as_of, pf))
-    end = s.agg(F.max("date")).scalar()
+    # the last sales date, read once from the small materialised table and passed on as a
+    # literal: five sub-plans filter on it, and a literal date can prune partitions at
+    # planning time where a scalar subquery only filters at run time
+    end = F.lit(s.agg(F.max("date")).first()[0]).cast("date")
     stock = cut(universe.stock_by_day(store_stock, as_of=as_of))
     if pf.forecast_universe:
         # forecast-driven universe: forecast pairs join the stock pairs, 'today' is the later
