@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 NO_STOCK = "STOK_YOK"
 OUT_COLS = ["gonderen_depo", "alan_magaza", "urun", "baslangic_depo_stok", "ihtiyac_adet",
             "karsilanan_adet", "kalan_ihtiyac", "depo_sevk_toplam", "depo_kalan_nihai"]
@@ -49,9 +51,14 @@ def _prepare(needs: DataFrame, warehouse_stock: DataFrame, store_col: str, produ
 def distribute_warehouse_stock(replenishment_needs: DataFrame, warehouse_stock: DataFrame,
                                store_col: str = "store_code", product_col: str = "product_id",
                                need_col: str = "ihtiyac_adet", warehouse_col: str = "alt_yer",
-                               warehouse_qty_col: str = "miktar", include_unserved: bool = False) -> DataFrame:
+                               warehouse_qty_col: str = "miktar", include_unserved: bool = False,
+                               materialize_inputs: bool = True) -> DataFrame:
     n, w = _prepare(replenishment_needs, warehouse_stock, store_col, product_col, need_col,
                     warehouse_col, warehouse_qty_col)
+    if materialize_inputs:
+        # both inputs feed several branches (positions, round events, unit explosion,
+        # stock-outs, warehouse units); written once they are read, not recomputed
+        n, w = materialize(n, "alloc-needs"), materialize(w, "alloc-stock")
 
     # warehouse unit intervals per product (a warehouse with 2.5 units serves 3)
     w = w.withColumn("cap", F.ceil("qty").cast("long"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import require_columns
 from ..profiles import Profile, get_profile
+from ..session import materialize
 from .prep import SEGMENT, SEGMENT_DESCS
 
 TARGET = "total_quantity"
@@ -101,8 +102,7 @@ def fit_forecast_model(frame: DataFrame, profile: "Profile | str | None" = None,
     feats = model_feature_columns(frame)
     train = frame.select(*feats, F.col(TARGET).cast("double").alias("label"))
     if checkpoint:
-        from ..plans.jobs import cut
-        train = cut(train, "gbt-train")
+        train = materialize(train, "gbt-train")
     # boosting reads the assembled rows once per tree: keep them cached (spilling to disk
     # when large) for the fit only; the error RDD is checkpointed every 10 trees
     data = _assembled(train, feats).select("features_vec", "label").persist(StorageLevel.MEMORY_AND_DISK)
@@ -119,10 +119,9 @@ def fit_forecast_model(frame: DataFrame, profile: "Profile | str | None" = None,
 def forecast_12w(features: DataFrame, profile: "Profile | str | None" = None, seed: int = 42,
                  max_iter: int | None = None) -> DataFrame:
     """H3: predicted weekly quantity per segment for the next weeks, clipped at 0."""
-    from ..plans.jobs import cut
     pf = get_profile(profile)
     # the frame feeds the fit, the grid, the last week and the frozen values: materialise once
-    frame = cut(model_frame(features), "model-frame")
+    frame = materialize(model_frame(features), "model-frame")
     model, feats = fit_forecast_model(frame, pf, seed=seed, max_iter=max_iter, checkpoint=False)
     fut = future_features(frame, pf.forecast_weeks)
     pred = model.transform(_assembled(fut, feats))

@@ -13,7 +13,6 @@ materialised table instead of re-running scans, joins and scalar subqueries.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -22,22 +21,12 @@ from pyspark.sql import functions as F
 from ..operators import allocate, breakdown, features, forecast, need, prep, safety, universe, weights
 from ..operators.clean import open_order_qty
 from ..profiles import Profile, get_profile
-from ..session import scratch_path
+from ..session import materialize
 
 
 def cut(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Materialise a stage output as a parquet table in the shared checkpoint folder
-    and continue from that table.
-
-    ``DataFrame.checkpoint()`` would compute its input twice (once for the action,
-    once to write the files) unless the input is also cached, and it stores
-    serialised rows; one parquet write is a single pass, columnar and compressed,
-    and readers prune columns.  The folder is the one the cluster names in
-    ``spark.checkpoint.dir`` (never a machine-local temporary folder)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:16]}")
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
-    return spark.read.parquet(path)
+    """Stage hand-off: see ``shelfcast.session.materialize``."""
+    return materialize(df, name)
 
 
 @dataclass

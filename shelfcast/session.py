@@ -67,3 +67,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str = "stage"):
+    """Write a stage output as snappy parquet into the shared checkpoint folder and
+    continue from that table (one pass, columnar, prunable; cuts the lineage).
+
+    ``DataFrame.checkpoint()`` would compute its input twice unless it is also cached,
+    and it stores serialised rows.  The folder is the one named by
+    ``spark.checkpoint.dir`` -- never a machine-local temporary folder on a cluster."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:16]}")
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    return spark.read.parquet(path)
