@@ -74,7 +74,7 @@ import uuid  # noqa: E402
 from ..operators import clean  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 from ..sources import io  # noqa: E402
-from ..functions.columns import clean_attribute_code, clip, discount_fraction, not_sentinel  # noqa: E402
+from ..functions.columns import clean_attribute_code, clip, discount_fraction  # noqa: E402
 
 HISTORY_SALES_SCHEMA = T.StructType([
     T.StructField("date", T.DateType()), T.StructField("store_code", T.StringType()),
