@@ -2,7 +2,7 @@
 
 One global gradient-boosted tree model over all segments (Spark ML
 ``GBTRegressor``, trained distributed over the segment-week frame).  The frame is
-checkpointed to the shared checkpoint folder before fitting: boosting makes one
+written once to the shared checkpoint folder before fitting: boosting makes one
 pass per tree, and without a cut lineage every pass would re-run the window
 features from the parquet scan.  Future rows freeze every non-calendar feature at
 the segment's last observed value (no recursion).

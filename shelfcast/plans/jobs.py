@@ -3,9 +3,10 @@
 Weekly forecast: weekly aggregate -> features -> model -> store breakdown -> daily.
 Daily replenishment: cleaned sales + stock + daily forecast -> need -> allocation.
 
-Each stage output that feeds several consumers is cut from its lineage with
-``checkpoint()`` into the shared folder named by ``spark.checkpoint.dir`` (the
-same hand-off points where the original pipeline wrote parquet between tasks).
+Each stage output that feeds several consumers is written once as parquet into the
+shared folder named by ``spark.checkpoint.dir`` and read back (``cut``), which also
+cuts its lineage -- the same hand-off points where the original pipeline wrote parquet
+between tasks.
 That keeps the fact table to ONE scan per job, makes a lost executor cost one
 stage instead of the whole chain, and lets each consumer start from a small
 materialised table instead of re-running scans, joins and scalar subqueries.
