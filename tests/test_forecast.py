@@ -28,3 +28,20 @@ def test_forecast_shape_and_determinism(spark):
     assert all(x[-1] >= 0 for x in rows_a)
     assert len({x[4] for x in rows_a}) == 12                      # twelve distinct future weeks
     assert rows_a == sorted(tuple(x) for x in b.collect())        # same seed, same predictions
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="driver test data not present")
+def test_model_beats_constant_mean_on_holdout(spark):
+    r = Retail(spark, "/root/testdata/sf0.01")
+    pf = PROD.with_(prep_lookback_months=None)
+    weekly = prep.weekly_segment_sales(r.history_sales, r.dim_product, r.store_clustering, calendar=r.dim_calendar,
+                                       profile=pf, as_of=F.lit(AS_OF))
+    frame = fc.model_frame(feat.demand_features(weekly, r.dim_calendar, pf))
+    cutoff = frame.agg(F.date_sub(F.max("week_start_date"), 7 * 12)).first()[0]
+    train, test = frame.filter(F.col("week_start_date") <= cutoff), frame.filter(F.col("week_start_date") > cutoff)
+    model, cols = fc.fit_forecast_model(train, pf, seed=42, max_iter=20)
+    mean = train.agg(F.avg("total_quantity")).first()[0]
+    pred = model.transform(fc._assembled(test, cols))
+    err = pred.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("total_quantity"), 2))).alias("m"),
+                   F.sqrt(F.avg(F.pow(F.lit(mean) - F.col("total_quantity"), 2))).alias("c")).first()
+    assert err["m"] < err["c"]
