@@ -8,7 +8,7 @@ map-side, so the shuffle carries one row per (segment, week, partition).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (clean_attribute_code, clip, discount_fraction, month_floor_lookback,
@@ -110,21 +110,42 @@ def weekly_segment_sales(sales: DataFrame, product: DataFrame, clusters: DataFra
     fallback = F.avg("discount_frac") if pf.wavg_fallback_mean else F.lit(None).cast("double")
     total = F.sum("net_quantity")
     total = F.bround(total, 0) if pf.total_quantity_rounding == "half_even" else total
-    return s.groupBy(*WEEKLY_KEYS).agg(
-        total.cast("long").alias("total_quantity"),
-        F.avg("unit_price").alias("unit_price_mean"),
-        median_of("unit_price", pf).alias("unit_price_median"),
-        F.avg("discount_frac").alias("discount_frac_mean"),
-        F.when(w_den > 0, w_num / w_den).otherwise(fallback).alias("discount_frac_wavg"),
-    )
+    aggs = [total.cast("long").alias("total_quantity"), F.avg("unit_price").alias("unit_price_mean")]
+    if pf.median_mode != "window":
+        aggs.append(median_of("unit_price", pf).alias("unit_price_median"))
+    aggs += [F.avg("discount_frac").alias("discount_frac_mean"),
+             F.when(w_den > 0, w_num / w_den).otherwise(fallback).alias("discount_frac_wavg")]
+    out = s.groupBy(*WEEKLY_KEYS).agg(*aggs)
+    if pf.median_mode == "window":
+        med = exact_median_by(s, WEEKLY_KEYS, "unit_price", "unit_price_median")
+        out = out.join(med, WEEKLY_KEYS, "left")
+    return out.select(*WEEKLY_KEYS, "total_quantity", "unit_price_mean", "unit_price_median",
+                      "discount_frac_mean", "discount_frac_wavg")
 
 
 def median_of(c: str, pf: Profile) -> Column:
     """Exact median (a partial aggregate of value counts: memory per group grows with its
-    distinct values) or, when the profile says so, a fixed-memory approximate one."""
-    if pf.exact_median:
-        return F.median(c)
-    return F.percentile_approx(c, 0.5, pf.median_accuracy).cast("double")
+    distinct values) or, with ``median_mode='approx'``, a fixed-memory approximate one."""
+    if pf.median_mode == "approx":
+        return F.percentile_approx(c, 0.5, pf.median_accuracy).cast("double")
+    return F.median(c)
+
+
+def exact_median_by(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
+    """Exact median per key without an in-memory group buffer.
+
+    Duplicates collapse first (partial aggregate of (key, value) counts), then a running
+    count over the sorted distinct values finds the one or two middle positions; the
+    window spills to disk instead of holding a group's values in an aggregation buffer.
+    Groups whose values are all NULL have no row (join back with a left join)."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    ordered = Window.partitionBy(*keys).orderBy(value)
+    counts = (counts.withColumn("_cum", F.sum("_c").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+                    .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
+    lo, hi = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    start = F.col("_cum") - F.col("_c")
+    at = lambda p: F.when((start < p) & (p <= F.col("_cum")), F.col(value))
+    return counts.groupBy(*keys).agg(((F.sum(at(lo)) + F.sum(at(hi))) / 2).alias(out))
 
 
 # --------------------------------------------------------------- primitives (keys)

@@ -20,7 +20,8 @@ class Profile:
     unit_price_clip: bool = False            # clip row unit price at 0
     wavg_fallback_mean: bool = False         # weight sum <= 0 -> plain mean (else null)
     week_from_calendar: bool = False         # week via calendar join instead of date arithmetic
-    exact_median: bool = True                # False -> percentile_approx (bounded memory per group)
+    median_mode: str = "exact"               # "exact" (median), "approx" (percentile_approx),
+                                             # "window" (exact, value counts + running window, spillable)
     median_accuracy: int = 10000
     # features (H2)
     rolling_min_periods: int | None = 2      # None -> window length

@@ -47,5 +47,16 @@ def test_approx_median_option(spark):
     from shelfcast.profiles import PROD
     df = spark.createDataFrame([(float(v),) for v in range(1, 102)], "unit_price double")
     exact = df.agg(prep.median_of("unit_price", PROD)).collect()[0][0]
-    approx = df.agg(prep.median_of("unit_price", PROD.with_(exact_median=False))).collect()[0][0]
+    approx = df.agg(prep.median_of("unit_price", PROD.with_(median_mode="approx"))).collect()[0][0]
     assert exact == 51.0 and abs(approx - 51.0) <= 1.0
+
+
+def test_window_median_matches_exact(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(g, rnd.choice([None, float(rnd.randint(0, 9))])) for g in range(40) for _ in range(rnd.randint(1, 12))]
+    rows += [(99, None), (99, None)]                      # all-NULL group: no median row
+    df = spark.createDataFrame(rows, "g int, unit_price double")
+    exact = {r[0]: r[1] for r in df.groupBy("g").agg(F.median("unit_price")).collect()}
+    win = {r[0]: r[1] for r in prep.exact_median_by(df, ["g"], "unit_price").collect()}
+    assert {g: v for g, v in exact.items() if v is not None} == win
