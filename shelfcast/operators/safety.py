@@ -69,9 +69,12 @@ def weighted_demand_stats(daily: DataFrame, strategy: str = "exponential_decay",
 def seasonal_safety_stock(sales: DataFrame, as_of: Column | None = None, lead_time_days: float = 2,
                           service_level: float = 0.9, month_window: int = 1, use_weighted_calculation: bool = True,
                           weight_strategy: str = "exponential_decay", weight_decay_factor: float = 0.95,
-                          recent_days_weight: float = 0.7) -> DataFrame:
-    """Safety stock = z(service level) * daily std * sqrt(lead time), half-even to 2 places."""
-    daily = daily_demand(sales, as_of, month_window)
+                          recent_days_weight: float = 0.7, daily: DataFrame | None = None) -> DataFrame:
+    """Safety stock = z(service level) * daily std * sqrt(lead time), half-even to 2 places.
+
+    ``daily`` (the seasonal day sums) can be passed in when several strategies share it."""
+    if daily is None:
+        daily = daily_demand(sales, as_of, month_window)
     if use_weighted_calculation:
         strategy = weight_strategy if weight_strategy in STRATEGIES else "exponential_decay"
         stats = weighted_demand_stats(daily, strategy, weight_decay_factor, recent_days_weight)
@@ -89,8 +92,10 @@ def compare_weighting_strategies(sales: DataFrame, as_of: Column | None = None,
         "linear_decay": dict(use_weighted_calculation=True, weight_strategy="linear_decay"),
         "recent_heavy": dict(use_weighted_calculation=True, weight_strategy="recent_heavy", recent_days_weight=0.6),
     }
+    # the seasonal day sums are the same for every strategy: one aggregate, four consumers
+    daily = daily_demand(sales, as_of, kw.get("month_window", 1))
     out = None
     for name, params in runs.items():
-        df = seasonal_safety_stock(sales, as_of, **{**kw, **params}).withColumn("strategy", F.lit(name))
+        df = seasonal_safety_stock(sales, as_of, **{**kw, **params}, daily=daily).withColumn("strategy", F.lit(name))
         out = df if out is None else out.unionByName(df)
     return out
