@@ -6,11 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, quality, simhash, tokenfiles
+from . import decontam, htmltext, mixing, phrases, pii, quality, simhash, tokenfiles, urlfilter
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
+#: The rules of the URL filter, and the host-name parts that put a host on the list.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+BLOCK_TERMS = ("ads", "adult", "bets", "casino", "pills", "spam")
+
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -26,6 +30,22 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.rendered(table(spark, sf_dir, "pages"))
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.url_filter(table(spark, sf_dir, "pages"), URL_RULES, urlfilter.has_term(F.col("key"), BLOCK_TERMS))
+
+
+def op7_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -34,13 +54,39 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_files, op3_simhash, op9_decontamination, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_files, op3_simhash, op4_html_text, op5_personal_data, op6_url_filter, op7_repeated_phrases, op9_decontamination, op10_mixing)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 ORACLES = {
+    "op7_repeated_phrases": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, {_WORD}), []) AS w FROM documents),
+win AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
+first AS (SELECT win, min(doc_id) AS least FROM win GROUP BY win),
+gone AS (
+  SELECT DISTINCT r, p FROM (SELECT r, i FROM win JOIN first USING (win) WHERE doc_id > least), unnest(range(i, i + 13)) AS t(p)),
+word AS (SELECT r, p, w[p] AS x FROM d, unnest(range(1, len(w) + 1)) AS t(p)),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS text FROM word ANTI JOIN gone USING (r, p) GROUP BY r),
+n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN n USING (r)""",
+    "op6_url_filter": """
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+j AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule,
+    list_has_any(string_split_regex(host, '[.-]'), ['ads', 'adult', 'bets', 'casino', 'pills', 'spam']) AS listed
+  FROM u)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN listed THEN 'block' ELSE 'allow' END AS verdict FROM j""",
     "op9_decontamination": f"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM benchmark),
