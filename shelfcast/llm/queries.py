@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, htmltext, mixing, phrases, pii, quality, simhash, tokenfiles, urlfilter
+from . import decontam, htmltext, lm, mixing, phrases, pii, quality, simhash, tokenfiles, urlfilter
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -46,6 +46,10 @@ def op7_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"), lm.held_out(F.col("doc_id")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,7 +58,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_files, op3_simhash, op4_html_text, op5_personal_data, op6_url_filter, op7_repeated_phrases, op9_decontamination, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_files, op3_simhash, op4_html_text, op5_personal_data, op6_url_filter, op7_repeated_phrases, op8_language_model, op9_decontamination, op10_mixing)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
