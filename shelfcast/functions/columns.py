@@ -41,9 +41,15 @@ def not_sentinel(c: "str | Column", values: Iterable) -> Column:
     return cond
 
 
-def safe_div(a: "str | Column", b: "str | Column") -> Column:
-    """a / b, NULL when b is 0 or NULL (never raises under ANSI mode)."""
-    return F.try_divide(col(a), col(b))
+def number(c: "str | Column") -> Column:
+    """A double, NULL where the value does not parse or is not a number (NaN)."""
+    x = col(c).try_cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def as_date(c: "str | Column") -> Column:
+    """A DATE, NULL where the value does not parse."""
+    return col(c).try_cast("date")
 
 
 def clip(c: "str | Column", lo=None, hi=None, keep_null: bool = True) -> Column:
@@ -72,11 +78,13 @@ def discount_fraction(discount: str = "discount_amount", net: str = "net_amount_
 
 def week_start(c: "str | Column") -> Column:
     """Monday of the week, as a DATE."""
-    return F.trunc(col(c).cast("date"), "week")
+    return F.trunc(as_date(c), "week")
 
 
 def month_floor_lookback(as_of: Column, months: int = 0, days: int = 0, weeks: int = 0) -> Column:
     """First day of the month of (as_of - N days/weeks/months)."""
+    if not (months or days or weeks):
+        raise ValueError("month_floor_lookback needs an offset; leave the filter out to keep all rows")
     d = as_of
     if days or weeks:
         d = F.date_sub(d, days + 7 * weeks)
@@ -85,11 +93,6 @@ def month_floor_lookback(as_of: Column, months: int = 0, days: int = 0, weeks: i
     return F.trunc(d, "month")
 
 
-def seasonal_month_list(month: int, window: int) -> list[int]:
-    """Months within +-window of ``month``, wrapping around the year."""
-    return [(month + i - 1) % 12 + 1 for i in range(-window, window + 1)]
-
-
 def seasonal_month_filter(date_col: "str | Column", as_of: Column, window: int = 1) -> Column:
     """month(date) is within +-window months of month(as_of), any year (lazy form)."""
     m = F.month(col(date_col))
@@ -103,21 +106,11 @@ def z_value(service_level: float) -> float:
     return statistics.NormalDist().inv_cdf(service_level)
 
 
-def last_non_null(value: "str | Column", order: "str | Column") -> Column:
-    """Value at the greatest ``order`` among rows where the value is not NULL."""
-    v = col(value)
-    return F.max_by(v, F.when(v.isNotNull(), col(order)))
-
-
 def first_non_null(value: "str | Column", order: "str | Column") -> Column:
     v = col(value)
     return F.min_by(v, F.when(v.isNotNull(), col(order)))
 
 
-def round_half_even(c: "str | Column", scale: int = 0) -> Column:
-    return F.bround(col(c), scale)
-
-
 def require_columns(df, cols: Iterable[str], what: str = "input") -> None:
     """Analysis-time key validation with a message listing every missing column."""
     missing = [c for c in cols if c not in df.columns]

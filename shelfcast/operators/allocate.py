@@ -12,15 +12,13 @@ out goes to a closed-form slot:
   is the number of units handed out in earlier rounds;
 * warehouse w covers unit numbers (lo_w, hi_w] of the running sum of its units.
 
-Plan: the number of stores still queued in each round comes from two +-1 events
-per store (a difference array summed per round boundary), so ``U(r)`` is known in
-closed form without touching units; the last round that still finds stock is
-solved per segment.  Needs are then exploded only over rounds that can ship
-(fewer than stock + stores rows per product) and warehouse units only up to
-min(stock, total need), so both sides are bounded by what ships, and the
-unit-to-warehouse match is an equi-join on (product, unit) -- hash-partitioned on
-the unit number, so one hot product spreads over all tasks instead of landing in
-one.
+Plan: the number of stores still queued in each round comes from two +-1 events per store (a
+difference array), so ``U(r)`` is piecewise linear in r.  After x units have been handed out, the
+segment with the largest ``u_start < x`` gives the round ``R`` of the x-th unit, and a store at
+``pos`` that needs ``need`` has received ``min(need, R - 1)`` units, plus one if it takes part in
+round R at or before the x-th unit.  A warehouse ships each store the difference between its two
+boundaries.  No unit is ever a row: there are stores x warehouses rows per product, however large
+the quantities.
 """
 
 from __future__ import annotations
@@ -31,8 +29,6 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 NO_STOCK = "STOK_YOK"
-OUT_COLS = ["gonderen_depo", "alan_magaza", "urun", "baslangic_depo_stok", "ihtiyac_adet",
-            "karsilanan_adet", "kalan_ihtiyac", "depo_sevk_toplam", "depo_kalan_nihai"]
 
 
 def _prepare(needs: DataFrame, warehouse_stock: DataFrame, store_col: str, product_col: str, need_col: str,
@@ -56,8 +52,7 @@ def distribute_warehouse_stock(replenishment_needs: DataFrame, warehouse_stock:
     n, w = _prepare(replenishment_needs, warehouse_stock, store_col, product_col, need_col,
                     warehouse_col, warehouse_qty_col)
     if materialize_inputs:
-        # both inputs feed several branches (positions, round events, unit explosion,
-        # stock-outs, warehouse units); written once they are read, not recomputed
+        # both inputs feed several branches; written once they are read, not recomputed
         n, w = materialize(n, "alloc-needs"), materialize(w, "alloc-stock")
 
     # warehouse unit intervals per product (a warehouse with 2.5 units serves 3)
@@ -70,52 +65,50 @@ def distribute_warehouse_stock(replenishment_needs: DataFrame, warehouse_stock:
     pos = F.row_number().over(Window.partitionBy("product").orderBy(F.col("need").desc(), F.col("store")))
     n = n.withColumn("pos", pos)
     served_products = n.join(stock, "product", "inner")
+    demand = served_products.groupBy("product").agg(F.sum("need").alias("total_need"))
 
-    # m(t) = stores still queued in round t, from one +1 and one -1 event per store; it is
-    # constant on [t, t_next), so U(r) = units handed out before round r is piecewise linear
-    ev = served_products.select("product", "stock_units", F.explode(F.array(
+    # m = stores still queued from round t on, u_start = units handed out before round t
+    ev = served_products.select("product", F.explode(F.array(
         F.struct(F.lit(1).cast("long").alias("t"), F.lit(1).alias("d")),
         F.struct((F.col("need") + 1).alias("t"), F.lit(-1).alias("d")))).alias("e"))
-    seg = ev.groupBy("product", "stock_units", F.col("e.t").alias("t")).agg(F.sum("e.d").alias("d"))
+    seg = ev.groupBy("product", F.col("e.t").alias("t")).agg(F.sum("e.d").alias("d"))
     by_t = Window.partitionBy("product").orderBy("t")
     seg = (seg.withColumn("m", F.sum("d").over(by_t.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("t_next", F.lead("t").over(by_t)))
     seg = seg.withColumn("u_start", F.coalesce(
         F.sum((F.col("t_next") - F.col("t")) * F.col("m")).over(by_t.rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)))
-    # rounds whose first unit still finds stock: U(r) < stock, solved per segment
-    seg = seg.filter((F.col("m") > 0) & (F.col("u_start") < F.col("stock_units")))
-    r_last = F.least(F.col("t_next") - 1,
-                     F.col("t") + F.floor((F.col("stock_units") - 1 - F.col("u_start")) / F.col("m")).cast("long"))
-    rounds = seg.select("product", "t", "m", "u_start", F.explode(F.sequence(F.col("t"), r_last)).alias("r")) \
-                .select("product", "r", (F.col("u_start") + (F.col("r") - F.col("t")) * F.col("m")).alias("u_before"))
-    last_round = rounds.groupBy("product").agg(F.max("r").alias("r_max"))
-
-    # one row per (store, round) that can ship: fewer than stock + stores rows per product
-    units = (served_products.join(last_round, "product", "inner")
-             .select("product", "store", "need", "pos", "stock_units",
-                     F.explode(F.sequence(F.lit(1).cast("long"), F.least("need", "r_max"))).alias("r"))
-             .join(rounds, ["product", "r"], "inner")
-             .withColumn("k", F.col("u_before") + F.col("pos"))
-             .filter(F.col("k") <= F.col("stock_units"))
-             .select("product", "store", "need", "r", "k"))
-
-    # warehouse units up to what ships: min(stock, total need)
-    demand = served_products.groupBy("product").agg(F.sum("need").alias("total_need"))
-    wu = (w.join(demand, "product", "inner")
-           .filter(F.col("lo") < F.col("total_need"))
-           .select("product", "warehouse", "qty",
-                   F.explode(F.sequence(F.col("lo") + 1, F.least("hi", "total_need"))).alias("k")))
-
-    shipped = units.join(wu, ["product", "k"], "inner")
-    pairs = shipped.groupBy("product", "warehouse", "store").agg(
-        F.count(F.lit(1)).alias("karsilanan_adet"),
-        F.min("r").alias("first_round"),
-        F.max("need").alias("need"),
-        F.max("qty").alias("baslangic_depo_stok"))
+
+    # the warehouses that ship, each with its two boundaries and the segment of each
+    w = w.join(demand, "product", "inner").filter(F.col("lo") < F.col("total_need"))
+    w = w.withColumn("hi", F.least("hi", "total_need"))
+    ends = w.select("product", F.explode(F.array("lo", "hi")).alias("x")).distinct()
+    line = ends.select("product", F.col("x").alias("u"), F.lit(0).alias("kind"), F.lit(None).cast("struct<t:long,m:long,u:long>").alias("s")) \
+        .unionByName(seg.filter("m > 0").select("product", F.col("u_start").alias("u"), F.lit(1).alias("kind"),
+                                                F.struct(F.col("t"), F.col("m").cast("long").alias("m"), F.col("u_start").cast("long").alias("u")).alias("s")))
+    before = Window.partitionBy("product").orderBy("u", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    at = line.withColumn("s", F.last("s", ignorenulls=True).over(before)).filter("kind = 0")
+    # round of the x-th unit, and units handed out before that round; nothing is handed out at x = 0
+    rnd = F.col("s.t") + F.floor((F.col("u") - F.col("s.u") - 1) / F.col("s.m"))
+    at = at.select("product", F.col("u").alias("x"), F.col("s"), F.coalesce(rnd, F.lit(1)).cast("long").alias("r"))
+    at = at.withColumn("u_r", F.coalesce(F.col("s.u") + (F.col("r") - F.col("s.t")) * F.col("s.m"), F.lit(0)).cast("long")).drop("s")
+
+    def boundary(which: str) -> DataFrame:
+        return at.select(F.col("product"), F.col("x").alias(which), F.col("r").alias(f"r_{which}"), F.col("u_r").alias(f"u_{which}"))
+
+    w = w.join(boundary("lo"), ["product", "lo"]).join(boundary("hi"), ["product", "hi"])
+
+    def received(which: str):
+        """Units that a store has received when ``which`` units have been handed out."""
+        r, left = F.col(f"r_{which}"), F.col(which) - F.col(f"u_{which}")
+        return F.least(F.col("need"), r - 1) + ((F.col("need") >= r) & (F.col("pos") <= left)).cast("long")
+
+    pairs = n.join(w.drop("cap", "total_need"), "product").select(
+        "product", "warehouse", "store", "need", F.col("qty").alias("baslangic_depo_stok"),
+        received("lo").alias("had"), (received("hi") - received("lo")).alias("karsilanan_adet")).filter("karsilanan_adet > 0")
     per_wh = Window.partitionBy("product", "warehouse")
     pairs = pairs.withColumn("depo_sevk_toplam", F.sum("karsilanan_adet").over(per_wh))
-    ihtiyac = F.col("need") - F.col("first_round") + 1
+    ihtiyac = F.col("need") - F.col("had")
     out = pairs.select(
         F.col("warehouse").alias("gonderen_depo"), F.col("store").alias("alan_magaza"), F.col("product").alias("urun"),
         F.col("baslangic_depo_stok").cast("double").alias("baslangic_depo_stok"),

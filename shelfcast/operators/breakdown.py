@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import clean_attribute_code, month_floor_lookback, not_sentinel, require_columns
+from ..functions.columns import as_date, clean_attribute_code, month_floor_lookback, not_sentinel, number, require_columns
 from ..profiles import Profile, get_profile
 
+# Column names of the break-down tables.
 RATIO_KEYS = ["store_cluster", "product_att_01", "product_att_02", "product_att_05", "store_code", "stok_kodu"]
 MERGE_KEYS = ["store_cluster", "product_att_01", "product_att_02", "product_att_05"]
 
@@ -24,9 +25,9 @@ def store_ratio(sales: DataFrame, product: DataFrame, clusters: DataFrame, as_of
     """Share of each (store, style) in its (cluster, attributes) over the recent weeks."""
     pf = get_profile(profile)
     require_columns(sales, ["date", "store_code", "stok_kodu", "net_quantity"], "history_sales")
-    s = sales.select(F.col("date").cast("date").alias("date"), F.col("store_code").cast("string").alias("store_code"),
+    s = sales.select(as_date("date").alias("date"), F.col("store_code").cast("string").alias("store_code"),
                      F.col("stok_kodu").cast("string").alias("stok_kodu"),
-                     F.coalesce(F.col("net_quantity").try_cast("double"), F.lit(0.0)).alias("net_quantity"))
+                     F.coalesce(number("net_quantity"), F.lit(0.0)).alias("net_quantity"))
     if pf.breakdown_month_floor:
         anchor = as_of if as_of is not None else F.current_date()
         s = s.filter((F.col("date") >= month_floor_lookback(anchor, weeks=pf.breakdown_weeks)) & (F.col("net_quantity") >= 0))
@@ -35,7 +36,7 @@ def store_ratio(sales: DataFrame, product: DataFrame, clusters: DataFrame, as_of
         s = s.filter(F.col("date") >= F.date_sub(last, 7 * pf.breakdown_weeks))
     if pf.breakdown_clip_negative:
         s = s.withColumn("net_quantity", F.greatest(F.col("net_quantity"), F.lit(0.0)))
-    s = s.join(F.broadcast(clusters.select("store_code", "store_cluster")), "store_code", "left")
+    s = s.join(clusters.select("store_code", "store_cluster"), "store_code", "left")
     # one row per style (its attributes are a function of the style), so the join
     # does not multiply a sale by the style's variant count
     styles = product.select(F.col("product_code").cast("string").alias("product_code"),
@@ -60,8 +61,8 @@ def breakdown_to_store(forecast: DataFrame, ratio: DataFrame) -> DataFrame:
     """H4: segment forecast x store share; segments without recent sales drop out."""
     require_columns(forecast, MERGE_KEYS + ["week_start_date", "predicted_quantity"], "forecast")
     f = forecast.select(*[F.col(k).try_cast("double").alias(k) for k in MERGE_KEYS],
-                        F.col("week_start_date").cast("date").alias("week_start_date"),
-                        F.col("predicted_quantity").try_cast("double").alias("predicted_quantity")).dropna(subset=MERGE_KEYS)
+                        as_date("week_start_date").alias("week_start_date"),
+                        number("predicted_quantity").alias("predicted_quantity")).dropna(subset=MERGE_KEYS)
     r = ratio.select(*MERGE_KEYS, "store_code", "stok_kodu", "store_ratio").dropna(subset=MERGE_KEYS)
     out = f.join(r, MERGE_KEYS, "inner")
     return out.select("week_start_date", "store_cluster", "store_code", "product_att_01", "product_att_02",
@@ -76,8 +77,8 @@ def week_length(weekly_pred: DataFrame, tie_break: list[str] | None = None) -> D
     w = weekly_pred.select(
         F.trim(F.col("store_code").cast("string")).alias("store_code"),
         F.trim(F.col("stok_kodu").cast("string")).alias("stok_kodu"),
-        F.col("week_start_date").cast("date").alias("week_start_date"),
-        F.coalesce(F.col("store_predicted_quantity").try_cast("double"), F.lit(0.0)).alias("store_predicted_quantity"),
+        as_date("week_start_date").alias("week_start_date"),
+        F.coalesce(number("store_predicted_quantity"), F.lit(0.0)).alias("store_predicted_quantity"),
         *[F.col(c) for c in tie])
     win = Window.partitionBy("store_code", "stok_kodu").orderBy("week_start_date", *tie)
     nxt = F.coalesce(F.lead("week_start_date").over(win), F.date_add("week_start_date", 7))

@@ -7,14 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import clean_attribute_code, clip, month_floor_lookback, not_sentinel
-
-
-def clean_attributes(df: DataFrame, cols: Iterable[str] = ("product_att_02",)) -> DataFrame:
-    """D/N -> 9 and numeric parse (NULL when not a number)."""
-    for c in cols:
-        df = df.withColumn(c, clean_attribute_code(c))
-    return df
+from ..functions.columns import clip, month_floor_lookback, not_sentinel, number, seasonal_month_filter
 
 
 def exclude_sentinels(df: DataFrame, cols: Iterable[str] = ("product_att_01", "product_att_02"),
@@ -26,13 +19,20 @@ def exclude_sentinels(df: DataFrame, cols: Iterable[str] = ("product_att_01", "p
     return df.filter(cond)
 
 
-def negative_quantity(df: DataFrame, mode: str, qty: str = "net_quantity") -> DataFrame:
-    """P6: 'clip' -> max(q, 0); 'filter' -> keep q >= 0 (NULL dropped); 'keep' -> unchanged."""
-    if mode == "clip":
-        return df.withColumn(qty, clip(qty, lo=0.0))
-    if mode == "filter":
-        return df.filter(F.col(qty) >= 0)
-    return df
+def negative_quantity_sums(df: DataFrame, keys: Iterable[str], qty: str = "net_quantity") -> DataFrame:
+    """Sums per key under the three treatments of returns: rows clipped at 0, rows below 0
+    dropped, and the sum itself zeroed."""
+    q = number(qty)
+    return df.groupBy(*keys).agg(F.sum(clip(q, lo=0.0)).alias("qty_clipped"),
+                                 F.sum(F.when(q >= 0, q)).alias("qty_filtered"),
+                                 F.greatest(F.sum(q), F.lit(0.0)).alias("qty_zeroed_after_sum"))
+
+
+def sales_profile(sales: DataFrame) -> DataFrame:
+    """One row of counts, date range and totals."""
+    return sales.agg(F.count(F.lit(1)).alias("row_count"), F.min("date").alias("min_date"), F.max("date").alias("max_date"),
+                     F.countDistinct("store_code").alias("stores"), F.countDistinct("product_id").alias("products"),
+                     F.sum("net_quantity").alias("net_quantity"))
 
 
 def lookback_filter(df: DataFrame, days: int, date_col: str = "date", as_of: Column | None = None) -> DataFrame:
@@ -65,11 +65,12 @@ def open_order_qty(movement: DataFrame, null_safe: bool = False, depot: str = "e
 
     ``depot='entry'`` keys by the first 4 characters of the entry depot (the
     receiving store); 'exit' keys by the exit depot."""
-    m = movement.filter((F.col("toplam_yoldaki_miktar") > 0) | (F.col("toplanmayan_urun") > 0))
+    transit, unpicked = number("toplam_yoldaki_miktar"), number("toplanmayan_urun")
+    m = movement.filter((transit > 0) | (unpicked > 0))
     key = F.left(F.col("giris_depo_kodu"), F.lit(4)) if depot == "entry" else F.col("cikis_depo_kodu")
     g = m.groupBy(F.col("urun_kodu").cast("string").alias("product_id"), key.cast("string").alias("store_code")).agg(
-        F.sum("toplam_yoldaki_miktar").alias("toplam_yoldaki_miktar"),
-        F.sum("toplanmayan_urun").alias("toplanmayan_urun"))
+        F.sum(transit).alias("toplam_yoldaki_miktar"),
+        F.sum(unpicked).alias("toplanmayan_urun"))
     if null_safe:
         q = F.coalesce(F.col("toplam_yoldaki_miktar"), F.lit(0.0)) + F.coalesce(F.col("toplanmayan_urun"), F.lit(0.0))
     else:
@@ -86,5 +87,4 @@ def extract_open_orders(movement: DataFrame) -> DataFrame:
 
 def seasonal_months(df: DataFrame, as_of: Column, window: int = 1, date_col: str = "date") -> DataFrame:
     """Rows whose month is within +-window of as_of's month, in any year."""
-    from ..functions.columns import seasonal_month_filter
     return df.filter(seasonal_month_filter(date_col, as_of, window))

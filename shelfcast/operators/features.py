@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import first_non_null, week_start
+from ..functions.columns import as_date, first_non_null, week_start
 from ..profiles import Profile, get_profile
 from .prep import SEGMENT, SEGMENT_DESCS
 
@@ -96,12 +96,21 @@ def price_lag_columns(spec: FeatureSpec, w, min_periods: int = 2) -> list[Column
     return out
 
 
-def segment_mean_column(spec: FeatureSpec, w) -> list[Column]:
+def segment_mean_column(spec: FeatureSpec, w, expanding: bool = False) -> list[Column]:
+    """The segment's mean over its whole history or, expanding, over the rows before each."""
     # same partition/order as the other frames, so it shares their Window operator
-    frame = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    frame = w.rowsBetween(Window.unboundedPreceding, -1 if expanding else Window.unboundedFollowing)
     return [F.avg(F.col(spec.target)).over(frame).alias("segment_mean")]
 
 
+def dense_weeks(weekly: DataFrame, target: str = "total_quantity") -> DataFrame:
+    """Every week between a segment's first and last one: missing weeks have quantity 0."""
+    keys = SEGMENT + SEGMENT_DESCS
+    span = weekly.groupBy(*keys).agg(F.min("week_start_date").alias("lo"), F.max("week_start_date").alias("hi"))
+    spine = span.select(*keys, F.explode(F.sequence("lo", "hi", F.expr("interval 7 days"))).alias("week_start_date"))
+    return spine.join(weekly, [*keys, "week_start_date"], "left").withColumn(target, F.coalesce(target, F.lit(0)))
+
+
 def zero_negative_target(weekly: DataFrame, target: str = "total_quantity") -> DataFrame:
     t = F.col(target)
     return weekly.withColumn(target, F.when(t < 0, F.lit(0)).otherwise(t))
@@ -109,7 +118,7 @@ def zero_negative_target(weekly: DataFrame, target: str = "total_quantity") -> D
 
 def calendar_weekly(calendar: DataFrame) -> DataFrame:
     """Per week the first month, first non-null tag ('YOK' if none), max of flags."""
-    cal = calendar.select(F.col("date").cast("date").alias("date"), "month", "special_day_tag", *CALENDAR_FLAGS)
+    cal = calendar.select(as_date("date").alias("date"), "month", "special_day_tag", *CALENDAR_FLAGS)
     tag = F.coalesce(first_non_null("special_day_tag", "date"), F.lit("YOK"))
     g = cal.groupBy(week_start("date").alias("week_start_date")).agg(
         first_non_null("month", "date").alias("month"),
@@ -120,16 +129,18 @@ def calendar_weekly(calendar: DataFrame) -> DataFrame:
 
 
 def demand_features(weekly: DataFrame, calendar: DataFrame, profile: "Profile | str | None" = None,
-                    spec: FeatureSpec | None = None) -> DataFrame:
-    """H2: weekly segment sales + lag / rolling / pct-change / price features + weekly calendar."""
+                    spec: FeatureSpec | None = None, densify: bool = False, expanding: bool = False) -> DataFrame:
+    """H2: weekly segment sales + lag / rolling / pct-change / price features + weekly calendar.
+
+    ``densify`` counts lags in calendar weeks instead of observed rows; ``expanding`` keeps the
+    segment mean free of the present and the future."""
     pf = get_profile(profile)
     spec = spec or FeatureSpec()
+    weekly = dense_weeks(weekly, spec.target) if densify else weekly
     df = zero_negative_target(weekly, spec.target).withColumn("week_of_year", F.weekofyear("week_start_date"))
     w = segment_window()
     feats = (price_lag_columns(spec, w, pf.price_min_periods) + last_year_column(spec, w)
              + lag_columns(spec, w) + pct_change_columns(spec, w)
-             + rolling_columns(spec, w, pf.rolling_min_periods) + segment_mean_column(spec, w))
+             + rolling_columns(spec, w, pf.rolling_min_periods) + segment_mean_column(spec, w, expanding))
     out = df.select("*", *feats)
-    # the weekly calendar has one row per week of the calendar: its size is bounded by
-    # the date range, not by the sales volume, so it is safe to broadcast
-    return out.join(F.broadcast(calendar_weekly(calendar)), "week_start_date", "left")
+    return out.join(calendar_weekly(calendar), "week_start_date", "left")

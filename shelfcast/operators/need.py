@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import bround_decimal, clip
+from ..functions.columns import clip, number
 from ..profiles import Profile, get_profile
 
 KEY = ["store_code", "product_id"]
@@ -31,7 +31,7 @@ def sales_7_14_28(sales: DataFrame, as_of: Column | None = None, clip_negative:
 
 
 def replenishment_base(pairs: DataFrame, safety: DataFrame, pred14: DataFrame, on_hand: DataFrame,
-                       sales_windows: DataFrame, orders: DataFrame) -> DataFrame:
+                       sales_windows: DataFrame, orders: DataFrame, integer_orders: bool = True) -> DataFrame:
     """Universe x safety stock x 14-day prediction x on-hand x 7/14/28 sales x open orders."""
     b = pairs.select("store_code", "stok_kodu", "product_id")
     b = b.join(safety.select(*KEY, "safety_stock"), KEY, "left")
@@ -43,22 +43,21 @@ def replenishment_base(pairs: DataFrame, safety: DataFrame, pred14: DataFrame, o
     ma = ((q[7] / 7) * 0.5 + (q[14] / 14) * 0.3 + (q[28] / 28) * 0.2) * 14
     return b.select(
         "store_code", "stok_kodu", "product_id",
-        F.coalesce(F.col("safety_stock").try_cast("double"), F.lit(0.0)).alias("safety_stock"),
+        F.coalesce(number("safety_stock"), F.lit(0.0)).alias("safety_stock"),
         F.coalesce(F.col("prediction_df"), F.lit(0.0)).cast("double").alias("prediction_df"),
         F.coalesce(F.col("stok_miktar"), F.lit(0)).cast("long").alias("stok_miktar"),
         q[7].alias("net_quantity_7"), q[14].alias("net_quantity_14"), q[28].alias("net_quantity_28"),
         ma.alias("prediction_ma"),
-        F.coalesce(F.col("acik_siparis"), F.lit(0.0)).cast("long").alias("acik_siparis"))
+        F.coalesce(number("acik_siparis"), F.lit(0.0)).cast("long" if integer_orders else "double").alias("acik_siparis"))
 
 
 def blend_weight(base: DataFrame, profile: "Profile | str | None" = None) -> Column:
     """Model weight: momentum (14-day vs half of 28-day sales, 1 without history,
     bounded 0..2) mapped linearly and clipped, then the override rules."""
     pf = get_profile(profile)
-    q7, q14, q28 = (F.col(f"net_quantity_{n}").cast("double") for n in (7, 14, 28))
+    q7, q28 = (F.col(f"net_quantity_{n}").cast("double") for n in (7, 28))
     df, ma = F.col("prediction_df"), F.col("prediction_ma")
-    momentum = F.least(F.greatest(F.coalesce(F.try_divide(q14, F.nullif(q28 / 2.0, F.lit(0.0))), F.lit(1.0)), F.lit(0.0)), F.lit(2.0))
-    w = clip(F.lit(pf.w_base) + F.lit(pf.w_slope) * (momentum - 1.0), pf.w_min, pf.w_max, keep_null=False)
+    w = clip(F.lit(pf.w_base) + F.lit(pf.w_slope) * (momentum_column() - 1.0), pf.w_min, pf.w_max, keep_null=False)
     w = F.when((ma <= 0) & (df > 0), F.lit(1.0)).otherwise(w)
     w = F.when((df <= 0) & (ma > 0) & (q28 > 0), F.lit(0.0)).otherwise(w)
     if pf.low_week_sales_cutoff is not None:
@@ -84,7 +83,7 @@ def need_with_14day_coverage(base: DataFrame, profile: "Profile | str | None" =
     b = b.withColumn("OUL_14", F.col("safety_stock") + F.col("pred_14_blended"))
     expected = F.col("stok_miktar") - F.col("pred_LT") + F.col("acik_siparis")
     gap = F.greatest(F.lit(0.0), F.col("OUL_14") - expected)
-    need = F.ceil(gap) if pf.need_rounding == "ceil" else bround_decimal(gap, 0)
+    need = F.ceil(gap) if pf.need_rounding == "ceil" else F.bround(gap, 0)
     b = b.withColumn("ihtiyac_adet", need.cast("long"))
     if pf.zero_need_without_sales:
         b = b.withColumn("ihtiyac_adet", F.when(F.col("net_quantity_28") == 0, F.lit(0)).otherwise(F.col("ihtiyac_adet")).cast("long"))
@@ -96,7 +95,7 @@ def need_with_14day_coverage(base: DataFrame, profile: "Profile | str | None" =
                                                 F.col("safety_stock") * 0.8).otherwise(F.col("safety_stock")))
     if not pf.keep_order_up_to:
         b = b.drop("OUL_14")
-    return b
+    return b.filter(F.col("ihtiyac_adet") > 0) if pf.only_positive_need else b
 
 
 def publish_rows(results: DataFrame, model_date: Column, need_col: str = "ihtiyac_adet",

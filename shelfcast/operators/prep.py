@@ -1,9 +1,9 @@
 """Weekly segment aggregate (H1) and its building blocks.
 
-Plan shape: parquet scan (date filter pushed down) -> optional partial+final
-aggregate to day x store x product -> two broadcast joins against bounded
-dimensions -> one aggregate on the segment-week key.  Partial aggregation runs
-map-side, so the shuffle carries one row per (segment, week, partition).
+Plan shape: parquet scan (date filter pushed down) -> products that the rules drop leave before
+anything is shuffled -> optional partial+final aggregate to day x store x product -> joins with
+the dimensions -> one aggregate by segment-week and unit price, from which the weekly sums, means
+and the exact median are taken.  No step needs a segment-week's rows in one task.
 """
 
 from __future__ import annotations
@@ -11,25 +11,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import (clean_attribute_code, clip, discount_fraction, month_floor_lookback,
-                                 not_sentinel, require_columns, week_start)
+from ..functions.columns import (as_date, clean_attribute_code, clip, discount_fraction, month_floor_lookback,
+                                 not_sentinel, number, require_columns, week_start)
 from ..profiles import Profile, get_profile
 
+# Column names of the segment tables.
 SEGMENT = ["product_att_01", "product_att_02", "product_att_05", "store_cluster"]
 SEGMENT_DESCS = ["product_att_01_desc", "product_att_02_desc", "product_att_05_desc"]
 WEEKLY_KEYS = ["product_att_01", "product_att_02", "product_att_05",
                "product_att_01_desc", "product_att_02_desc", "product_att_05_desc",
                "store_cluster", "week_start_date"]
-PRODUCT_COLS = ["product_id", "marka_aciklama",
-                "product_att_01", "product_att_02", "product_att_03",
-                "product_att_04", "product_att_05", "product_att_06",
-                "product_att_01_desc", "product_att_02_desc", "product_att_03_desc",
-                "product_att_04_desc", "product_att_05_desc", "product_att_06_desc"]
-
-
-def max_date(df: DataFrame, c: str = "date") -> Column:
-    """Lazy scalar subquery: max(c) of ``df``; evaluated once per query."""
-    return df.agg(F.max(c)).scalar()
+PRODUCT_COLS = ["product_id", *WEEKLY_KEYS[:6]]
 
 
 def normalize_sales(sales: DataFrame) -> DataFrame:
@@ -39,12 +31,12 @@ def normalize_sales(sales: DataFrame) -> DataFrame:
         if c in out.columns:
             out = out.withColumn(c, F.trim(F.col(c).cast("string")))
     if "date" in out.columns:
-        out = out.withColumn("date", F.col("date").cast("date"))
+        out = out.withColumn("date", as_date("date"))
     for c in ("discount_amount", "net_amount_wovat", "unit_price"):
         if c in out.columns:
-            out = out.withColumn(c, F.col(c).try_cast("double"))
+            out = out.withColumn(c, number(c))
     if "net_quantity" in out.columns:
-        out = out.withColumn("net_quantity", F.coalesce(F.col("net_quantity").try_cast("double"), F.lit(0.0)))
+        out = out.withColumn("net_quantity", F.coalesce(number("net_quantity"), F.lit(0.0)))
     return out
 
 
@@ -61,19 +53,43 @@ def enrich_sales(sales: DataFrame, product: DataFrame, clusters: DataFrame,
                  product_cols: list[str] | None = None) -> DataFrame:
     """J1 + J2: left joins to the product and store-cluster dimensions.
 
-    The cluster table has one row per store, so Spark broadcasts it; the product
-    dimension is left to the planner (AQE broadcasts it when its measured size is
-    under the threshold, otherwise a shuffle join on product_id)."""
+    Both are left to the planner: AQE broadcasts a dimension whose measured size is under the
+    threshold and shuffles on its key otherwise."""
     cols = product_cols or PRODUCT_COLS
     p = product.select(*[c for c in cols if c in product.columns])
     out = sales.join(p, "product_id", "left")
-    return out.join(F.broadcast(clusters.select("store_code", "store_cluster")), "store_code", "left")
+    return out.join(clusters.select("store_code", "store_cluster"), "store_code", "left")
 
 
 def calendar_week_join(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """The week comes from the calendar; days off the calendar get a NULL week."""
-    cal = calendar.select(F.col("date").cast("date").alias("date"), week_start("date").alias("week_start_date"))
-    return sales.join(F.broadcast(cal), "date", "left")
+    cal = calendar.select(as_date("date").alias("date"), week_start("date").alias("week_start_date"))
+    return sales.join(cal, "date", "left")
+
+
+def segment_products(product: DataFrame) -> DataFrame:
+    """The products of the segment tables: attributes cleaned, none a sentinel or missing."""
+    p = product.select(*PRODUCT_COLS).withColumn("product_att_02", clean_attribute_code("product_att_02"))
+    p = p.filter(not_sentinel("product_att_01", [9]) & not_sentinel("product_att_02", [9]))
+    return p.dropna(subset=PRODUCT_COLS)
+
+
+def segment_rows(sales: DataFrame, product: DataFrame, clusters: DataFrame, calendar: DataFrame | None,
+                 pf: Profile) -> DataFrame:
+    """Sales rows with the segment-week keys; rows without a full key drop out.
+
+    Attributes depend on the product only, so the dropped products leave before the daily
+    aggregate is shuffled."""
+    p = segment_products(product)
+    s = sales
+    if pf.daily_preaggregate:
+        s = daily_unit_price(s.join(p.select("product_id"), "product_id", "left_semi"))
+    if pf.week_from_calendar and calendar is not None:
+        s = calendar_week_join(s, calendar)
+    else:
+        s = s.withColumn("week_start_date", week_start("date"))
+    s = s.join(p, "product_id").join(clusters.select("store_code", "store_cluster"), "store_code")
+    return s.dropna(subset=WEEKLY_KEYS)
 
 
 def weekly_segment_sales(sales: DataFrame, product: DataFrame, clusters: DataFrame,
@@ -86,66 +102,57 @@ def weekly_segment_sales(sales: DataFrame, product: DataFrame, clusters: DataFra
     if pf.prep_lookback_months:
         anchor = as_of if as_of is not None else F.current_date()
         s = s.filter(F.col("date") >= month_floor_lookback(anchor, months=pf.prep_lookback_months))
-    if pf.daily_preaggregate:
-        s = daily_unit_price(s)
-    if pf.week_from_calendar and calendar is not None:
-        s = calendar_week_join(s, calendar)
-    else:
-        s = s.withColumn("week_start_date", week_start("date"))
-    s = enrich_sales(s, product, clusters)
-    s = s.withColumn("product_att_02", clean_attribute_code("product_att_02"))
-    s = s.filter(not_sentinel("product_att_01", [9]) & not_sentinel("product_att_02", [9]))
+    s = segment_rows(s, product, clusters, calendar, pf)
     frac, denom = discount_fraction()
-    price = F.col("unit_price").try_cast("double")
+    price = number("unit_price")
     if pf.unit_price_clip:
         price = clip(price, lo=0.0)
-    s = s.select(*WEEKLY_KEYS,
-                 F.coalesce(F.col("net_quantity"), F.lit(0.0)).alias("net_quantity"),
-                 price.alias("unit_price"),
-                 frac.alias("discount_frac"),
-                 denom.alias("rev_pre_disc"))
-    s = s.dropna(subset=WEEKLY_KEYS)
-    w_den = F.sum("rev_pre_disc")
-    w_num = F.sum(F.col("discount_frac") * F.col("rev_pre_disc"))
-    fallback = F.avg("discount_frac") if pf.wavg_fallback_mean else F.lit(None).cast("double")
-    total = F.sum("net_quantity")
+    s = s.select(*WEEKLY_KEYS, F.col("net_quantity"), price.alias("unit_price"), frac.alias("discount_frac"), denom.alias("rev_pre_disc"))
+    by_price = s.groupBy(*WEEKLY_KEYS, "unit_price").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("net_quantity").alias("q"), F.sum("discount_frac").alias("f"),
+        F.sum("rev_pre_disc").alias("w"), F.sum(F.col("discount_frac") * F.col("rev_pre_disc")).alias("fw"))
+    w_den, mean_frac = F.sum("w"), F.sum("f") / F.sum("n")
+    fallback = mean_frac if pf.wavg_fallback_mean else F.lit(None).cast("double")
+    total = F.sum("q")
     total = F.bround(total, 0) if pf.total_quantity_rounding == "half_even" else total
-    aggs = [total.cast("long").alias("total_quantity"), F.avg("unit_price").alias("unit_price_mean")]
-    if pf.median_mode != "window":
-        aggs.append(median_of("unit_price", pf).alias("unit_price_median"))
-    aggs += [F.avg("discount_frac").alias("discount_frac_mean"),
-             F.when(w_den > 0, w_num / w_den).otherwise(fallback).alias("discount_frac_wavg")]
-    out = s.groupBy(*WEEKLY_KEYS).agg(*aggs)
-    if pf.median_mode == "window":
-        med = exact_median_by(s, WEEKLY_KEYS, "unit_price", "unit_price_median")
-        out = out.join(med, WEEKLY_KEYS, "left")
+    priced = F.sum(F.when(F.col("unit_price").isNotNull(), F.col("n")))
+    aggs = [total.cast("long").alias("total_quantity"),
+            F.try_divide(F.sum(F.col("unit_price") * F.col("n")), priced).alias("unit_price_mean"),
+            mean_frac.alias("discount_frac_mean"),
+            F.when(w_den > 0, F.sum("fw") / w_den).otherwise(fallback).alias("discount_frac_wavg")]
+    if pf.median_mode == "approx":
+        median = s.groupBy(*WEEKLY_KEYS).agg(F.percentile_approx("unit_price", 0.5, pf.median_accuracy).cast("double").alias("unit_price_median"))
+    else:
+        median = median_of_counts(by_price, WEEKLY_KEYS, "unit_price", "n", "unit_price_median")
+    out = by_price.groupBy(*WEEKLY_KEYS).agg(*aggs).join(median, WEEKLY_KEYS, "left")
     return out.select(*WEEKLY_KEYS, "total_quantity", "unit_price_mean", "unit_price_median",
                       "discount_frac_mean", "discount_frac_wavg")
 
 
-def median_of(c: str, pf: Profile) -> Column:
-    """Exact median (a partial aggregate of value counts: memory per group grows with its
-    distinct values) or, with ``median_mode='approx'``, a fixed-memory approximate one."""
-    if pf.median_mode == "approx":
-        return F.percentile_approx(c, 0.5, pf.median_accuracy).cast("double")
-    return F.median(c)
-
-
-def exact_median_by(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
-    """Exact median per key without an in-memory group buffer.
-
-    Duplicates collapse first (partial aggregate of (key, value) counts), then a running
-    count over the sorted distinct values finds the one or two middle positions; the
-    window spills to disk instead of holding a group's values in an aggregation buffer.
-    Groups whose values are all NULL have no row (join back with a left join)."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    ordered = Window.partitionBy(*keys).orderBy(value)
-    counts = (counts.withColumn("_cum", F.sum("_c").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
-                    .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
-    lo, hi = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-    start = F.col("_cum") - F.col("_c")
-    at = lambda p: F.when((start < p) & (p <= F.col("_cum")), F.col(value))
-    return counts.groupBy(*keys).agg(((F.sum(at(lo)) + F.sum(at(hi))) / 2).alias(out))
+def median_of_counts(counts: DataFrame, keys: list[str], value: str, n: str, out: str = "median") -> DataFrame:
+    """Exact median per key from distinct values and their counts; no group meets in one task.
+
+    Values fall into buckets of about one percent relative width, in order.  The buckets of a key
+    (some thousands at most) tell which of them hold the one or two middle ranks; only the values
+    of those are ordered.  Keys whose values are all NULL have no row."""
+    v = F.col(value)
+    width = F.floor(F.log2(F.abs(v) + 1e-9) * 64).cast("int") + 2000
+    cells = counts.filter(v.isNotNull()).select(*keys, v.alias("_v"), F.col(n).alias("_c"),
+                                                F.when(v < 0, -width).when(v > 0, width).otherwise(0).alias("_b"))
+    in_order = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    all_of = Window.partitionBy(*keys)
+    sizes = cells.groupBy(*keys, "_b").agg(F.sum("_c").alias("_s"))
+    sizes = sizes.withColumn("_to", F.sum("_s").over(in_order)).withColumn("_n", F.sum("_s").over(all_of))
+    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    start = F.col("_to") - F.col("_s")
+    middle = sizes.filter((F.col("_to") >= low) & (start < high)).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_kb"), start.alias("_from"), low.alias("_low"), high.alias("_high"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    met = cells.join(middle, [*same, F.col("_b") == F.col("_kb")])
+    running = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = met.withColumn("_upto", F.col("_from") + F.sum("_c").over(running))
+    holds = lambda rank: F.sum(F.when((F.col("_upto") - F.col("_c") < rank) & (rank <= F.col("_upto")), F.col("_v")))
+    return met.groupBy(*keys).agg(((holds(F.col("_low")) + holds(F.col("_high"))) / 2).alias(out))
 
 
 # --------------------------------------------------------------- primitives (keys)
@@ -158,9 +165,10 @@ def weekly_quantity(sales_enriched: DataFrame) -> DataFrame:
 
 def weekly_price_stats(sales_enriched: DataFrame) -> DataFrame:
     """Mean and exact median of the unit price per segment-week (NULLs skipped)."""
-    return (sales_enriched.dropna(subset=WEEKLY_KEYS).groupBy(*WEEKLY_KEYS)
-            .agg(F.avg("unit_price").alias("unit_price_mean"),
-                 F.median("unit_price").alias("unit_price_median")))
+    counts = sales_enriched.dropna(subset=WEEKLY_KEYS).groupBy(*WEEKLY_KEYS, "unit_price").agg(F.count(F.lit(1)).alias("n"))
+    priced = F.sum(F.when(F.col("unit_price").isNotNull(), F.col("n")))
+    mean = counts.groupBy(*WEEKLY_KEYS).agg(F.try_divide(F.sum(F.col("unit_price") * F.col("n")), priced).alias("unit_price_mean"))
+    return mean.join(median_of_counts(counts, WEEKLY_KEYS, "unit_price", "n", "unit_price_median"), WEEKLY_KEYS, "left")
 
 
 def weighted_discount(sales_enriched: DataFrame, fallback: str = "null") -> DataFrame:
@@ -174,15 +182,12 @@ def weighted_discount(sales_enriched: DataFrame, fallback: str = "null") -> Data
 
 
 def prepared_sales(sales: DataFrame, product: DataFrame, clusters: DataFrame,
-                   as_of: Column | None = None, months: int = 24) -> DataFrame:
+                   as_of: Column | None = None, months: int | None = 24) -> DataFrame:
     """Shared input of the G1-G3 keys: prod-style daily sales, enriched and cleaned."""
     s = normalize_sales(sales)
     if months:
         s = s.filter(F.col("date") >= month_floor_lookback(as_of if as_of is not None else F.current_date(), months=months))
-    s = daily_unit_price(s).withColumn("week_start_date", week_start("date"))
-    s = enrich_sales(s, product, clusters)
-    s = s.withColumn("product_att_02", clean_attribute_code("product_att_02"))
-    return s.filter(not_sentinel("product_att_01", [9]) & not_sentinel("product_att_02", [9]))
+    return segment_rows(s, product, clusters, None, get_profile("prod"))
 
 
 def top_segments(weekly: DataFrame, n: int = 20) -> DataFrame:

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import bround_decimal, seasonal_month_filter, z_value
+from ..functions.columns import bround_decimal, number, seasonal_month_filter, z_value
 
 KEY = ["store_code", "product_id"]
 STRATEGIES = ("exponential_decay", "linear_decay", "recent_heavy")
@@ -29,7 +29,7 @@ def daily_demand(sales: DataFrame, as_of: Column | None = None, month_window: in
     today = as_of if as_of is not None else sales.agg(F.max(date_col)).scalar()
     s = sales.filter(seasonal_month_filter(date_col, today, month_window))
     return (s.groupBy(*KEY, F.col(date_col).alias("date"))
-             .agg(F.sum(F.coalesce(F.col(qty).try_cast("double"), F.lit(0.0))).alias("net_quantity"))
+             .agg(F.sum(F.coalesce(number(qty), F.lit(0.0))).alias("net_quantity"))
              .withColumn("days_from_today", F.datediff(today, F.col("date"))))
 
 
@@ -86,7 +86,7 @@ def seasonal_safety_stock(sales: DataFrame, as_of: Column | None = None, lead_ti
 
 def compare_weighting_strategies(sales: DataFrame, as_of: Column | None = None, **kw) -> DataFrame:
     """The four strategies side by side, one ``strategy`` column."""
-    runs = {
+    runs = {  # fixed values: the strategies' names and parameters
         "no_weight": dict(use_weighted_calculation=False),
         "exponential_decay": dict(use_weighted_calculation=True, weight_strategy="exponential_decay", weight_decay_factor=0.95),
         "linear_decay": dict(use_weighted_calculation=True, weight_strategy="linear_decay"),

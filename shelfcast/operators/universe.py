@@ -10,23 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import clean_attribute_code, month_floor_lookback, not_sentinel
+from ..functions.columns import as_date, clean_attribute_code, month_floor_lookback, not_sentinel, number
 from ..profiles import Profile, get_profile
 from .clean import active_products
 
 
 def replenishment_sales(sales: DataFrame, product: DataFrame, as_of: Column,
-                        profile: "Profile | str | None" = None, lookback_days: int | None = None) -> DataFrame:
-    """Sales used by replenishment: month-floored lookback, attribute sentinels removed
-    (NULL attributes kept), no returns.  Style code is taken from the product
-    dimension when the sales table lacks it."""
+                        profile: "Profile | str | None" = None) -> DataFrame:
+    """Sales used by replenishment: the profile's month-floored lookback (none: all sales),
+    attribute sentinels removed (NULL attributes kept), no returns.  Style code is taken from
+    the product dimension when the sales table lacks it."""
     pf = get_profile(profile)
-    days = lookback_days if lookback_days is not None else pf.sales_lookback_days
-    s = sales.select(F.col("date").cast("date").alias("date"), F.trim(F.col("store_code").cast("string")).alias("store_code"),
+    s = sales.select(as_date("date").alias("date"), F.trim(F.col("store_code").cast("string")).alias("store_code"),
                      F.trim(F.col("product_id").cast("string")).alias("product_id"),
                      *([F.col("stok_kodu").cast("string").alias("stok_kodu")] if "stok_kodu" in sales.columns else []),
-                     F.coalesce(F.col("net_quantity").try_cast("double"), F.lit(0.0)).alias("net_quantity"))
-    s = s.filter((F.col("date") >= month_floor_lookback(as_of, days=days)) & (F.col("net_quantity") >= 0))
+                     F.coalesce(number("net_quantity"), F.lit(0.0)).alias("net_quantity"))
+    s = s.filter(F.col("net_quantity") >= 0)
+    if pf.sales_lookback_days is not None:
+        s = s.filter(F.col("date") >= month_floor_lookback(as_of, days=pf.sales_lookback_days))
     cols = ["product_id", "product_att_01", "product_att_02"]
     if "stok_kodu" not in s.columns:
         cols.append(F.col("product_code").alias("stok_kodu"))
@@ -39,15 +40,15 @@ def replenishment_sales(sales: DataFrame, product: DataFrame, as_of: Column,
 def stock_by_day(store_stock: DataFrame, as_of: Column | None = None, month_floor_days: int | None = 30) -> DataFrame:
     """G1: stock summed per (date, store, style, product); quantity truncated to an integer.
 
-    With ``as_of`` the read is limited to positive rows since the first of the month of
-    as_of - 30 days, the window the daily job reads."""
-    s = store_stock.select(F.col("stok_tarihi").cast("date").alias("stok_tarihi"),
+    With ``month_floor_days`` the read is limited to positive rows since the first of the month
+    of as_of - that many days, the window the prod job reads; None keeps every row."""
+    s = store_stock.select(as_date("stok_tarihi").alias("stok_tarihi"),
                            F.col("magaza").cast("string").alias("magaza"),
                            F.col("stok_kodu").cast("string").alias("stok_kodu"),
                            F.col("product_id").cast("string").alias("product_id"),
-                           F.coalesce(F.col("toplam_miktar").try_cast("double"), F.lit(0.0)).alias("toplam_miktar"))
-    if as_of is not None:
-        s = s.filter((F.col("stok_tarihi") >= month_floor_lookback(as_of, days=month_floor_days or 0))
+                           F.coalesce(number("toplam_miktar"), F.lit(0.0)).alias("toplam_miktar"))
+    if month_floor_days is not None:
+        s = s.filter((F.col("stok_tarihi") >= month_floor_lookback(as_of, days=month_floor_days))
                      & (F.col("toplam_miktar") > 0))
     return (s.groupBy("stok_tarihi", "magaza", "stok_kodu", "product_id")
              .agg(F.sum("toplam_miktar").cast("long").alias("stok_miktar")))
@@ -68,15 +69,15 @@ def store_sku_pairs(stock_agg: DataFrame, prediction: DataFrame | None = None,
     the stock and forecast dates, as the forecast-driven variant does."""
     today = stock_agg.agg(F.max("stok_tarihi")).scalar()
     if prediction is not None and anchor == "max":
-        today = F.greatest(today, prediction.agg(F.max(F.col("date").cast("date"))).scalar())
+        today = F.greatest(today, prediction.agg(F.max(as_date("date"))).scalar())
     st = stock_agg.filter((F.col("stok_tarihi") >= F.date_sub(today, lookback_stock_days - 1))
                           & (F.col("stok_tarihi") <= today) & (F.col("stok_miktar") > 0))
     pairs = st.select(F.col("magaza").cast("string").alias("magaza"), F.col("stok_kodu").cast("string").alias("stok_kodu"))
     if prediction is not None:
-        q = F.coalesce(F.col(pred_qty).try_cast("double"), F.lit(0.0))
+        q = F.coalesce(number(pred_qty), F.lit(0.0))
         keep = q > min_pred
         if lookahead_pred_days is not None:
-            keep = keep & (F.col("date").cast("date") <= F.date_add(today, lookahead_pred_days - 1))
+            keep = keep & (as_date("date") <= F.date_add(today, lookahead_pred_days - 1))
         pr = prediction.filter(keep)
         pairs = pairs.unionByName(pr.select(F.col("store_code").cast("string").alias("magaza"),
                                             F.col("stok_kodu").cast("string").alias("stok_kodu")))

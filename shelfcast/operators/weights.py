@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import as_date, number
 from .universe import pairs_semi_join
 
 PAIR = ["store_code", "stok_kodu", "product_id"]
@@ -71,8 +72,8 @@ def prediction_14d_by_product(daily_pred: DataFrame, weight_map: DataFrame, star
     shuffles one row per (store, style) instead of one per day."""
     p = daily_pred.select(F.col("store_code").cast("string").alias("store_code"),
                           F.col("stok_kodu").cast("string").alias("stok_kodu"),
-                          F.col("date").cast("date").alias("sales_date"),
-                          F.coalesce(F.col("prediction_store_daily").try_cast("double"), F.lit(0.0)).alias("q"))
+                          as_date("date").alias("sales_date"),
+                          F.coalesce(number("prediction_store_daily"), F.lit(0.0)).alias("q"))
     if drop_negative:
         p = p.filter(F.col("q") >= 0)
     p = p.filter((F.col("sales_date") > start_date) & (F.col("sales_date") <= F.date_add(start_date, horizon_days)))

@@ -8,6 +8,7 @@ applies.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import prep
-from ..profiles import PROD
-from ..sources.fixtures import AS_OF, Retail
+from ..profiles import LOCAL, PROD
+from ..sources.fixtures import Retail
 
 # Registered weekly jobs run the prod rules over the WHOLE sales history: the
 # 24-month window is a profile parameter (``prep_lookback_months``) and is
@@ -45,8 +46,8 @@ def finish(df: DataFrame, scale: int = 4) -> DataFrame:
     return df.select(*cols)
 
 
-def as_of_lit():
-    return F.lit(AS_OF)
+def as_of_lit(r: Retail):
+    return F.lit(r.as_of)
 
 
 def _memo(r: Retail, name: str, build):
@@ -60,7 +61,7 @@ def _memo(r: Retail, name: str, build):
 # ------------------------------------------------------------------ step 1: H1
 def _weekly(r: Retail, profile=PROD_ALL_HISTORY) -> DataFrame:
     return prep.weekly_segment_sales(r.history_sales, r.dim_product, r.store_clustering,
-                                     calendar=r.dim_calendar, profile=profile, as_of=as_of_lit())
+                                     calendar=r.dim_calendar, profile=profile, as_of=as_of_lit(r))
 
 
 @register("weekly_segment_sales")
@@ -74,7 +75,7 @@ import uuid  # noqa: E402
 from ..operators import clean  # noqa: E402
 from ..session import scratch_path  # noqa: E402
 from ..sources import io  # noqa: E402
-from ..functions.columns import clean_attribute_code, clip, discount_fraction  # noqa: E402
+from ..functions.columns import clean_attribute_code, discount_fraction  # noqa: E402
 
 HISTORY_SALES_SCHEMA = T.StructType([
     T.StructField("date", T.DateType()), T.StructField("store_code", T.StringType()),
@@ -144,12 +145,7 @@ def q_exclude_sentinels(spark, sf_dir):
 
 @register("negative_qty_modes")
 def q_negative_qty_modes(spark, sf_dir):
-    hs = Retail(spark, sf_dir).history_sales
-    q = F.col("net_quantity")
-    return finish(hs.groupBy("store_code", "product_id").agg(
-        F.sum(clip(q, lo=0.0)).alias("qty_clipped"),
-        F.sum(F.when(q >= 0, q)).alias("qty_filtered"),
-        F.greatest(F.sum(q), F.lit(0.0)).alias("qty_zeroed_after_sum")))
+    return finish(clean.negative_quantity_sums(Retail(spark, sf_dir).history_sales, ["store_code", "product_id"]))
 
 
 @register("discount_fraction")
@@ -164,16 +160,23 @@ def q_daily_unit_price(spark, sf_dir):
     return finish(prep.daily_unit_price(Retail(spark, sf_dir).history_sales))
 
 
+def _recent_sales(r: Retail, days: int) -> DataFrame:
+    """Sales of the last ``days`` days; the bound is a literal on the raw column."""
+    return r.sales_since(r.as_of - dt.timedelta(days=days - 1))
+
+
 @register("month_floor_lookback")
 def q_month_floor_lookback(spark, sf_dir):
-    hs = clean.month_floor_filter(Retail(spark, sf_dir).history_sales, as_of_lit(), months=24)
+    r = Retail(spark, sf_dir)
+    hs = clean.month_floor_filter(r.history_sales, as_of_lit(r), months=24)
     return finish(hs.groupBy(F.trunc("date", "month").alias("month_start")).agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("net_quantity").alias("net_quantity")))
 
 
 @register("lookback_filter")
 def q_lookback_filter(spark, sf_dir):
-    hs = clean.lookback_filter(Retail(spark, sf_dir).history_sales, 28)
+    r = Retail(spark, sf_dir)
+    hs = clean.lookback_filter(_recent_sales(r, 28), 28, as_of=as_of_lit(r))
     return finish(hs.groupBy("date", "store_code").agg(F.sum("net_quantity").alias("net_quantity")))
 
 
@@ -193,7 +196,7 @@ def q_calendar_week_join(spark, sf_dir):
 
 
 def _prepared(r: Retail) -> DataFrame:
-    return prep.prepared_sales(r.history_sales, r.dim_product, r.store_clustering, as_of=as_of_lit(), months=None)
+    return prep.prepared_sales(r.history_sales, r.dim_product, r.store_clustering, as_of=as_of_lit(r), months=None)
 
 
 @register("weekly_quantity")
@@ -223,11 +226,7 @@ def q_segment_keys(spark, sf_dir):
 
 @register("sales_profile")
 def q_sales_profile(spark, sf_dir):
-    hs = Retail(spark, sf_dir).history_sales
-    return finish(hs.agg(F.count(F.lit(1)).alias("row_count"), F.min("date").alias("min_date"),
-                         F.max("date").alias("max_date"), F.countDistinct("store_code").alias("stores"),
-                         F.countDistinct("product_id").alias("products"),
-                         F.sum("net_quantity").alias("net_quantity")))
+    return finish(clean.sales_profile(Retail(spark, sf_dir).history_sales))
 
 
 # ------------------------------------------------------------- step 2: features
@@ -283,12 +282,19 @@ def _repl_sales(r: Retail) -> DataFrame:
     reads it from several branches (day sums, shares, the last sales date)."""
     from .jobs import cut
     return _memo(r, "repl_sales", lambda: cut(
-        universe.replenishment_sales(r.history_sales, r.dim_product, as_of_lit(), profile="prod"), "repl-sales"))
+        universe.replenishment_sales(r.history_sales, r.dim_product, as_of_lit(r), profile="prod"), "repl-sales"))
+
+
+def _all_sales(r: Retail) -> DataFrame:
+    """Cleaned replenishment sales over the whole history."""
+    from .jobs import cut
+    return _memo(r, "all_sales", lambda: cut(universe.replenishment_sales(
+        r.history_sales, r.dim_product, as_of_lit(r), PROD.with_(sales_lookback_days=None)), "all-sales"))
 
 
 def _stock_agg(r: Retail) -> DataFrame:
     from .jobs import cut
-    return _memo(r, "stock_agg", lambda: cut(universe.stock_by_day(r.store_stock, as_of=as_of_lit()), "stock"))
+    return _memo(r, "stock_agg", lambda: cut(universe.stock_by_day(r.store_stock, as_of_lit(r)), "stock"))
 
 
 def _product_pairs(r: Retail) -> DataFrame:
@@ -307,7 +313,7 @@ def _weekly_forecast(r: Retail) -> DataFrame:
 
 
 def _ratio(r: Retail) -> DataFrame:
-    return bd.store_ratio(r.history_sales, r.dim_product, r.store_clustering, as_of=as_of_lit(), profile="prod")
+    return bd.store_ratio(r.history_sales, r.dim_product, r.store_clustering, as_of=as_of_lit(r), profile="prod")
 
 
 def _breakdown(r: Retail) -> DataFrame:
@@ -344,7 +350,9 @@ def q_active_products(spark, sf_dir):
 
 @register("style_to_variants")
 def q_style_to_variants(spark, sf_dir):
-    return finish(_product_pairs(Retail(spark, sf_dir)))
+    """J4 with blocked variants too (``store_product_pairs`` has the active ones)."""
+    r = Retail(spark, sf_dir)
+    return finish(universe.style_to_variants(universe.store_sku_pairs(_stock_agg(r)), r.dim_product, only_active=False))
 
 
 @register("store_product_pairs")
@@ -377,7 +385,7 @@ def q_extract_open_orders(spark, sf_dir):
 
 @register("seasonal_months")
 def q_seasonal_months(spark, sf_dir):
-    s = _repl_sales(Retail(spark, sf_dir))
+    s = _all_sales(Retail(spark, sf_dir))
     s = clean.seasonal_months(s, s.agg(F.max("date")).scalar(), window=1)
     return finish(s.groupBy(F.year("date").alias("year"), F.month("date").alias("month"))
                    .agg(F.count(F.lit(1)).alias("row_count"), F.sum("net_quantity").alias("net_quantity")))
@@ -385,7 +393,12 @@ def q_seasonal_months(spark, sf_dir):
 
 @register("demand_stats")
 def q_demand_stats(spark, sf_dir):
-    return finish(safety.demand_stats(safety.daily_demand(_repl_sales(Retail(spark, sf_dir)))))
+    return finish(safety.demand_stats(safety.daily_demand(_all_sales(Retail(spark, sf_dir)))))
+
+
+@register("weighted_demand_stats_all_years")
+def q_weighted_demand_stats_all_years(spark, sf_dir):
+    return finish(safety.weighted_demand_stats(safety.daily_demand(_all_sales(Retail(spark, sf_dir)))))
 
 
 @register("weighted_demand_stats")
@@ -395,7 +408,7 @@ def q_weighted_demand_stats(spark, sf_dir):
 
 @register("safety_stock")
 def q_safety_stock(spark, sf_dir):
-    return finish(safety.seasonal_safety_stock(_repl_sales(Retail(spark, sf_dir)), use_weighted_calculation=False))
+    return finish(safety.seasonal_safety_stock(_all_sales(Retail(spark, sf_dir)), use_weighted_calculation=False))
 
 
 def _safety_weighted(r: Retail) -> DataFrame:
@@ -411,7 +424,7 @@ def q_safety_stock_weighted(spark, sf_dir):
 
 @register("compare_weighting_strategies")
 def q_compare_weighting_strategies(spark, sf_dir):
-    return finish(safety.compare_weighting_strategies(_repl_sales(Retail(spark, sf_dir))))
+    return finish(safety.compare_weighting_strategies(_all_sales(Retail(spark, sf_dir))))
 
 
 @register("pairs_semi_join")
@@ -461,28 +474,21 @@ def q_prediction_14d_by_product(spark, sf_dir):
 
 # --------------------------------------------------- step 5: need, allocation
 from ..operators import allocate, need  # noqa: E402
-from ..profiles import LOCAL  # noqa: E402
 
 
 def _orders(r: Retail) -> DataFrame:
     return clean.open_order_qty(r.stock_movement)
 
 
-def _daily_job(r: Retail):
+def _daily_job(r: Retail, profile: str = "prod"):
     from .jobs import daily_replenishment_job
-    return _memo(r, "daily_job", lambda: daily_replenishment_job(
+    return _memo(r, f"daily_job_{profile}", lambda: daily_replenishment_job(
         r.history_sales, r.dim_product, r.store_stock, r.warehouse_stock, r.stock_movement, _daily_pred(r),
-        as_of_lit(), profile="prod"))
+        as_of_lit(r), profile=profile))
 
 
-def _base(r: Retail, weighted_safety: bool = True) -> DataFrame:
-    job = _daily_job(r)
-    if weighted_safety:
-        return job.base
-    end = job.sales.agg(F.max("date")).scalar()
-    ss = safety.seasonal_safety_stock(job.sales, end, use_weighted_calculation=False)
-    return need.replenishment_base(job.pairs, ss, job.prediction, universe.latest_stock(job.stock),
-                                   need.sales_7_14_28(job.sales, end), _orders(r))
+def _base(r: Retail) -> DataFrame:
+    return _daily_job(r).base
 
 
 def _need_prod(r: Retail) -> DataFrame:
@@ -513,8 +519,12 @@ def q_replenishment_need_prod(spark, sf_dir):
 
 @register("replenishment_need_local")
 def q_replenishment_need_local(spark, sf_dir):
-    res = need.need_with_14day_coverage(_base(Retail(spark, sf_dir), weighted_safety=False), LOCAL)
-    return finish(res.filter(F.col("ihtiyac_adet") > 0))
+    return finish(_daily_job(Retail(spark, sf_dir), "local").results)
+
+
+@register("replenishment_need_fused")
+def q_replenishment_need_fused(spark, sf_dir):
+    return finish(_daily_job(Retail(spark, sf_dir), "fused").results)
 
 
 def _dense_distribution(r: Retail) -> DataFrame:
@@ -542,9 +552,15 @@ def q_fulfilment_by_warehouse(spark, sf_dir):
     return finish(allocate.fulfilment_by_warehouse(_dense_distribution(Retail(spark, sf_dir))))
 
 
+@register("fulfilment_by_warehouse_sku")
+def q_fulfilment_by_warehouse_sku(spark, sf_dir):
+    return finish(allocate.fulfilment_by_warehouse(_sku_distribution(Retail(spark, sf_dir))))
+
+
 @register("publish_replenishment")
 def q_publish_replenishment(spark, sf_dir):
-    return finish(need.publish_rows(_need_prod(Retail(spark, sf_dir)), as_of_lit()))
+    r = Retail(spark, sf_dir)
+    return finish(need.publish_rows(_need_prod(r), as_of_lit(r)))
 
 
 def _sku_distribution(r: Retail) -> DataFrame:
@@ -553,31 +569,49 @@ def _sku_distribution(r: Retail) -> DataFrame:
 
 @register("publish_distribution")
 def q_publish_distribution(spark, sf_dir):
-    return finish(need.publish_rows(_sku_distribution(Retail(spark, sf_dir)), as_of_lit(), only_positive=False))
+    r = Retail(spark, sf_dir)
+    return finish(need.publish_rows(_sku_distribution(r), as_of_lit(r), only_positive=False))
+
+
+from ..operators import audit  # noqa: E402
 
 
 @register("audit_zero_need")
 def q_audit_zero_need(spark, sf_dir):
-    res = _need_prod(Retail(spark, sf_dir))
-    return finish(res.filter(F.col("ihtiyac_adet") <= 0).select("store_code", "stok_kodu", "product_id", "ihtiyac_adet",
-                                                               "net_quantity_28", "stok_miktar"))
+    return finish(audit.zero_need(_need_prod(Retail(spark, sf_dir))))
 
 
 @register("audit_14d_point")
 def q_audit_14d_point(spark, sf_dir):
     """14-day quantity per (product, store): the point check for every pair at once."""
-    hs = Retail(spark, sf_dir).history_sales
-    end = hs.agg(F.max("date")).scalar()
-    s = hs.filter((F.col("date") >= F.date_sub(end, 13)) & (F.col("date") <= end))
-    return finish(s.groupBy("product_id", "store_code").agg(F.sum("net_quantity").alias("net_quantity")))
+    return finish(audit.quantity_by(_recent_sales(Retail(spark, sf_dir), 14), ["product_id", "store_code"], "net_quantity"))
 
 
 @register("audit_14d_daily")
 def q_audit_14d_daily(spark, sf_dir):
-    hs = Retail(spark, sf_dir).history_sales
-    end = hs.agg(F.max("date")).scalar()
-    s = hs.filter((F.col("date") >= F.date_sub(end, 13)) & (F.col("date") <= end))
-    return finish(s.groupBy("product_id", "store_code", "date").agg(F.sum("net_quantity").alias("net_quantity_14")))
+    return finish(audit.quantity_by(_recent_sales(Retail(spark, sf_dir), 14), ["product_id", "store_code", "date"], "net_quantity_14"))
+
+
+@register("audit_first_sale")
+def q_audit_first_sale(spark, sf_dir):
+    return finish(audit.first_sale(Retail(spark, sf_dir).history_sales))
+
+
+@register("audit_daily_sample")
+def q_audit_daily_sample(spark, sf_dir):
+    r = Retail(spark, sf_dir)
+    hs = clean.month_floor_filter(r.history_sales, as_of_lit(r), months=24)
+    return finish(audit.daily_sample(prep.daily_unit_price(hs), 10))
+
+
+@register("audit_distribution_product")
+def q_audit_distribution_product(spark, sf_dir):
+    return finish(audit.distribution_of(_dense_distribution(Retail(spark, sf_dir)), product="Brand#3", warehouse="900101"))
+
+
+@register("audit_distribution_after")
+def q_audit_distribution_after(spark, sf_dir):
+    return finish(audit.distribution_after(_dense_distribution(Retail(spark, sf_dir)), product="Brand#3", not_warehouse="900101"))
 
 
 # ------------------------------------------------------------- step 6: forecast
@@ -610,11 +644,69 @@ def q_forecast_12w(spark, sf_dir):
     return finish(fc.forecast_12w(_features(Retail(spark, sf_dir)), PROD_ALL_HISTORY))
 
 
+def _valid(df: DataFrame, value: str) -> DataFrame:
+    """What is deterministic of a model's output: its rows, and that each value is a number >= 0."""
+    ok = F.coalesce((F.col(value) >= 0) & ~F.isnan(value), F.lit(False))
+    return df.withColumn("valid", ok).drop(value)
+
+
+@register("forecast_12w_rows")
+def q_forecast_12w_rows(spark, sf_dir):
+    return finish(_valid(fc.forecast_12w(_features(Retail(spark, sf_dir)), PROD_ALL_HISTORY, max_iter=10), "predicted_quantity"))
+
+
+@register("weekly_forecast_job")
+def q_weekly_forecast_job(spark, sf_dir):
+    """E1 with the model, through the break-down to store, style and day."""
+    from .jobs import weekly_forecast_job
+    r = Retail(spark, sf_dir)
+    job = weekly_forecast_job(r.history_sales, r.dim_product, r.store_clustering, r.dim_calendar, as_of_lit(r),
+                              PROD_ALL_HISTORY.with_(gbt_max_iter=10))
+    return finish(_valid(job.daily, "prediction_store_daily"))
+
+
+@register("weekly_segment_sales_local")
+def q_weekly_segment_sales_local(spark, sf_dir):
+    return finish(_weekly(Retail(spark, sf_dir), LOCAL))
+
+
+@register("segment_mean_expanding")
+def q_segment_mean_expanding(spark, sf_dir):
+    w = feat.zero_negative_target(_weekly(Retail(spark, sf_dir)))
+    return finish(w.select(*_KEYS_OUT, *feat.segment_mean_column(feat.FeatureSpec(), feat.segment_window(), expanding=True)))
+
+
+@register("dense_weeks")
+def q_dense_weeks(spark, sf_dir):
+    return finish(feat.dense_weeks(_weekly(Retail(spark, sf_dir))).select(*_KEYS_OUT))
+
+
 # -------------------------------------------------- step 7: extracts and sinks
+@register("extract_store_stock")
+def q_extract_store_stock(spark, sf_dir):
+    path = _scratch(spark, "store_stock_parquet")
+    io.write_parquet(Retail(spark, sf_dir).store_stock, path)
+    return finish(spark.read.parquet(path))
+
+
+@register("extract_warehouse_stock")
+def q_extract_warehouse_stock(spark, sf_dir):
+    path = _scratch(spark, "warehouse_stock_parquet")
+    io.write_parquet(Retail(spark, sf_dir).warehouse_stock, path)
+    return finish(spark.read.parquet(path))
+
+
+@register("edge_rename")
+def q_edge_rename(spark, sf_dir):
+    """The allocation under its English names, as written at the edge."""
+    return finish(io.renamed(_dense_distribution(Retail(spark, sf_dir)), io.EDGE_NAMES))
+
+
 @register("extract_sales_12m")
 def q_extract_sales_12m(spark, sf_dir):
     """12 months of sales (month floor) written as parquet partitioned by month, read back."""
-    hs = clean.month_floor_filter(Retail(spark, sf_dir).history_sales, as_of_lit(), months=12)
+    r = Retail(spark, sf_dir)
+    hs = clean.month_floor_filter(r.history_sales, as_of_lit(r), months=12)
     path = _scratch(spark, "sales_12m_parquet")
     io.write_parquet(hs.withColumn("month", F.date_format("date", "yyyy-MM")), path, partition_by=["month"])
     back = spark.read.parquet(path)
@@ -653,6 +745,6 @@ def q_land_raw_text(spark, sf_dir):
     hs = Retail(spark, sf_dir).history_sales
     awkward = hs.select(F.col("date").alias("Satış Tarihi"), F.col("store_code").alias("Mağaza Kodu"),
                         F.col("product_id").alias("1 Ürün-ID"), F.col("net_quantity").alias("Net Adet (%)"),
-                        F.col("stok_kodu").alias("net adet (%)"))
+                        F.col("stok_kodu").alias("net adet (%)tutar"))
     io.write_csv(awkward, path)
     return io.land_raw_text(spark, path)

@@ -79,7 +79,7 @@ def daily_replenishment_job(sales: DataFrame, product: DataFrame, store_stock: D
     # literal: five sub-plans filter on it, and a literal date can prune partitions at
     # planning time where a scalar subquery only filters at run time
     end = F.lit(s.agg(F.max("date")).first()[0]).cast("date")
-    stock = cut(universe.stock_by_day(store_stock, as_of=as_of))
+    stock = cut(universe.stock_by_day(store_stock, as_of, pf.stock_month_floor_days))
     if pf.forecast_universe:
         # forecast-driven universe: forecast pairs join the stock pairs, 'today' is the later
         # of the two dates, and variant weights are only needed where a forecast exists
@@ -97,7 +97,8 @@ def daily_replenishment_job(sales: DataFrame, product: DataFrame, store_stock: D
     wm = weights.variant_weight_map(s, stock, weight_pairs, end)
     p14 = weights.prediction_14d_by_product(daily_pred, wm, end, drop_negative=pf.drop_negative_predictions)
     orders = open_order_qty(stock_movement, null_safe=pf.null_safe_open_orders, depot=pf.open_order_depot)
-    base = need.replenishment_base(pairs, ss, p14, universe.latest_stock(stock), need.sales_7_14_28(s, end), orders)
+    base = need.replenishment_base(pairs, ss, p14, universe.latest_stock(stock), need.sales_7_14_28(s, end), orders,
+                                   integer_orders=pf.integer_open_orders)
     results = cut(need.need_with_14day_coverage(base, pf))
     dist = allocate.distribute_warehouse_stock(results, warehouse_stock, include_unserved=include_unserved)
     return DailyOutputs(s, stock, pairs, ss, wm, p14, base, results, dist)

@@ -8,7 +8,7 @@ from DataFrames.  Doubles are rounded to 4 places on both sides.
 
 from __future__ import annotations
 
-AS_OF = "DATE '2001-11-04'"
+AS_OF = "(SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem)"
 
 # ------------------------------------------------------------------ fixture views
 FIXTURE_CTES: dict[str, str] = {}
@@ -74,13 +74,13 @@ SELECT CAST(l.l_shipdate AS DATE) AS stok_tarihi,
        CAST(l.l_partkey AS VARCHAR) AS product_id, l.l_quantity AS toplam_miktar
 FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
 JOIN dim_product dp ON dp.product_id = CAST(l.l_partkey AS VARCHAR)
-WHERE l.l_linestatus = 'O' AND l.l_returnflag <> 'R' AND CAST(l.l_shipdate AS DATE) > {AS_OF} - 60
+WHERE l.l_linestatus = 'O' AND l.l_returnflag <> 'R'
 """
 
 FIXTURE_CTES["warehouse_stock"] = f"""
 SELECT '90010' || CAST(l_suppkey % 3 + 1 AS VARCHAR) AS alt_yer, CAST(l_partkey AS VARCHAR) AS product_id,
        CAST(sum(floor(l_quantity / 10)) AS BIGINT) AS miktar
-FROM lineitem WHERE l_linestatus = 'F' AND CAST(l_shipdate AS DATE) > {AS_OF} - 120
+FROM lineitem WHERE l_linestatus = 'F'
 GROUP BY 1, 2
 """
 
@@ -91,7 +91,7 @@ SELECT CAST(l.l_partkey AS VARCHAR) AS urun_kodu,
        sum(CASE WHEN l.l_linenumber % 2 = 0 THEN l.l_quantity ELSE 0.0 END) AS toplam_yoldaki_miktar,
        sum(CASE WHEN l.l_linenumber % 2 <> 0 THEN l.l_quantity ELSE 0.0 END) AS toplanmayan_urun
 FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-WHERE l.l_returnflag = 'N' AND CAST(l.l_shipdate AS DATE) > {AS_OF} - 30
+WHERE l.l_returnflag = 'N'
 GROUP BY 1, 2, 3
 """
 
@@ -99,7 +99,6 @@ FIXTURE_CTES["dense_need"] = f"""
 SELECT hs.store_code, dp.marka_aciklama AS product_id,
        CAST(ceil(sum(greatest(hs.net_quantity, 0.0)) / 10) AS BIGINT) AS ihtiyac_adet
 FROM history_sales hs JOIN dim_product dp ON dp.product_id = hs.product_id
-WHERE hs.date > {AS_OF} - 28
 GROUP BY 1, 2
 """
 
@@ -107,7 +106,7 @@ FIXTURE_CTES["dense_stock"] = f"""
 SELECT '90010' || CAST(l.l_suppkey % 3 + 1 AS VARCHAR) AS alt_yer, p.p_brand AS product_id,
        CAST(sum(floor(l.l_quantity / 12)) AS BIGINT) AS miktar
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-WHERE l.l_linestatus = 'F' AND CAST(l.l_shipdate AS DATE) > {AS_OF} - 50 AND p.p_brand <> 'Brand#7'
+WHERE l.l_linestatus = 'F' AND p.p_brand <> 'Brand#7'
 GROUP BY 1, 2
 """
 
@@ -122,7 +121,8 @@ def cte(name: str, body: str) -> None:
 def build(select: str, needs: list[str] | None = None) -> str:
     """``WITH`` every fixture and operator CTE (DuckDB skips unreferenced ones)."""
     parts = [f"{k} AS ({v})" for k, v in FIXTURE_CTES.items()]
-    parts += [f"{k} AS ({v})" for k, v in OP_CTES.items()]
+    # the fused job reads the daily forecast, which is defined further down
+    parts += [f"{k} AS ({v})" for k, v in sorted(OP_CTES.items(), key=lambda x: "fused" in x[0])]
     return "WITH " + ",\n".join(parts) + "\n" + select
 
 
@@ -382,64 +382,91 @@ def not_sent(c: str, values=(9, 999)) -> str:
     return " AND ".join(f"{c} IS DISTINCT FROM {v}" for v in values)
 
 
-cte("repl_sales", f"""
+def sales_ctes(name: str, sentinels=(9, 999), since: str | None = None) -> None:
+    """Cleaned replenishment sales, their last day, and the seasonal daily demand (+-1 month, all years)."""
+    bound = f"h.date >= {since} AND " if since else ""
+    cte(f"{name}_sales", f"""
 SELECT h.date, h.store_code, h.product_id, h.stok_kodu, coalesce(h.net_quantity, 0.0) AS net_quantity
 FROM history_sales h
 LEFT JOIN (SELECT product_id, product_att_01, TRY_CAST(translate(product_att_02, 'DN', '99') AS DOUBLE) AS a2
            FROM dim_product) p ON p.product_id = h.product_id
-WHERE h.date >= date_trunc('month', {AS_OF} - 180)::DATE AND coalesce(h.net_quantity, 0.0) >= 0
-  AND {not_sent('p.product_att_01')} AND {not_sent('p.a2')}
+WHERE {bound}coalesce(h.net_quantity, 0.0) >= 0
+  AND {not_sent('p.product_att_01', sentinels)} AND {not_sent('p.a2', sentinels)}
 """)
-cte("repl_max", "SELECT max(date) AS mx FROM repl_sales")
+    cte(f"{name}_max", f"SELECT max(date) AS mx FROM {name}_sales")
+    cte(f"{name}_daily", f"""
+SELECT s.store_code, s.product_id, s.date, sum(s.net_quantity) AS net_quantity,
+       CAST(max(m.mx) - s.date AS INTEGER) AS days_from_today
+FROM {name}_sales s, {name}_max m
+WHERE ((month(s.date) - month(m.mx)) % 12 + 12) % 12 IN (0, 1, 11)
+GROUP BY 1, 2, 3
+""")
+    cte(f"{name}_stats", f"""
+SELECT store_code, product_id, avg(net_quantity) AS daily_avg, coalesce(stddev_samp(net_quantity), 0.0) AS daily_std
+FROM {name}_daily GROUP BY 1, 2
+""")
+
+
+sales_ctes("repl", since=f"date_trunc('month', {AS_OF} - 180)::DATE")
+sales_ctes("all")
+sales_ctes("local", sentinels=(999,))
 
 cte("stock_agg", f"""
 SELECT stok_tarihi, magaza, stok_kodu, product_id, CAST(trunc(sum(toplam_miktar)) AS BIGINT) AS stok_miktar
 FROM store_stock WHERE stok_tarihi >= date_trunc('month', {AS_OF} - 30)::DATE AND toplam_miktar > 0
 GROUP BY 1, 2, 3, 4
 """)
+# the local and fused generations read every stock row
+cte("stock_all", """
+SELECT stok_tarihi, magaza, stok_kodu, product_id, CAST(trunc(sum(toplam_miktar)) AS BIGINT) AS stok_miktar
+FROM store_stock GROUP BY 1, 2, 3, 4
+""")
 cte("stock_max", "SELECT max(stok_tarihi) AS today FROM stock_agg")
 cte("sku_pairs", """
 SELECT DISTINCT magaza, stok_kodu FROM stock_agg, stock_max
 WHERE stok_tarihi >= today - 29 AND stok_tarihi <= today AND stok_miktar > 0
 """)
+cte("local_sku", """
+SELECT DISTINCT magaza, stok_kodu FROM stock_all, (SELECT max(stok_tarihi) AS today FROM stock_all) m
+WHERE stok_tarihi >= today - 29 AND stok_tarihi <= today AND stok_miktar > 0
+""")
+cte("fused_sku", """
+SELECT DISTINCT magaza, stok_kodu FROM (
+  SELECT magaza, stok_kodu FROM stock_all,
+    (SELECT greatest((SELECT max(stok_tarihi) FROM stock_all), (SELECT max(date) FROM daily_pred)) AS today) m
+  WHERE stok_tarihi >= today - 29 AND stok_tarihi <= today AND stok_miktar > 0
+  UNION ALL SELECT store_code, stok_kodu FROM daily_pred WHERE coalesce(prediction_store_daily, 0.0) > 0.0) u
+""")
 cte("active_product", "SELECT * FROM dim_product WHERE coalesce(is_blocked, 0) = 0")
-cte("product_pairs", """
+for _name, _sku in (("product_pairs", "sku_pairs"), ("local_pairs", "local_sku"), ("fused_pairs", "fused_sku")):
+    cte(_name, f"""
 SELECT DISTINCT sp.magaza AS store_code, sp.stok_kodu, ap.product_id
-FROM sku_pairs sp LEFT JOIN active_product ap ON ap.product_code = sp.stok_kodu
+FROM {_sku} sp LEFT JOIN active_product ap ON ap.product_code = sp.stok_kodu
 """)
-
-# seasonal daily demand (+-1 month around the last sales month, all years)
-cte("daily_demand", """
-SELECT s.store_code, s.product_id, s.date, sum(s.net_quantity) AS net_quantity,
-       CAST(max(m.mx) - s.date AS INTEGER) AS days_from_today
-FROM repl_sales s, repl_max m
-WHERE ((month(s.date) - month(m.mx)) % 12 + 12) % 12 IN (0, 1, 11)
-GROUP BY 1, 2, 3
-""")
-cte("demand_stats", """
-SELECT store_code, product_id, avg(net_quantity) AS daily_avg, coalesce(stddev_samp(net_quantity), 0.0) AS daily_std
-FROM daily_demand GROUP BY 1, 2
+cte("fused_weight_pairs", """
+SELECT p.* FROM fused_pairs p WHERE EXISTS (SELECT 1 FROM daily_pred d
+  WHERE d.store_code = p.store_code AND d.stok_kodu = p.stok_kodu AND d.prediction_store_daily > 0)
 """)
 
-
-def weighted_stats_sql(weight_expr: str) -> str:
+def weighted_stats_sql(weight_expr: str, src: str) -> str:
     return f"""
 SELECT a.store_code, a.product_id, a.m AS daily_avg,
        CASE WHEN a.n > 1 THEN sqrt(greatest(sum(d.w * (d.net_quantity - a.m) * (d.net_quantity - a.m)) / a.sw, 0.0)) ELSE 0.0 END AS daily_std
-FROM (SELECT *, {weight_expr} AS w FROM daily_demand) d
+FROM (SELECT *, {weight_expr} AS w FROM {src}) d
 JOIN (SELECT store_code, product_id, sum(w * net_quantity) / sum(w) AS m, count(*) AS n, sum(w) AS sw
-      FROM (SELECT *, {weight_expr} AS w FROM daily_demand) x GROUP BY 1, 2) a
+      FROM (SELECT *, {weight_expr} AS w FROM {src}) x GROUP BY 1, 2) a
   ON a.store_code = d.store_code AND a.product_id = d.product_id
 GROUP BY a.store_code, a.product_id, a.m, a.n, a.sw
 """
 
 
 W_EXP = "pow(0.95, CAST(days_from_today AS DOUBLE))"
-W_LIN = "greatest(1.0 - CAST(days_from_today AS DOUBLE) / NULLIF(CAST((SELECT max(days_from_today) FROM daily_demand) AS DOUBLE), 0), 0.1)"
+W_LIN = "greatest(1.0 - CAST(days_from_today AS DOUBLE) / NULLIF(CAST((SELECT max(days_from_today) FROM all_daily) AS DOUBLE), 0), 0.1)"
 W_RECENT = "CASE WHEN days_from_today <= 7 THEN 0.6 ELSE 0.4 END"
-cte("wstats_exp", weighted_stats_sql(W_EXP))
-cte("wstats_lin", weighted_stats_sql(W_LIN))
-cte("wstats_recent", weighted_stats_sql(W_RECENT))
+cte("wstats_exp", weighted_stats_sql(W_EXP, "repl_daily"))
+cte("wstats_exp_all", weighted_stats_sql(W_EXP, "all_daily"))
+cte("wstats_lin_all", weighted_stats_sql(W_LIN, "all_daily"))
+cte("wstats_recent_all", weighted_stats_sql(W_RECENT, "all_daily"))
 
 
 def safety_sql(src: str) -> str:
@@ -452,20 +479,23 @@ cte("safety_weighted", f"SELECT store_code, product_id, daily_avg, daily_std, {r
 ORACLES["seasonal_months"] = build(f"""
 SELECT CAST(year(s.date) AS INTEGER) AS year, CAST(month(s.date) AS INTEGER) AS month, count(*) AS row_count,
        {r4('sum(s.net_quantity)', 'net_quantity')}
-FROM repl_sales s, repl_max m WHERE ((month(s.date) - month(m.mx)) % 12 + 12) % 12 IN (0, 1, 11) GROUP BY 1, 2
+FROM all_sales s, all_max m WHERE ((month(s.date) - month(m.mx)) % 12 + 12) % 12 IN (0, 1, 11) GROUP BY 1, 2
 """)
-ORACLES["demand_stats"] = build(f"SELECT store_code, product_id, {r4('daily_avg', 'daily_avg')}, {r4('daily_std', 'daily_std')} FROM demand_stats")
+ORACLES["demand_stats"] = build(f"SELECT store_code, product_id, {r4('daily_avg', 'daily_avg')}, {r4('daily_std', 'daily_std')} FROM all_stats")
+ORACLES["weighted_demand_stats_all_years"] = build(f"SELECT store_code, product_id, {r4('daily_avg', 'daily_avg')}, {r4('daily_std', 'daily_std')} FROM wstats_exp_all")
 ORACLES["weighted_demand_stats"] = build(f"SELECT store_code, product_id, {r4('daily_avg', 'daily_avg')}, {r4('daily_std', 'daily_std')} FROM wstats_exp")
-ORACLES["safety_stock"] = build(safety_sql("demand_stats"))
+ORACLES["safety_stock"] = build(safety_sql("all_stats"))
 ORACLES["safety_stock_weighted"] = build(safety_sql("wstats_exp"))
 ORACLES["compare_weighting_strategies"] = build(" UNION ALL ".join(
     f"SELECT *, '{name}' AS strategy FROM ({safety_sql(src)})" for name, src in
-    [("no_weight", "demand_stats"), ("exponential_decay", "wstats_exp"), ("linear_decay", "wstats_lin"),
-     ("recent_heavy", "wstats_recent")]))
+    [("no_weight", "all_stats"), ("exponential_decay", "wstats_exp_all"), ("linear_decay", "wstats_lin_all"),
+     ("recent_heavy", "wstats_recent_all")]))
 
 ORACLES["stock_by_day"] = build("SELECT * FROM stock_agg")
 ORACLES["active_products"] = build("SELECT product_id, product_code, is_blocked FROM active_product")
-ORACLES["style_to_variants"] = build("SELECT * FROM product_pairs")
+ORACLES["style_to_variants"] = build("""
+SELECT DISTINCT sp.magaza AS store_code, sp.stok_kodu, p.product_id FROM sku_pairs sp LEFT JOIN dim_product p ON p.product_code = sp.stok_kodu
+""")
 ORACLES["store_product_pairs"] = build("SELECT * FROM product_pairs")
 ORACLES["stock_product_id"] = build(f"""
 SELECT s.stok_tarihi, s.magaza, s.stok_kodu, p.product_att_03 AS color_code, p.product_att_04 AS size, s.product_id,
@@ -494,44 +524,51 @@ WHERE EXISTS (SELECT 1 FROM product_pairs p WHERE p.store_code = s.store_code AN
               AND p.product_id = s.product_id)
 """)
 
-cte("sales_share", """
+def weight_ctes(prefix: str, sales: str, last: str, stock: str, pairs: str) -> None:
+    """Shares of sales and stock within (store, style), and the variant weights."""
+    cte(f"{prefix}sales_share", f"""
 SELECT store_code, stok_kodu, product_id, sales_90d,
        sales_90d / NULLIF(sum(sales_90d) OVER (PARTITION BY store_code, stok_kodu), 0) AS weight_sales
 FROM (SELECT s.store_code, s.stok_kodu, s.product_id, greatest(sum(s.net_quantity), 0.0) AS sales_90d
-      FROM repl_sales s, repl_max m
+      FROM {sales} s, {last} m
       WHERE s.date >= m.mx - 89 AND s.date <= m.mx AND s.net_quantity > 0
-        AND EXISTS (SELECT 1 FROM product_pairs p WHERE p.store_code = s.store_code AND p.stok_kodu = s.stok_kodu
+        AND EXISTS (SELECT 1 FROM {pairs} p WHERE p.store_code = s.store_code AND p.stok_kodu = s.stok_kodu
                     AND p.product_id = s.product_id)
       GROUP BY 1, 2, 3) x
 """)
-cte("stock_share", """
+    cte(f"{prefix}stock_share", f"""
 SELECT store_code, stok_kodu, product_id, onhand_30d,
        onhand_30d / NULLIF(sum(onhand_30d) OVER (PARTITION BY store_code, stok_kodu), 0) AS weight_onhand
 FROM (SELECT st.magaza AS store_code, st.stok_kodu, st.product_id, sum(st.stok_miktar) AS onhand_30d
-      FROM stock_agg st, repl_max m
+      FROM {stock} st, {last} m
       WHERE st.stok_tarihi >= m.mx - 59 AND st.stok_tarihi <= m.mx AND st.stok_miktar > 0
-        AND EXISTS (SELECT 1 FROM product_pairs p WHERE p.store_code = st.magaza AND p.stok_kodu = st.stok_kodu
+        AND EXISTS (SELECT 1 FROM {pairs} p WHERE p.store_code = st.magaza AND p.stok_kodu = st.stok_kodu
                     AND p.product_id = st.product_id)
       GROUP BY 1, 2, 3) x
 """)
-ORACLES["variant_sales_share"] = build(f"""
-SELECT store_code, stok_kodu, product_id, {r4('sales_90d', 'sales_90d')}, {r4('weight_sales', 'weight_sales')} FROM sales_share
-""")
-cte("wm1", """
+    cte(f"{prefix}wm1", f"""
 SELECT p.store_code, p.stok_kodu, p.product_id, coalesce(ss.weight_sales, so.weight_onhand) AS w,
        count(p.product_id) OVER (PARTITION BY p.store_code, p.stok_kodu) AS n,
        bool_or(coalesce(ss.weight_sales, so.weight_onhand) IS NOT NULL) OVER (PARTITION BY p.store_code, p.stok_kodu) AS anyw
-FROM product_pairs p
-LEFT JOIN sales_share ss ON ss.store_code = p.store_code AND ss.stok_kodu = p.stok_kodu AND ss.product_id = p.product_id
-LEFT JOIN stock_share so ON so.store_code = p.store_code AND so.stok_kodu = p.stok_kodu AND so.product_id = p.product_id
+FROM {pairs} p
+LEFT JOIN {prefix}sales_share ss ON ss.store_code = p.store_code AND ss.stok_kodu = p.stok_kodu AND ss.product_id = p.product_id
+LEFT JOIN {prefix}stock_share so ON so.store_code = p.store_code AND so.stok_kodu = p.stok_kodu AND so.product_id = p.product_id
 """)
-cte("wm2", "SELECT *, CASE WHEN anyw THEN w ELSE 1.0 / NULLIF(n, 0) END AS w1 FROM wm1")
-cte("wm3", """
+    cte(f"{prefix}wm2", f"SELECT *, CASE WHEN anyw THEN w ELSE 1.0 / NULLIF(n, 0) END AS w1 FROM {prefix}wm1")
+    cte(f"{prefix}wm3", f"""
 SELECT *, CASE WHEN coalesce(sum(w1) OVER (PARTITION BY store_code, stok_kodu), 0) = 0 THEN 1.0 / NULLIF(n, 0) ELSE w1 END AS w2
-FROM wm2
+FROM {prefix}wm2
 """)
-cte("weight_map", """
-SELECT store_code, stok_kodu, product_id, w2 / NULLIF(sum(w2) OVER (PARTITION BY store_code, stok_kodu), 0) AS weight FROM wm3
+    cte(f"{prefix}weight_map", f"""
+SELECT store_code, stok_kodu, product_id, w2 / NULLIF(sum(w2) OVER (PARTITION BY store_code, stok_kodu), 0) AS weight FROM {prefix}wm3
+""")
+
+
+weight_ctes("", "repl_sales", "repl_max", "stock_agg", "product_pairs")
+weight_ctes("local_", "local_sales", "local_max", "stock_all", "local_pairs")
+weight_ctes("fused_", "all_sales", "all_max", "stock_all", "fused_weight_pairs")
+ORACLES["variant_sales_share"] = build(f"""
+SELECT store_code, stok_kodu, product_id, {r4('sales_90d', 'sales_90d')}, {r4('weight_sales', 'weight_sales')} FROM sales_share
 """)
 ORACLES["variant_weight_map"] = build(f"SELECT store_code, stok_kodu, product_id, {r4('weight', 'weight')} FROM weight_map")
 
@@ -617,32 +654,53 @@ SELECT DISTINCT magaza, stok_kodu FROM (
   SELECT d.store_code AS magaza, d.stok_kodu FROM daily_pred d, stock_max m
   WHERE d.date <= m.today + 29 AND coalesce(d.prediction_store_daily, 0.0) > 0.0) u
 """)
-cte("pred14", """
+def pred14_cte(prefix: str, last: str, drop_negative: bool) -> None:
+    keep = "q >= 0 AND " if drop_negative else ""
+    cte(f"{prefix}pred14", f"""
 SELECT w.store_code, w.stok_kodu, w.product_id, coalesce(s.q * w.weight, 0.0) AS prediction_df
 FROM (SELECT store_code, stok_kodu, sum(q) AS q
-      FROM (SELECT store_code, stok_kodu, date, coalesce(prediction_store_daily, 0.0) AS q FROM daily_pred) d, repl_max m
-      WHERE q >= 0 AND d.date > m.mx AND d.date <= m.mx + 14 GROUP BY 1, 2) s
-JOIN weight_map w ON w.store_code = s.store_code AND w.stok_kodu = s.stok_kodu
+      FROM (SELECT store_code, stok_kodu, date, coalesce(prediction_store_daily, 0.0) AS q FROM daily_pred) d, {last} m
+      WHERE {keep}d.date > m.mx AND d.date <= m.mx + 14 GROUP BY 1, 2) s
+JOIN {prefix}weight_map w ON w.store_code = s.store_code AND w.stok_kodu = s.stok_kodu
 WHERE w.product_id IS NOT NULL
 """)
+
+
+pred14_cte("", "repl_max", True)
+pred14_cte("local_", "local_max", True)
+pred14_cte("fused_", "all_max", False)
 ORACLES["prediction_14d_by_product"] = build(f"SELECT store_code, stok_kodu, product_id, {r4('prediction_df', 'prediction_df')} FROM pred14")
 
 # ---------------------------------------------------------------- step 5 oracles
 LT_FACTOR = repr(2 / 14.0)
 
-cte("on_hand", "SELECT magaza AS store_code, product_id, arg_max(stok_miktar, stok_tarihi) AS stok_miktar FROM stock_agg GROUP BY 1, 2")
-cte("sales_win", """
+def job_ctes(prefix: str, sales: str, last: str, stock: str) -> None:
+    cte(f"{prefix}on_hand", f"SELECT magaza AS store_code, product_id, arg_max(stok_miktar, stok_tarihi) AS stok_miktar FROM {stock} GROUP BY 1, 2")
+    cte(f"{prefix}sales_win", f"""
 SELECT s.product_id, s.store_code,
        greatest(coalesce(sum(CASE WHEN s.date >= m.mx - 6 THEN s.net_quantity END), 0.0), 0.0) AS net_quantity_7,
        greatest(coalesce(sum(CASE WHEN s.date >= m.mx - 13 THEN s.net_quantity END), 0.0), 0.0) AS net_quantity_14,
        greatest(coalesce(sum(s.net_quantity), 0.0), 0.0) AS net_quantity_28
-FROM repl_sales s, repl_max m WHERE s.date >= m.mx - 27 AND s.date <= m.mx GROUP BY 1, 2
+FROM {sales} s, {last} m WHERE s.date >= m.mx - 27 AND s.date <= m.mx GROUP BY 1, 2
 """)
-cte("safety_plain", f"SELECT store_code, product_id, daily_avg, daily_std, {rnd_even(f'{SAFETY_K} * daily_std', 2)} AS safety_stock FROM demand_stats")
 
 
-def base_sql(safety_src: str) -> str:
+job_ctes("", "repl_sales", "repl_max", "stock_agg")
+job_ctes("local_", "local_sales", "local_max", "stock_all")
+job_ctes("fused_", "all_sales", "all_max", "stock_all")
+for _name, _src in (("local_safety", "local_stats"), ("fused_safety", "all_stats")):
+    cte(_name, f"SELECT store_code, product_id, daily_avg, daily_std, {rnd_even(f'{SAFETY_K} * daily_std', 2)} AS safety_stock FROM {_src}")
+# the local and fused generations take the extracted orders: one row per exit depot, missing parts count as 0 in fused
+cte("exit_orders", """
+SELECT urun_kodu AS product_id, cikis_depo_kodu AS store_code,
+       sum(toplam_yoldaki_miktar) + sum(toplanmayan_urun) AS acik_siparis FROM stock_movement GROUP BY 1, 2
+""")
+
+
+def base_sql(prefix: str, pairs: str, safety: str, orders: str, integer_orders: bool) -> str:
     q = {n: f"CAST(trunc(greatest(coalesce(sw.net_quantity_{n}, 0.0), 0.0)) AS BIGINT)" for n in (7, 14, 28)}
+    open_orders = "coalesce(oo.acik_siparis, 0.0)"
+    open_orders = f"CAST(trunc({open_orders}) AS BIGINT)" if integer_orders else f"CAST({open_orders} AS DOUBLE)"
     return f"""
 SELECT p.store_code, p.stok_kodu, p.product_id,
        coalesce(ss.safety_stock, 0.0) AS safety_stock,
@@ -650,18 +708,19 @@ SELECT p.store_code, p.stok_kodu, p.product_id,
        CAST(coalesce(oh.stok_miktar, 0) AS BIGINT) AS stok_miktar,
        {q[7]} AS net_quantity_7, {q[14]} AS net_quantity_14, {q[28]} AS net_quantity_28,
        ((CAST({q[7]} AS DOUBLE) / 7) * 0.5 + (CAST({q[14]} AS DOUBLE) / 14) * 0.3 + (CAST({q[28]} AS DOUBLE) / 28) * 0.2) * 14 AS prediction_ma,
-       CAST(trunc(coalesce(oo.acik_siparis, 0.0)) AS BIGINT) AS acik_siparis
-FROM product_pairs p
-LEFT JOIN {safety_src} ss ON ss.store_code = p.store_code AND ss.product_id = p.product_id
-LEFT JOIN pred14 pr ON pr.store_code = p.store_code AND pr.product_id = p.product_id
-LEFT JOIN on_hand oh ON oh.store_code = p.store_code AND oh.product_id = p.product_id
-LEFT JOIN sales_win sw ON sw.store_code = p.store_code AND sw.product_id = p.product_id
-LEFT JOIN open_orders oo ON oo.store_code = p.store_code AND oo.product_id = p.product_id
+       {open_orders} AS acik_siparis
+FROM {pairs} p
+LEFT JOIN {safety} ss ON ss.store_code = p.store_code AND ss.product_id = p.product_id
+LEFT JOIN {prefix}pred14 pr ON pr.store_code = p.store_code AND pr.product_id = p.product_id
+LEFT JOIN {prefix}on_hand oh ON oh.store_code = p.store_code AND oh.product_id = p.product_id
+LEFT JOIN {prefix}sales_win sw ON sw.store_code = p.store_code AND sw.product_id = p.product_id
+LEFT JOIN {orders} oo ON oo.store_code = p.store_code AND oo.product_id = p.product_id
 """
 
 
-cte("base", base_sql("safety_weighted"))
-cte("base_local", base_sql("safety_plain"))
+cte("base", base_sql("", "product_pairs", "safety_weighted", "open_orders", True))
+cte("base_local", base_sql("local_", "local_pairs", "local_safety", "exit_orders", True))
+cte("base_fused", base_sql("fused_", "fused_pairs", "fused_safety", "exit_orders", False))
 
 MOMENTUM = ("least(greatest(coalesce(CAST(net_quantity_14 AS DOUBLE) / NULLIF(CAST(net_quantity_28 AS DOUBLE) / 2.0, 0.0), 1.0), 0.0), 2.0)")
 
@@ -678,7 +737,7 @@ def need_sql(src: str, prod: bool) -> str:
                 ELSE least(greatest(0.5 + 0.25 * ({MOMENTUM} - 1.0), 0.25), 0.75) END"""
     gap = "greatest(0.0, oul - (stok_miktar - pred_LT + acik_siparis))"
     if prod:
-        need = f"CASE WHEN net_quantity_28 = 0 THEN 0 ELSE CAST({rnd_even(gap, 0)} AS BIGINT) END"
+        need = f"CASE WHEN net_quantity_28 = 0 THEN 0 ELSE CAST(round_even({gap}, 0) AS BIGINT) END"
         ss = "CASE WHEN safety_stock > 1.15 * prediction_ma THEN safety_stock * 0.8 ELSE safety_stock END"
         df = "CASE WHEN prediction_df > net_quantity_14 THEN 0.0 ELSE prediction_df END"
         extra = ""
@@ -697,14 +756,15 @@ FROM (SELECT *, pred_14_blended * {LT_FACTOR} AS pred_LT, safety_stock + pred_14
 
 cte("need_prod", need_sql("base", True))
 cte("need_local", need_sql("base_local", False))
+cte("need_fused", need_sql("base_fused", False))
 
 NEED_OUT = ["safety_stock", "prediction_df", "prediction_ma", "w_model", "pred_14_blended", "pred_LT"]
-NEED_INT = "stok_miktar, net_quantity_7, net_quantity_14, net_quantity_28, acik_siparis, ihtiyac_adet"
+NEED_INT = "stok_miktar, net_quantity_7, net_quantity_14, net_quantity_28, ihtiyac_adet"
 
 
-def need_select(src: str, extra: str = "", where: str = "", prefix: str = "") -> str:
+def need_select(src: str, extra: str = "", where: str = "", prefix: str = "", orders: str = "acik_siparis") -> str:
     cols = ", ".join(r4(c, c) for c in NEED_OUT)
-    return f"SELECT {prefix}store_code, stok_kodu, product_id, {NEED_INT}, {cols}{extra} FROM {src} {where}"
+    return f"SELECT {prefix}store_code, stok_kodu, product_id, {NEED_INT}, {orders}, {cols}{extra} FROM {src} {where}"
 
 
 ORACLES["sales_7_14_28"] = build(f"""
@@ -721,6 +781,7 @@ SELECT store_code, product_id, {r4(MOMENTUM, 'momentum')}, {r4('w_model', 'w_mod
 """)
 ORACLES["replenishment_need_prod"] = build(need_select("need_prod"))
 ORACLES["replenishment_need_local"] = build(need_select("need_local", extra=", " + r4("OUL_14", "OUL_14"), where="WHERE ihtiyac_adet > 0"))
+ORACLES["replenishment_need_fused"] = build(need_select("need_fused", extra=", " + r4("OUL_14", "OUL_14"), orders=r4("acik_siparis", "acik_siparis")))
 ORACLES["publish_replenishment"] = build(need_select("need_prod", where="WHERE ihtiyac_adet > 0", prefix=f"{AS_OF} AS model_date, "))
 ORACLES["audit_zero_need"] = build("SELECT store_code, stok_kodu, product_id, ihtiyac_adet, net_quantity_28, stok_miktar FROM need_prod WHERE ihtiyac_adet <= 0")
 
@@ -777,6 +838,25 @@ ORACLES["fulfilment_by_warehouse"] = build("""
 SELECT gonderen_depo, CAST(sum(ihtiyac_adet) AS BIGINT) AS ihtiyac_adet, CAST(sum(karsilanan_adet) AS BIGINT) AS karsilanan_adet
 FROM dense_alloc GROUP BY 1
 """)
+ORACLES["fulfilment_by_warehouse_sku"] = build("""
+SELECT gonderen_depo, CAST(sum(ihtiyac_adet) AS BIGINT) AS ihtiyac_adet, CAST(sum(karsilanan_adet) AS BIGINT) AS karsilanan_adet
+FROM sku_alloc GROUP BY 1
+""")
+ORACLES["audit_distribution_product"] = build(f"SELECT {DIST_COLS} FROM dense_alloc WHERE urun = 'Brand#3' AND gonderen_depo = '900101'")
+ORACLES["audit_distribution_after"] = build(f"SELECT {DIST_COLS} FROM dense_alloc WHERE urun > 'Brand#3' AND gonderen_depo <> '900101'")
+ORACLES["edge_rename"] = build("SELECT from_warehouse, to_store, product_id, need_qty, shipped_qty, remaining_need_qty, "
+    f"warehouse_shipped_qty, {r4('warehouse_opening_qty', 'warehouse_opening_qty')}, {r4('warehouse_closing_qty', 'warehouse_closing_qty')} "
+    "FROM (SELECT gonderen_depo AS from_warehouse, alan_magaza AS to_store, urun AS product_id, baslangic_depo_stok AS warehouse_opening_qty, "
+    "ihtiyac_adet AS need_qty, karsilanan_adet AS shipped_qty, kalan_ihtiyac AS remaining_need_qty, "
+    "depo_sevk_toplam AS warehouse_shipped_qty, depo_kalan_nihai AS warehouse_closing_qty FROM dense_alloc) x")
+ORACLES["audit_first_sale"] = build("SELECT product_id, min(date) AS first_date FROM history_sales GROUP BY 1")
+ORACLES["audit_daily_sample"] = build(f"""
+SELECT date, store_code, product_id, {r4('sum(discount_amount)', 'discount_amount')},
+       {r4('sum(net_amount_wovat)', 'net_amount_wovat')}, {r4('sum(net_quantity)', 'net_quantity')},
+       {r4('sum(net_amount_wovat) / NULLIF(sum(net_quantity), 0)', 'unit_price')}
+FROM history_sales WHERE date >= date_trunc('month', {AS_OF} - INTERVAL 24 MONTH)::DATE
+GROUP BY 1, 2, 3 ORDER BY date, store_code, product_id LIMIT 10
+""")
 cte("hs14", "SELECT h.* FROM history_sales h, (SELECT max(date) AS mx FROM history_sales) m WHERE h.date >= m.mx - 13 AND h.date <= m.mx")
 ORACLES["audit_14d_point"] = build(f"SELECT product_id, store_code, {r4('sum(net_quantity)', 'net_quantity')} FROM hs14 GROUP BY 1, 2")
 ORACLES["audit_14d_daily"] = build(f"SELECT product_id, store_code, date, {r4('sum(net_quantity)', 'net_quantity_14')} FROM hs14 GROUP BY 1, 2, 3")
@@ -836,6 +916,41 @@ SELECT week_start_date, store_code, stok_kodu,
        {r4("round(CAST(store_ratio AS DECIMAL(38,10)), 6)", 'store_ratio')} FROM breakdown
 """)
 ORACLES["land_raw_text"] = build("""
-SELECT CAST(date AS VARCHAR) AS sat_tarihi, store_code AS ma_aza_kodu, product_id AS c_1_r_n_id,
-       CAST(net_quantity AS VARCHAR) AS net_adet, stok_kodu AS net_adet_1 FROM history_sales
+SELECT CAST(date AS VARCHAR) AS "Satış_Tarihi", store_code AS "Mağaza_Kodu", product_id AS "_1_Ürün_ID",
+       CAST(net_quantity AS VARCHAR) AS "Net_Adet____", stok_kodu AS "net_adet____tutar" FROM history_sales
+""")
+ORACLES["extract_store_stock"] = build(f"""
+SELECT stok_tarihi, magaza, stok_kodu, color_code, size, product_id, {r4('toplam_miktar', 'toplam_miktar')} FROM store_stock
+""")
+ORACLES["extract_warehouse_stock"] = build("SELECT alt_yer, product_id, miktar FROM warehouse_stock")
+ORACLES["forecast_12w_rows"] = build("SELECT *, TRUE AS valid FROM future_grid")
+ORACLES["weekly_forecast_job"] = build("SELECT store_code, stok_kodu, date, TRUE AS valid FROM daily_pred")
+ORACLES["segment_mean_expanding"] = build(f"""
+SELECT {KEYS_OUT}, total_quantity,
+       {r4(f'avg(total_quantity) OVER ({SEG_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)', 'segment_mean')} FROM weekly_z
+""")
+ORACLES["dense_weeks"] = build(f"""
+SELECT s.* EXCLUDE (lo, hi), coalesce(w.total_quantity, 0) AS total_quantity
+FROM (SELECT *, CAST(unnest(generate_series(lo, hi, INTERVAL 7 DAY)) AS DATE) AS week_start_date
+      FROM (SELECT {SEG}, product_att_01_desc, product_att_02_desc, product_att_05_desc, min(week_start_date) AS lo, max(week_start_date) AS hi
+            FROM weekly GROUP BY ALL) x) s
+LEFT JOIN weekly w USING ({SEG}, product_att_01_desc, product_att_02_desc, product_att_05_desc, week_start_date)
+""")
+# the local weekly table: raw rows, calendar weeks, truncated totals, clipped prices, plain-mean fallback
+ORACLES["weekly_segment_sales_local"] = build(f"""
+SELECT {WEEKLY_KEYS}, CAST(trunc(sum(q)) AS BIGINT) AS total_quantity, {r4('avg(price)', 'unit_price_mean')},
+       {r4('median(price)', 'unit_price_median')}, {r4('avg(f)', 'discount_frac_mean')},
+       {r4('CASE WHEN sum(d) > 0 THEN sum(f * d) / sum(d) ELSE avg(f) END', 'discount_frac_wavg')}
+FROM (SELECT p.product_att_01, TRY_CAST(translate(p.product_att_02, 'DN', '99') AS DOUBLE) AS product_att_02, p.product_att_05,
+             p.product_att_01_desc, p.product_att_02_desc, p.product_att_05_desc, c.store_cluster,
+             date_trunc('week', k.date)::DATE AS week_start_date, coalesce(h.net_quantity, 0.0) AS q, greatest(h.unit_price, 0.0) AS price,
+             coalesce(h.discount_amount, 0) + coalesce(h.net_amount_wovat, 0) AS d,
+             least(greatest(CASE WHEN coalesce(h.discount_amount, 0) + coalesce(h.net_amount_wovat, 0) > 0
+               THEN coalesce(h.discount_amount, 0) / (coalesce(h.discount_amount, 0) + coalesce(h.net_amount_wovat, 0)) ELSE 0.0 END, 0.0), 0.9) AS f
+      FROM history_sales h JOIN dim_product p ON p.product_id = h.product_id
+      JOIN store_clustering c ON c.store_code = h.store_code JOIN dim_calendar k ON k.date = h.date) x
+WHERE product_att_01 IS DISTINCT FROM 9 AND product_att_02 IS DISTINCT FROM 9 AND product_att_01 IS NOT NULL
+  AND product_att_02 IS NOT NULL AND product_att_05 IS NOT NULL AND product_att_01_desc IS NOT NULL
+  AND product_att_02_desc IS NOT NULL AND product_att_05_desc IS NOT NULL
+GROUP BY ALL
 """)

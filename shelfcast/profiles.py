@@ -20,8 +20,8 @@ class Profile:
     unit_price_clip: bool = False            # clip row unit price at 0
     wavg_fallback_mean: bool = False         # weight sum <= 0 -> plain mean (else null)
     week_from_calendar: bool = False         # week via calendar join instead of date arithmetic
-    median_mode: str = "exact"               # "exact" (median), "approx" (percentile_approx),
-                                             # "window" (exact, value counts + running window, spillable)
+    median_mode: str = "exact"               # "exact" (value buckets, no group in one task) or
+                                             # "approx" (percentile_approx)
     median_accuracy: int = 10000
     # features (H2)
     rolling_min_periods: int | None = 2      # None -> window length
@@ -37,7 +37,8 @@ class Profile:
     breakdown_clip_negative: bool = False    # local clips, prod filters
     # replenishment
     sentinels: tuple = (9, 999)
-    sales_lookback_days: int = 180
+    sales_lookback_days: int | None = 180    # None: all sales
+    stock_month_floor_days: int | None = 30  # None: all stock rows
     lead_time_days: int = 2
     service_level: float = 0.9
     weighted_safety: bool = True
@@ -56,6 +57,8 @@ class Profile:
     drop_negative_predictions: bool = True
     null_safe_open_orders: bool = False
     open_order_depot: str = "entry"          # "entry" (first 4 chars) or "exit"
+    integer_open_orders: bool = True
+    only_positive_need: bool = False         # report rows with need > 0 only
     forecast_universe: bool = False          # pairs include forecast pairs; weights only where forecast > 0
     extra: dict = field(default_factory=dict)
 
@@ -80,6 +83,10 @@ LOCAL = Profile(
     breakdown_month_floor=False,
     breakdown_clip_negative=True,
     sentinels=(999,),
+    sales_lookback_days=None,
+    stock_month_floor_days=None,
+    open_order_depot="exit",
+    only_positive_need=True,
     weighted_safety=False,
     w_base=0.5,
     w_slope=0.25,
@@ -96,6 +103,8 @@ FUSED = LOCAL.with_(
     name="fused",
     sentinels=(9, 999),
     null_safe_open_orders=True,
+    integer_open_orders=False,
+    only_positive_need=False,
     daily_preaggregate=True,
     forecast_universe=True,
     drop_negative_predictions=False,

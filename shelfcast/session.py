@@ -63,10 +63,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for written intermediate tables, below the shared checkpoint
+    folder.  ``clear_scratch`` removes it; the driver's JVM does so when it ends."""
+    sc = spark.sparkContext
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{sc.applicationId}-tables"
+    if root not in _ROOTS:
+        _ROOTS.add(root)
+        where, fs = _hadoop(spark, root)
+        fs.mkdirs(where)
+        fs.deleteOnExit(where)
+    return root
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application; frames that read them end with it."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}-tables"
+    _ROOTS.discard(root)
+    where, fs = _hadoop(spark, root)
+    fs.delete(where, True)
+
+
+_ROOTS: set[str] = set()
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    """A place for a written intermediate table."""
+    return f"{scratch_root(spark)}/{name}"
 
 
 def materialize(df, name: str = "stage"):

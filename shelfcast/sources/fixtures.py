@@ -15,20 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the fixture mapping (FIXTURES.md).
-AS_OF = dt.date(2001, 11, 4)
 ATT01_BY_TYPE = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "SMALL": 4, "STANDARD": 5, "PROMO": 999}
 WAREHOUSE_PREFIX = "90010"
 STOCK_OUT_BRAND = "Brand#7"
 
 
-def _after(days: int):
-    """Rows shipped strictly after AS_OF - days, written on the raw timestamp column so
-    the comparison reaches the parquet reader as a pushed filter."""
-    bound = (AS_OF - dt.timedelta(days=days - 1)).isoformat() + " 00:00:00"
-    # a string literal cast to timestamp_ntz does not depend on any time zone
-    return F.col("l_shipdate") >= F.lit(bound).cast("timestamp_ntz")
-
-
 def store_code_of(nationkey: str) -> F.Column:
     return (F.lit(1001) + F.lit(100) * F.col(nationkey)).cast("string")
 
@@ -52,6 +43,11 @@ class Retail:
             cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return cache[name]
 
+    @cached_property
+    def as_of(self) -> dt.date:
+        """The day the jobs run: the last shipping day, from the file metadata or one column."""
+        return self.table("lineitem").agg(F.max("l_shipdate").cast("date")).first()[0]
+
     # ---------------------------------------------------------------- dimensions
     @staticmethod
     def _att01():
@@ -139,8 +135,15 @@ class Retail:
 
     @cached_property
     def history_sales(self) -> DataFrame:
+        return self.sales_since(None)
+
+    def sales_since(self, first_day: dt.date | None) -> DataFrame:
+        """Sales from ``first_day`` on; the bound is on the raw column, so it reaches the scan."""
         x = self._lines_with_store(["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
                                     "l_returnflag", "l_linestatus", "l_shipdate"])
+        if first_day is not None:
+            # a string literal cast to timestamp_ntz does not depend on any time zone
+            x = x.filter(F.col("l_shipdate") >= F.lit(f"{first_day.isoformat()} 00:00:00").cast("timestamp_ntz"))
         x = x.join(self.part_codes, x.l_partkey == self.part_codes.p_partkey, "inner")
         sign = F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit(-1.0)).otherwise(F.lit(1.0))
         x = x.select(
@@ -159,7 +162,7 @@ class Retail:
     @cached_property
     def store_stock(self) -> DataFrame:
         x = self._lines_with_store(["l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"])
-        x = x.filter((F.col("l_linestatus") == "O") & (F.col("l_returnflag") != "R") & _after(60))
+        x = x.filter((F.col("l_linestatus") == "O") & (F.col("l_returnflag") != "R"))
         x = x.join(self.part_codes, x.l_partkey == self.part_codes.p_partkey, "inner")
         x = x.select(
             F.col("l_shipdate").cast("date").alias("stok_tarihi"),
@@ -173,14 +176,14 @@ class Retail:
 
     @cached_property
     def warehouse_stock(self) -> DataFrame:
-        li = self.table("lineitem").filter((F.col("l_linestatus") == "F") & _after(120))
+        li = self.table("lineitem").filter(F.col("l_linestatus") == "F")
         return (li.groupBy(warehouse_of("l_suppkey").alias("alt_yer"), F.col("l_partkey").cast("string").alias("product_id"))
                   .agg(F.sum(F.floor(F.col("l_quantity") / 10)).cast("long").alias("miktar")))
 
     @cached_property
     def stock_movement(self) -> DataFrame:
-        x = self._lines_with_store(["l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linenumber", "l_shipdate"])
-        x = x.filter((F.col("l_returnflag") == "N") & _after(30))
+        x = self._lines_with_store(["l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linenumber"])
+        x = x.filter(F.col("l_returnflag") == "N")
         even = (F.col("l_linenumber") % 2) == 0
         return (x.groupBy(F.col("l_partkey").cast("string").alias("urun_kodu"),
                           F.concat(store_code_of("s_nationkey"), F.lit("01")).alias("giris_depo_kodu"),
@@ -191,16 +194,15 @@ class Retail:
     # ------------------------------------------------------ dense allocation pair
     @cached_property
     def dense_need(self) -> DataFrame:
-        hs = self.history_sales.filter(F.col("date") > F.lit(AS_OF - dt.timedelta(days=28)))
         brand = self.dim_product.select("product_id", "marka_aciklama")
-        return (hs.join(brand, "product_id", "inner")
+        return (self.history_sales.join(brand, "product_id", "inner")
                   .groupBy("store_code", F.col("marka_aciklama").alias("product_id"))
                   .agg(F.ceil(F.sum(F.greatest(F.col("net_quantity"), F.lit(0.0))) / 10).cast("long").alias("ihtiyac_adet")))
 
     @cached_property
     def dense_stock(self) -> DataFrame:
-        li = self.table("lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_linestatus", "l_shipdate")
-        li = li.filter((F.col("l_linestatus") == "F") & _after(50))
+        li = self.table("lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_linestatus")
+        li = li.filter(F.col("l_linestatus") == "F")
         p = self.table("part").select("p_partkey", "p_brand").filter(F.col("p_brand") != STOCK_OUT_BRAND)
         x = li.join(p, li.l_partkey == p.p_partkey, "inner")
         return (x.groupBy(warehouse_of("l_suppkey").alias("alt_yer"), F.col("p_brand").alias("product_id"))

@@ -47,13 +47,19 @@ def read_parquet_pruned(spark: SparkSession, path: str, columns: list[str]) -> D
 def read_jdbc(spark: SparkSession, url: str, query: str, properties: dict | None = None,
               partition_column: str | None = None, lower_bound=None, upper_bound=None,
               num_partitions: int | None = None) -> DataFrame:
-    """table/query read over JDBC, split into parallel range reads when a
-    partition column and bounds are given.  Credentials come from ``properties``."""
+    """table/query read over JDBC in ``num_partitions`` range reads of ``partition_column``.
+
+    A read without a partition column goes through one task and must be asked for with
+    ``num_partitions=1``.  Credentials come from ``properties``."""
+    if num_partitions is None or (partition_column is None) != (num_partitions == 1):
+        raise ValueError("give a partition column with num_partitions, or num_partitions=1 for a single task")
     r = spark.read.format("jdbc").option("url", url)
     if partition_column:
+        if lower_bound is None or upper_bound is None:
+            raise ValueError("a partition column needs lower_bound and upper_bound")
         r = (r.option("dbtable", f"({query}) q").option("partitionColumn", partition_column)
               .option("lowerBound", str(lower_bound)).option("upperBound", str(upper_bound))
-              .option("numPartitions", str(num_partitions or 8)))
+              .option("numPartitions", str(num_partitions)))
     else:
         r = r.option("query", query)
     for k, v in (properties or {}).items():
@@ -71,6 +77,26 @@ def read_store_cluster_file(spark: SparkSession, path: str) -> DataFrame:
                      F.col("store_cluster").try_cast("int").alias("store_cluster"))
 
 
+#: Names of the feeds and their English names at the edge.
+EDGE_NAMES = {
+    "magaza": "store_code", "stok_kodu": "style_code", "product_code": "style_code", "stok_tarihi": "stock_date",
+    "toplam_miktar": "stock_qty", "stok_miktar": "on_hand_qty", "alt_yer": "warehouse_code", "miktar": "warehouse_qty",
+    "acik_siparis": "open_order_qty", "toplam_yoldaki_miktar": "in_transit_qty", "toplanmayan_urun": "unpicked_qty",
+    "giris_depo_kodu": "entry_depot_code", "cikis_depo_kodu": "exit_depot_code", "urun_kodu": "product_id",
+    "prediction_df": "model_14d_qty", "prediction_ma": "moving_avg_14d_qty", "OUL_14": "order_up_to_14d",
+    "pred_LT": "lead_time_qty", "ihtiyac_adet": "need_qty", "gonderen_depo": "from_warehouse", "alan_magaza": "to_store",
+    "urun": "product_id", "baslangic_depo_stok": "warehouse_opening_qty", "karsilanan_adet": "shipped_qty",
+    "kalan_ihtiyac": "remaining_need_qty", "depo_sevk_toplam": "warehouse_shipped_qty",
+    "depo_kalan_nihai": "warehouse_closing_qty", "marka_aciklama": "brand", "kara_cuma": "black_friday",
+    "ramazan_bayrami": "feast_spring", "kurban_bayrami": "feast_summer",
+}
+
+
+def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Columns under their names at the other side of an edge; other columns stay."""
+    return df.withColumnsRenamed({a: b for a, b in names.items() if a in df.columns})
+
+
 # ------------------------------------------------------------------------- sinks
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   mode: str = "overwrite") -> None:
@@ -123,29 +149,22 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
 
 
 # ----------------------------------------------------------------- raw landing
-_BAD = re.compile(r"[^0-9A-Za-z_]+")
+_SPACE, _BAD = re.compile(r"\s+"), re.compile(r"[^\w$]")
 
 
 def sanitize_column_names(names: list[str], max_len: int = 60) -> list[str]:
-    """Spaces/symbols -> '_', BOM stripped, lower case, no leading digit, unique, <= max_len."""
+    """Column names that a database takes: letters of any alphabet, digits, _ and $ stay, runs of
+    white space and other characters become _, a leading digit gets a _ before it; at most
+    ``max_len`` long and unique."""
     out: list[str] = []
-    seen: dict[str, int] = {}
-    for i, n in enumerate(names):
-        s = (n or "").replace("\ufeff", "").strip().lower()
-        s = _BAD.sub("_", s).strip("_")
-        if not s:
-            s = f"col_{i + 1}"
-        if s[0].isdigit():
-            s = "c_" + s
-        s = s[:max_len]
-        base, k = s, seen.get(s, 0)
-        while s in seen:
+    for name in names:
+        clean = _BAD.sub("_", _SPACE.sub("_", (name or "").strip().replace("\ufeff", "")))
+        clean = ("_" + clean if clean[:1].isdigit() else clean)[:max_len] or "_col"
+        free, k = clean, 0
+        while free in out:
             k += 1
-            suffix = f"_{k}"
-            s = base[: max_len - len(suffix)] + suffix
-        seen[base] = k
-        seen[s] = 0
-        out.append(s)
+            free = clean[:max(1, max_len - len(f"_{k}"))] + f"_{k}"
+        out.append(free)
     return out
 
 

@@ -97,3 +97,14 @@ def test_random_scarce_and_deep(spark):
             stock[(f"W{w}", prod)] = rnd.choice([0.5, 1, 3, total // 7 + 1, total // 2 + 0.5, total + 5])
     got, _ = _run(spark, needs, stock)
     assert got == queue_model(needs, stock)
+
+
+def test_quantities_are_never_rows(spark):
+    n = 3_000_000_000
+    needs = spark.createDataFrame([("s1", "A", n), ("s2", "A", n - 5), ("s3", "A", 7)], "store_code string, product_id string, ihtiyac_adet long")
+    stock = spark.createDataFrame([("w1", "A", 10.0), ("w2", "A", float(n)), ("w3", "A", 0.5)], "alt_yer string, product_id string, miktar double")
+    got = {(r.gonderen_depo, r.alan_magaza): (r.ihtiyac_adet, r.karsilanan_adet) for r in distribute_warehouse_stock(needs, stock).collect()}
+    assert got[("w1", "s1")] == (n, 4) and got[("w1", "s2")] == (n - 5, 3) and got[("w1", "s3")] == (7, 3)
+    assert got[("w2", "s3")] == (4, 4) and got[("w2", "s1")][1] + got[("w2", "s2")][1] + 4 == n
+    assert abs(got[("w2", "s1")][1] - got[("w2", "s2")][1]) <= 1
+    assert sum(v[1] for k, v in got.items() if k[0] == "w3") == 1

@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import (bround_decimal, clean_attribute_code, discount_fraction,
-                                         not_sentinel, seasonal_month_filter, seasonal_month_list)
+                                         as_date, not_sentinel, number, seasonal_month_filter)
 
 
 def test_clean_attribute_code(spark):
@@ -27,8 +27,6 @@ def test_discount_fraction_cases(spark):
 
 
 def test_seasonal_months_wrap(spark):
-    assert seasonal_month_list(1, 1) == [12, 1, 2]
-    assert seasonal_month_list(12, 1) == [11, 12, 1]
     days = spark.createDataFrame([(dt.date(2000, m, 15),) for m in range(1, 13)], "d date")
     for as_of, expect in [(dt.date(2001, 1, 5), {12, 1, 2}), (dt.date(2001, 12, 5), {11, 12, 1})]:
         got = {r[0].month for r in days.filter(seasonal_month_filter("d", F.lit(as_of), 1)).collect()}
@@ -39,3 +37,16 @@ def test_half_even(spark):
     df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (-0.5,), (0.125,)], "x double")
     assert [r[0] for r in df.select(bround_decimal("x", 0)).collect()][:4] == [0.0, 2.0, 2.0, -0.0]
     assert df.select(bround_decimal("x", 2)).collect()[4][0] == 0.12
+
+
+def test_bad_dates_and_nan_become_null(spark):
+    df = spark.createDataFrame([("2019-12-31", "1.5"), ("31.12.2019", "NaN"), ("", "x"), (None, None)], "d string, x string")
+    got = df.select(as_date("d"), number("x")).collect()
+    assert [tuple(r) for r in got] == [(dt.date(2019, 12, 31), 1.5), (None, None), (None, None), (None, None)]
+
+
+def test_month_floor_needs_an_offset():
+    import pytest
+    from shelfcast.functions.columns import month_floor_lookback
+    with pytest.raises(ValueError):
+        month_floor_lookback(F.current_date())

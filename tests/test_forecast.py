@@ -8,7 +8,7 @@ from shelfcast.operators import features as feat
 from shelfcast.operators import forecast as fc
 from shelfcast.operators import prep
 from shelfcast.profiles import PROD
-from shelfcast.sources.fixtures import AS_OF, Retail
+from shelfcast.sources.fixtures import Retail
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
@@ -18,7 +18,7 @@ def test_forecast_shape_and_determinism(spark):
     r = Retail(spark, SF)
     pf = PROD.with_(prep_lookback_months=None)
     weekly = prep.weekly_segment_sales(r.history_sales, r.dim_product, r.store_clustering, calendar=r.dim_calendar,
-                                       profile=pf, as_of=F.lit(AS_OF))
+                                       profile=pf, as_of=F.lit(r.as_of))
     feats = feat.demand_features(weekly, r.dim_calendar, pf)
     a = fc.forecast_12w(feats, pf, seed=7, max_iter=5)
     b = fc.forecast_12w(feats, pf, seed=7, max_iter=5)
@@ -35,7 +35,7 @@ def test_model_beats_constant_mean_on_holdout(spark):
     r = Retail(spark, "/root/testdata/sf0.01")
     pf = PROD.with_(prep_lookback_months=None)
     weekly = prep.weekly_segment_sales(r.history_sales, r.dim_product, r.store_clustering, calendar=r.dim_calendar,
-                                       profile=pf, as_of=F.lit(AS_OF))
+                                       profile=pf, as_of=F.lit(r.as_of))
     frame = fc.model_frame(feat.demand_features(weekly, r.dim_calendar, pf))
     cutoff = frame.agg(F.date_sub(F.max("week_start_date"), 7 * 12)).first()[0]
     train, test = frame.filter(F.col("week_start_date") <= cutoff), frame.filter(F.col("week_start_date") > cutoff)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.plans.jobs import daily_replenishment_job, weekly_forecast_job
-from shelfcast.sources.fixtures import AS_OF, Retail, naive_weekly_forecast
+from shelfcast.sources.fixtures import Retail, naive_weekly_forecast
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data not present")
@@ -14,10 +14,10 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver test data
 @pytest.fixture(scope="module")
 def outputs(spark):
     r = Retail(spark, SF)
-    wk = weekly_forecast_job(r.history_sales, r.dim_product, r.store_clustering, r.dim_calendar, F.lit(AS_OF),
+    wk = weekly_forecast_job(r.history_sales, r.dim_product, r.store_clustering, r.dim_calendar, F.lit(r.as_of),
                              profile="prod", forecaster=lambda weekly, feats: naive_weekly_forecast(weekly))
     dy = daily_replenishment_job(r.history_sales, r.dim_product, r.store_stock, r.warehouse_stock, r.stock_movement,
-                                 wk.daily, F.lit(AS_OF), profile="prod")
+                                 wk.daily, F.lit(r.as_of), profile="prod")
     return wk, dy
 
 
@@ -56,9 +56,9 @@ def test_fused_profile_runs(spark, outputs):
     wk, _ = outputs
     r = Retail(spark, SF)
     dy = daily_replenishment_job(r.history_sales, r.dim_product, r.store_stock, r.warehouse_stock, r.stock_movement,
-                                 wk.daily, F.lit(AS_OF), profile="fused")
+                                 wk.daily, F.lit(r.as_of), profile="fused")
     prod_pairs = daily_replenishment_job(r.history_sales, r.dim_product, r.store_stock, r.warehouse_stock,
-                                         r.stock_movement, wk.daily, F.lit(AS_OF), profile="prod").pairs.count()
+                                         r.stock_movement, wk.daily, F.lit(r.as_of), profile="prod").pairs.count()
     assert dy.pairs.count() >= prod_pairs          # forecast pairs widen the universe
     assert dy.results.filter(F.col("ihtiyac_adet") < 0).count() == 0
     assert "OUL_14" in dy.results.columns           # kept by the local/fused rules

@@ -8,7 +8,8 @@ import pytest
 
 SF = "/root/testdata/sf0.001"
 KEYS = ["weekly_segment_sales", "demand_features", "store_product_pairs", "variant_weight_map", "safety_stock_weighted",
-        "breakdown_to_store", "weekly_to_daily", "replenishment_need_prod", "warehouse_distribution", "future_features"]
+        "breakdown_to_store", "weekly_to_daily", "replenishment_need_prod", "warehouse_distribution", "future_features", "replenishment_need_local", "replenishment_need_fused", "weekly_segment_sales_local",
+        "land_raw_text", "edge_rename", "publish_distribution", "seasonal_months"]
 
 
 def _norm(v):

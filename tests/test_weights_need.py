@@ -52,9 +52,9 @@ def test_need_rules(spark):
 
 def test_need_rounding_half_even_vs_ceil(spark):
     # gap = OUL - (onhand - LT + open) with blend 0: gap = safety stock
-    rows = [("1", "S", f"p{x}", x, 0.0, 0, 0, 0, 0, 0.0, 0) for x in (0.5, 1.5, 2.5)]
+    rows = [("1", "S", f"p{x}", x, 0.0, 0, 0, 0, 0, 0.0, 0) for x in (0.5, 1.5, 2.5, 3.4999999999999996, 2.50000000000001)]
     pf = PROD.with_(zero_need_without_sales=False)
     got = {r["product_id"]: r["ihtiyac_adet"] for r in need.need_with_14day_coverage(_base(spark, rows), pf).collect()}
-    assert got == {"p0.5": 0, "p1.5": 2, "p2.5": 2}
+    assert got == {"p0.5": 0, "p1.5": 2, "p2.5": 2, "p3.4999999999999996": 3, "p2.50000000000001": 3}
     got = {r["product_id"]: r["ihtiyac_adet"] for r in need.need_with_14day_coverage(_base(spark, rows), LOCAL).collect()}
-    assert got == {"p0.5": 1, "p1.5": 2, "p2.5": 3}
+    assert got == {"p0.5": 1, "p1.5": 2, "p2.5": 3, "p3.4999999999999996": 4, "p2.50000000000001": 3}
