@@ -23,6 +23,7 @@ TARGET = "total_quantity"
 DROP_COLS = ["week_start_date", TARGET] + SEGMENT_DESCS
 CALENDAR_RECOMPUTED = ["month", "week_of_year"]
 SPECIAL_FLAGS = ["ramazan_bayrami", "kurban_bayrami", "kara_cuma", "is_special_day"]
+CATEGORICAL = ["store_cluster", "month"]
 MISSING = -999999.0  # trees route missing values to their own side of a split
 
 
@@ -87,33 +88,49 @@ def future_features(frame: DataFrame, horizon_weeks: int = 12) -> DataFrame:
     return out.select(*SEGMENT, "week_start_date", *frozen, *adds)
 
 
-def _assembled(df: DataFrame, feature_cols: list[str]) -> DataFrame:
+def fit_categories(frame: DataFrame, feature_cols: list[str]):
+    """Index the categorical features; the index columns carry their categories to the trees."""
+    from pyspark.ml.feature import StringIndexer
+    cols = [c for c in CATEGORICAL if c in feature_cols]
+    texts = frame.select(*[F.col(c).cast("string").alias(f"_s_{c}") for c in cols])
+    return StringIndexer(inputCols=texts.columns, outputCols=[f"_x_{c}" for c in cols], handleInvalid="keep",
+                         stringOrderType="alphabetAsc").fit(texts)
+
+
+def _assembled(df: DataFrame, feature_cols: list[str], categories) -> DataFrame:
+    """Features as one vector.  A missing number is far below all others, so that one split tells
+    it apart; a missing or new category is a category of its own."""
     from pyspark.ml.feature import VectorAssembler
-    filled = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(f"_x_{c}") for c in feature_cols])
+    numeric = [c for c in feature_cols if c not in CATEGORICAL]
+    filled = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(f"_x_{c}") for c in numeric],
+                       *[F.col(c).cast("string").alias(f"_s_{c}") for c in feature_cols if c in CATEGORICAL])
     va = VectorAssembler(inputCols=[f"_x_{c}" for c in feature_cols], outputCol="features_vec", handleInvalid="keep")
-    return va.transform(filled)
+    return va.transform(categories.transform(filled))
 
 
 def fit_forecast_model(frame: DataFrame, profile: "Profile | str | None" = None, seed: int = 42,
                        max_iter: int | None = None, checkpoint: bool = True):
-    """(b) one global GBT regressor over all segments and weeks (no hold-out)."""
+    """(b) one global GBT regressor over all segments and weeks (no hold-out); returns the model,
+    the features and the fitted categories."""
     from pyspark.ml.regression import GBTRegressor
     pf = get_profile(profile)
     feats = model_feature_columns(frame)
     train = frame.select(*feats, F.col(TARGET).cast("double").alias("label"))
     if checkpoint:
         train = materialize(train, "gbt-train")
+    categories = fit_categories(train, feats)
+    most = max([64, *(len(labels) + 1 for labels in categories.labelsArray)])
     # boosting reads the assembled rows once per tree: keep them cached (spilling to disk
     # when large) for the fit only; the error RDD is checkpointed every 10 trees
-    data = _assembled(train, feats).select("features_vec", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    data = _assembled(train, feats, categories).select("features_vec", "label").persist(StorageLevel.MEMORY_AND_DISK)
     gbt = GBTRegressor(featuresCol="features_vec", labelCol="label", maxIter=max_iter or pf.gbt_max_iter,
-                       maxDepth=pf.gbt_max_depth, stepSize=pf.gbt_step_size, seed=seed, maxBins=64,
+                       maxDepth=pf.gbt_max_depth, stepSize=pf.gbt_step_size, seed=seed, maxBins=most,
                        checkpointInterval=10)
     try:
         model = gbt.fit(data)
     finally:
         data.unpersist()
-    return model, feats
+    return model, feats, categories
 
 
 def forecast_12w(features: DataFrame, profile: "Profile | str | None" = None, seed: int = 42,
@@ -122,8 +139,8 @@ def forecast_12w(features: DataFrame, profile: "Profile | str | None" = None, se
     pf = get_profile(profile)
     # the frame feeds the fit, the grid, the last week and the frozen values: materialise once
     frame = materialize(model_frame(features), "model-frame")
-    model, feats = fit_forecast_model(frame, pf, seed=seed, max_iter=max_iter, checkpoint=False)
+    model, feats, categories = fit_forecast_model(frame, pf, seed=seed, max_iter=max_iter, checkpoint=False)
     fut = future_features(frame, pf.forecast_weeks)
-    pred = model.transform(_assembled(fut, feats))
+    pred = model.transform(_assembled(fut, feats, categories))
     return pred.select(*SEGMENT, "week_start_date",
                        F.greatest(F.col("prediction"), F.lit(0.0)).alias("predicted_quantity"))

@@ -39,9 +39,9 @@ def test_model_beats_constant_mean_on_holdout(spark):
     frame = fc.model_frame(feat.demand_features(weekly, r.dim_calendar, pf))
     cutoff = frame.agg(F.date_sub(F.max("week_start_date"), 7 * 12)).first()[0]
     train, test = frame.filter(F.col("week_start_date") <= cutoff), frame.filter(F.col("week_start_date") > cutoff)
-    model, cols = fc.fit_forecast_model(train, pf, seed=42, max_iter=20)
+    model, cols, categories = fc.fit_forecast_model(train, pf, seed=42, max_iter=20)
     mean = train.agg(F.avg("total_quantity")).first()[0]
-    pred = model.transform(fc._assembled(test, cols))
+    pred = model.transform(fc._assembled(test, cols, categories))
     err = pred.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("total_quantity"), 2))).alias("m"),
                    F.sqrt(F.avg(F.pow(F.lit(mean) - F.col("total_quantity"), 2))).alias("c")).first()
     assert err["m"] < err["c"]
