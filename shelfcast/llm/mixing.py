@@ -80,7 +80,7 @@ def thresholds(narrow: DataFrame, targets: DataFrame, most: int = MOST) -> DataF
                         .groupBy("source").agg(F.max_by(F.struct("bucket", "before", "n"), "bucket").alias("x")))
         at = (at.alias("a").join(crossing.withColumnRenamed("source", "c"), F.col("source").eqNullSafe(F.col("c")), "left")
                 .select("source", "source_size", "target", "repeats", (F.col("budget") - F.coalesce(F.col("x.before"), F.lit(0))).alias("budget"), F.coalesce("x.bucket", "prefix").alias("prefix"), F.coalesce("x.n", F.lit(0)).alias("n")))
-        at = written(at.coalesce(1), "mix-edge")
+        at = written(at, "mix-edge")
     # the last bucket holds one hash: taken if that comes nearer to the budget
     below = F.when(F.col("budget") * 2 > F.col("n"), F.concat("prefix", F.lit("~"))).otherwise(F.col("prefix"))
     return at.select("source", "source_size", "target", "repeats", below.alias("below"))
@@ -102,7 +102,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def edges_of(narrow: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    return thresholds(narrow, written(source_targets(narrow, weights, most).coalesce(1), "mix-targets"), most)
+    return thresholds(narrow, written(source_targets(narrow, weights, most), "mix-targets"), most)
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
