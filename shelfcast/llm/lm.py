@@ -5,13 +5,14 @@ and their number.  The network predicts the most frequent words, an end token an
 all other words; a word behind the stand-in has its share of the smoothed counts of those.
 
 Training passes once over all training documents in ROUNDS rounds.  In a round each task trains a
-replica on its documents by truncated backpropagation (windows of TRAIN_STEPS tokens, the state
-carried on), and the replicas are averaged by tokens.  Scoring streams every document whole: slots
+replica on its documents by truncated backpropagation (the state runs through all their tokens, and
+every third window of TRAIN_STEPS tokens is propagated back), and the replicas are averaged by tokens.  Scoring streams every document whole: slots
 of a batch run in windows, keep their state from window to window, and take the next document when
 theirs has ended.
 
 Counts of the KNOWN most frequent tokens, a bounded table, are broadcast; all other occurrences are
-joined with the counts.  Tokens are told apart by 64-bit hashes.  A null text is empty and has only
+joined with the counts.  The texts are read twice, for the counts and for the ids of their tokens,
+which are written once and trained on and scored from there.  Tokens are told apart by 64-bit hashes.  A null text is empty and has only
 the end token.  A null doc_id is trained on.  Rows that repeat are scored alike.  Without training
 documents all counts are zero and the network keeps its initial weights."""
 
@@ -28,9 +29,11 @@ from .common import map_batches, pieces, text_bytes, written
 #: Tokens whose counts are broadcast (16 bytes each).
 KNOWN = 200_000
 #: Classes, words of a class, and width of the network.
-CLASSES, CLASS_WORDS, WIDTH = 32, 32, 16
-ROUNDS, TRAIN_STEPS, TRAIN_SLOTS, SEGMENT = 4, 20, 128, 512
-SCORE_STEPS, SCORE_SLOTS = 32, 256
+CLASSES, CLASS_WORDS, WIDTH = 16, 16, 16
+#: Training: rounds, steps of a window, documents side by side, longest stretch of a document, and
+#: windows run for each that is propagated back (the state passes through all of them).
+ROUNDS, TRAIN_STEPS, TRAIN_SLOTS, SEGMENT, BACK_EVERY = 4, 20, 128, 512, 3
+SCORE_STEPS, SCORE_SLOTS = 32, 512
 RATE = 0.08
 #: The end token among the hashes, and the ids of the stand-in and the end.
 END_HASH, UNKNOWN, END = np.uint64(0), 0, 1
@@ -135,6 +138,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+def softmax_at(logits: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of logits (choices, tokens) the log P of each token's choice, and P less one at it."""
+    tokens = np.arange(len(chosen))
+    logits = logits - logits.max(axis=0)
+    at = logits[chosen, tokens]
+    np.exp(logits, out=logits)
+    total = logits.sum(axis=0)
+    logits /= total
+    logits[chosen, tokens] -= 1
+    return at - np.log(total), logits
+
+
 class Network:
     """A gated recurrent unit under a class-factored softmax; all weights are one vector."""
 
@@ -181,40 +196,33 @@ class Network:
 
     def log_probs(self, states: np.ndarray, ids: np.ndarray, grads: Network | None = None):
         """log P of each id after its state; with ``grads`` also adds the gradients of -sum and
-        returns that of the states."""
-        rows = np.arange(len(ids))
+        returns that of the states.  Tokens are columns here: sums over classes run down them."""
         group, word = ids // CLASS_WORDS, ids % CLASS_WORDS
-        logits = states @ self.cw + self.cb
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1, keepdims=True)
-        out = logits[rows, group] - np.log(total[:, 0])
-        d_states = None
-        if grads is not None:
-            d = e / total
-            d[rows, group] -= 1
-            d_states = d @ self.cw.T
-            grads.cw += states.T @ d
-            grads.cb += d.sum(axis=0)
         order = np.argsort(group, kind="stable")
         bound = np.searchsorted(group[order], np.arange(CLASSES + 1))
+        group, word, columns = group[order], word[order], np.ascontiguousarray(states[order].T)
+        log_p, d = softmax_at(self.cw.T @ columns + self.cb[:, None], group)
+        if grads is not None:
+            d_columns = self.cw @ d
+            grads.cw += columns @ d.T
+            grads.cb += d.sum(axis=1)
         for k in range(CLASSES):
-            some = order[bound[k]:bound[k + 1]]
-            if not len(some):
+            lo, hi = bound[k], bound[k + 1]
+            if lo == hi:
                 continue
-            s, at = states[some], word[some]
-            logits = s @ self.ww[k] + self.wb[k]
-            logits -= logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(axis=1, keepdims=True)
-            inner = np.arange(len(some))
-            out[some] += logits[inner, at] - np.log(total[:, 0])
+            mine = columns[:, lo:hi]
+            inner, d = softmax_at(self.ww[k].T @ mine + self.wb[k][:, None], word[lo:hi])
+            log_p[lo:hi] += inner
             if grads is not None:
-                d = e / total
-                d[inner, at] -= 1
-                d_states[some] += d @ self.ww[k].T
-                grads.ww[k] += s.T @ d
-                grads.wb[k] += d.sum(axis=0)
+                d_columns[:, lo:hi] += self.ww[k] @ d
+                grads.ww[k] += mine @ d.T
+                grads.wb[k] += d.sum(axis=1)
+        out = np.empty_like(log_p)
+        out[order] = log_p
+        if grads is None:
+            return out, None
+        d_states = np.empty((len(order), WIDTH), columns.dtype)
+        d_states[order] = d_columns.T
         return out, d_states
 
     def gradients(self, x: np.ndarray, mask: np.ndarray, h: np.ndarray) -> tuple[Network, float, np.ndarray]:
@@ -243,7 +251,9 @@ class Network:
         grads.u += flat.T @ d_g
         grads.w += self.embed[x.ravel()].T @ d_a
         grads.b += d_a.sum(axis=0)
-        np.add.at(grads.embed, x.ravel(), d_a @ self.w.T)
+        order = np.argsort(x.ravel(), kind="stable")
+        seen, first = np.unique(x.ravel()[order], return_index=True)
+        grads.embed[seen] += np.add.reduceat((d_a @ self.w.T)[order], first, axis=0)
         grads.vector /= max(1, len(some))
         return grads, float(log_p.sum()), after
 
@@ -285,12 +295,15 @@ def trained(net: Network, streams) -> int:
         begin = np.repeat(at[:-1], many) + SEGMENT * (np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many))
         end = np.minimum(begin + SEGMENT, np.repeat(at[1:], many))
         slots = Slots(ids, begin, end, TRAIN_SLOTS, TRAIN_STEPS)
-        for _, x, mask in slots.windows():
+        for k, (_, x, mask) in enumerate(slots.windows()):
+            n += int(mask.sum())
+            if k % BACK_EVERY:
+                _, slots.state = net.window(x, slots.state)
+                continue
             grads, _, slots.state = net.gradients(x, mask, slots.state)
             g = np.clip(grads.vector, -0.5, 0.5)
             squares += g * g
             net.vector -= RATE * g / np.sqrt(squares + 1e-4)
-            n += int(mask.sum())
     return n
 
 
@@ -307,25 +320,64 @@ def row_scores(net: Network, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 # -- on Spark
 
-def fit(texts: DataFrame, stats: Statistics, rounds: int = ROUNDS) -> Network:
-    """Train on all ``texts`` (doc_id, text): one round for each part, replicas averaged by tokens."""
-    context = texts.sparkSession.sparkContext
+#: The type of a network's id in the written table.
+ID = np.uint8 if CLASSES * CLASS_WORDS <= 256 else np.uint16
+
+SCAN = "doc_id long, held_out boolean, n_tokens long, n_near long, log_near double, log_near_rest double, n_rest long, tail array<long>, ids binary"
+
+
+def scan(docs: DataFrame, stats: Statistics) -> DataFrame:
+    """What one pass over the texts gives for each row of (doc_id, held, text): counts, the sums of
+    logs over known tokens, the tokens that are not known (``tail``) and the ids of all tokens."""
+    shared = docs.sparkSession.sparkContext.broadcast(stats)
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        s = shared.value
+        logs, out = np.log10(s.c + 1.0), {f.split()[0]: [] for f in SCAN.split(", ")[2:]}
+        for lo, hi, hashes, at in tokens_of(batch.column(2)):
+            ids, places = s.look(hashes)
+            near, rest = places >= 0, ids == UNKNOWN
+            log = np.where(near, logs[places], 0.0) if len(logs) else np.zeros(len(ids))
+            row, far = np.repeat(np.arange(hi - lo), np.diff(at)), ~near
+            add = lambda x: np.bincount(row, x, minlength=hi - lo)
+            n_far = add(far).astype(np.int64)
+            out["n_tokens"].append(pa.array(np.diff(at)))
+            out["n_near"].append(pa.array(np.diff(at) - n_far))
+            out["log_near"].append(pa.array(add(log)))
+            out["log_near_rest"].append(pa.array(add(log * rest)))
+            out["n_rest"].append(pa.array(add(rest).astype(np.int64)))
+            out["tail"].append(pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n_far))).astype(np.int32)), pa.array(hashes[far].view(np.int64))))
+            flat = ids.astype(ID)
+            out["ids"].append(pa.array([flat[a:b].tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.binary()))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.concat_arrays(x) for x in out.values())], [f.split()[0] for f in SCAN.split(", ")])
+
+    return map_batches(docs.select("doc_id", "held", "text"), one, SCAN)
+
+
+def ids_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows of a binary column and the n + 1 offsets of the rows."""
+    rows = column.to_pylist()
+    lengths = np.fromiter(map(len, rows), np.int64, len(rows)) // np.dtype(ID).itemsize
+    return np.frombuffer(b"".join(rows), ID).astype(np.int32), np.concatenate(([0], np.cumsum(lengths)))
+
+
+def fit(rows: DataFrame, stats: Statistics, rounds: int = ROUNDS) -> Network:
+    """Train on all ``rows`` (row, ids): one round for each part, replicas averaged by tokens."""
+    context = rows.sparkSession.sparkContext
     net = Network.initial(stats.id_counts)
     if not stats.n:
         return net
-    shared = context.broadcast(stats)
     for r in range(rounds):
         start = context.broadcast(net.vector)
 
         def run(batches):
-            mine, s, n = Network(start.value.copy()), shared.value, 0
+            mine, n = Network(start.value.copy()), 0
             for batch in batches:
-                n += trained(mine, ((s.look(hashes)[0], at) for _, _, hashes, at in tokens_of(batch.column(0))))
+                n += trained(mine, [ids_of(batch.column(0))])
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([mine.vector.astype(np.float64)], pa.list_(pa.float64()))], ["n", "v"])
 
-        part = F.pmod(F.xxhash64("doc_id"), F.lit(rounds)) == r
-        replicas = texts.where(part).select("text").mapInArrow(run, "n long, v array<double>")
+        replicas = rows.where(F.pmod(F.xxhash64("row"), F.lit(rounds)) == r).select("ids").mapInArrow(run, "n long, v array<double>")
         mean = replicas.select("n", F.posexplode("v").alias("i", "x")).groupBy("i").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x")).toPandas()
         if len(mean):
             vector = np.empty(Network.size(), np.float32)
@@ -334,49 +386,30 @@ def fit(texts: DataFrame, stats: Statistics, rounds: int = ROUNDS) -> Network:
     return net
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_near long, log_near double, log_near_rest double, n_rest long, lm double, tail array<long>"
-
-
-def scan(docs: DataFrame, stats: Statistics, net: Network) -> DataFrame:
-    """What one pass over the texts gives for each row; ``tail`` are the tokens not among the known."""
-    context = docs.sparkSession.sparkContext
-    shared, weights = context.broadcast(stats), context.broadcast(net.vector)
+def log_probabilities(rows: DataFrame, net: Network) -> DataFrame:
+    """``rows`` without their ids, and lm: the network's log10 probability of all of them."""
+    weights = rows.sparkSession.sparkContext.broadcast(net.vector)
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "ids"]
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        s, model = shared.value, Network(weights.value)
-        logs = np.log10(s.c + 1.0)
-        ids, places, hashes, at = [], [], [], [np.zeros(1, np.int64)]
-        for _, _, h, off in tokens_of(batch.column(2)):
-            i, p = s.look(h)
-            ids.append(i)
-            places.append(p)
-            hashes.append(h)
-            at.append(off[1:] + at[-1][-1])
-        ids, places, hashes, at = map(np.concatenate, (ids, places, hashes, at))
-        near, rest = places >= 0, ids == UNKNOWN
-        log = np.where(near, logs[places], 0.0) if len(logs) else np.zeros(len(ids))
-        row = np.repeat(np.arange(batch.num_rows), np.diff(at))
-        add = lambda x: np.bincount(row, x, minlength=batch.num_rows)
-        far = ~near
-        tail = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(add(far)))).astype(np.int32)), pa.array(hashes[far].view(np.int64)))
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(np.diff(at)), pa.array(add(near).astype(np.int64)), pa.array(add(log)), pa.array(add(log * rest)),
-             pa.array(add(rest).astype(np.int64)), pa.array(row_scores(model, ids, at) / np.log(10)), tail], [f.split()[0] for f in SCORED.split(", ")])
-
-    return map_batches(docs.select("doc_id", "held", "text"), one, SCORED)
+        ids, at = ids_of(batch.column(0))
+        lm = row_scores(Network(weights.value), ids, at) / np.log(10)
+        return pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(lm)], [*batch.schema.names[1:], "lm"])
+
+    return map_batches(rows.select("ids", *(k.split()[0] for k in kept)), one, ", ".join([*kept, "lm double"]))
 
 
 def scored(docs: DataFrame, is_held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", is_held_out.alias("held"))
-    train = rows.where("not held")
-    counts = written(token_counts(train), "lm-counts")
+    counts = written(token_counts(rows.where("not held")), "lm-counts")
     stats = Statistics(counts)
-    found = written(scan(rows, stats, fit(train, stats)).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    found = written(scan(rows, stats).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
+    net = fit(found.where("not held_out"), stats)
     tail = stats.tail(counts).select(F.col("h").alias("k"), F.log10(F.col("c") + 1).alias("log"))
     by_row = (found.select("row", F.explode("tail").alias("h")).join(tail, F.col("h") == F.col("k"))
               .groupBy(F.col("row").alias("r")).agg(F.sum("log").alias("log_far"), F.count("*").alias("n_far")))
-    every = found.drop("tail").join(by_row, F.col("row") == F.col("r"), "left").na.fill({"log_far": 0.0, "n_far": 0})
+    every = log_probabilities(found.drop("tail"), net).join(by_row, F.col("row") == F.col("r"), "left").na.fill({"log_far": 0.0, "n_far": 0})
     base = F.col("log_near") + F.col("log_far") - F.col("n_tokens") * float(np.log10(stats.n + stats.v + 1))
     score = F.col("lm") + F.col("log_near_rest") + F.col("log_far") - F.col("n_rest") * float(np.log10(stats.n_rest + stats.v_rest + 1))
     return every.select("doc_id", "held_out", "n_tokens", (F.col("n_near") + F.col("n_far")).alias("n_known"), F.lit(stats.n).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"))

@@ -14,8 +14,8 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
-    net = L.Network(L.Network.initial(rng.integers(1, 100, 1024).astype(float)).vector.astype(np.float64) * 3)
-    x, mask, h = rng.integers(0, 1024, (5, 3)), rng.random((5, 3)) < 0.8, rng.normal(0, 0.3, (3, L.WIDTH))
+    net = L.Network(L.Network.initial(rng.integers(1, 100, L.CLASSES * L.CLASS_WORDS).astype(float)).vector.astype(np.float64) * 3)
+    x, mask, h = rng.integers(0, L.CLASSES * L.CLASS_WORDS, (5, 3)), rng.random((5, 3)) < 0.8, rng.normal(0, 0.3, (3, L.WIDTH))
 
     def loss(vector):
         n = L.Network(vector)
@@ -31,11 +31,11 @@ def test_gradients_match_differences():
 
 
 def test_probabilities_sum_to_one_and_windows_carry_the_state():
-    net = L.Network.initial(np.arange(1024.0))
+    net = L.Network.initial(np.arange(float(L.CLASSES * L.CLASS_WORDS)))
     states = np.random.default_rng(1).normal(0, 1, (3, L.WIDTH)).astype(np.float32)
-    total = sum(np.exp(net.log_probs(states, np.full(3, i))[0]) for i in range(1024))
+    total = sum(np.exp(net.log_probs(states, np.full(3, i))[0]) for i in range(L.CLASSES * L.CLASS_WORDS))
     assert np.allclose(total, 1, atol=1e-3)
-    rows = [np.random.default_rng(i).integers(0, 1024, n) for i, n in enumerate((500, 1, 70, 33, 32, 0, 64))]
+    rows = [np.random.default_rng(i).integers(0, L.CLASSES * L.CLASS_WORDS, n) for i, n in enumerate((500, 1, 70, 33, 32, 0, 64))]
     ids, at = np.concatenate(rows), np.concatenate(([0], np.cumsum(list(map(len, rows)))))
     got = L.row_scores(net, ids, at)
     for k, r in enumerate(rows):
@@ -71,7 +71,7 @@ def test_learns_order_that_counts_cannot_see(spark):
     def text():
         k = rng.randrange(12)
         return " ".join(cycle[(k + j) % 12] for j in range(60))
-    got = L.scored(frame(spark, [text() for _ in range(300)]).coalesce(1), L.held_out(F.col("doc_id"))).where("held_out").agg(F.sum("base_score"), F.sum("score"), F.sum("n_tokens")).first()
+    got = L.scored(frame(spark, [text() for _ in range(3000)]).coalesce(1), L.held_out(F.col("doc_id"))).where("held_out").agg(F.sum("base_score"), F.sum("score"), F.sum("n_tokens")).first()
     assert got[1] / got[2] > got[0] / got[2] + 0.3
 
 
