@@ -10,8 +10,8 @@ Each file carries its number ``part``; where a file's documents begin in the who
 sum over files, of which there is one row each.
 
 Byte-level encoding treats the pre-tokens of a text independently.  A text is cut where the
-tokenizer's own pattern always begins a new pre-token (before the last white-space character of a
-run), so equal cuts are encoded once and looked up afterwards; the ids are those of the whole text.
+tokenizer's own pattern always begins a new pre-token, so equal cuts are encoded once and looked up
+afterwards; the ids are those of the whole text.
 
 A null text is empty and has only the end id.  Rows without a doc_id come first.  Rows that repeat
 a doc_id stay, ordered by the hash of their text.  An empty table gives no rows."""
@@ -35,22 +35,32 @@ END = 2
 #: Rows of an ORC row index entry and false-positive rate of the Bloom filters.
 ROW_INDEX, FALSE_POSITIVES = 1000, 0.01
 STRIPE_BYTES = 16 << 20
-#: Distinct pieces and pre-tokens that a worker remembers; beyond that it starts anew.
-REMEMBERED, REMEMBERED_PRE = 1_500_000, 300_000
+#: Distinct pieces that a worker remembers; beyond that it starts anew.
+REMEMBERED = 1_500_000
 #: Bytes of text encoded at a time.
 BATCH_BYTES = 4 << 20
-#: Below this code point letters and digits are the same in every Unicode version.
-PLAIN = "\u0250"
 #: White space beyond ASCII, which the cuts do not know: texts that have some are encoded whole.
 WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: First bytes of those characters.
 WIDE_HEADS = np.zeros(256, bool)
 WIDE_HEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
-
-
-def cuts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Starts of the pieces, which cover all of ``raw``: each word with one white-space character
-    before it, the rest of a run of white space, and the run at the end of a text."""
+#: Classes of the tokenizer's pattern by byte.  Two-byte characters from U+00C0 to U+024F are
+#: letters but for two; what is odd (other characters, apostrophes) is left to the tokenizer.
+WHITE, LETTER, DIGIT, OTHER, ODD = range(5)
+CLASSES = np.full(256, ODD, np.uint8)
+CLASSES[:0x80] = OTHER
+CLASSES[T.SPACE] = WHITE
+CLASSES[0x30:0x3A] = DIGIT
+CLASSES[0x41:0x5B] = CLASSES[0x61:0x7B] = CLASSES[0xC3:0xCA] = LETTER
+CLASSES[0x27] = ODD
+
+
+def cuts(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the pieces, which cover all of ``raw``, and which of them are odd.
+
+    First each word with one white-space character before it, the rest of a run of white space, and
+    the run at the end of a text; then, unless a piece is odd, its pre-tokens: runs of one class,
+    a space with the run after it."""
     starts, ends, word_at = T.runs(raw, offsets, T.SPACE)
     row = T.row_of(word_at)
     before = offsets[:-1][row]
@@ -64,47 +74,47 @@ def cuts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     mark = np.zeros(len(raw), bool)
     for begin in (full, starts - np.minimum(gap, 1), before[gap > 1], tails):
         mark[begin] = True
-    return np.flatnonzero(mark)
+    words = np.flatnonzero(mark)
+    if not len(words):
+        return words, np.zeros(0, bool)
+    kind = CLASSES[raw]
+    second = np.flatnonzero((raw[:-1] >= 0xC3) & (raw[:-1] <= 0xC9)) + 1
+    kind[second] = LETTER
+    signs = second[(raw[second - 1] == 0xC3) & ((raw[second] == 0x97) | (raw[second] == 0xB7))]
+    kind[signs] = ODD
+    odd = np.logical_or.reduceat(kind == ODD, words)
+    inside = np.zeros(len(raw), bool)
+    inside[1:] = (kind[1:] != kind[:-1]) & (kind[1:] != WHITE) & (raw[:-1] != 0x20)
+    inside[np.repeat(odd, np.diff(np.append(words, len(raw))))] = False
+    pieces = np.flatnonzero(mark | inside)
+    return pieces, odd[np.searchsorted(words, pieces, "right") - 1]
 
 
 class Encoder:
     """Encodes texts with a tokenizers file.
 
-    Pieces are told apart by 64-bit hashes and remembered with their ids; a new piece is split by
-    the tokenizer's pattern and its pre-tokens encoded by the tokenizer's model."""
+    Pieces are told apart by 64-bit hashes and remembered with their ids; a new piece is encoded by
+    the tokenizer's model or, if odd, by the whole tokenizer."""
 
     def __init__(self, path: str):
-        import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model, self.split = self.tokenizer.model, regex.compile(public_tokenizers.PATTERN).findall
-        self.alphabet = str.maketrans(byte_alphabet())
+        self.model, self.alphabet = self.tokenizer.model, str.maketrans(byte_alphabet())
         self.clear()
 
     def clear(self) -> None:
         self.known, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ids, self.bounds, self.n, self.size = np.zeros(1 << 18, np.int32), np.zeros(1 << 16, np.int64), 0, 0
-        self.pre: dict[str, list[int]] = {}
-
-    def piece(self, text: str) -> list[int]:
-        if max(text) >= PLAIN:
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        out: list[int] = []
-        for pre in self.split(text):
-            ids = self.pre.get(pre)
-            if ids is None:
-                mapped = pre.encode().decode("latin-1").translate(self.alphabet)
-                ids = self.pre[pre] = [t.id for t in self.model.tokenize(mapped)]
-            out += ids
-        return out
-
-    def learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+
+    def piece(self, raw: bytes, odd: bool) -> list[int]:
+        if odd:
+            return self.tokenizer.encode(raw.decode(), add_special_tokens=False).ids
+        return [t.id for t in self.model.tokenize(raw.decode("latin-1").translate(self.alphabet))]
+
+    def learn(self, hashes: np.ndarray, pieces: list[bytes], odd: list[bool]) -> None:
         """Remember the ids of new pieces; ``hashes`` ascend."""
-        if len(self.pre) > REMEMBERED_PRE:
-            self.pre = {}
-        got = list(map(self.piece, texts))
+        got = list(map(self.piece, pieces, odd))
         ends = self.size + np.cumsum(np.fromiter(map(len, got), np.int64, len(got)))
         while len(self.bounds) < self.n + len(got) + 1:
             self.bounds = np.concatenate((self.bounds, np.zeros_like(self.bounds)))
@@ -120,14 +130,14 @@ class Encoder:
         """All ids of the rows of a piece of texts, an end id after each, and the n + 1 offsets."""
         if self.n > REMEMBERED:
             self.clear()
-        starts = cuts(raw, offsets)
+        starts, odd = cuts(raw, offsets)
         ends = np.append(starts[1:], len(raw))[:len(starts)]
         hashes, first, piece = np.unique(T.span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
         place = np.minimum(np.searchsorted(self.known, hashes), max(0, self.n - 1))
         new = np.flatnonzero(self.known[place] != hashes) if self.n else np.arange(len(hashes))
         if len(new):
             flat = raw.tobytes()
-            self.learn(hashes[new], [flat[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            self.learn(hashes[new], [flat[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())], odd[first[new]].tolist())
         at = self.at[np.searchsorted(self.known, hashes)][piece] if len(hashes) else np.zeros(0, np.int64)
         begin, lengths = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
         piece_end = np.concatenate(([0], np.cumsum(lengths)))
