@@ -225,7 +225,8 @@ def components(edges: DataFrame) -> DataFrame:
             both = now.select(F.col("a").alias("u"), F.col("b").alias("v"))
             if large:
                 both = both.union(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-            least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).withColumnRenamed("u", "w")
+            # written, so that both sides of the join are exchanges that Spark can split at a hub
+            least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).withColumnRenamed("u", "w"), "least")
             met = both.join(least, F.col("u") == F.col("w"))
             if large:
                 new = met.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -233,6 +234,7 @@ def components(edges: DataFrame) -> DataFrame:
                 new = met.where("v != m").select(F.col("v").alias("a"), F.col("m").alias("b")).union(least.where("w != m").select("w", "m"))
             step = written(new.where("a != b").distinct(), "links")
             drop_stage(now)
+            drop_stage(least)
             now = step
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:

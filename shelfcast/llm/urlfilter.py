@@ -56,7 +56,7 @@ class Cascade:
     @staticmethod
     def places(keys: np.ndarray, level: int, n_hashes: int, size: int) -> np.ndarray:
         """Bit positions of each key, one row for each hash; keys are pairs of 64-bit hashes."""
-        a = mix(keys[0] + np.uint64(level) * np.uint64(0x9E3779B97F4A7C15))
+        a = mix(keys[0] + np.uint64(level * 0x9E3779B97F4A7C15 % 2**64))
         b = mix(keys[1] ^ a) | np.uint64(1)
         return ((a + np.arange(n_hashes, dtype=np.uint64)[:, None] * b) % np.uint64(size)).astype(np.int64)
 
