@@ -5,10 +5,10 @@ and their number.  The network predicts the most frequent words, an end token an
 all other words; a word behind the stand-in has its share of the smoothed counts of those.
 
 Training passes once over all training documents in ROUNDS rounds.  In a round each task trains a
-replica on its documents by truncated backpropagation (the state runs through all their tokens, and
-every third window of TRAIN_STEPS tokens is propagated back), and the replicas are averaged by tokens.  Scoring streams every document whole: slots
-of a batch run in windows, keep their state from window to window, and take the next document when
-theirs has ended.
+replica on its documents by truncated backpropagation (every window of TRAIN_STEPS tokens is propagated
+back, and the state runs on through the whole document), and the replicas are averaged by tokens.
+Training and scoring stream every document whole: slots of a batch run in windows, keep their state
+from window to window, and take the next document when theirs has ended.
 
 Counts of the KNOWN most frequent tokens, a bounded table, are broadcast; all other occurrences are
 joined with the counts.  The texts are read twice, for the counts and for the ids of their tokens,
@@ -29,14 +29,15 @@ from .common import map_batches, pieces, text_bytes, written
 #: Tokens whose counts are broadcast (16 bytes each).
 KNOWN = 200_000
 #: Classes, words of a class, and width of the network.
-CLASSES, CLASS_WORDS, WIDTH = 16, 16, 16
-#: Training: rounds, steps of a window, documents side by side, longest stretch of a document, and
-#: windows run for each that is propagated back (the state passes through all of them).
-ROUNDS, TRAIN_STEPS, TRAIN_SLOTS, SEGMENT, BACK_EVERY = 4, 20, 128, 512, 3
+CLASSES, CLASS_WORDS, WIDTH = 32, 32, 16
+#: Training: rounds, steps of a window, and documents side by side.
+ROUNDS, TRAIN_STEPS, TRAIN_SLOTS = 4, 20, 128
 SCORE_STEPS, SCORE_SLOTS = 32, 512
 RATE = 0.08
 #: The end token among the hashes, and the ids of the stand-in and the end.
 END_HASH, UNKNOWN, END = np.uint64(0), 0, 1
+#: The type of a network's id in the written table.
+ID = np.uint8 if CLASSES * CLASS_WORDS <= 256 else np.uint16
 
 
 def held_out(doc_id: Column) -> Column:
@@ -134,8 +135,10 @@ class Statistics:
 
 # -- the network
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def sigmoid(x: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    out = np.exp(np.negative(x, out=out), out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
 def softmax_at(logits: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,28 +180,37 @@ class Network:
         net.wb[:] = np.log(share / share.sum(axis=1, keepdims=True))
         return net
 
-    def window(self, x: np.ndarray, h: np.ndarray, keep: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def inputs(self) -> np.ndarray:
+        """What each id gives to the gates."""
+        return self.embed @ self.w + self.b
+
+    def window(self, x: np.ndarray, h: np.ndarray, keep: list | None = None, inputs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """States before each step of ``x`` (steps, slots) from state ``h``, and the state after all."""
         steps, slots = x.shape
-        a = (self.embed[x.ravel()] @ self.w + self.b).reshape(steps, slots, 3 * WIDTH)
+        a = (self.inputs() if inputs is None else inputs)[x]
         states = np.empty((steps, slots, WIDTH), np.float32)
+        gates, news, gns = np.empty((steps, slots, 2 * WIDTH), a.dtype), np.empty((steps, slots, WIDTH), a.dtype), np.empty((steps, slots, WIDTH), a.dtype)
         for t in range(steps):
             states[t] = h
-            g = h @ self.u
-            zr = sigmoid(a[t, :, :2 * WIDTH] + g[:, :2 * WIDTH])
-            z, r = zr[:, :WIDTH], zr[:, WIDTH:]
-            gn = g[:, 2 * WIDTH:]
-            n = np.tanh(a[t, :, 2 * WIDTH:] + r * gn)
-            if keep is not None:
-                keep.append((z, r, n, gn))
-            h = n + z * (h - n)
+            g, zr, n = h @ self.u, gates[t], news[t]
+            np.add(a[t, :, :2 * WIDTH], g[:, :2 * WIDTH], out=zr)
+            sigmoid(zr, out=zr)
+            gns[t] = gn = g[:, 2 * WIDTH:]
+            np.multiply(zr[:, WIDTH:], gn, out=n)
+            n += a[t, :, 2 * WIDTH:]
+            np.tanh(n, out=n)
+            h = h - n
+            h *= zr[:, :WIDTH]
+            h += n
+        if keep is not None:
+            keep += [gates[:, :, :WIDTH], gates[:, :, WIDTH:], news, gns]
         return states, h
 
     def log_probs(self, states: np.ndarray, ids: np.ndarray, grads: Network | None = None):
         """log P of each id after its state; with ``grads`` also adds the gradients of -sum and
         returns that of the states.  Tokens are columns here: sums over classes run down them."""
         group, word = ids // CLASS_WORDS, ids % CLASS_WORDS
-        order = np.argsort(group, kind="stable")
+        order = np.argsort(group.astype(np.uint8 if CLASSES <= 256 else np.uint16), kind="stable")
         bound = np.searchsorted(group[order], np.arange(CLASSES + 1))
         group, word, columns = group[order], word[order], np.ascontiguousarray(states[order].T)
         log_p, d = softmax_at(self.cw.T @ columns + self.cb[:, None], group)
@@ -236,24 +248,29 @@ class Network:
         d_out = np.zeros_like(flat)
         d_out[some] = d_some
         d_out = d_out.reshape(steps, slots, WIDTH)
-        d_a, d_g = np.empty((steps, slots, 3 * WIDTH), np.float32), np.empty((steps, slots, 3 * WIDTH), np.float32)
-        d = np.zeros((slots, WIDTH), np.float32)
+        z, r, n, gn = keep
+        # of each step, what the gradient of its state gives to the gates' sums from the state
+        d_n = (1 - z) * (1 - n * n)
+        factors = np.stack(((states - n) * z * (1 - z), d_n * gn * r * (1 - r), d_n * r), axis=2)
+        d_g, d_after = np.empty((steps, slots, 3 * WIDTH), np.float32), np.empty((steps, slots, WIDTH), np.float32)
+        d, back = np.zeros((slots, WIDTH), np.float32), np.ascontiguousarray(self.u.T)
         for t in range(steps - 1, -1, -1):
-            z, r, n, gn = keep[t]
-            dn = d * (1 - z) * (1 - n * n)
-            d_a[t, :, :WIDTH] = d * (states[t] - n) * z * (1 - z)
-            d_a[t, :, WIDTH:2 * WIDTH] = dn * gn * r * (1 - r)
-            d_a[t, :, 2 * WIDTH:] = dn
-            d_g[t] = d_a[t]
-            d_g[t, :, 2 * WIDTH:] *= r
-            d = d * z + d_g[t] @ self.u.T + d_out[t]
+            d_after[t] = d
+            np.multiply(d[:, None, :], factors[t], out=d_g[t].reshape(slots, 3, WIDTH))
+            d = d * z[t]
+            d += d_g[t] @ back
+            d += d_out[t]
+        d_a = d_g.copy()
+        np.multiply(d_after, d_n, out=d_a[:, :, 2 * WIDTH:])
         d_a, d_g = d_a.reshape(-1, 3 * WIDTH), d_g.reshape(-1, 3 * WIDTH)
         grads.u += flat.T @ d_g
-        grads.w += self.embed[x.ravel()].T @ d_a
         grads.b += d_a.sum(axis=0)
-        order = np.argsort(x.ravel(), kind="stable")
-        seen, first = np.unique(x.ravel()[order], return_index=True)
-        grads.embed[seen] += np.add.reduceat((d_a @ self.w.T)[order], first, axis=0)
+        ids = x.ravel()
+        order = np.argsort(ids.astype(ID), kind="stable")
+        first = np.flatnonzero(np.diff(ids[order], prepend=-1))
+        seen, d_ids = ids[order[first]], np.add.reduceat(d_a[order], first, axis=0)
+        grads.embed[seen] += d_ids @ self.w.T
+        grads.w += self.embed[seen].T @ d_ids
         grads.vector /= max(1, len(some))
         return grads, float(log_p.sum()), after
 
@@ -290,18 +307,14 @@ def trained(net: Network, streams) -> int:
     """Train ``net`` in place on rows of ids (ids, offsets); the number of tokens."""
     squares, n = np.full_like(net.vector, 1e-6), 0
     for ids, at in streams:
-        # segments of long rows train side by side
-        many = -(-np.diff(at) // SEGMENT)
-        begin = np.repeat(at[:-1], many) + SEGMENT * (np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many))
-        end = np.minimum(begin + SEGMENT, np.repeat(at[1:], many))
-        slots = Slots(ids, begin, end, TRAIN_SLOTS, TRAIN_STEPS)
-        for k, (_, x, mask) in enumerate(slots.windows()):
-            n += int(mask.sum())
-            if k % BACK_EVERY:
-                _, slots.state = net.window(x, slots.state)
-                continue
+        slots = Slots(ids, at[:-1], at[1:], TRAIN_SLOTS, TRAIN_STEPS)
+        full = len(slots.row) * TRAIN_STEPS
+        for _, x, mask in slots.windows():
+            tokens = int(mask.sum())
+            n += tokens
             grads, _, slots.state = net.gradients(x, mask, slots.state)
-            g = np.clip(grads.vector, -0.5, 0.5)
+            # a token counts alike in the last windows, where only the longest documents are left
+            g = np.clip(grads.vector * (tokens / full), -0.5, 0.5)
             squares += g * g
             net.vector -= RATE * g / np.sqrt(squares + 1e-4)
     return n
@@ -309,10 +322,10 @@ def trained(net: Network, streams) -> int:
 
 def row_scores(net: Network, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     """log P of each row of ids, whole."""
-    out = np.zeros(len(at) - 1)
+    out, inputs = np.zeros(len(at) - 1), net.inputs()
     slots = Slots(ids, at[:-1], at[1:], SCORE_SLOTS, SCORE_STEPS)
     for _, x, mask in slots.windows():
-        states, slots.state = net.window(x, slots.state)
+        states, slots.state = net.window(x, slots.state, inputs=inputs)
         log_p, _ = net.log_probs(states[mask], x[mask])
         out += np.bincount(np.broadcast_to(slots.row, mask.shape)[mask], log_p, minlength=len(out))
     return out
@@ -320,9 +333,6 @@ def row_scores(net: Network, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 # -- on Spark
 
-#: The type of a network's id in the written table.
-ID = np.uint8 if CLASSES * CLASS_WORDS <= 256 else np.uint16
-
 SCAN = "doc_id long, held_out boolean, n_tokens long, n_near long, log_near double, log_near_rest double, n_rest long, tail array<long>, ids binary"
 
 

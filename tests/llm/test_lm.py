@@ -75,6 +75,35 @@ def test_learns_order_that_counts_cannot_see(spark):
     assert got[1] / got[2] > got[0] / got[2] + 0.3
 
 
+def test_learns_order_from_few_texts(spark):
+    rng = random.Random(1)
+    cycle = [f"w{i}" for i in range(12)]
+
+    def text():
+        k = rng.randrange(12)
+        return " ".join(cycle[(k + j) % 12] for j in range(60))
+    got = L.scored(frame(spark, [text() for _ in range(300)]).coalesce(1), L.held_out(F.col("doc_id"))).where("held_out").agg(F.sum("base_score"), F.sum("score"), F.sum("n_tokens")).first()
+    assert got[1] / got[2] > got[0] / got[2] + 0.3
+
+
+def test_every_token_is_propagated_back_with_the_state_of_its_document(monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [rng.integers(0, L.CLASSES * L.CLASS_WORDS, n).astype(np.int32) for n in (1500, 7, 19, 600, *[11] * 200)]
+    ids, at = np.concatenate(rows), np.concatenate(([0], np.cumsum(list(map(len, rows)))))
+    seen, fresh = [], 0
+    gradients = L.Network.gradients
+
+    def watched(net, x, mask, h):
+        nonlocal fresh
+        seen.append(x[mask])
+        fresh += int((~h.any(axis=1) & mask[0]).sum())
+        return gradients(net, x, mask, h)
+    monkeypatch.setattr(L.Network, "gradients", watched)
+    assert L.trained(L.Network.initial(np.ones(L.CLASSES * L.CLASS_WORDS)), [(ids, at)]) == len(ids)
+    assert sorted(np.concatenate(seen).tolist()) == sorted(ids.tolist())
+    assert fresh == len(rows)  # a state is zero only where a document begins
+
+
 def test_empty_table_and_no_training_rows(spark):
     assert L.scored(frame(spark, []), L.held_out(F.col("doc_id"))).count() == 0
     r = L.scored(frame(spark, ["a b"]), F.lit(True)).first()
