@@ -4,8 +4,9 @@ Base matches (e-mail, IP, card, phone) are the seeds.  Each occurrence of a seed
 patterns: the two words before it, and the word before with the word after.  Other identifier-like
 strings are candidates with patterns of their own.  Spark then scores the graph of patterns and
 instances in rounds: a pattern's confidence in a kind is the mean confidence of its instances, an
-instance's the mean confidence of its patterns, and seeds stay certain.  Patterns of high
-confidence that enough distinct seeds support give their kind to the candidates they surround.
+instance's the mean confidence of those of its patterns that enough distinct seeds support, and
+seeds stay certain.  Candidates of high confidence are accepted with their kind and are seeds of the
+next rounds, until these accept no new one.
 
 Offsets are code points, ends exclusive.  Null and empty texts have no spans.  Repeated rows get
 equal results, and copies count once in the graph.  An empty table gives no rows."""
@@ -34,7 +35,7 @@ AT = re.compile(r"@|\x20?[\[(]at[\])]\x20?")
 BEFORE, AFTER = re.compile(r"[^\s@]{1,64}\Z"), re.compile(r"[^\s@]{1,64}")
 #: Characters looked at on either side for the words of a pattern.
 CONTEXT = 80
-#: Rounds of scoring, least confidence, least distinct seeds of a pattern.
+#: Rounds of scoring before candidates are accepted, least confidence, least distinct seeds of a pattern.
 ROUNDS, CONFIDENCE, SUPPORT = 3, 0.8, 4
 
 MARKS = np.zeros(256, bool)
@@ -138,27 +139,44 @@ def scan(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), one, SCAN)
 
 
+def fits(value: Column, kind: Column) -> Column:
+    """Whether a candidate looks like the kind: an address has an at sign, the others have none."""
+    return F.when(kind == 0, value.contains("@") | value.contains("at")).otherwise(~value.contains("@"))
+
+
 def confident_instances(edges: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
-    """(value, kind) of candidates that confident patterns surround.
-
-    ``edges``: distinct (pattern, value, kind), kind -1 for candidates.  Every round joins the edges
-    with the instances' scores and sums by pattern, then the other way round."""
-    one_hot = [F.when(F.col("kind") == k, 1.0).otherwise(0.0).alias(f"r{k}") for k in range(len(KINDS))]
-    scores = edges.select("value", "kind").distinct().select(F.col("value").alias("v"), (F.col("kind") >= 0).alias("seed"), *one_hot)
-    for n in range(rounds):
-        scores = written(scores, "pii-instances")
-        met = edges.join(scores, (F.col("value") == F.col("v")) & ((F.col("kind") >= 0) == F.col("seed")))
-        by_pattern = met.groupBy("pattern").agg(
-            *(F.avg(f"r{k}").alias(f"p{k}") for k in range(len(KINDS))),
-            *(F.sum(F.when(F.col("kind") == k, 1).otherwise(0)).alias(f"s{k}") for k in range(len(KINDS)))).withColumnRenamed("pattern", "p")
-        trusted = [F.when(F.col(f"s{k}") >= support, F.col(f"p{k}")).otherwise(0.0).alias(f"p{k}") for k in range(len(KINDS))]
-        by_pattern = written(by_pattern.select("p", *trusted), "pii-patterns")
-        back = edges.where("kind < 0").join(by_pattern, F.col("pattern") == F.col("p"))
-        found = back.groupBy("value").agg(*(F.avg(f"p{k}").alias(f"r{k}") for k in range(len(KINDS)))).withColumnRenamed("value", "v")
-        seeds = scores.where("seed")
-        scores = seeds.unionByName(found.withColumn("seed", F.lit(False)))
-    best = F.greatest(*(F.struct(F.col(f"r{k}").alias("score"), F.lit(k).alias("kind")) for k in range(len(KINDS))))
-    return scores.where("not seed").select("v", best.alias("b")).where(F.col("b.score") >= confidence).select(F.col("v"), F.col("b.kind").alias("found"))
+    """(v, found): value and kind of candidates that confident patterns surround.
+
+    ``edges``: distinct (pattern, value, kind), kind -1 for candidates.  Every round joins the
+    candidates' edges with their scores and sums by pattern, then the other way round.  Scores start
+    anew from the seeds and all accepted, so that a candidate's fate rests on its own part of the graph."""
+    kinds = range(len(KINDS))
+    open_edges = edges.where("kind < 0").select("pattern", "value")
+    seeds = written(edges.where("kind >= 0").groupBy(F.col("pattern").alias("q")).agg(
+        F.count("*").alias("n_q"), *(F.sum((F.col("kind") == k).cast("long")).alias(f"q{k}") for k in kinds)), "pii-seeds")
+    accepted, n_accepted = edges.sparkSession.createDataFrame([], "v string, found int"), 0
+    while True:
+        certain = accepted.select("v", "found", *((F.col("found") == k).cast("double").alias(f"r{k}") for k in kinds))
+        scores = certain
+        for _ in range(rounds):
+            met = open_edges.join(scores, F.col("value") == F.col("v"), "left")
+            by_pattern = met.groupBy(F.col("pattern").alias("p")).agg(
+                F.count("*").alias("n"), *(F.coalesce(F.sum(f"r{k}"), F.lit(0.0)).alias(f"p{k}") for k in kinds),
+                *(F.sum(F.when(F.col("found") == k, 1).otherwise(0)).alias(f"s{k}") for k in kinds))
+            every = by_pattern.join(seeds, F.col("p") == F.col("q"), "left").na.fill(0, ["n_q", *(f"q{k}" for k in kinds)])
+            supported = [F.col(f"s{k}") + F.col(f"q{k}") >= support for k in kinds]
+            trusted = [F.when(supported[k], (F.col(f"p{k}") + F.col(f"q{k}")) / (F.col("n") + F.col("n_q"))).otherwise(0.0).alias(f"p{k}") for k in kinds]
+            patterns_of = written(every.where(F.array_contains(F.array(*supported), True)).select("p", *trusted), "pii-patterns")
+            back = open_edges.join(patterns_of, F.col("pattern") == F.col("p")).groupBy(F.col("value").alias("v")).agg(*(F.avg(f"p{k}").alias(f"r{k}") for k in kinds))
+            rest = back.join(accepted.select("v"), "v", "left_anti").select("v", F.lit(None).cast("int").alias("found"), *(f"r{k}" for k in kinds))
+            scores = written(certain.unionByName(rest), "pii-instances")
+        best = F.greatest(*(F.struct(F.col(f"r{k}").alias("score"), F.lit(k).alias("kind")) for k in kinds))
+        new = scores.where("found is null").select("v", best.alias("b")).where(F.col("b.score") >= confidence).select("v", F.col("b.kind").alias("found"))
+        accepted = written(accepted.unionByName(new.where(fits(F.col("v"), F.col("found")))), "pii-accepted")
+        n = accepted.count()
+        if n == n_accepted:
+            return accepted
+        n_accepted = n
 
 
 def spans_text(spans: Column) -> Column:
@@ -172,9 +190,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     rows = written(scan(docs).withColumn("row", F.monotonically_increasing_id()), "pii-rows")
     seen = rows.select("row", F.explode("seen").alias("s")).select("row", "s.*")
     edges = written(seen.select(F.explode("patterns").alias("pattern"), "value", "kind").distinct(), "pii-edges")
-    shape = F.when(F.col("found") == 0, F.col("value").contains("@") | F.col("value").contains("at")).otherwise(~F.col("value").contains("@"))
-    accepted = written(confident_instances(edges), "pii-accepted")
-    new = seen.where("kind < 0").join(accepted, F.col("value") == F.col("v")).where(shape)
+    accepted = confident_instances(edges)
+    new = seen.where("kind < 0").join(accepted, F.col("value") == F.col("v"))
     by_row = new.groupBy(F.col("row").alias("r")).agg(F.collect_list(F.struct("start", F.col("found").alias("kind"), "end")).alias("more"))
     every = rows.join(by_row, F.col("row") == F.col("r"), "left")
     spans = F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,kind:int,end:int>>"))))

@@ -54,6 +54,19 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert got[20].spans == f"phone:{start}:{start + 12}"
 
 
+def test_one_trusted_context_is_enough_and_accepted_identifiers_are_seeds(spark):
+    seeds = [(i, f"please call the office line +1 (5{i:02}) 555-01{i:02} before noon {i}") for i in range(8)]
+    # another word on the right, and a value that also occurs elsewhere
+    near = [(20 + i, f"please call the office line 555 867 530{i} soon") for i in range(4)] + [(30, "odd weight was 555 867 5300 grams")]
+    # four values found by their first context support a second one
+    hop = [(40 + i, f"my desk number 555 867 530{i} today") for i in range(4)] + [(50, "my desk number 555 444 3322 always"), (51, "some other number 555 444 3399 always")]
+    docs = spark.createDataFrame(seeds + near + hop, "doc_id long, text string").repartition(3)
+    got = collected(P.personal_data(docs))
+    for i, t in near + hop:
+        start = t.index("555")
+        assert got[i].spans == ("" if i == 51 else f"phone:{start}:{start + 12}"), t
+
+
 def test_long_text_and_empty_table(spark):
     text = "word " * 200_000 + "a@b.cd " + "9" * 100_000 + " " + "x" * 100_000 + "@"
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
