@@ -4,7 +4,8 @@ Tags are read into a tree as a browser would close them: a paragraph ends at the
 items, cells, rows and options end at their next sibling, rows get their table sections.  The tree
 is then rendered: hidden elements are left out, all other text is emitted with white space
 collapsed as displayed, blocks on lines of their own, blank lines around paragraphs, markers and
-indentation for lists, and table cells aligned in columns.
+indentation for lists, and table cells aligned in columns.  Formulas (MathML) and the texts of
+drawings (SVG) are text within their line.
 
 A null page has a null text, an empty one an empty text.  Unclosed comments, tags and raw-text
 elements reach to the end of the page.  Repeated rows are rendered alike."""
@@ -23,7 +24,9 @@ from .common import map_batches
 # The element classes of HTML that matter for layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style iframe noembed noframes textarea title xmp noscript template".split())
-HIDDEN = frozenset("head script style template noscript iframe noembed noframes datalist audio video canvas object svg math dialog title".split())
+HIDDEN = frozenset("head script style template noscript iframe noembed noframes datalist audio video canvas object dialog title".split())
+#: Elements of drawings and formulas that are not shown where they stand.
+UNDRAWN = {"svg": frozenset("title desc defs metadata symbol clippath mask pattern marker".split()), "math": frozenset(("annotation", "annotation-xml"))}
 HEAD = frozenset("head base link meta title script style noscript template".split())
 MARGIN = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr fieldset form article section header footer nav aside main".split())
 BLOCK = MARGIN | frozenset("html body div li dt dd address center details summary figcaption legend caption tr option optgroup select menu".split())
@@ -134,12 +137,17 @@ class Builder:
                 self.push(Node("tr"))
         named = attributes(source) if source and not source.isspace() else {}
         hidden = tag in HIDDEN and not (tag == "dialog" and "open" in named) or "hidden" in named or bool(UNSEEN.search(named.get("style", ""))) or tag == "input" and named.get("type", "").lower() == "hidden"
+        hidden = hidden or any(tag in UNDRAWN[k] and self.count.get(k) for k in UNDRAWN)
         node = Node(tag, hidden, number(named.get("colspan"), 1, 1000), number(named.get("start"), 1, 10**9))
-        if tag in VOID:
+        if tag in VOID or self.foreign() and source.endswith("/"):
             self.stack[-1].children.append(node)
         else:
             self.push(node)
 
+    def foreign(self) -> bool:
+        """Within a drawing or formula, where a tag may close itself."""
+        return bool(self.count.get("svg") or self.count.get("math"))
+
     def end(self, tag: str) -> None:
         if tag == "br":
             self.stack[-1].children.append(Node("br"))
@@ -181,7 +189,7 @@ def parse(page: str) -> Node:
             continue
         tree.start(tag, page[name.end():end].rstrip(">"))
         at = end + (tag == "pre" and page.startswith("\n", end))
-        if tag in RAW:
+        if tag in RAW and not (tree.foreign() and page.startswith("/>", end - 2)):
             low = page.lower() if low is None and len(page.lower()) == n else low
             close = (low or page).find(f"</{tag}", at)
             stop = n if close < 0 else close
@@ -262,7 +270,7 @@ def render(page: str | None) -> str | None:
     """The visible text of a page as laid out."""
     if page is None:
         return None
-    flows, tables, lists, pre = [Flow()], [], [], 0
+    flows, tables, lists, pre, drawn = [Flow()], [], [], 0, 0
     work: list[tuple[object, bool]] = [(parse(page), True)]
     while work:
         node, enter = work.pop()
@@ -281,6 +289,10 @@ def render(page: str | None) -> str | None:
                 flow.block(tag in MARGIN and not (tag in ("ul", "ol") and lists))
             if tag == "pre":
                 pre += 1
+            elif tag == "svg":
+                drawn += 1
+            elif tag == "text" and drawn:
+                flow.space = True
             elif tag in ("ul", "ol", "menu"):
                 lists.append([tag, node.number])
                 flow.indent += 3
@@ -309,6 +321,10 @@ def render(page: str | None) -> str | None:
             flow.gap = flow.gap or int(tag in MARGIN and not (tag in ("ul", "ol") and len(lists) > 1))
         if tag == "pre":
             pre -= 1
+        elif tag == "svg":
+            drawn -= 1
+        elif tag == "text" and drawn:
+            flow.space = True
         elif tag in ("ul", "ol", "menu"):
             lists.pop()
             flow.indent -= 3

@@ -22,6 +22,15 @@ def test_visibility_rules():
     assert "no" not in render(page).split()
 
 
+def test_formulas_and_drawings_show_their_text():
+    formula = "<p>As <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding=tex>no</annotation></semantics></math> holds"
+    assert render(formula) == "As x=2 holds"
+    chart = """<p>Sales<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><defs/><title/>
+<rect width=1 /><text x=1>Jan</text><text x=2>Feb <tspan>12</tspan></text><style>no</style></svg>up<svg><path d="M0"/></svg> end"""
+    assert render(chart) == "Sales Jan Feb 12 up end"
+    assert render("<svg hidden><text>no</text></svg>a<text>b</text>c") == "abc"
+
+
 def test_pre_entities_and_broken_markup():
     assert render("<pre>\n a\n   b</pre>x") == " a\n   b\n\nx"
     assert render("1 < 2 <a href='x>y'>l</a> &copy; &#233; <") == "1 < 2 l © é <"
