@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, htmltext, lm, mixing, phrases, pii, quality, simhash, tokenfiles, urlfilter
+from . import bpe, decontam, htmltext, lm, mixing, phrases, pii, quality, simhash, tokenfiles, urlfilter
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 #: The rules of the URL filter, and the host-name parts that put a host on the list.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -58,7 +59,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_files, op3_simhash, op4_html_text, op5_personal_data, op6_url_filter, op7_repeated_phrases, op8_language_model, op9_decontamination, op10_mixing)}
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = bpe.ByteBPE(spark, RANKS, public_tokenizers.PATTERN)
+    out = codec.decoded(codec.encoded(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_files, op3_simhash, op4_html_text, op5_personal_data, op6_url_filter, op7_repeated_phrases, op8_language_model, op9_decontamination, op10_mixing, op11_byte_bpe)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
