@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, htmltext, lm, mixing, phrases, pii, quality, simhash, tokenfiles, urlfilter
+from . import bpe, decontam, htmltext, importance, lm, mixing, phrases, pii, quality, simhash, tokenfiles, urlfilter
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,7 +65,12 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_files, op3_simhash, op4_html_text, op5_personal_data, op6_url_filter, op7_repeated_phrases, op8_language_model, op9_decontamination, op10_mixing, op11_byte_bpe)}
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_files, op3_simhash, op4_html_text, op5_personal_data, op6_url_filter, op7_repeated_phrases, op8_language_model, op9_decontamination, op10_mixing, op11_byte_bpe, op13_importance)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -143,4 +148,35 @@ e AS (
 SELECT doc_id, size, b.source_size, target,
        CAST(size * (repeats + CASE WHEN repeats < 3 AND (h < edge OR (h = edge AND rest * 2 > e.n)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source JOIN e ON d.source IS NOT DISTINCT FROM e.source""",
+    # CRC-32 bit by bit: the first of a byte's eight steps takes the byte in
+    "op13_importance": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all({_LOWER}, {_ALNUM}), []) AS w FROM documents),
+b AS (SELECT regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM benchmark WHERE text IS NOT NULL),
+df AS (SELECT r, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM d),
+bf AS (SELECT unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM b),
+f AS (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+bucket AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(range(0, len(x) // 2), lambda i:
+           [CAST('0x' || x[2 * i + 1:2 * i + 2] AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+           lambda a, e: xor(xor(a, e) >> 1, (xor(a, e) & 1) * 3988292384)), 4294967295) % 10000 AS bucket FROM f),
+s AS (SELECT bucket, count(*) AS s FROM df JOIN bucket USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bf JOIN bucket USING (f) GROUP BY bucket),
+total AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS n_s, (SELECT coalesce(sum(t), 0) FROM t) AS n_t),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * (n_s + 10000) AS DOUBLE) / CAST((s + 1) * (n_t + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), total),
+weight AS (
+  SELECT r, count(*) AS n, CAST((sum(gain) - ((sum(gain) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS weight
+  FROM df JOIN bucket USING (f) JOIN gain USING (bucket) GROUP BY r),
+score AS (
+  SELECT r, doc_id, len(w) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM d LEFT JOIN weight USING (r)),
+scored AS (
+  SELECT r, doc_id, n_words, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM score),
+fit AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS rank, count(*) OVER () AS n
+  FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN CAST(rank AS BIGINT) END AS rank FROM scored LEFT JOIN fit USING (r)""",
 }

@@ -19,7 +19,7 @@ def cell(v):
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_oracles(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "pages"):
+    for t in ("documents", "benchmark", "labels", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = QUERIES[key](spark, SF)
     want = con.execute(ORACLES[key])
