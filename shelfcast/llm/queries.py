@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, htmltext, importance, lm, mixing, phrases, pii, quality, simhash, tokenfiles, urlfilter
+from . import bpe, centroids, decontam, htmltext, importance, lm, mixing, phrases, pii, quality, simhash, tokenfiles, urlfilter
 from .common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -65,18 +65,48 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.Clustering().fit(table(spark, sf_dir, "embeddings")))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = importance.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_features", "weight", "score", "rank")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_files, op3_simhash, op4_html_text, op5_personal_data, op6_url_filter, op7_repeated_phrases, op8_language_model, op9_decontamination, op10_mixing, op11_byte_bpe, op13_importance)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_files, op3_simhash, op4_html_text, op5_personal_data, op6_url_filter, op7_repeated_phrases, op8_language_model, op9_decontamination, op10_mixing, op11_byte_bpe, op12_centroids, op13_importance)}
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
+
+
+def _centroid_sql(rounds: int) -> str:
+    """Rounds of assignment and floored means, unrolled."""
+    near = """SELECT r, min_by(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT r, c, list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - m.v[i]) * (k.v[i] - m.v[i]))) AS d FROM k, m{0} m) GROUP BY r"""
+    steps = "".join(f"""
+a{n} AS ({near.format(n)}),
+s{n} AS (SELECT c, i, sum(v[i]) AS s, count(*) AS n FROM a{n} JOIN k USING (r), unnest(range(1, 65)) AS t(i) GROUP BY c, i),
+m{n + 1} AS (
+  SELECT c, coalesce(new.v, m{n}.v) AS v
+  FROM m{n} LEFT JOIN (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM s{n} GROUP BY c) new USING (c)),""" for n in range(rounds))
+    return f"""
+WITH k AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+m0 AS (
+  SELECT row_number() OVER (ORDER BY h, embedding) - 1 AS c, v
+  FROM (SELECT *, sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM k ORDER BY h, embedding LIMIT 16)),{steps}
+a AS ({near.format(rounds)})
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a JOIN k USING (r) JOIN m{rounds} m USING (c)"""
+
+
 ORACLES = {
+    "op12_centroids": _centroid_sql(3),
     "op7_repeated_phrases": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, {_WORD}), []) AS w FROM documents),
 win AS (SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM d, unnest(range(1, len(w) - 11)) AS t(i)),
