@@ -12,13 +12,19 @@ out goes to a closed-form slot:
   is the number of units handed out in earlier rounds;
 * warehouse w covers unit numbers (lo_w, hi_w] of the running sum of its units.
 
-Plan: the number of stores still queued in each round comes from two +-1 events per store (a
-difference array), so ``U(r)`` is piecewise linear in r.  After x units have been handed out, the
-segment with the largest ``u_start < x`` gives the round ``R`` of the x-th unit, and a store at
-``pos`` that needs ``need`` has received ``min(need, R - 1)`` units, plus one if it takes part in
-round R at or before the x-th unit.  A warehouse ships each store the difference between its two
-boundaries.  No unit is ever a row: there are stores x warehouses rows per product, however large
-the quantities.
+Plan: an ordered sweep over each product's units.  The number of stores still queued in each round
+comes from two +-1 events per store (a difference array), so ``U(r)`` is piecewise linear in r.  Its
+segments and the warehouse boundaries are merged in one ordered pass; the segment before a boundary
+inverts U there: the round of the x-th unit and the units handed out before that round.
+
+The stores that one warehouse serves are then at most two ranges of queue positions, because the
+stores of a round are a prefix of the queue: the rest of the round in which the warehouse begins, and the
+stores of the next rounds (the first of them has the longest prefix), or of its last round up to
+its last unit.  Only those positions are generated, so the rows that meet the stores are exactly the rows of
+the result, however many stores and warehouses a product has and however large the quantities.
+A store at ``pos`` that needs ``need`` has received ``min(need, R - 1)`` units after x units, plus one if it
+takes part in round R at or before the x-th unit; a warehouse ships it the difference between its two
+boundaries, and ships ``hi - lo`` in all.
 """
 
 from __future__ import annotations
@@ -67,47 +73,7 @@ def distribute_warehouse_stock(replenishment_needs: DataFrame, warehouse_stock:
     served_products = n.join(stock, "product", "inner")
     demand = served_products.groupBy("product").agg(F.sum("need").alias("total_need"))
 
-    # m = stores still queued from round t on, u_start = units handed out before round t
-    ev = served_products.select("product", F.explode(F.array(
-        F.struct(F.lit(1).cast("long").alias("t"), F.lit(1).alias("d")),
-        F.struct((F.col("need") + 1).alias("t"), F.lit(-1).alias("d")))).alias("e"))
-    seg = ev.groupBy("product", F.col("e.t").alias("t")).agg(F.sum("e.d").alias("d"))
-    by_t = Window.partitionBy("product").orderBy("t")
-    seg = (seg.withColumn("m", F.sum("d").over(by_t.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("t_next", F.lead("t").over(by_t)))
-    seg = seg.withColumn("u_start", F.coalesce(
-        F.sum((F.col("t_next") - F.col("t")) * F.col("m")).over(by_t.rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)))
-
-    # the warehouses that ship, each with its two boundaries and the segment of each
-    w = w.join(demand, "product", "inner").filter(F.col("lo") < F.col("total_need"))
-    w = w.withColumn("hi", F.least("hi", "total_need"))
-    ends = w.select("product", F.explode(F.array("lo", "hi")).alias("x")).distinct()
-    line = ends.select("product", F.col("x").alias("u"), F.lit(0).alias("kind"), F.lit(None).cast("struct<t:long,m:long,u:long>").alias("s")) \
-        .unionByName(seg.filter("m > 0").select("product", F.col("u_start").alias("u"), F.lit(1).alias("kind"),
-                                                F.struct(F.col("t"), F.col("m").cast("long").alias("m"), F.col("u_start").cast("long").alias("u")).alias("s")))
-    before = Window.partitionBy("product").orderBy("u", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    at = line.withColumn("s", F.last("s", ignorenulls=True).over(before)).filter("kind = 0")
-    # round of the x-th unit, and units handed out before that round; nothing is handed out at x = 0
-    rnd = F.col("s.t") + F.floor((F.col("u") - F.col("s.u") - 1) / F.col("s.m"))
-    at = at.select("product", F.col("u").alias("x"), F.col("s"), F.coalesce(rnd, F.lit(1)).cast("long").alias("r"))
-    at = at.withColumn("u_r", F.coalesce(F.col("s.u") + (F.col("r") - F.col("s.t")) * F.col("s.m"), F.lit(0)).cast("long")).drop("s")
-
-    def boundary(which: str) -> DataFrame:
-        return at.select(F.col("product"), F.col("x").alias(which), F.col("r").alias(f"r_{which}"), F.col("u_r").alias(f"u_{which}"))
-
-    w = w.join(boundary("lo"), ["product", "lo"]).join(boundary("hi"), ["product", "hi"])
-
-    def received(which: str):
-        """Units that a store has received when ``which`` units have been handed out."""
-        r, left = F.col(f"r_{which}"), F.col(which) - F.col(f"u_{which}")
-        return F.least(F.col("need"), r - 1) + ((F.col("need") >= r) & (F.col("pos") <= left)).cast("long")
-
-    pairs = n.join(w.drop("cap", "total_need"), "product").select(
-        "product", "warehouse", "store", "need", F.col("qty").alias("baslangic_depo_stok"),
-        received("lo").alias("had"), (received("hi") - received("lo")).alias("karsilanan_adet")).filter("karsilanan_adet > 0")
-    per_wh = Window.partitionBy("product", "warehouse")
-    pairs = pairs.withColumn("depo_sevk_toplam", F.sum("karsilanan_adet").over(per_wh))
+    pairs = served_pairs(_served_positions(_segments(served_products), w.join(demand, "product")), n)
     ihtiyac = F.col("need") - F.col("had")
     out = pairs.select(
         F.col("warehouse").alias("gonderen_depo"), F.col("store").alias("alan_magaza"), F.col("product").alias("urun"),
@@ -131,6 +97,64 @@ def distribute_warehouse_stock(replenishment_needs: DataFrame, warehouse_stock:
     return out
 
 
+def _segments(needs: DataFrame) -> DataFrame:
+    """(product, t, m, u, t_next, m_next): from round t to t_next - 1 there are m stores in the queue, u
+    units are handed out before round t.  Round 0, before all units, has no stores."""
+    zero = F.struct(F.lit(0).cast("long").alias("t"), F.lit(0).alias("d"))
+    joins = F.struct(F.lit(1).cast("long").alias("t"), F.lit(1).alias("d"))
+    leaves = F.struct((F.col("need") + 1).alias("t"), F.lit(-1).alias("d"))
+    events = needs.select("product", F.explode(F.array(zero, joins, leaves)).alias("e"))
+    by_t = Window.partitionBy("product").orderBy("t")
+    seg = events.groupBy("product", F.col("e.t").alias("t")).agg(F.sum("e.d").alias("d"))
+    seg = seg.withColumn("m", F.sum("d").over(by_t.rowsBetween(Window.unboundedPreceding, 0))).withColumn("t_next", F.lead("t").over(by_t))
+    handed_out = F.sum((F.col("t_next") - F.col("t")) * F.col("m")).over(by_t.rowsBetween(Window.unboundedPreceding, -1))
+    # the first segment begins one unit early, so that the boundary at 0 units lies behind it
+    return seg.select("product", "t", "m", F.coalesce(handed_out, F.lit(-1)).cast("long").alias("u"), "t_next",
+                      F.coalesce(F.lead("m").over(by_t), F.lit(0)).cast("long").alias("m_next"))
+
+
+def _served_positions(segments: DataFrame, warehouses: DataFrame) -> DataFrame:
+    """One row for each warehouse and queue position it serves, with the round and the units before
+    it (r_lo, u_lo, r_hi, u_hi) at the warehouse's two boundaries."""
+    w = warehouses.filter(F.col("lo") < F.col("total_need")).withColumn("hi", F.least("hi", "total_need"))
+    ends = w.select("product", "warehouse", "qty", "lo", "hi", F.explode(F.array("lo", "hi")).alias("x"))
+    where = F.struct("t", "m", "u", "t_next", "m_next")
+    line = ends.select("*", F.lit(0).alias("kind"), F.lit(None).cast("struct<t:long,m:long,u:long,t_next:long,m_next:long>").alias("s")) \
+        .unionByName(segments.select("product", F.col("u").alias("x"), F.lit(1).alias("kind"), where.alias("s")), allowMissingColumns=True)
+    before = Window.partitionBy("product").orderBy("x", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    at = line.withColumn("s", F.last("s", ignorenulls=True).over(before)).filter("kind = 0")
+    # rounds of the segment that are over before the x-th unit; none at x = 0
+    over = F.when(F.col("s.m") > 0, F.expr("(x - s.u - 1) div if(s.m > 0, s.m, 1)")).otherwise(0)
+    r = F.col("s.t") + over
+    at = at.select("product", "warehouse", "qty", "lo", "hi", "x", F.struct(
+        r.alias("r"), F.greatest(F.col("s.u") + over * F.col("s.m"), F.lit(0)).alias("u"), F.col("s.m").alias("m"),
+        F.when(r + 1 < F.col("s.t_next"), F.col("s.m")).otherwise(F.col("s.m_next")).alias("m_next")).alias("e"))
+    # the window's exchange on product serves this grouping too
+    w = at.groupBy("product", "warehouse", "qty", "lo", "hi").agg(
+        F.max(F.when(F.col("x") == F.col("lo"), F.col("e"))).alias("a"), F.max(F.when(F.col("x") == F.col("hi"), F.col("e"))).alias("b"))
+    same, follows = F.col("a.r") == F.col("b.r"), F.col("b.r") > F.col("a.r") + 1
+    head = F.when(same, 0).when(follows, F.col("a.m_next")).otherwise(F.col("hi") - F.col("b.u"))
+    start = F.greatest(head, F.col("lo") - F.col("a.u")) + 1
+    end = F.when(same, F.col("hi") - F.col("a.u")).otherwise(F.col("a.m"))
+    none = F.array().cast("array<long>")
+    positions = F.concat(F.when(head >= 1, F.sequence(F.lit(1).cast("long"), head)).otherwise(none),
+                         F.when(start <= end, F.sequence(start, end)).otherwise(none))
+    return w.select("product", "warehouse", "qty", "lo", "hi", F.col("a.r").alias("r_lo"), F.col("a.u").alias("u_lo"),
+                    F.col("b.r").alias("r_hi"), F.col("b.u").alias("u_hi"), F.explode(positions).alias("pos"))
+
+
+def served_pairs(positions: DataFrame, needs: DataFrame) -> DataFrame:
+    """What each served store receives from each of its warehouses, and what it had before."""
+    def received(which: str):
+        """Units that a store has received when ``which`` units have been handed out."""
+        r, left = F.col(f"r_{which}"), F.col(which) - F.col(f"u_{which}")
+        return F.greatest(F.least(F.col("need"), r - 1), F.lit(0)) + ((F.col("need") >= r) & (F.col("pos") <= left)).cast("long")
+
+    return positions.join(needs, ["product", "pos"]).select(
+        "product", "warehouse", "store", "need", F.col("qty").alias("baslangic_depo_stok"), received("lo").alias("had"),
+        (received("hi") - received("lo")).alias("karsilanan_adet"), (F.col("hi") - F.col("lo")).alias("depo_sevk_toplam"))
+
+
 def stock_outs(needs: DataFrame, stock: DataFrame) -> DataFrame:
     """Products with need but no positive warehouse stock anywhere: one NO_STOCK row per store."""
     miss = needs.join(stock.select("product"), "product", "left_anti")

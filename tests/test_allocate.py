@@ -3,6 +3,7 @@ import math
 import random
 from collections import deque
 
+from shelfcast.operators import allocate
 from shelfcast.operators.allocate import distribute_warehouse_stock, fulfilment_summary
 
 
@@ -108,3 +109,16 @@ def test_quantities_are_never_rows(spark):
     assert got[("w2", "s3")] == (4, 4) and got[("w2", "s1")][1] + got[("w2", "s2")][1] + 4 == n
     assert abs(got[("w2", "s1")][1] - got[("w2", "s2")][1]) <= 1
     assert sum(v[1] for k, v in got.items() if k[0] == "w3") == 1
+
+
+def test_many_stores_and_warehouses_generate_result_rows_only(spark, monkeypatch):
+    # 60 stores x 40 warehouses: most warehouses hold less than a round, some several rounds
+    rnd = random.Random(23)
+    needs = {(f"S{s:02d}", p): rnd.choice([1, 1, 2, 3, 9, 20]) for s in range(60) for p in ("A", "B")}
+    stock = {(f"W{w:02d}", p): rnd.choice([1, 2, 3, 11, 25, 70]) for w in range(40) for p in ("A", "B")}
+    seen, real = [], allocate._served_positions
+    monkeypatch.setattr(allocate, "_served_positions", lambda *a: seen.append(real(*a)) or seen[-1])
+    got, _ = _run(spark, needs, stock)
+    assert got == queue_model(needs, stock)
+    assert all(r[5] > 0 for r in got)
+    assert seen[0].count() == len(got) < 2 * 60 * 40 / 4
