@@ -3,7 +3,8 @@
 The base table is a chain of left joins that all use the same key
 (store_code, product_id): Spark shuffles the universe once on that key and every
 further sort-merge join reuses the partitioning (small sides are broadcast by
-AQE when measured small).  The need formula is pure column arithmetic.
+AQE when measured small).  Sides that come from tables bucketed by that key
+(``plans.jobs``) are not shuffled at all.  The need formula is pure column arithmetic.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ def sales_7_14_28(sales: DataFrame, as_of: Column | None = None, clip_negative:
         if clip_negative:
             v = F.greatest(v, F.lit(0.0))
         out.append(v.alias(f"net_quantity_{n}"))
-    return s.groupBy("product_id", "store_code").agg(*out)
+    return s.groupBy(*KEY).agg(*out)
 
 
 def replenishment_base(pairs: DataFrame, safety: DataFrame, pred14: DataFrame, on_hand: DataFrame,

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..operators import allocate, breakdown, features, forecast, need, prep, safety, universe, weights
 from ..operators.clean import open_order_qty
 from ..profiles import Profile, get_profile
-from ..session import materialize
+from ..session import materialize, materialize_bucketed
 
 
 def cut(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -71,15 +71,20 @@ class DailyOutputs:
 def daily_replenishment_job(sales: DataFrame, product: DataFrame, store_stock: DataFrame,
                             warehouse_stock: DataFrame, stock_movement: DataFrame, daily_pred: DataFrame,
                             as_of: Column, profile: "Profile | str | None" = None,
-                            include_unserved: bool = False) -> DailyOutputs:
-    """Need per store x product and the allocation of warehouse stock."""
+                            include_unserved: bool = False, buckets: int | None = None) -> DailyOutputs:
+    """Need per store x product and the allocation of warehouse stock.
+
+    Sales and stock are stage tables in ``buckets`` of (store, product): the day sums, the
+    safety stock, the 7/14/28-day sums, the stock on hand and their joins to the universe read them
+    in place.  Of the star's sides only the universe, the prediction and the orders are shuffled, each once."""
     pf = get_profile(profile)
-    s = cut(universe.replenishment_sales(sales, product, as_of, pf))
+    s = materialize_bucketed(universe.replenishment_sales(sales, product, as_of, pf), need.KEY, "repl-sales", buckets)
     # the last sales date, read once from the small materialised table and passed on as a
     # literal: five sub-plans filter on it, and a literal date can prune partitions at
     # planning time where a scalar subquery only filters at run time
     end = F.lit(s.agg(F.max("date")).first()[0]).cast("date")
-    stock = cut(universe.stock_by_day(store_stock, as_of, pf.stock_month_floor_days))
+    stock = materialize_bucketed(universe.stock_by_day(store_stock, as_of, pf.stock_month_floor_days),
+                                 ["magaza", "product_id"], "stock", buckets)
     if pf.forecast_universe:
         # forecast-driven universe: forecast pairs join the stock pairs, 'today' is the later
         # of the two dates, and variant weights are only needed where a forecast exists

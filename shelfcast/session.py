@@ -78,6 +78,8 @@ def scratch_root(spark: SparkSession) -> str:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove all intermediate tables of this application; frames that read them end with it."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS `{_TABLES.pop()}`")
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}-tables"
     _ROOTS.discard(root)
     where, fs = _hadoop(spark, root)
@@ -85,6 +87,8 @@ def clear_scratch(spark: SparkSession) -> None:
 
 
 _ROOTS: set[str] = set()
+#: Bucketed stage tables in the catalog; their files lie in the scratch folder.
+_TABLES: set[str] = set()
 
 
 def _hadoop(spark: SparkSession, path: str):
@@ -109,3 +113,22 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:16]}")
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_bucketed(df, keys: list[str], name: str = "stage", buckets: int | None = None):
+    """Write a stage output bucketed and sorted by ``keys`` and continue from that table.
+
+    Groupings and joins by the keys (or by more than them) read it without an exchange, and merge
+    joins without a sort, so a table that several consumers group or join by the same keys is shuffled
+    once, here.  ``buckets`` defaults to ``spark.sql.shuffle.partitions``, the number that the other side
+    of a join is shuffled to.  A row of the catalog holds the bucketing; the files are in the shared
+    scratch folder."""
+    import uuid
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex[:16]}"
+    # dealt by the buckets' own hash: a bucket is one file, whatever the number of tasks before
+    (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+       .option("compression", "snappy").option("path", scratch_path(spark, table)).format("parquet").saveAsTable(table))
+    _TABLES.add(table)
+    return spark.table(table)

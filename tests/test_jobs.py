@@ -62,3 +62,32 @@ def test_fused_profile_runs(spark, outputs):
     assert dy.pairs.count() >= prod_pairs          # forecast pairs widen the universe
     assert dy.results.filter(F.col("ihtiyac_adet") < 0).count() == 0
     assert "OUL_14" in dy.results.columns           # kept by the local/fused rules
+
+
+def test_star_shuffles_only_unbucketed_sides(spark, outputs):
+    """Merge joins (no side broadcast): the universe and the prediction are each dealt once by (store, product), the
+    orders by their own aggregate; the sides that come from the bucketed tables never are."""
+    wk, dy = outputs
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        from shelfcast.operators import need, safety, universe
+        end = F.lit(dy.sales.agg(F.max("date")).first()[0])
+        alone = {"safety": safety.seasonal_safety_stock(dy.sales, end), "windows": need.sales_7_14_28(dy.sales, end),
+                 "on_hand": universe.latest_stock(dy.stock)}
+        for name, side in alone.items():
+            plan = side._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange hashpartitioning" not in plan and "Bucketed: true" in plan, name
+        r = Retail(spark, SF)
+        base = daily_replenishment_job(r.history_sales, r.dim_product, r.store_stock, r.warehouse_stock, r.stock_movement,
+                                       wk.daily, F.lit(r.as_of), profile="prod").base
+        plan = base._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    joins = [line for line in plan.splitlines() if "SortMergeJoin [store_code#" in line and "product_id#" in line and "LeftOuter" in line and "stok_kodu" not in line]
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(store_code#" in line and ", product_id#" in line and "stok_kodu" not in line]
+    assert len(joins) == 5 and len(dealt) == 2, plan
+    assert sorted(map(tuple, base.collect()), key=str) == sorted(map(tuple, dy.base.collect()), key=str)
