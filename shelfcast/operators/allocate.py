@@ -184,3 +184,16 @@ def fulfilment_summary(distribution: DataFrame) -> DataFrame:
 def fulfilment_by_warehouse(distribution: DataFrame) -> DataFrame:
     return distribution.groupBy("gonderen_depo").agg(F.sum("ihtiyac_adet").alias("ihtiyac_adet"),
                                                      F.sum("karsilanan_adet").alias("karsilanan_adet"))
+
+
+def fulfilment_levels(distribution: DataFrame) -> DataFrame:
+    """G10 at every level in one pass: all, by warehouse, by product, and by both.
+
+    ``level`` names the grouping; a column that it does not group by is NULL."""
+    sets = [[], ["gonderen_depo"], ["urun"], ["gonderen_depo", "urun"]]
+    level = F.element_at(F.array(*map(F.lit, ("both", "warehouse", "product", "all"))), F.grouping_id("gonderen_depo", "urun").cast("int") + 1)
+    d = distribution.groupingSets([[F.col(c) for c in s] for s in sets], "gonderen_depo", "urun").agg(
+        level.alias("level"), F.count(F.lit(1)).alias("rows"), F.sum("ihtiyac_adet").alias("total_need"),
+        F.sum("karsilanan_adet").alias("total_shipped"), F.sum("kalan_ihtiyac").alias("total_unmet"))
+    rate = F.try_divide(F.col("total_shipped").cast("double"), F.col("total_need").cast("double"))
+    return d.select("level", "gonderen_depo", "urun", "rows", "total_need", "total_shipped", "total_unmet", rate.alias("fill_rate"))

@@ -103,6 +103,31 @@ def segment_mean_column(spec: FeatureSpec, w, expanding: bool = False) -> list[C
     return [F.avg(F.col(spec.target)).over(frame).alias("segment_mean")]
 
 
+def store_share(weekly: DataFrame, target: str = "total_quantity") -> DataFrame:
+    """A segment-week's share of its store cluster's quantity in that week; NULL where that is 0."""
+    whole = F.sum(target).over(Window.partitionBy("store_cluster", "week_start_date"))
+    return weekly.withColumn("store_product_share", F.try_divide(F.col(target).cast("double"), whole.cast("double")))
+
+
+#: Fixed value: what a base of zero counts as in the growth.
+ZERO_BASE = 1e-5
+
+
+def yoy_growth(weekly: DataFrame, target: str = "total_quantity", back: int = 1, year: int = 52) -> DataFrame:
+    """Growth of the segment's quantity ``back`` weeks ago over that of ``year`` weeks before it.
+
+    The frames are ranges of the week number, so they meet exactly those calendar weeks whatever
+    weeks a segment has no row for, and all rows of a week (its descriptions) count together; where either
+    week is missing the growth is NULL.  Lags over rows would slip by one week for each gap."""
+    week = F.datediff("week_start_date", F.lit("1970-01-05").cast("date")) / 7
+    out = weekly.withColumn("_week", F.floor(week).cast("long"))
+    by_week = Window.partitionBy(*SEGMENT).orderBy("_week")
+    now = F.sum(target).over(by_week.rangeBetween(-back, -back)).cast("double")
+    then = F.sum(target).over(by_week.rangeBetween(-back - year, -back - year)).cast("double")
+    base = F.when(then == 0, F.lit(ZERO_BASE)).otherwise(then)
+    return out.select(*weekly.columns, now.alias("quantity_back"), then.alias("quantity_year_before"), ((now - then) / base).alias("yoy_growth"))
+
+
 def dense_weeks(weekly: DataFrame, target: str = "total_quantity") -> DataFrame:
     """Every week between a segment's first and last one: missing weeks have quantity 0."""
     keys = SEGMENT + SEGMENT_DESCS

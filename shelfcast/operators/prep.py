@@ -111,22 +111,63 @@ def weekly_segment_sales(sales: DataFrame, product: DataFrame, clusters: DataFra
     by_price = s.groupBy(*WEEKLY_KEYS, "unit_price").agg(
         F.count(F.lit(1)).alias("n"), F.sum("net_quantity").alias("q"), F.sum("discount_frac").alias("f"),
         F.sum("rev_pre_disc").alias("w"), F.sum(F.col("discount_frac") * F.col("rev_pre_disc")).alias("fw"))
-    w_den, mean_frac = F.sum("w"), F.sum("f") / F.sum("n")
-    fallback = mean_frac if pf.wavg_fallback_mean else F.lit(None).cast("double")
-    total = F.sum("q")
-    total = F.bround(total, 0) if pf.total_quantity_rounding == "half_even" else total
-    priced = F.sum(F.when(F.col("unit_price").isNotNull(), F.col("n")))
-    aggs = [total.cast("long").alias("total_quantity"),
-            F.try_divide(F.sum(F.col("unit_price") * F.col("n")), priced).alias("unit_price_mean"),
-            mean_frac.alias("discount_frac_mean"),
-            F.when(w_den > 0, F.sum("fw") / w_den).otherwise(fallback).alias("discount_frac_wavg")]
+    by_price = by_price.withColumn("pn", F.col("unit_price") * F.col("n")).withColumn("priced", F.when(F.col("unit_price").isNotNull(), F.col("n")))
+    sums = ["n", "q", "f", "w", "fw", "pn", "priced"]
     if pf.median_mode == "approx":
         median = s.groupBy(*WEEKLY_KEYS).agg(F.percentile_approx("unit_price", 0.5, pf.median_accuracy).cast("double").alias("unit_price_median"))
+        out = by_price.groupBy(*WEEKLY_KEYS).agg(*[F.sum(c).alias(c) for c in sums]).join(median, WEEKLY_KEYS, "left")
     else:
-        median = median_of_counts(by_price, WEEKLY_KEYS, "unit_price", "n", "unit_price_median")
-    out = by_price.groupBy(*WEEKLY_KEYS).agg(*aggs).join(median, WEEKLY_KEYS, "left")
-    return out.select(*WEEKLY_KEYS, "total_quantity", "unit_price_mean", "unit_price_median",
-                      "discount_frac_mean", "discount_frac_wavg")
+        out = sums_and_median(by_price, WEEKLY_KEYS, sums, "unit_price", "n", "unit_price_median")
+    mean_frac = F.col("f") / F.col("n")
+    fallback = mean_frac if pf.wavg_fallback_mean else F.lit(None).cast("double")
+    total = F.bround("q", 0) if pf.total_quantity_rounding == "half_even" else F.col("q")
+    return out.select(*WEEKLY_KEYS, total.cast("long").alias("total_quantity"),
+                      F.try_divide("pn", "priced").alias("unit_price_mean"), "unit_price_median",
+                      mean_frac.alias("discount_frac_mean"),
+                      F.when(F.col("w") > 0, F.col("fw") / F.col("w")).otherwise(fallback).alias("discount_frac_wavg"))
+
+
+def value_bucket(value: Column) -> Column:
+    """Ordered buckets of about one percent relative width; NULL for NULL."""
+    width = F.floor(F.log2(F.abs(value) + 1e-9) * 64).cast("int") + 2000
+    return F.when(value < 0, -width).when(value > 0, width).when(value == 0, 0)
+
+
+def sums_and_median(counts: DataFrame, keys: list[str], sums: list[str], value: str, n: str, out: str) -> DataFrame:
+    """Per key the sums of columns and the exact median, from distinct values and their counts; the
+    keys are not NULL.
+
+    One aggregate by key and value bucket carries the sums; the running counts over a key's buckets
+    (some thousands at most) tell which of them hold the one or two middle ranks, and the same
+    partitioning adds up the sums.  Only the values of the middle buckets are looked at again, on the one row that
+    each key has by then."""
+    v, b = F.col(value), F.col("_b")
+    cells = counts.withColumn("_b", value_bucket(v)).groupBy(*keys, "_b").agg(
+        *[F.sum(c).alias(c) for c in sums], F.coalesce(F.sum(F.when(v.isNotNull(), F.col(n))), F.lit(0)).alias("_s"))
+    whole = Window.partitionBy(*keys)
+    upto = whole.orderBy(F.asc_nulls_first("_b")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = cells.withColumn("_to", F.sum("_s").over(upto)).withColumn("_n", F.sum("_s").over(whole))
+    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    start = F.col("_to") - F.col("_s")
+
+    def place(rank: Column) -> Column:
+        """The bucket of a rank and how many values lie before it."""
+        return F.max(F.when((start < rank) & (rank <= F.col("_to")), F.struct(b.alias("b"), start.alias("before"), rank.alias("rank"))))
+
+    per_key = cells.groupBy(*keys).agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums], place(low).alias("_low"), place(high).alias("_high"))
+    values = counts.filter(v.isNotNull()).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], v.alias("_v"), F.col(n).alias("_c"), value_bucket(v).alias("_vb"))
+    met = per_key.join(values, [*(F.col(k) == F.col(f"_k{i}") for i, k in enumerate(keys)), F.col("_vb").isin(F.col("_low.b"), F.col("_high.b"))], "left")
+    running = Window.partitionBy(*keys, "_vb").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = met.withColumn("_upto", F.sum("_c").over(running))
+
+    def at(which: str) -> Column:
+        """The value that holds a rank."""
+        rank = F.col(f"{which}.rank") - F.col(f"{which}.before")
+        here = (F.col("_vb") == F.col(f"{which}.b")) & (F.col("_upto") - F.col("_c") < rank) & (rank <= F.col("_upto"))
+        return F.sum(F.when(here, F.col("_v")))
+
+    rows = met.groupBy(*keys).agg(*[F.first(f"_sum_{c}").alias(c) for c in sums], ((at("_low") + at("_high")) / 2).alias(out))
+    return rows.select(*keys, *sums, out)
 
 
 def median_of_counts(counts: DataFrame, keys: list[str], value: str, n: str, out: str = "median") -> DataFrame:
@@ -136,9 +177,7 @@ def median_of_counts(counts: DataFrame, keys: list[str], value: str, n: str, out
     (some thousands at most) tell which of them hold the one or two middle ranks; only the values
     of those are ordered.  Keys whose values are all NULL have no row."""
     v = F.col(value)
-    width = F.floor(F.log2(F.abs(v) + 1e-9) * 64).cast("int") + 2000
-    cells = counts.filter(v.isNotNull()).select(*keys, v.alias("_v"), F.col(n).alias("_c"),
-                                                F.when(v < 0, -width).when(v > 0, width).otherwise(0).alias("_b"))
+    cells = counts.filter(v.isNotNull()).select(*keys, v.alias("_v"), F.col(n).alias("_c"), value_bucket(v).alias("_b"))
     in_order = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     all_of = Window.partitionBy(*keys)
     sizes = cells.groupBy(*keys, "_b").agg(F.sum("_c").alias("_s"))
