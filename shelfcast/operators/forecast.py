@@ -10,8 +10,10 @@ the segment's last observed value (no recursion).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import require_columns
@@ -24,7 +26,7 @@ DROP_COLS = ["week_start_date", TARGET] + SEGMENT_DESCS
 CALENDAR_RECOMPUTED = ["month", "week_of_year"]
 SPECIAL_FLAGS = ["ramazan_bayrami", "kurban_bayrami", "kara_cuma", "is_special_day"]
 CATEGORICAL = ["store_cluster", "month"]
-MISSING = -999999.0  # trees route missing values to their own side of a split
+MISSING = -999999.0  # what a missing number counts as; its indicator tells it apart
 
 
 def model_feature_columns(features: DataFrame) -> list[str]:
@@ -97,32 +99,65 @@ def fit_categories(frame: DataFrame, feature_cols: list[str]):
                          stringOrderType="alphabetAsc").fit(texts)
 
 
-def _assembled(df: DataFrame, feature_cols: list[str], categories) -> DataFrame:
-    """Features as one vector.  A missing number is far below all others, so that one split tells
-    it apart; a missing or new category is a category of its own."""
+def missing_indicators(train: DataFrame, feature_cols: list[str]) -> list[str]:
+    """The numeric features whose absence is a feature of its own.
+
+    A feature that is never or always missing has no indicator, and of features that are missing in the
+    very same rows only the first has one: one aggregate counts the missing values of each and sums a
+    hash of their rows."""
+    numeric = [c for c in feature_cols if c not in CATEGORICAL]
+    row = F.xxhash64(*[F.col(c) for c in feature_cols])
+    absent = [F.col(c).isNull().cast("long") for c in numeric]
+    got = train.select(F.lit(1).alias("_one"), (F.pmod(row, F.lit(1 << 31)) + 1).alias("_h"), *[a.alias(f"a{i}") for i, a in enumerate(absent)]).agg(
+        F.sum("_one").alias("n"), *[F.struct(F.sum(f"a{i}").alias("k"), F.sum(F.col(f"a{i}") * F.col("_h")).alias("h")).alias(f"a{i}") for i in range(len(numeric))]).first()
+    kept: dict[tuple, str] = {}
+    for i, c in enumerate(numeric):
+        pattern = (got[f"a{i}"].k, got[f"a{i}"].h)
+        if got.n and 0 < pattern[0] < got.n:
+            kept.setdefault(pattern, c)
+    return list(kept.values())
+
+
+def _assembled(df: DataFrame, feature_cols: list[str], categories, indicators: list[str]) -> DataFrame:
+    """Features as one vector: numbers, categories, and 0/1 indicators of missing numbers.  A missing or
+    new category is a category of its own."""
     from pyspark.ml.feature import VectorAssembler
     numeric = [c for c in feature_cols if c not in CATEGORICAL]
     filled = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(f"_x_{c}") for c in numeric],
-                       *[F.col(c).cast("string").alias(f"_s_{c}") for c in feature_cols if c in CATEGORICAL])
-    va = VectorAssembler(inputCols=[f"_x_{c}" for c in feature_cols], outputCol="features_vec", handleInvalid="keep")
-    return va.transform(categories.transform(filled))
+                       *[F.col(c).cast("string").alias(f"_s_{c}") for c in feature_cols if c in CATEGORICAL],
+                       *[F.col(c).isNull().cast("double").alias(f"_m_{c}") for c in indicators])
+    inputs = [f"_x_{c}" for c in feature_cols] + [f"_m_{c}" for c in indicators]
+    return VectorAssembler(inputCols=inputs, outputCol="features_vec", handleInvalid="keep").transform(categories.transform(filled))
+
+
+@dataclass(frozen=True)
+class ForecastModel:
+    """A fitted learner and how its input vector is made."""
+
+    model: object
+    features: list[str]
+    categories: object
+    indicators: list[str]
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        """``df`` with a ``prediction`` column."""
+        return self.model.transform(_assembled(df, self.features, self.categories, self.indicators))
 
 
 def fit_forecast_model(frame: DataFrame, profile: "Profile | str | None" = None, seed: int = 42,
-                       max_iter: int | None = None, checkpoint: bool = True):
-    """(b) one global GBT regressor over all segments and weeks (no hold-out); returns the model,
-    the features and the fitted categories."""
+                       max_iter: int | None = None, checkpoint: bool = True) -> ForecastModel:
+    """(b) one global GBT regressor over all segments and weeks (no hold-out)."""
     from pyspark.ml.regression import GBTRegressor
     pf = get_profile(profile)
     feats = model_feature_columns(frame)
     train = frame.select(*feats, F.col(TARGET).cast("double").alias("label"))
     if checkpoint:
         train = materialize(train, "gbt-train")
-    categories = fit_categories(train, feats)
+    categories, indicators = fit_categories(train, feats), missing_indicators(train, feats)
     most = max([64, *(len(labels) + 1 for labels in categories.labelsArray)])
     # boosting reads the assembled rows once per tree: keep them cached (spilling to disk
     # when large) for the fit only; the error RDD is checkpointed every 10 trees
-    data = _assembled(train, feats, categories).select("features_vec", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    data = _assembled(train, feats, categories, indicators).select("features_vec", "label").persist(StorageLevel.MEMORY_AND_DISK)
     gbt = GBTRegressor(featuresCol="features_vec", labelCol="label", maxIter=max_iter or pf.gbt_max_iter,
                        maxDepth=pf.gbt_max_depth, stepSize=pf.gbt_step_size, seed=seed, maxBins=most,
                        checkpointInterval=10)
@@ -130,7 +165,7 @@ def fit_forecast_model(frame: DataFrame, profile: "Profile | str | None" = None,
         model = gbt.fit(data)
     finally:
         data.unpersist()
-    return model, feats, categories
+    return ForecastModel(model, feats, categories, indicators)
 
 
 def forecast_12w(features: DataFrame, profile: "Profile | str | None" = None, seed: int = 42,
@@ -139,8 +174,7 @@ def forecast_12w(features: DataFrame, profile: "Profile | str | None" = None, se
     pf = get_profile(profile)
     # the frame feeds the fit, the grid, the last week and the frozen values: materialise once
     frame = materialize(model_frame(features), "model-frame")
-    model, feats, categories = fit_forecast_model(frame, pf, seed=seed, max_iter=max_iter, checkpoint=False)
-    fut = future_features(frame, pf.forecast_weeks)
-    pred = model.transform(_assembled(fut, feats, categories))
+    fitted = fit_forecast_model(frame, pf, seed=seed, max_iter=max_iter, checkpoint=False)
+    pred = fitted.predict(future_features(frame, pf.forecast_weeks))
     return pred.select(*SEGMENT, "week_start_date",
                        F.greatest(F.col("prediction"), F.lit(0.0)).alias("predicted_quantity"))

@@ -652,7 +652,7 @@ def _valid(df: DataFrame, value: str) -> DataFrame:
 
 @register("forecast_12w_rows")
 def q_forecast_12w_rows(spark, sf_dir):
-    return finish(_valid(fc.forecast_12w(_features(Retail(spark, sf_dir)), PROD_ALL_HISTORY, max_iter=10), "predicted_quantity"))
+    return finish(_valid(fc.forecast_12w(_features(Retail(spark, sf_dir)), PROD_ALL_HISTORY), "predicted_quantity"))
 
 
 @register("weekly_forecast_job")
@@ -661,7 +661,7 @@ def q_weekly_forecast_job(spark, sf_dir):
     from .jobs import weekly_forecast_job
     r = Retail(spark, sf_dir)
     job = weekly_forecast_job(r.history_sales, r.dim_product, r.store_clustering, r.dim_calendar, as_of_lit(r),
-                              PROD_ALL_HISTORY.with_(gbt_max_iter=10))
+                              PROD_ALL_HISTORY)
     return finish(_valid(job.daily, "prediction_store_daily"))
 
 
@@ -748,3 +748,93 @@ def q_land_raw_text(spark, sf_dir):
                         F.col("stok_kodu").alias("net adet (%)tutar"))
     io.write_csv(awkward, path)
     return io.land_raw_text(spark, path)
+
+
+# ------------------------------------------------------- step 8: landing, months
+from ..operators import incremental, sketches  # noqa: E402
+from ..sources import landing  # noqa: E402
+
+
+@register("land_raw_files")
+def q_land_raw_files(spark, sf_dir):
+    """S9 for a folder: two column orders, two separators, and one layout without a column."""
+    path = _scratch(spark, "raw_landing_files")
+    hs = Retail(spark, sf_dir).history_sales
+    names = {"date": "Satış Tarihi", "store_code": "Mağaza Kodu", "product_id": "1 Ürün-ID", "net_quantity": "Net Adet (%)"}
+    layouts = [("a", ["date", "store_code", "product_id", "net_quantity"], ",", F.col("store_code") < "1500"),
+               ("b", ["net_quantity", "product_id", "date", "store_code"], ";", F.col("store_code").between("1500", "2599")),
+               ("c", ["product_id", "store_code", "date"], "\t", F.col("store_code") > "2599")]
+    for folder, columns, sep, rows in layouts:
+        some = hs.filter(rows).select(*[F.col(c).alias(names[c]) for c in columns])
+        some.write.option("header", True).option("sep", sep).csv(f"{path}/{folder}")
+    return landing.land_raw_files(spark, path)
+
+
+@register("src_csv_rejects")
+def q_src_csv_rejects(spark, sf_dir):
+    """Line items as text with damaged records; accepted rows and rejects by reason add up."""
+    key = F.col("l_orderkey")
+    amount = F.when(key % 97 == 0, F.lit("n/a")).otherwise(F.translate(F.format_number("l_extendedprice", 2), ",.", ".,"))
+    day = F.when(key % 89 == 1, F.lit("1994-13-31")).otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+    line = F.concat_ws(";", key.cast("string"), F.col("l_linenumber").cast("string"), amount, day)
+    line = F.when(key % 101 == 2, F.concat(line, F.lit(";x"))).when(key % 103 == 3, F.concat_ws(";", key.cast("string"), F.col("l_linenumber").cast("string"))).otherwise(line)
+    src = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(line.alias("value"))
+    path = _scratch(spark, "damaged_csv")
+    src.write.text(path)
+    schema = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+                           T.StructField("l_extendedprice", T.DoubleType()), T.StructField("l_shipdate", T.DateType())])
+    checked = landing.land_checked_csv(spark, path, schema, _scratch(spark, "checked_csv"), header=False, sep=";", locale="tr-TR")
+    amounts = checked.rows.agg(F.sum("l_extendedprice")).scalar()
+    out = landing.reject_summary(checked)
+    return finish(out.withColumn("amount", F.when(F.col("outcome") == "accepted", amounts)))
+
+
+@register("extract_sales_incremental")
+def q_extract_sales_incremental(spark, sf_dir):
+    """S5 + P12: the 12-month extract brought up to date month by month (a year ago, a month ago, now)."""
+    r = Retail(spark, sf_dir)
+    sales = r.history_sales
+    extract = landing.MonthlyExtract(spark, _scratch(spark, "sales_months"), sales.schema)
+    for days in (370, 31, 0):
+        extract.refresh(sales, r.as_of - dt.timedelta(days=days))
+    return finish(extract.read())
+
+
+@register("fulfilment_levels")
+def q_fulfilment_levels(spark, sf_dir):
+    return finish(allocate.fulfilment_levels(_dense_distribution(Retail(spark, sf_dir))))
+
+
+@register("store_share")
+def q_store_share(spark, sf_dir):
+    return finish(feat.store_share(_weekly(Retail(spark, sf_dir))).select(*_KEYS_OUT, "store_product_share"))
+
+
+@register("yoy_growth")
+def q_yoy_growth(spark, sf_dir):
+    w = feat.zero_negative_target(_weekly(Retail(spark, sf_dir)))
+    return finish(feat.yoy_growth(w).select(*_KEYS_OUT, "quantity_back", "quantity_year_before", "yoy_growth"))
+
+
+@register("sketch_ranges")
+def q_sketch_ranges(spark, sf_dir):
+    """G2/G9 from merged monthly sketches: exact figures of each three months and whether the
+    estimates are within their bounds; the estimates themselves belong to the sketch library."""
+    out = sketches.checked_ranges(Retail(spark, sf_dir).history_sales)
+    return finish(out.drop("estimate", "estimate_store_code", "estimate_product_id"))
+
+
+@register("demand_features_incremental")
+def q_demand_features_incremental(spark, sf_dir):
+    """H2 for the last week, from the state that the two weekly runs before it handed on."""
+    r = Retail(spark, sf_dir)
+    last = r.as_of - dt.timedelta(days=r.as_of.weekday())
+    weeks = [last - dt.timedelta(weeks=k) for k in (2, 1, 0)]
+    before = r.history_sales.filter(F.col("date") < F.lit(weeks[0]))
+    aggregate = lambda sales: prep.weekly_segment_sales(sales, r.dim_product, r.store_clustering, calendar=r.dim_calendar,
+                                                        profile=PROD_ALL_HISTORY, as_of=as_of_lit(r))
+    state, out = incremental.initial_state(aggregate(before)), None
+    for week in weeks:
+        new = r.sales_since(week).filter(F.col("date") < F.lit(week + dt.timedelta(weeks=1)))
+        out, state = incremental.next_weeks(state, aggregate(new), r.dim_calendar, PROD_ALL_HISTORY)
+    return finish(out)

@@ -954,3 +954,50 @@ WHERE product_att_01 IS DISTINCT FROM 9 AND product_att_02 IS DISTINCT FROM 9 AN
   AND product_att_02_desc IS NOT NULL AND product_att_05_desc IS NOT NULL
 GROUP BY ALL
 """)
+
+# ---------------------------------------------------------------- step 8 oracles
+ORACLES["land_raw_files"] = build("""
+SELECT CAST(date AS VARCHAR) AS "Satış_Tarihi", store_code AS "Mağaza_Kodu", product_id AS "_1_Ürün_ID",
+       CASE WHEN store_code <= '2599' THEN CAST(net_quantity AS VARCHAR) END AS "Net_Adet____" FROM history_sales
+""")
+ORACLES["src_csv_rejects"] = f"""
+WITH r AS (
+  SELECT CASE WHEN l_orderkey % 101 = 2 THEN 5 WHEN l_orderkey % 103 = 3 THEN 2 ELSE 4 END AS n,
+         l_orderkey % 97 = 0 AS no_amount, l_orderkey % 89 = 1 AS no_day, round(l_extendedprice, 2) AS amount FROM lineitem),
+o AS (
+  SELECT concat_ws('; ', CASE WHEN n <> 4 THEN n || ' of 4 fields' END,
+                   CASE WHEN n > 2 AND (no_amount OR no_day) THEN 'not readable: ' ||
+                     concat_ws(', ', CASE WHEN no_amount THEN 'l_extendedprice' END, CASE WHEN no_day THEN 'l_shipdate' END) END) AS reason, amount FROM r)
+SELECT CASE WHEN reason = '' THEN 'accepted' ELSE reason END AS outcome, count(*) AS records,
+       {r4("CASE WHEN reason = '' THEN sum(amount) END", 'amount')}
+FROM o GROUP BY reason
+"""
+ORACLES["extract_sales_incremental"] = ORACLES["extract_sales_12m"]
+ORACLES["fulfilment_levels"] = build(f"""
+SELECT CASE grouping(gonderen_depo, urun) WHEN 0 THEN 'both' WHEN 1 THEN 'warehouse' WHEN 2 THEN 'product' ELSE 'all' END AS level,
+       gonderen_depo, urun, count(*) AS rows, CAST(sum(ihtiyac_adet) AS BIGINT) AS total_need, CAST(sum(karsilanan_adet) AS BIGINT) AS total_shipped,
+       CAST(sum(kalan_ihtiyac) AS BIGINT) AS total_unmet,
+       {r4('CAST(sum(karsilanan_adet) AS DOUBLE) / NULLIF(CAST(sum(ihtiyac_adet) AS DOUBLE), 0)', 'fill_rate')}
+FROM dense_alloc GROUP BY GROUPING SETS ((), (gonderen_depo), (urun), (gonderen_depo, urun))
+""")
+ORACLES["store_share"] = build(f"""
+SELECT {KEYS_OUT}, total_quantity,
+       {r4('CAST(total_quantity AS DOUBLE) / NULLIF(sum(total_quantity) OVER (PARTITION BY store_cluster, week_start_date), 0)', 'store_product_share')}
+FROM weekly
+""")
+cte("weekly_sums", f"SELECT {SEG4}, week_start_date, sum(total_quantity) AS q FROM weekly_z GROUP BY ALL")
+_SAME_SEG = " AND ".join(f"{{0}}.{c} = w.{c}" for c in ("product_att_01", "product_att_02", "product_att_05", "store_cluster"))
+ORACLES["yoy_growth"] = build(f"""
+SELECT {', '.join('w.' + c.strip() for c in KEYS_OUT.split(','))}, w.total_quantity, {r4('a.q', 'quantity_back')}, {r4('b.q', 'quantity_year_before')},
+       {r4('(CAST(a.q AS DOUBLE) - b.q) / CASE WHEN b.q = 0 THEN 1e-5 ELSE b.q END', 'yoy_growth')}
+FROM weekly_z w LEFT JOIN weekly_sums a ON {_SAME_SEG.format('a')} AND a.week_start_date = w.week_start_date - 7
+LEFT JOIN weekly_sums b ON {_SAME_SEG.format('b')} AND b.week_start_date = w.week_start_date - 371
+""")
+ORACLES["sketch_ranges"] = build("""
+SELECT strftime(e, '%Y-%m') AS range_end, count(unit_price) AS n, TRUE AS quantile_ok, count(DISTINCT store_code) AS store_code,
+       count(DISTINCT product_id) AS product_id, TRUE AS store_code_ok, TRUE AS product_id_ok
+FROM (SELECT DISTINCT date_trunc('month', date)::DATE AS e FROM history_sales) m
+JOIN history_sales h ON h.date < m.e + INTERVAL 1 MONTH AND h.date >= m.e - INTERVAL 2 MONTH
+GROUP BY e
+""")
+ORACLES["demand_features_incremental"] = "SELECT * FROM (" + ORACLES["demand_features"] + ") f WHERE week_start_date = (SELECT date_trunc('week', max(l_shipdate))::DATE FROM lineitem)"
