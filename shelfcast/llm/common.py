@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -80,3 +80,22 @@ def protected(docs: DataFrame, *names: str) -> DataFrame:
 def restored(df: DataFrame, docs: DataFrame, *names: str) -> DataFrame:
     """The columns of ``docs`` under their own names, from a frame that came of ``protected``."""
     return df.select(*(F.col(f"`{c if c in names else 'in_' + c}`").alias(c) for c in docs.columns))
+
+
+def running_sums(df: DataFrame, order: list[Column], columns: list[str], name: str) -> DataFrame:
+    """``df`` with ``place`` (rows before, by ``order``, of which no two are equal) and for each column c
+    ``before_c``, its sum over the rows before.
+
+    Rows are dealt by ranges of the order and numbered inside their range; where a range begins is the running
+    sum over the ranges, of which there is one row each."""
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = written(dealt.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), name)
+    ones = dealt.withColumn("one", F.lit(1))
+    sums = {"one": "place", **{c: f"before_{c}" for c in columns}}
+    inside = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    ones = ones.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(new) for c, new in sums.items()])
+    ranges = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.withColumn("one", F.lit(1)).groupBy(F.col("part").alias("p")).agg(*[F.sum(c).alias(f"all_{c}") for c in sums])
+    begin = totals.select("p", *[F.coalesce(F.sum(f"all_{c}").over(ranges), F.lit(0)).alias(f"begin_{c}") for c in sums])
+    out = ones.join(begin, F.col("part") == F.col("p"))
+    return out.select(*df.columns, *[(F.col(new) + F.col(f"begin_{c}")).alias(new) for c, new in sums.items()])

@@ -153,8 +153,8 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN covered USING (r) LEFT JOIN listed USING (r)""",
     "op10_mixing": f"""
 WITH d AS (
-  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, {_WORD})), 0) AS BIGINT) AS size,
-         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS h FROM documents),
+  SELECT row_number() OVER () AS r, doc_id, source, CAST(coalesce(len(regexp_extract_all(text, {_WORD})), 0) AS BIGINT) AS size,
+         substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 12) AS h FROM documents),
 s AS (
   SELECT source, sum(size) AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source),
 r AS (
@@ -169,15 +169,13 @@ t AS (
   FROM r, level),
 b AS (
   SELECT *, CASE WHEN source_size > 0 THEN least(CAST(floor(target / source_size) AS BIGINT), 3) ELSE 0 END AS repeats FROM t),
-g AS (SELECT source, h, sum(size) AS n FROM d GROUP BY source, h),
+-- rows that share a hash are equal: any order among them takes as many
 c AS (
-  SELECT g.source, h, n, sum(n) OVER (PARTITION BY g.source ORDER BY h) - n AS before, target - repeats * source_size AS budget
-  FROM g JOIN b ON g.source IS NOT DISTINCT FROM b.source),
-e AS (
-  SELECT source, max(h) AS edge, max_by(n, h) AS n, max_by(budget - before, h) AS rest FROM c WHERE before <= budget GROUP BY source)
-SELECT doc_id, size, b.source_size, target,
-       CAST(size * (repeats + CASE WHEN repeats < 3 AND (h < edge OR (h = edge AND rest * 2 > e.n)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source JOIN e ON d.source IS NOT DISTINCT FROM e.source""",
+  SELECT d.r, sum(size) OVER (PARTITION BY d.source ORDER BY h, r) - size AS before, target - repeats * source_size AS budget
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source),
+e AS (SELECT c.r, before <= budget AND (budget - before) * 2 > size AS extra FROM c JOIN d USING (r))
+SELECT doc_id, size, b.source_size, target, CAST(size * (repeats + CASE WHEN repeats < 3 AND extra THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM d JOIN e USING (r) JOIN b ON d.source IS NOT DISTINCT FROM b.source""",
     # CRC-32 bit by bit: the first of a byte's eight steps takes the byte in
     "op13_importance": f"""
 WITH d AS (
