@@ -1,13 +1,22 @@
 """Benchmark decontamination by a prefix-filtered set join.
 
 An item's windows of ``n`` consecutive words are sets of word shingles.  A document can contain a
-window only if it has all its shingles, so one necessary shingle suffices as its prefix: the one
-that is rarest in the corpus.  Documents are joined with the prefixes, the place of the prefix
-within the window bounds where the window can start and end, and the whole window is then compared
-word by word.
-
-The benchmark is handled in blocks of bounded size: each block's prefixes are broadcast and the
-documents streamed past them, so neither side is shuffled.  Blocks beyond the first add a pass.
+window only if it has all its shingles, so for exact containment one necessary shingle is its prefix:
+the first in the order of rarity over the whole corpus.
+
+1. The windows of all items are distinct rows of a table, with their shingles.
+2. One pass over the documents counts the shingles of windows.
+3. Each window's rarest shingle becomes its prefix.
+4. One pass over the documents finds the prefixes and sends each with the words around it.  They are joined with the
+   windows on the prefix; length and position bound where the window can begin and end; the window is
+   compared word by word.
+
+Both passes look shingles up in a bit table of a fixed size first (a Bloom filter with one hash), so only shingles that
+may matter leave a task; the join decides.  Neither the number of passes nor what is broadcast depends on the
+number of windows: the prefixes themselves are broadcast up to a bound, and beyond it both sides are salted
+and shuffled.  The items of a document are looked up once for each distinct set of windows found, not for each
+document.  What one document holds (its hits) is grouped in one row, as its text is; so is the list of items that
+share a window, which is as long as the benchmark at most.
 
 Null and empty texts have no words: such documents are clean, such items have no window.  Items of
 fewer than ``n`` words are one window.  Repeated rows get equal results; an item without an item_id
@@ -15,22 +24,24 @@ still marks words but is not counted or listed.  Empty tables give empty or all-
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as t
 
 from . import text as T
-from .common import map_batches, pieces, protected, restored, text_bytes, written
+from .common import pieces, protected, restored, text_bytes, written
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 #: Words of a shingle.
 SHINGLE = 3
-#: Windows of one broadcast block (about 100 bytes each).
-BLOCK = 100_000
+#: Bits of the table of shingles: 16 MB, whatever the benchmark.
+FILTER_BITS = 27
+#: Windows (about 150 bytes each) up to which the prefixes are broadcast, and copies of a prefix beyond it.
+MOST_WINDOWS, SALT = 200_000, 16
 
 
 def words_of(batch_column: pa.Array):
@@ -41,175 +52,152 @@ def words_of(batch_column: pa.Array):
         yield lo, hi, part, *T.runs(part, at[lo:hi + 1] - at[lo], T.NOT_ALNUM)
 
 
+def spelled(part: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+    return [part[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist())]
+
+
+# -- the benchmark's side
+
 def windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
-    """(window, words, item_ids): the distinct windows of all items, each a string of its words."""
-    lower = F.translate(F.col("text"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    rows = items.select(F.col("item_id").cast("string").alias("item"), F.regexp_extract_all(lower, F.lit(f"({WORD})"), F.lit(1)).alias("w")).where(F.size("w") > 0)
-    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - n + 1))
-    each = rows.select("item", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("w", i, n), " "))).alias("window"))
-    return each.groupBy("window").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    """(item, window, length, shingles): all windows of all items, a window being its words joined by spaces."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, part, starts, ends, word_at in words_of(batch.column(1)):
+                item, words, hashes = batch.column(0).slice(lo, hi - lo).to_pylist(), spelled(part, starts, ends), T.span_hashes(part, starts, ends)
+                out = []
+                for row, (a, b) in enumerate(zip(word_at[:-1].tolist(), word_at[1:].tolist())):
+                    size, length = min(b - a, SHINGLE), min(b - a, n)
+                    key = T.ngram_hashes(hashes[a:b], size).view(np.int64).tolist() if b > a else []
+                    out += [(item[row], " ".join(words[k:k + length]), length, key[k - a:k - a + length - size + 1]) for k in range(a, b - length + 1) if b > a]
+                columns = list(zip(*out)) or [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.list_(pa.int64())))], ["item", "window", "length", "shingles"])
+    return items.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(run, "item string, window string, length int, shingles array<long>")
+
+
+class Bits:
+    """A table of FILTER_BITS bits, one hash: which shingles may be among those it was made from."""
+
+    def __init__(self, packed: np.ndarray, sizes: tuple[int, ...]):
+        self.packed, self.sizes = packed, sizes
+
+    @classmethod
+    def of(cls, shingles: DataFrame, sizes: tuple[int, ...]) -> Bits:
+        """From a column ``shingle``; the driver gets the table's set pages, of 4 KB each."""
+        place = F.shiftrightunsigned("shingle", 64 - FILTER_BITS) + 1
+        pages = shingles.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+        packed = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+        for r in pages.collect():
+            packed[(r.page - 1) * 4096:r.page * 4096] = np.frombuffer(r.bits, np.uint8)
+        return cls(packed, sizes)
+
+    def found(self, words: np.ndarray, word_at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(size, first words, shingles) of those in the table, within the rows."""
+        for size in self.sizes:
+            places = T.window_starts(word_at, size)
+            keys = T.ngram_hashes(words, size)[places]
+            bit = keys >> np.uint64(64 - FILTER_BITS)
+            here = self.packed[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1 > 0
+            yield size, places[here], keys[here]
+
+
+# -- the documents' side
+
+def shingle_counts(docs: DataFrame, bits: Bits) -> DataFrame:
+    """(shingle, n) over all documents, for shingles in the table; summed in each batch before the shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, part, starts, ends, word_at in words_of(batch.column(0)):
+                words = T.span_hashes(part, starts, ends)
+                keys, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *(k for _, _, k in shared.value.found(words, word_at))]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["shingle", "n"])
+    return docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+
+
+def prefixes(distinct: DataFrame, counts: DataFrame) -> DataFrame:
+    """(window, length, shingle, offset): of each window the shingle that is rarest, the first of equals."""
+    each = distinct.select("window", "length", F.posexplode("shingles").alias("offset", "shingle")).join(counts, "shingle", "left")
+    rarest = F.min_by(F.struct("shingle", "offset"), F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset"))
+    return each.groupBy("window", "length").agg(rarest.alias("p")).select("window", "length", "p.shingle", "p.offset")
 
 
-def corpus_counts(docs: DataFrame, hashes: np.ndarray) -> np.ndarray:
-    """How often each of the (sorted) word hashes occurs in all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(hashes)
+def candidates(docs: DataFrame, bits: Bits, carry: tuple[str, ...], n: int) -> DataFrame:
+    """The columns ``carry``, n_words, and ``found``: where a prefix may begin, with the words around it."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    some = docs.select(F.col("text").alias("decontam_text"), *(F.col(f"`{c}`") for c in carry))
+    kind = pa.struct([("at", pa.int32()), ("shingle", pa.int64()), ("base", pa.int32()), ("words", pa.list_(pa.string()))])
 
-    def run(batches):
-        known, n = shared.value, np.zeros(len(shared.value), np.int64)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, part, starts, ends, _ in words_of(batch.column(0)):
-                n += np.bincount(lookup(known, T.span_hashes(part, starts, ends)) + 1, minlength=len(known) + 1)[1:]
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["word", "n"])
-
-    got = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(len(hashes), np.int64)
-    out[got["word"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
-    return out
-
-
-def lookup(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Index of each key in the sorted ``known``, or -1."""
-    if not len(known):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    return np.where(known[at] == keys, at, -1)
-
-
-class Block:
-    """The windows of one block as arrays: word hashes, prefix shingles and their places."""
-
-    def __init__(self, strings: list[str], items: list[list[str]]):
-        raw, at = text_bytes(pa.array(strings, pa.string()))
-        starts, ends, self.word_at = T.runs(raw, at, T.NOT_ALNUM)
-        self.words, self.items = T.span_hashes(raw, starts, ends), items
-        self.spelled = [s.encode() for s in strings]
-        self.vocabulary = np.unique(self.words)
-
-    def order(self, counts: np.ndarray) -> Block:
-        """Choose each window's prefix: its shingle whose rarest words are rarest, the first of equals."""
-        length = np.diff(self.word_at)
-        rarity = counts[np.searchsorted(self.vocabulary, self.words)]
-        self.size = np.minimum(length, SHINGLE)
-        self.offset = np.zeros(len(length), np.int64)
-        key = np.zeros(len(length), np.uint64)
-        for i, (lo, n) in enumerate(zip(self.word_at, length)):
-            places = range(n - self.size[i] + 1)
-            self.offset[i] = min(places, key=lambda j: (sorted(rarity[lo + j:lo + j + self.size[i]]), j))
-            key[i] = T.ngram_hashes(self.words[lo + self.offset[i]:lo + self.offset[i] + self.size[i]], int(self.size[i]))[0]
-        self.length, self.rank = length, np.argsort(key, kind="stable")
-        self.key = key[self.rank]
-        return self
-
-
-def matches(block: Block, part: np.ndarray, starts: np.ndarray, ends: np.ndarray, word_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, window) of each occurrence of a window of ``block`` in the rows of a piece."""
-    words = T.span_hashes(part, starts, ends)
-    known = lookup(block.vocabulary, words) >= 0
-    row_end = np.repeat(word_at[1:], np.diff(word_at))
-    row_start = np.repeat(word_at[:-1], np.diff(word_at))
-    firsts, which = [], []
-    for size in np.unique(block.size):
-        total = max(0, len(words) - int(size) + 1)
-        whole = known[:total].copy()
-        for j in range(1, int(size)):
-            whole &= known[j:j + total]
-        places = np.flatnonzero(whole)
-        if not len(places):
-            continue
-        h = np.zeros(len(places), np.uint64)
-        for j in range(int(size)):
-            h = h * T._MULT + words[places + j]
-        h = T.mix(h)
-        lo, hi = np.searchsorted(block.key, h, "left"), np.searchsorted(block.key, h, "right")
-        many = hi - lo
-        place = np.repeat(places, many)
-        window = block.rank[np.repeat(lo, many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)]
-        # positional bounds: the window must lie within the document
-        first = place - block.offset[window]
-        ok = (block.size[window] == size) & (first >= row_start[place]) & (first + block.length[window] <= row_end[place])
-        first, window = first[ok], window[ok]
-        for j in range(int(block.length[window].max()) if len(window) else 0):
-            have = j < block.length[window]
-            at = np.where(have, first + j, 0)
-            same = ~have | (words[at] == block.words[np.minimum(block.word_at[window] + j, len(block.words) - 1)])
-            first, window = first[same], window[same]
-        firsts.append(first)
-        which.append(window)
-    if not firsts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    first, window = np.concatenate(firsts), np.concatenate(which)
-    # equal hashes are not yet equal words
-    spelled = [b" ".join(part[starts[k]:ends[k]].tobytes() for k in range(f, f + block.length[w])) == block.spelled[w] for f, w in zip(first.tolist(), window.tolist())]
-    return first[spelled] if len(first) else first, window[spelled] if len(window) else window
-
-
-def blocks_of(items: DataFrame, docs: DataFrame, n: int = WINDOW, block: int = BLOCK):
-    """The ordered blocks, one at a time on the driver; at most ``block`` windows each."""
-    found = written(windows(items, n), "windows")
-    parts = max(1, -(-found.count() // block))
-    found = found.withColumn("part", F.pmod(F.xxhash64("window"), F.lit(parts)))
-    for k in range(parts):
-        got = found.where(F.col("part") == k).orderBy("window").collect()
-        one = Block([r["window"] for r in got], [r["items"] for r in got])
-        if got:
-            yield one.order(corpus_counts(docs, one.vocabulary))
-
-
-def stream(docs: DataFrame, block: Block | None, carry: tuple[str, ...], last: bool) -> DataFrame:
-    """One pass of all documents past one block.  Passes before the last keep the text and what was
-    found so far (hits: pairs of first word and length; items); the last one gives the result."""
-    earlier = "hits" in docs.columns and "hits" not in carry
-    sent = [*dict.fromkeys((*carry, "text")), *(("hits", "items") if earlier else ())]
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    shared = docs.sparkSession.sparkContext.broadcast(block)
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        b, n_words, n_hit, items, hits = shared.value, [], [], [], []
-        for lo, hi, part, starts, ends, word_at in words_of(batch.column(sent.index("text"))):
-            spans: list[list[tuple[int, int]]] = [[] for _ in range(hi - lo)]
-            seen: list[set[str]] = [set() for _ in range(hi - lo)]
-            if earlier:
-                for row in range(hi - lo):
-                    old = np.frombuffer(batch.column(sent.index("hits"))[lo + row].as_py(), np.int64).reshape(-1, 2)
-                    spans[row] += map(tuple, old.tolist())
-                    seen[row].update(batch.column(sent.index("items"))[lo + row].as_py())
-            if b is not None:
-                first, window = matches(b, part, starts, ends, word_at)
-                for f, w, row in zip(first.tolist(), window.tolist(), (np.searchsorted(word_at, first, "right") - 1).tolist()):
-                    spans[row].append((f - int(word_at[row]), int(b.length[w])))
-                    seen[row].update(b.items[w])
-            step = np.zeros(len(starts) + 1, np.int64)
-            for row, found in enumerate(spans):
-                for f, length in found:
-                    step[word_at[row] + f] += 1
-                    step[word_at[row] + f + length] -= 1
-            n_words.append(np.diff(word_at))
-            n_hit.append(T.sums(np.cumsum(step)[:-1] > 0, word_at))
-            items += map(sorted, seen)
-            hits += [np.array(found, np.int64).tobytes() for found in spans]
-        cols = [batch.column(i) for i in range(len(sent) if not last else len(carry))]
-        if not last:
-            cols = [c for c, name in zip(cols, sent) if name not in ("hits", "items") or not earlier]
-            return pa.RecordBatch.from_arrays([*cols, pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))], names_out)
-        digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(n_words).astype(np.int64)), pa.array(np.concatenate(n_hit).astype(np.int64)), pa.array(list(map(len, items)), pa.int64()), pa.array(digests)], names_out)
-
-    kept = list(carry) if last else list(dict.fromkeys((*carry, "text")))
-    found = {"n_words": "long", "n_hit": "long", "n_items": "long", "items_sha256": "string"} if last else {"hits": "binary", "items": "array<string>"}
-    names_out = [*kept, *found]
-    return map_batches(docs.select(*sent), one, ", ".join([*(f"`{c}` {kinds[c]}" for c in kept), *(f"{k} {v}" for k, v in found.items())]))
-
-
-def contamination(docs: DataFrame, items: DataFrame, carry: tuple[str, ...] = ("doc_id",), n: int = WINDOW, block: int = BLOCK) -> DataFrame:
+            for lo, hi, part, starts, ends, word_at in words_of(batch.column(0)):
+                hashes, found = T.span_hashes(part, starts, ends), [[] for _ in range(hi - lo)]
+                for _, places, keys in shared.value.found(hashes, word_at):
+                    rows = np.searchsorted(word_at, places, "right") - 1
+                    for p, key, row in zip(places.tolist(), keys.view(np.int64).tolist(), rows.tolist()):
+                        a, b = max(int(word_at[row]), p - n + 1), min(int(word_at[row + 1]), p + n)
+                        first = int(word_at[row])
+                        found[row].append((p - first, key, a - first, spelled(part, starts[a:b], ends[a:b])))
+                cells = pa.array([[dict(zip(("at", "shingle", "base", "words"), f)) for f in own] for own in found], pa.list_(kind))
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[1:], pa.array(np.diff(word_at).astype(np.int64)), cells], [*batch.schema.names[1:], "n_words", "found"])
+
+    cell = t.StructType().add("at", t.IntegerType()).add("shingle", t.LongType()).add("base", t.IntegerType()).add("words", t.ArrayType(t.StringType()))
+    return some.mapInArrow(run, t.StructType([*some.schema.fields[1:], t.StructField("n_words", t.LongType()), t.StructField("found", t.ArrayType(cell))]))
+
+
+def verified(found: DataFrame, prefix: DataFrame, most: int = MOST_WINDOWS) -> DataFrame:
+    """(row, start, length, window) of every occurrence: prefix joined, bounds applied, words compared."""
+    each = found.select("row", "n_words", F.explode("found").alias("f")).select("row", "n_words", "f.*")
+    if prefix.count() <= most:
+        met = each.join(F.broadcast(prefix), "shingle")
+    else:
+        salted = prefix.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        met = each.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALT)).cast("int")).join(salted, ["shingle", "salt"])
+    start = F.col("at") - F.col("offset")
+    # the order matters: a slice needs a start within the words sent
+    inside = (start >= 0) & (start + F.col("length") <= F.col("n_words")) & (start >= F.col("base"))
+    same = F.when(inside, F.array_join(F.slice("words", F.greatest(start - F.col("base") + 1, F.lit(1)), F.col("length")), " ") == F.col("window")).otherwise(False)
+    return met.where(same).select("row", start.alias("start"), "length", "window")
+
+
+def covered(spans: F.Column) -> F.Column:
+    """How many words lie in the union of (start, length) spans, given in order."""
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+
+    def add(acc, s):
+        end = F.greatest(acc["end"], (s["start"] + s["length"]).cast("long"))
+        return F.struct((acc["n"] + end - F.greatest(acc["end"], s["start"].cast("long"))).alias("n"), end.alias("end"))
+    return F.aggregate(spans, zero, add, lambda acc: acc["n"])
+
+
+def contamination(docs: DataFrame, items: DataFrame, carry: tuple[str, ...] = ("doc_id",), n: int = WINDOW, most: int = MOST_WINDOWS) -> DataFrame:
     """Every row of ``docs`` with the columns ``carry``, n_words, n_hit, n_items, items_sha256 and
     contaminated."""
-    texts, last = docs.select(*dict.fromkeys((*carry, "text"))), None
-    for one in blocks_of(items, docs, n, block):
-        if last is not None:
-            texts = written(stream(texts, last, carry, False), "decontam")
-        last = one
-    return stream(texts, last, carry, True).withColumn("contaminated", F.col("n_hit") > 0)
+    spark: SparkSession = docs.sparkSession
+    own = written(windows(items, n), "decontam-windows")
+    distinct = written(own.select("window", "length", "shingles").dropDuplicates(["window"]), "decontam-distinct")
+    sizes = tuple(sorted({min(r.length, SHINGLE) for r in distinct.select("length").distinct().collect()}))
+    all_bits = Bits.of(distinct.select(F.explode("shingles").alias("shingle")), sizes)
+    prefix = written(prefixes(distinct, shingle_counts(docs, all_bits)), "decontam-prefixes")
+    some = candidates(docs, Bits.of(prefix.select("shingle"), sizes), carry, n)
+    rows = written(some.withColumn("row", F.monotonically_increasing_id()), "decontam-rows")
+    hits = verified(rows.where(F.size("found") > 0), prefix, most)
+    per_row = hits.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"), F.array_sort(F.collect_set("window")).alias("windows"))
+    per_row = written(per_row.select("row", covered(F.col("spans")).alias("n_hit"), "windows", F.sha2(F.array_join("windows", "\n"), 256).alias("set")), "decontam-hits")
+    # each distinct set of windows once
+    sets = per_row.select("set", "windows").dropDuplicates(["set"]).select("set", F.explode("windows").alias("window"))
+    owners = own.where("item IS NOT NULL").select("item", "window").distinct()
+    listed = sets.join(owners, "window").groupBy("set").agg(F.array_sort(F.collect_set("item")).alias("ids"))
+    listed = listed.select("set", F.size("ids").cast("long").alias("n_items"), F.sha2(F.array_join("ids", ","), 256).alias("items_sha256"))
+    result = per_row.select("row", "n_hit", "set").join(listed, "set", "left").drop("set")
+    columns = [F.col(f"`{c}`") for c in carry]
+
+    def out(df: DataFrame, n_hit, n_items, sha) -> DataFrame:
+        return df.select(*columns, "n_words", n_hit.alias("n_hit"), n_items.alias("n_items"), sha.alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+    zero, none = F.lit(0).cast("long"), F.sha2(F.lit(""), 256)
+    maybe = rows.where(F.size("found") > 0).drop("found").withColumnRenamed("row", "decontam_row").join(result, F.col("decontam_row") == F.col("row"), "left")
+    return out(rows.where(F.size("found") == 0), zero, zero, none).unionByName(
+        out(maybe, F.coalesce("n_hit", zero), F.coalesce("n_items", zero), F.coalesce("items_sha256", none)))
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
