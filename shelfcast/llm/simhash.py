@@ -32,6 +32,8 @@ SHINGLE, RADIUS, SEED = 4, 4, 42
 BLOCKS, AGREE = 6, 2
 #: Fingerprints of one tree.
 SHARD = 2048
+#: Copies of a root's row, and rows of which a fingerprint must have more than one share to be broadcast.
+SALT, HOT = 16, 10_000
 #: Pairs of queries and nodes that a search looks at in one step.
 STEP = 1 << 20
 
@@ -242,15 +244,38 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
 
 
+def component_ids(distinct: DataFrame, roots: DataFrame) -> DataFrame:
+    """(f, root, component_id) of every distinct fingerprint (fp, least), given the ``roots`` of the linked ones.
+
+    Roots and fingerprints without a link are joined by themselves, one row a key; the members of a
+    component meet their root's row in SALT copies, so a large component is dealt to as many tasks."""
+    rooted = written(distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", "root"), "rooted")
+    linked = rooted.where("root IS NOT NULL")
+    below = linked.groupBy("root").agg(F.min("least").alias("m")).withColumnRenamed("root", "r")
+    alone = rooted.where("root IS NULL").join(below, F.col("fp") == F.col("r"), "left")
+    # least() skips nulls: a missing doc_id is larger than any
+    alone = written(alone.select(F.col("fp").alias("f"), F.col("fp").alias("root"), F.least("least", "m").alias("component_id"), F.col("r").isNotNull().alias("shared")), "component-roots")
+    copies = alone.where("shared").select(F.col("f").alias("r"), "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("s"))
+    salted = linked.withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALT)).cast("int"))
+    members = salted.join(copies, (F.col("root") == F.col("r")) & (F.col("salt") == F.col("s")))
+    return written(members.select(F.col("fp").alias("f"), "root", "component_id").unionByName(alone.drop("shared")), "components")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Every row of ``docs`` with the columns ``carry``, fp and component_id."""
+    """Every row of ``docs`` with the columns ``carry``, fp and component_id.
+
+    Fingerprints that more than one row in HOT has are at most HOT; their results are broadcast.  The others are
+    joined by shuffle, where no key has more than that share."""
     rows = written(fingerprints(docs, carry), "simhash")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
-    roots = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r")
-    of_fp = written(rooted.join(smallest, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "root", "component_id"), "components")
-    return rows.join(of_fp, F.col("fp") == F.col("f")).select(*carry, "fp", "root", "component_id")
+    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "fingerprints")
+    of_fp = component_ids(distinct.select("fp", "least"), components(links(distinct.select("fp"), radius)))
+    all_rows = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = distinct.where(F.col("n") * HOT > F.lit(all_rows)).where("n > 1").select(F.col("fp").alias("hot"))
+    hot = of_fp.join(F.broadcast(often), F.col("f") == F.col("hot"), "left_semi")
+    kept = [*carry, "fp", "root", "component_id"]
+    in_place = rows.join(F.broadcast(hot), F.col("fp") == F.col("f")).select(*kept)
+    others = rows.join(F.broadcast(often), F.col("fp") == F.col("hot"), "left_anti")
+    return in_place.unionByName(others.join(of_fp, F.col("fp") == F.col("f")).select(*kept))
 
 
 def representatives(docs: DataFrame, radius: int = RADIUS) -> DataFrame:

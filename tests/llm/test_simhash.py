@@ -80,3 +80,23 @@ def test_representatives_keep_one_row_of_each_group(spark):
     assert out.columns == docs.columns
     assert sorted((r.doc_id or -1, r.th) for r in out.collect()) == [(-1, "s"), (1, "q"), (7, "t")]
     assert S.representatives(docs.limit(0)).count() == 0
+
+
+def test_large_components_and_frequent_fingerprints(spark, monkeypatch):
+    # a chain of single-bit steps: one component of 60 fingerprints, none near most others
+    chain = [0]
+    for b in range(59):
+        chain.append(chain[-1] ^ (1 << b))
+    signed = [int(np.uint64(v).view(np.int64)) for v in chain]
+    distinct = spark.createDataFrame([(v, 500 - i if i != 30 else None) for i, v in enumerate(signed)] + [(int(np.uint64((1 << 64) - 1).view(np.int64)), None)], "fp long, least long")
+    got = {r.f: (r.root, r.component_id) for r in S.component_ids(distinct, S.components(S.links(distinct.select("fp")))).collect()}
+    assert len(got) == 61 and {got[v][1] for v in signed} == {500 - 59} and len({got[v][0] for v in signed}) == 1
+    assert got[-1] == (-1, None)
+    # the same rows with and without broadcast results of frequent fingerprints
+    texts = ["copy of the very same words"] * 50 + [None] * 30 + random_texts(20, seed=8)
+    rows = []
+    for hot in (10_000, 3, 0):
+        monkeypatch.setattr(S, "HOT", hot)
+        rows.append(sorted((r.doc_id, r.fp, r.component_id) for r in S.near_duplicates(frame(spark, texts)).collect()))
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == len(texts)
+    assert [c for _, _, c in rows[0]] == classes([fingerprint(t) for t in texts])
