@@ -99,3 +99,29 @@ def running_sums(df: DataFrame, order: list[Column], columns: list[str], name: s
     begin = totals.select("p", *[F.coalesce(F.sum(f"all_{c}").over(ranges), F.lit(0)).alias(f"begin_{c}") for c in sums])
     out = ones.join(begin, F.col("part") == F.col("p"))
     return out.select(*df.columns, *[(F.col(new) + F.col(f"begin_{c}")).alias(new) for c, new in sums.items()])
+
+
+#: A key with more than one row in HOT, and at least OFTEN rows, is frequent; there are fewer than HOT of them,
+#: whatever the table.
+HOT, OFTEN = 10_000, 1000
+
+
+def frequent(df: DataFrame, key: str, name: str, hot: int = HOT, often: int = OFTEN) -> DataFrame | None:
+    """(hot): the keys of ``df`` that more than one row in ``hot`` has, written; None if there are none."""
+    counts = written(df.groupBy(F.col(key).alias("hot")).agg(F.count("*").alias("n")), name)
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    keys = counts.where((F.col("n") * hot > total) & (F.col("n") >= often)).select("hot")
+    return None if keys.isEmpty() else keys
+
+
+def dealt_join(left: DataFrame, right: DataFrame, key: str, to: str, hot: DataFrame | None, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` (unique by ``to``) on left.key = right.to, without a task that
+    holds a frequent key: rows of the ``hot`` keys are joined where they are, with the few broadcast rows of
+    ``right`` that they need, all others by shuffle."""
+    on = F.col(key) == F.col(to)
+    if hot is None:
+        return left.join(right, on, how)
+    hot = F.broadcast(hot)
+    few = F.broadcast(right.join(hot, F.col(to) == F.col("hot"), "left_semi"))
+    here = left.join(hot, F.col(key) == F.col("hot"), "left_semi").join(few, on, how)
+    return here.unionByName(left.join(hot, F.col(key) == F.col("hot"), "left_anti").join(right, on, how))

@@ -73,3 +73,106 @@ def test_long_text_and_empty_table(spark):
     r = P.personal_data(docs).first()
     assert r.n_email == 1 and r.spans == "email:1000000:1000006"
     assert P.personal_data(docs.limit(0)).count() == 0
+
+
+def test_units_and_patterns_around_a_span():
+    t = 'let me set token = "ab12cd" now, tel:555 9\n$$$ 7'
+    a = t.index("ab12cd")
+    assert P.units(t, a, -1, 3) == ['"', "= ", "token "] and P.units(t, a + 6, 1, 1) == ['"']
+    # of '= "_', '"_"', '= "_"' and this one only this one has a word
+    assert P.patterns(t, a, a + 6) == ['token = "_']
+    b = t.index("555")
+    assert P.patterns(t, b, b + 3) == ["tel:_", ", tel:_", "tel:_ 0"]
+    c = t.index("7")
+    assert P.units(t, c, -1, 3) == ["$$$ ", "0 ", "0 "] and P.patterns(t, c, c + 1) == []
+    assert P.units("w" * 500 + "7", 500, -1, 3) == ["w" * 500]
+
+
+def test_candidates_are_whole_tokens():
+    def found(t):
+        return sorted(t[a:b] for a, b in P.candidates(t))
+    assert found('x "04dbebab91ab85687d33eeaa" y') == ["04dbebab91ab85687d33eeaa"]
+    assert found("call (017) 555-7713, or 12 of it.") == ["(017) 555-7713", "12"]
+    assert found("id=AB-99/7. end") == ["id=AB-99/7"]
+    long = "u" * 80 + "(at)" + "v" * 90 + " w"
+    assert found(long) == [long[:-2]] and found("a" * 300 + "@" + "b" * 300) == ["a" * 300 + "@" + "b" * 300]
+    assert P.key_spans("k " + "a1" * 16 + " " + "a1" * 65 + " " + "7" * 40 + " " + "z" * 40) == [(2, 4, 34)]
+
+
+def accepted_by_hand(edges, rounds=P.ROUNDS, confidence=P.CONFIDENCE, support=P.SUPPORT):
+    """The scoring of the docstring over dictionaries."""
+    kinds = range(len(P.KINDS))
+    seeds, open_ = {}, {}
+    for p, v, k in edges:
+        (seeds if k >= 0 else open_).setdefault(p, set()).add((v, k))
+    values = {}
+    for p, some in open_.items():
+        for v, _ in some:
+            values.setdefault(v, set()).add(p)
+
+    def fits(v, k):
+        if k == 0:
+            return "@" in v or re.search(r"[\[(]at[\])]", v) is not None
+        if k == P.SECRET:
+            return len(v) >= 8 and not re.search(r"[\s@]", v)
+        return len(re.findall("[0-9]", v)) >= 6 and not any(c.isalpha() or c == "@" for c in v)
+    accepted = {}
+    while True:
+        scores = {v: [float(k == found) for k in kinds] for v, found in accepted.items()}
+        for _ in range(rounds):
+            trusted = {}
+            for p, some in open_.items():
+                own = seeds.get(p, set())
+                sums = [sum(scores.get(v, [0.0] * len(P.KINDS))[k] for v, _ in some) + sum(s == k for _, s in own) for k in kinds]
+                sup = [sum(accepted.get(v) == k for v, _ in some) + sum(s == k for _, s in own) for k in kinds]
+                if max(sup) >= support:
+                    trusted[p] = [sums[k] / (len(some) + len(own)) if sup[k] >= support else 0.0 for k in kinds]
+            new = {v: [sum(trusted[p][k] for p in ps if p in trusted) / n for k in kinds] for v, ps in values.items() if (n := sum(p in trusted for p in ps))}
+            scores = {**new, **{v: [float(k == found) for k in kinds] for v, found in accepted.items()}}
+        more = dict(accepted)
+        for v, s in scores.items():
+            best = max(kinds, key=lambda k: (s[k], k))
+            if v not in accepted and s[best] >= confidence and fits(v, best):
+                more[v] = best
+        if len(more) == len(accepted):
+            return accepted
+        accepted = more
+
+
+def test_scoring_against_plain_python(spark):
+    rng = random.Random(12)
+    kinds = ["me{}@host", "10.0.0.{}", "41111111{}", "+1 555 010 {}", "deadbeef00{}"]
+    edges = set()
+    for k in range(5):
+        for i in range(12):                                     # seeds in a few contexts
+            edges.add((f"c{k}{rng.randrange(2)} _", kinds[k].format(1000 + i), k))
+        for i in range(10):                                     # candidates, some in contexts of another kind
+            v = kinds[k].format(2000 + i) if k else f"you{i}@localhost"
+            edges |= {(f"c{k if rng.random() < 0.9 else (k + 1) % 5}{rng.randrange(2)} _", v, -1), (f"d{k}{i // 6} _", v, -1)}
+        for i in range(3):                                      # a second hop
+            edges.add((f"d{k}{i % 2} _", kinds[k].format(3000 + i) if k else f"they{i}@there", -1))
+    edges |= {("c00 _", "nothing1", -1), ("alone _", "x9", -1), ("seed only _", "z@z", 0)}
+    want = accepted_by_hand(edges)
+    df = spark.createDataFrame(sorted(edges), "pattern string, value string, kind int").repartition(3)
+    got = {r.v: r.found for r in P.confident_instances(df).collect()}
+    assert got == want and len(set(want.values())) == 5 and any(v.endswith("3000") for v in want)
+    # frequent values and patterns are joined apart, to the same end
+    import shelfcast.llm.common as common
+    before, common.frequent.__defaults__ = common.frequent.__defaults__, (100, 2)
+    try:
+        assert {r.v: r.found for r in P.confident_instances(df).collect()} == want
+    finally:
+        common.frequent.__defaults__ = before
+
+
+def test_secrets_are_seeds_and_their_context_finds_others(spark):
+    rng = random.Random(3)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(40)) for _ in range(6)]
+    seeds = [(i, f'w{rng.random():.0f} some token = "{h}" words') for i, h in enumerate(hexes)]
+    unseen = [(20, 'other token = "short-9x77" here'), (21, 'the size = "short-9x78" here'), (22, "no (at) at all"), (23, "mail to someone(at)example for it")]
+    got = collected(P.personal_data(spark.createDataFrame(seeds + unseen, "doc_id long, text string").repartition(2)))
+    for i, t in seeds:
+        a = t.index(hexes[i])
+        assert got[i].spans == f"secret:{a}:{a + 40}" and got[i].n_spans == 1
+    a = unseen[0][1].index("short")
+    assert got[20].spans == f"secret:{a}:{a + 10}" and got[21].spans == got[22].spans == got[23].spans == ""
