@@ -11,7 +11,12 @@ are exchanged:
    go to hash buckets by 96-bit hash, which find the smallest doc_id of each;
 3. each group removes the windows that begin in a document with a smaller doc_id.
 
-Documents are shuffled to groups once; Spark reuses that exchange in all three steps.  Groups and
+The automaton finds what the group's own hashes found in step 1, and confirms it as text: a phrase is
+compared byte by byte in the buckets and in the automaton, never by hash alone.
+
+Documents are shuffled to groups once; Spark reuses that exchange in all three steps.  Which group a row is in
+has no influence on the result; equal rows are dealt like others, by their place in the table, which is read from files
+so that a task run again deals its rows alike.  Groups and
 buckets have bounded sizes, and a group sends a phrase or window once however many of its documents
 hold it, so a passage that a third of all documents share is one entry for each group.
 
@@ -206,7 +211,9 @@ def earlier_elsewhere(table: pa.Table) -> pa.Table:
     least = d[lead][np.cumsum(lead) - 1]
     gone = np.zeros(len(d), bool)
     gone[order] = d > least
-    sent = [(g, pack(h1[gone & (at == i)])) for i, g in enumerate(table.column("grp").to_pylist()) if (gone & (at == i)).any()]
+    # the entries of a group lie together
+    h1, cut = h1[gone], np.searchsorted(at[gone], np.arange(table.num_rows + 1)).tolist()
+    sent = [(g, pack(h1[i:j])) for g, i, j in zip(table.column("grp").to_pylist(), cut[:-1], cut[1:]) if j > i]
     return pa.table({"grp": pa.array([g for g, _ in sent], pa.int32()), "h1": pa.array([x for _, x in sent], pa.binary())})
 
 
@@ -245,8 +252,9 @@ def without_repeats(docs: DataFrame, group_bytes: int = GROUP_BYTES, bucket_byte
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(3 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // group_bytes))
     buckets = max(LEAST_BUCKETS, -(-total // bucket_bytes))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    grouped = rows.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int")).repartition(max(1, groups // 3), "grp")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("place"))
+    # the place deals rows that are equal in both columns to different groups
+    grouped = rows.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", "text", "place"), F.lit(groups)).cast("int").alias("grp")).repartition(max(1, groups // 3), "grp")
     by_group = grouped.groupBy("grp")
     phrases = (by_group.applyInArrow(lambda t: group_phrases(t, buckets), "bucket int, grp int, phrases binary, several binary")
                .groupBy("bucket").applyInArrow(recurring, "grp int, phrases binary"))
