@@ -4,9 +4,13 @@ The corpus statistics are exact and cover all training documents: counts of ever
 and their number.  The network predicts the most frequent words, an end token and one stand-in for
 all other words; a word behind the stand-in has its share of the smoothed counts of those.
 
-Training passes once over all training documents in ROUNDS rounds.  In a round each task trains a
-replica on its documents by truncated backpropagation (every window of TRAIN_STEPS tokens is propagated
-back, and the state runs on through the whole document), and the replicas are averaged by tokens.
+Training passes once over all training documents in ROUNDS rounds.  In a round each replica is trained on
+its documents by truncated backpropagation (every window of TRAIN_STEPS tokens is propagated
+back, and the state runs on through the whole document), and the replicas are averaged by tokens.  A document's round,
+replica and place in it follow from the hash of its doc_id and tokens, and their number from the tokens of
+all, so the partitions of the table have no influence on the scores beyond rounding.  Only rows that are equal and
+frequent are dealt by their place in the table, so that no replica gets them all; which replica gets how many
+of them may differ.
 Training and scoring stream every document whole: slots of a batch run in windows, keep their state
 from window to window, and take the next document when theirs has ended.
 
@@ -19,12 +23,13 @@ documents all counts are zero and the network keeps its initial weights."""
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import map_batches, pieces, text_bytes, written
+from .common import frequent, map_batches, pieces, text_bytes, written
 
 #: Tokens whose counts are broadcast (16 bytes each).
 KNOWN = 200_000
@@ -32,6 +37,8 @@ KNOWN = 200_000
 CLASSES, CLASS_WORDS, WIDTH = 32, 32, 16
 #: Training: rounds, steps of a window, and documents side by side.
 ROUNDS, TRAIN_STEPS, TRAIN_SLOTS = 4, 20, 128
+#: Tokens of a replica in a round, about, and tasks of a round at most.
+REPLICA_TOKENS, MOST_TASKS = 1_000_000, 20_000
 SCORE_STEPS, SCORE_SLOTS = 32, 512
 RATE = 0.08
 #: The end token among the hashes, and the ids of the stand-in and the end.
@@ -95,12 +102,11 @@ class Statistics:
 
     def __init__(self, counts: DataFrame, known: int = KNOWN, words: int = CLASSES * CLASS_WORDS - 2):
         self.n, self.v = (int(x or 0) for x in counts.agg(F.sum("c"), F.count("*")).first())
-        # the least count so that at most ``known`` tokens have it or more, from counts by level
-        level = F.floor(F.log2("c") * 16).cast("int")
-        by_level = counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).toPandas().sort_values("level", ascending=False)
-        fits = by_level["level"][by_level["n"].cumsum() <= known]
-        self.least_level = int(fits.min()) if len(fits) else 1 << 20
-        top = counts.where(level >= self.least_level).toPandas()
+        # the end token, and the first of the others by count and hash
+        others = counts.where(F.col("h") != 0)
+        top = others.orderBy(F.desc("c"), F.asc("h")).limit(known).toPandas()
+        self.last = (int(top["c"].iloc[-1]), int(top["h"].iloc[-1])) if len(top) else None
+        top = pd.concat((top, counts.where(F.col("h") == 0).toPandas()))
         h, c = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
         order = np.argsort(h)
         self.h, self.c = h[order], c[order]
@@ -120,7 +126,10 @@ class Statistics:
 
     def tail(self, counts: DataFrame) -> DataFrame:
         """The counts that are not among the known."""
-        return counts.where(F.floor(F.log2("c") * 16).cast("int") < self.least_level)
+        if self.last is None:
+            return counts.limit(0)
+        c, h = self.last
+        return counts.where((F.col("h") != 0) & ((F.col("c") < c) | (F.col("c") == c) & (F.col("h") > h)))
 
     def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id of each token and its place among the known, or -1."""
@@ -371,24 +380,58 @@ def ids_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(rows), ID).astype(np.int32), np.concatenate(([0], np.cumsum(lengths)))
 
 
-def fit(rows: DataFrame, stats: Statistics, rounds: int = ROUNDS) -> Network:
-    """Train on all ``rows`` (row, ids): one round for each part, replicas averaged by tokens."""
+def dealt(rows: DataFrame, tokens: int, rounds: int = ROUNDS, replica_tokens: int = REPLICA_TOKENS) -> tuple[DataFrame, int]:
+    """``rows`` (doc_id, ids, row) with their ``part`` and ``h``, their order in it, and the number of parts a round;
+    parts p with p % rounds = r are the replicas of round r."""
+    replicas = max(1, -(-tokens // (rounds * replica_tokens)))
+    rows = rows.select("ids", "row", F.xxhash64("doc_id", "ids").alias("h"))
+    hot, salt = frequent(rows, "h", "lm-hot"), F.lit(0).cast("long")
+    if hot is not None:
+        rows = rows.join(F.broadcast(hot), F.col("h") == F.col("hot"), "left")
+        salt = F.when(F.col("hot").isNotNull(), F.col("row")).otherwise(salt)
+    return rows.select("ids", "row", "h", F.pmod(F.xxhash64("h", salt), F.lit(rounds * replicas)).alias("part")), replicas
+
+
+def fit(rows: DataFrame, stats: Statistics, rounds: int = ROUNDS, replica_tokens: int = REPLICA_TOKENS) -> Network:
+    """Train on all ``rows`` (doc_id, ids, row) in rounds, replicas averaged by tokens."""
     context = rows.sparkSession.sparkContext
     net = Network.initial(stats.id_counts)
     if not stats.n:
         return net
+    parts, replicas = dealt(rows, stats.n, rounds, replica_tokens)
     for r in range(rounds):
         start = context.broadcast(net.vector)
 
         def run(batches):
-            mine, n = Network(start.value.copy()), 0
+            total, n, part, held = np.zeros(Network.size()), 0, None, []
+
+            def finish():
+                nonlocal n
+                mine = Network(start.value.copy())
+                own = trained(mine, [ids_of(pa.concat_arrays(held))])
+                n += own
+                np.add(total, own * mine.vector.astype(np.float64), out=total)
+
+            # the rows of a part lie together and in order, however they are cut into batches
             for batch in batches:
-                n += trained(mine, [ids_of(batch.column(0))])
+                keys = batch.column(0).to_numpy()
+                cut = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+                for a, b in zip(cut[:-1], cut[1:]):
+                    if a == b:
+                        continue
+                    if part is not None and keys[a] != part:
+                        finish()
+                        held = []
+                    part = keys[a]
+                    held.append(batch.column(1).slice(a, b - a))
+            if held:
+                finish()
             if n:
-                yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([mine.vector.astype(np.float64)], pa.list_(pa.float64()))], ["n", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total], pa.list_(pa.float64()))], ["n", "v"])
 
-        replicas = rows.where(F.pmod(F.xxhash64("row"), F.lit(rounds)) == r).select("ids").mapInArrow(run, "n long, v array<double>")
-        mean = replicas.select("n", F.posexplode("v").alias("i", "x")).groupBy("i").agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("x")).toPandas()
+        mine = parts.where(F.pmod("part", F.lit(rounds)) == r).repartition(min(replicas, MOST_TASKS), "part").sortWithinPartitions("part", "h", "row")
+        sums = mine.select("part", "ids").mapInArrow(run, "n long, v array<double>")
+        mean = sums.select("n", F.posexplode("v").alias("i", "x")).groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).toPandas()
         if len(mean):
             vector = np.empty(Network.size(), np.float32)
             vector[mean["i"].to_numpy()] = mean["x"].to_numpy()
@@ -415,7 +458,7 @@ def scored(docs: DataFrame, is_held_out: Column) -> DataFrame:
     counts = written(token_counts(rows.where("not held")), "lm-counts")
     stats = Statistics(counts)
     found = written(scan(rows, stats).withColumn("row", F.monotonically_increasing_id()), "lm-rows")
-    net = fit(found.where("not held_out"), stats)
+    net = fit(found.where("not held_out").select("doc_id", "ids", "row"), stats)
     tail = stats.tail(counts).select(F.col("h").alias("k"), F.log10(F.col("c") + 1).alias("log"))
     by_row = (found.select("row", F.explode("tail").alias("h")).join(tail, F.col("h") == F.col("k"))
               .groupBy(F.col("row").alias("r")).agg(F.sum("log").alias("log_far"), F.count("*").alias("n_far")))

@@ -108,3 +108,38 @@ def test_empty_table_and_no_training_rows(spark):
     assert L.scored(frame(spark, []), L.held_out(F.col("doc_id"))).count() == 0
     r = L.scored(frame(spark, ["a b"]), F.lit(True)).first()
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and r.base_score == 0
+
+
+def test_partitions_do_not_matter(spark, monkeypatch):
+    texts = random_texts(300, seed=11, vocabulary=60)
+    docs = frame(spark, texts).union(spark.createDataFrame([(5, texts[8], "s")] * 3, "doc_id long, text string, source string"))
+    # several replicas a round, of several documents each
+    monkeypatch.setattr(L.dealt, "__defaults__", (L.ROUNDS, 500))
+    monkeypatch.setattr(L.fit, "__defaults__", (L.ROUNDS, 500))
+    runs = []
+    for parts in (1, 7):
+        rows = L.scored(docs.repartition(parts), L.held_out(F.col("doc_id"))).collect()
+        runs.append(sorted((r.doc_id, r.n_tokens, r.score) for r in rows))
+    assert [r[:2] for r in runs[0]] == [r[:2] for r in runs[1]]
+    assert np.allclose([r[2] for r in runs[0]], [r[2] for r in runs[1]], rtol=1e-4, atol=1e-3)
+
+
+def test_equal_frequent_rows_are_dealt_to_many_parts(spark):
+    rows = spark.createDataFrame([(1, bytearray(b"ab"), i) for i in range(3000)] + [(i, bytearray(b"cd"), 10_000 + i) for i in range(300)], "doc_id long, ids binary, row long")
+    parts, replicas = L.dealt(rows, 400_000, 4, 10_000)
+    assert replicas == 10
+    counts = {r.part: r["count"] for r in parts.where("row < 10000").groupBy("part").count().collect()}
+    assert len(counts) == 40 and max(counts.values()) < 3 * 3000 / 40
+    assert {r.part % 4 for r in parts.where("row >= 10000").collect()} == set(range(4))
+    tiny, one = L.dealt(rows.where("row >= 10000"), 900, 4, 10_000)
+    assert one == 1 and {r.part for r in tiny.collect()} == set(range(4))
+
+
+def test_the_end_is_known_and_counted_once(spark):
+    # all words equally often: fewer are known than there are of that count
+    docs = frame(spark, [" ".join(f"w{i}" for i in range(k, k + 10)) for k in range(0, 300, 10)])
+    for known in (1, 7, 5000):
+        stats = L.Statistics(L.token_counts(docs), known)
+        assert stats.id_counts[L.END] == 30 and len(stats.h) == min(known, 300) + 1
+        assert stats.tail(L.token_counts(docs)).count() == 300 - min(known, 300)
+        assert stats.n_rest + stats.id_counts[1:].sum() == stats.n == 330 and stats.v == 301
