@@ -12,8 +12,10 @@ from .common import table
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
-#: The rules of the URL filter, and the host-name parts that put a host on the list.
+#: The rules of the URL filter, the share of its pages that they must block to put a host on
+#: the list, and the host-name parts that do so too.
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+BLOCKED_SHARE = 0.25
 BLOCK_TERMS = ("ads", "adult", "bets", "casino", "pills", "spam")
 
 
@@ -40,7 +42,9 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urlfilter.url_filter(table(spark, sf_dir, "pages"), URL_RULES, urlfilter.has_term(F.col("key"), BLOCK_TERMS))
+    pages = table(spark, sf_dir, "pages")
+    named = urlfilter.located(pages).select(F.col("host").alias("key")).where(urlfilter.has_term(F.col("key"), BLOCK_TERMS))
+    return urlfilter.url_filter(pages, URL_RULES, urlfilter.blocked_hosts(pages, URL_RULES, BLOCKED_SHARE).union(named))
 
 
 def op7_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,11 +132,14 @@ j AS (
     WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
     WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
     WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
-    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule,
-    list_has_any(string_split_regex(host, '[.-]'), ['ads', 'adult', 'bets', 'casino', 'pills', 'spam']) AS listed
-  FROM u)
+    WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM u),
+l AS (
+  SELECT host, avg(CASE WHEN rule IS NULL OR rule IN ('com/', 'www.example.com/en/') THEN 0 ELSE 1 END) >= 0.25
+           OR list_has_any(string_split_regex(host, '[.-]'), ['ads', 'adult', 'bets', 'casino', 'pills', 'spam']) AS listed
+  FROM j GROUP BY host)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-       WHEN listed THEN 'block' ELSE 'allow' END AS verdict FROM j""",
+       WHEN listed THEN 'block' ELSE 'allow' END AS verdict FROM j JOIN l USING (host)""",
     "op9_decontamination": f"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM benchmark),

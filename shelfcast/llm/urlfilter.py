@@ -6,12 +6,16 @@ listed keys that the second passes wrongly the third, and so on until a level er
 key's answer is the parity of the level that first rejects it.
 
 The universe is all distinct keys of the corpus, dealt into shards of bounded size by hash; each
-shard's cascade is built in one task.  While all cascades together stay below MOST_BYTES they are
-broadcast and every URL is judged in place, without a join; beyond that the answers are computed
-once for each key and joined to the URLs by key.
+shard's cascade is built in one task.  URLs are judged in place, without a join: the cascades of up to MOST_BYTES are
+broadcast at a time, and while there are more, the URLs of the next shards are judged in a further
+pass, whose broadcast replaces the one before.
+
+The list is a table of keys, whatever it was made from; ``blocked_hosts`` makes one from the corpus: hosts of which the
+rules block at least a share of the pages.
 
 A null URL, or one without ://, has an empty host and path; the empty host is a key like any other.
-Repeated rows are judged alike.  Without listed keys everything that no rule fits is allowed."""
+Repeated rows are judged alike.  Without listed keys everything that no rule fits is allowed.  Listed keys that no
+URL has are ignored, null ones too."""
 
 from __future__ import annotations
 
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, written
+from .common import map_batches, stage_path, written
 from .text import mix
 
 #: Keys of one shard, and bytes of all cascades up to which they are broadcast.
@@ -113,24 +117,43 @@ def cascades(keys: DataFrame, shards: int) -> DataFrame:
     return keys.select(*key_hashes(F.col("key"), shards), "listed").groupBy("shard").applyInPandas(build, "shard int, cascade binary")
 
 
-def judged(rows: DataFrame, listed: Column, most_bytes: int = MOST_BYTES, shard_keys: int = SHARD_KEYS) -> DataFrame:
-    """``rows`` (with a column host) with ``blocked``: whether the host is listed, by the cascade.
-
-    ``listed`` says of a column ``key`` whether it is on the list."""
-    keys = written(rows.select(F.col("host").alias("key")).distinct().withColumn("listed", F.coalesce(listed, F.lit(False))), "keys")
+def judged(rows: DataFrame, listed: DataFrame, most_bytes: int = MOST_BYTES, shard_keys: int = SHARD_KEYS) -> DataFrame:
+    """``rows`` (with a column host) with ``blocked``: whether the host is on the list (key), by the cascade."""
+    spark = rows.sparkSession
+    some = listed.select(F.col("key").alias("k")).where("k IS NOT NULL").distinct()
+    keys = rows.select(F.col("host").alias("key")).distinct().join(some, F.col("key") == F.col("k"), "left")
+    keys = written(keys.select("key", F.col("k").isNotNull().alias("listed")), "keys")
     shards = max(1, -(-keys.count() // shard_keys))
-    built = written(cascades(keys, shards), "cascades")
-    total = built.agg(F.sum(F.length("cascade"))).first()[0] or 0
-    if total > most_bytes:
-        def answer(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            h = np.stack([left["h1"].to_numpy(np.int64).view(np.uint64), left["h2"].to_numpy(np.int64).view(np.uint64)])
-            return pd.DataFrame({"key": left["key"], "blocked": Cascade.unpack(right["cascade"].iloc[0]).holds(h)})
-        each = keys.select("key", *key_hashes(F.col("key"), shards)).groupBy("shard").cogroup(built.groupBy("shard")).applyInPandas(answer, "key string, blocked boolean")
-        return rows.join(written(each, "answers"), F.col("host") == F.col("key")).drop("key")
-    shared = rows.sparkSession.sparkContext.broadcast({r["shard"]: r["cascade"] for r in built.collect()})
+    built = written(cascades(keys, shards).withColumn("bytes", F.length("cascade")), "cascades")
+    # groups of shards that are broadcast together: one row a shard
+    groups, room = [[]], most_bytes
+    for r in built.select("shard", "bytes").orderBy("shard").collect():
+        if groups[-1] and r.bytes > room:
+            groups.append([])
+            room = most_bytes
+        groups[-1].append(r["shard"])
+        room -= r.bytes
     names = rows.columns
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    sent = [F.col(f"`{c}`").alias(f"in_{c}") for c in names]
+    hashed = rows.select(*sent, *key_hashes(F.col("host"), shards))
+    if len(groups) == 1:
+        return _answered(hashed, _shared(built, groups[0]), names, kinds)
+    hashed, out = written(hashed, "hosts"), stage_path(spark, "answers")
+    for group in groups:
+        shared = _shared(built, group)
+        _answered(hashed.where(F.col("shard").isin(group)), shared, names, kinds).write.mode("append").parquet(out)
+        shared.destroy()
+    return spark.read.schema(", ".join([*(f"`{c}` {kinds[c]}" for c in names), "blocked boolean"])).parquet(out)
+
+
+def _shared(built: DataFrame, shards: list[int]):
+    """The cascades of some shards, broadcast."""
+    rows = built.where(F.col("shard").isin(shards)).select("shard", "cascade").collect()
+    return built.sparkSession.sparkContext.broadcast({r["shard"]: bytes(r["cascade"]) for r in rows})
+
 
+def _answered(hashed: DataFrame, shared, names: list[str], kinds: dict[str, str]) -> DataFrame:
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         shard, h1, h2 = (batch.column(len(names) + i).to_numpy() for i in range(3))
         h = np.stack([h1.view(np.uint64), h2.view(np.uint64)])
@@ -140,7 +163,7 @@ def judged(rows: DataFrame, listed: Column, most_bytes: int = MOST_BYTES, shard_
             blocked[some] = Cascade.unpack(shared.value[s]).holds(h[:, some])
         return pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(blocked)], [*names, "blocked"])
 
-    return map_batches(rows.select(*names, *key_hashes(F.col("host"), shards)), one, ", ".join([*(f"`{c}` {kinds[c]}" for c in names), "blocked boolean"]))
+    return map_batches(hashed, one, ", ".join([*(f"`{c}` {kinds[c]}" for c in names), "blocked boolean"]))
 
 
 def has_term(key: Column, terms: tuple[str, ...]) -> Column:
@@ -148,10 +171,21 @@ def has_term(key: Column, terms: tuple[str, ...]) -> Column:
     return F.arrays_overlap(F.split(key, "[.-]"), F.array(*map(F.lit, terms)))
 
 
-def url_filter(pages: DataFrame, rules: list[tuple[str, str]], listed: Column) -> DataFrame:
-    """page_id, host, path, rule and verdict of every page."""
+def located(pages: DataFrame) -> DataFrame:
+    """page_id, host and path of every page."""
     host, path = host_and_path(F.col("url"))
-    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    return pages.select("page_id", host.alias("host"), path.alias("path"))
+
+
+def blocked_hosts(pages: DataFrame, rules: list[tuple[str, str]], share: float) -> DataFrame:
+    """(key): the hosts of which the rules block at least ``share`` of the pages."""
+    verdict = first_rule(F.col("host"), F.col("path"), rules)[1]
+    per = located(pages).groupBy(F.col("host").alias("key")).agg(F.avg(F.coalesce(verdict == "block", F.lit(False)).cast("double")).alias("share"))
+    return per.where(F.col("share") >= share).select("key")
+
+
+def url_filter(pages: DataFrame, rules: list[tuple[str, str]], listed: DataFrame, most_bytes: int = MOST_BYTES, shard_keys: int = SHARD_KEYS) -> DataFrame:
+    """page_id, host, path, rule and verdict of every page; ``listed`` (key) are the blocked hosts."""
     rule, verdict = first_rule(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("blocked"), "block").otherwise("allow")
-    return judged(rows, listed).select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"))
+    return judged(located(pages), listed, most_bytes, shard_keys).select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"))
