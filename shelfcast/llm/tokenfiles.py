@@ -14,7 +14,7 @@ tokenizer's own pattern always begins a new pre-token, so equal cuts are encoded
 afterwards; the ids are those of the whole text.
 
 A null text is empty and has only the end id.  Rows without a doc_id come first.  Rows that repeat
-a doc_id stay, ordered by the hash of their text.  An empty table gives no rows."""
+a doc_id stay, ordered by the hash of their text; equal ones may lie in several files.  An empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -191,8 +191,9 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 def write_tokens(docs: DataFrame, tokenizer: str, path: str) -> None:
     """Write the ids of all ``docs`` as ORC files below ``path``."""
-    order = ["doc_id", F.xxhash64("text")]
-    dealt = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
+    # the place splits rows that are equal in both into several ranges
+    order = ["doc_id", F.xxhash64("text"), "place"]
+    dealt = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("place")).repartitionByRange(*order).sortWithinPartitions(*order)
     (encoded(dealt, tokenizer).withColumn("part", F.spark_partition_id())
         .withColumn("row", F.monotonically_increasing_id()).write
         .option("compression", "zstd").option("orc.create.index", "true").option("orc.row.index.stride", ROW_INDEX)

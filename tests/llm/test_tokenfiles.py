@@ -61,3 +61,61 @@ def test_reads_of_some_documents_and_metadata(spark):
 
 def test_empty_table(spark):
     assert K.token_files(frame(spark, []), TOKENIZER).count() == 0
+
+
+def orc_parts(spark, files):
+    """(stripes, rows, row index entries, Bloom filters on doc_id) of each file, by ORC's own reader."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for f in files:
+        reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(f), jvm.org.apache.orc.OrcFile.readerOptions(conf))
+        rows = reader.rows()
+        entries = blooms = 0
+        flags = spark.sparkContext._gateway.new_array(jvm.boolean, reader.getSchema().getMaximumId() + 1)
+        for i in range(len(flags)):
+            flags[i] = True
+        for k in range(reader.getStripes().size()):
+            index = rows.readRowIndex(k, flags, flags)
+            entries += index.getRowGroupIndex()[1].getEntryCount()
+            found = index.getBloomFilterIndex()[1]
+            blooms += 0 if found is None else found.getBloomFilterCount()
+        out.append((reader.getStripes().size(), reader.getNumberOfRows(), entries, blooms))
+        rows.close()
+    return out
+
+
+def test_stripes_row_index_and_bloom_filters(spark, monkeypatch):
+    monkeypatch.setattr(K, "STRIPE_BYTES", 64 << 10)
+    path = stage_path(spark, "tokens-stripes")
+    docs = spark.range(0, 24_000, 2, 1).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 20), i -> substr(sha2(concat(id, ':', i), 256), 1, 9))) AS text")
+    K.write_tokens(docs.coalesce(1), TOKENIZER, path)
+    files = K.read_tokens(spark, path).inputFiles()
+    parts = orc_parts(spark, files)
+    assert sum(rows for _, rows, *_ in parts) == 12_000 and max(stripes for stripes, *_ in parts) > 1
+    assert all(blooms == entries >= stripes for stripes, _, entries, blooms in parts)
+    # metadata alone tells that odd ids are in no row group, and where an even one is
+    def rows_read(ids):
+        df = K.read_tokens(spark, path, ids).select("doc_id")
+        got = [r.doc_id for r in df.collect()]
+        metrics = df._jdf.queryExecution().executedPlan()
+        scan = metrics.collectLeaves().head()
+        return got, scan.metrics().get("numOutputRows").get().value()
+    got, read = rows_read([11_000])
+    assert got == [11_000] and 0 < read <= 2 * K.ROW_INDEX
+    got, read = rows_read([11_001])
+    assert got == [] and read <= K.ROW_INDEX
+
+
+def test_equal_rows_are_split_over_files(spark, tokenizer):
+    docs = spark.createDataFrame([(7, "the same text again")] * 4000 + [(100 + i, f"other {i}") for i in range(50)], "doc_id long, text string").repartition(4)
+    path = stage_path(spark, "tokens-equal")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        K.write_tokens(docs, TOKENIZER, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    per = {r.part: r["count"] for r in K.read_tokens(spark, path).where("doc_id = 7").groupBy("part").count().collect()}
+    assert len(per) > 1 and sum(per.values()) == 4000
+    got = sorted(K.token_index(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == sorted(r.doc_id for r in got) and [r.start for r in got] == np.concatenate(([0], np.cumsum([r.n_tokens for r in got])[:-1])).tolist()
