@@ -143,3 +143,10 @@ def test_the_end_is_known_and_counted_once(spark):
         assert stats.id_counts[L.END] == 30 and len(stats.h) == min(known, 300) + 1
         assert stats.tail(L.token_counts(docs)).count() == 300 - min(known, 300)
         assert stats.n_rest + stats.id_counts[1:].sum() == stats.n == 330 and stats.v == 301
+
+
+def test_very_long_text(spark):
+    long = " ".join(f"w{i % 50}" for i in range(120_000))
+    got = collected(L.scored(frame(spark, [long, "w1 w2 w3", "new words"]), L.held_out(F.col("doc_id"))))
+    assert got[0].n_tokens == 120_001 and got[2].n_tokens == 3
+    assert all(np.isfinite(got[i].score) and got[i].score < 0 for i in range(3))

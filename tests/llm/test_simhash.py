@@ -100,3 +100,13 @@ def test_large_components_and_frequent_fingerprints(spark, monkeypatch):
         rows.append(sorted((r.doc_id, r.fp, r.component_id) for r in S.near_duplicates(frame(spark, texts)).collect()))
     assert rows[0] == rows[1] == rows[2] and len(rows[0]) == len(texts)
     assert [c for _, _, c in rows[0]] == classes([fingerprint(t) for t in texts])
+
+
+def test_very_long_texts(spark):
+    long = " ".join(f"w{i % 9973}" for i in range(300_000))
+    glued = "x" * 2_000_000
+    texts = [long, long.upper(), glued, glued + " y", "short"]
+    got = collected(S.near_duplicates(frame(spark, texts)))
+    fps = [fingerprint(t) for t in texts]
+    assert [np.int64(got[i].fp).view(np.uint64) for i in range(5)] == fps
+    assert [got[i].component_id for i in range(5)] == classes(fps)

@@ -119,3 +119,11 @@ def test_equal_rows_are_split_over_files(spark, tokenizer):
     assert len(per) > 1 and sum(per.values()) == 4000
     got = sorted(K.token_index(spark, path).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == sorted(r.doc_id for r in got) and [r.start for r in got] == np.concatenate(([0], np.cumsum([r.n_tokens for r in got])[:-1])).tolist()
+
+
+def test_very_long_texts(spark, tokenizer):
+    texts = [" ".join(f"word{i % 977}" for i in range(200_000)), "ab" * 150_000, " " * 100_000 + "end"]
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in K.token_files(frame(spark, texts), TOKENIZER).collect()}
+    for i, t in enumerate(texts):
+        e = np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 2], "<u4")
+        assert got[i] == (len(e), zlib.crc32(e))
