@@ -665,6 +665,15 @@ def q_weekly_forecast_job(spark, sf_dir):
     return finish(_valid(job.daily, "prediction_store_daily"))
 
 
+@register("audit_forecast_conservation")
+def q_audit_forecast_conservation(spark, sf_dir):
+    """E1 with the model: its quantities arrive whole in stores and days; the quantities are the learner's."""
+    from .jobs import weekly_forecast_job
+    r = Retail(spark, sf_dir)
+    job = weekly_forecast_job(r.history_sales, r.dim_product, r.store_clustering, r.dim_calendar, as_of_lit(r), PROD_ALL_HISTORY)
+    return finish(audit.forecast_conservation(job.forecast, job.breakdown, job.daily).drop("predicted_quantity"))
+
+
 @register("weekly_segment_sales_local")
 def q_weekly_segment_sales_local(spark, sf_dir):
     return finish(_weekly(Retail(spark, sf_dir), LOCAL))

@@ -1001,3 +1001,10 @@ JOIN history_sales h ON h.date < m.e + INTERVAL 1 MONTH AND h.date >= m.e - INTE
 GROUP BY e
 """)
 ORACLES["demand_features_incremental"] = "SELECT * FROM (" + ORACLES["demand_features"] + ") f WHERE week_start_date = (SELECT date_trunc('week', max(l_shipdate))::DATE FROM lineitem)"
+ORACLES["audit_forecast_conservation"] = build(f"""
+SELECT g.*, coalesce(n, 0) AS n_pairs, TRUE AS stores_ok, TRUE AS days_ok
+FROM (SELECT CAST(store_cluster AS DOUBLE) AS store_cluster, CAST(product_att_01 AS DOUBLE) AS product_att_01, CAST(product_att_02 AS DOUBLE) AS product_att_02,
+             CAST(product_att_05 AS DOUBLE) AS product_att_05, count(*) AS n_weeks FROM future_grid GROUP BY ALL) g
+LEFT JOIN (SELECT store_cluster, product_att_01, product_att_02, product_att_05, count(DISTINCT store_code || ' ' || stok_kodu) AS n FROM breakdown GROUP BY ALL) b
+  ON b.store_cluster = g.store_cluster AND b.product_att_01 = g.product_att_01 AND b.product_att_02 = g.product_att_02 AND b.product_att_05 = g.product_att_05
+""")

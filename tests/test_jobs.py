@@ -91,3 +91,19 @@ def test_star_shuffles_only_unbucketed_sides(spark, outputs):
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(store_code#" in line and ", product_id#" in line and "stok_kodu" not in line]
     assert len(joins) == 5 and len(dealt) == 2, plan
     assert sorted(map(tuple, base.collect()), key=str) == sorted(map(tuple, dy.base.collect()), key=str)
+
+
+def test_a_forecast_arrives_whole_or_is_flagged(outputs):
+    from shelfcast.operators.audit import forecast_conservation
+    wk, _ = outputs
+    rows = forecast_conservation(wk.forecast, wk.breakdown, wk.daily).collect()
+    assert rows and all(r.stores_ok and r.days_ok and r.n_weeks == 12 for r in rows) and any(r.n_pairs for r in rows)
+    assert abs(sum(r.predicted_quantity for r in rows) - wk.forecast.agg(F.sum("predicted_quantity")).first()[0]) < 1e-6
+    # a lost store and a lost day are seen in their segments only
+    pair = wk.breakdown.filter("store_ratio > 0.1 AND store_ratio < 0.9 AND store_predicted_quantity > 0").orderBy("store_code", "stok_kodu").first()
+    here = (F.col("store_code") == pair.store_code) & (F.col("stok_kodu") == pair.stok_kodu)
+    lost = forecast_conservation(wk.forecast, wk.breakdown.filter(~here), wk.daily).filter("NOT stores_ok").collect()
+    assert len(lost) == 1 and lost[0].store_cluster == pair.store_cluster
+    day = wk.daily.filter(here).filter("prediction_store_daily > 0").agg(F.min("date")).first()[0]
+    short = forecast_conservation(wk.forecast, wk.breakdown, wk.daily.filter(~(here & (F.col("date") == F.lit(day))))).collect()
+    assert [r.store_cluster for r in short if not r.days_ok] == [pair.store_cluster] and all(r.stores_ok for r in short)
