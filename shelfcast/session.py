@@ -122,7 +122,7 @@ def materialize_bucketed(df, keys: list[str], name: str = "stage", buckets: int
     joins without a sort, so a table that several consumers group or join by the same keys is shuffled
     once, here.  ``buckets`` defaults to ``spark.sql.shuffle.partitions``, the number that the other side
     of a join is shuffled to.  A row of the catalog holds the bucketing; the files are in the shared
-    scratch folder."""
+    scratch folder.  Where the catalog outlives the session, ``clear_scratch`` at the job's end drops both."""
     import uuid
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
