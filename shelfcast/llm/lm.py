@@ -151,9 +151,9 @@ def sigmoid(x: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
 
 
 def softmax_at(logits: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of logits (choices, tokens) the log P of each token's choice, and P less one at it."""
+    """Of logits (choices, tokens) the log P of each token's choice, and P less one at it, in place."""
     tokens = np.arange(len(chosen))
-    logits = logits - logits.max(axis=0)
+    logits -= logits.max(axis=0)
     at = logits[chosen, tokens]
     np.exp(logits, out=logits)
     total = logits.sum(axis=0)
@@ -227,17 +227,18 @@ class Network:
             d_columns = self.cw @ d
             grads.cw += columns @ d.T
             grads.cb += d.sum(axis=1)
-        for k in range(CLASSES):
-            lo, hi = bound[k], bound[k + 1]
-            if lo == hi:
-                continue
-            mine = columns[:, lo:hi]
-            inner, d = softmax_at(self.ww[k].T @ mine + self.wb[k][:, None], word[lo:hi])
-            log_p[lo:hi] += inner
-            if grads is not None:
-                d_columns[:, lo:hi] += self.ww[k] @ d
-                grads.ww[k] += mine @ d.T
-                grads.wb[k] += d.sum(axis=1)
+        # the words of each class, then one softmax for all
+        spans = [(k, lo, hi) for k, (lo, hi) in enumerate(zip(bound[:-1].tolist(), bound[1:].tolist())) if lo < hi]
+        inner = np.empty((CLASS_WORDS, len(order)), columns.dtype)
+        for k, lo, hi in spans:
+            np.matmul(self.ww[k].T, columns[:, lo:hi], out=inner[:, lo:hi])
+            inner[:, lo:hi] += self.wb[k][:, None]
+        more, d = softmax_at(inner, word)
+        log_p += more
+        for k, lo, hi in spans if grads is not None else ():
+            d_columns[:, lo:hi] += self.ww[k] @ d[:, lo:hi]
+            grads.ww[k] += columns[:, lo:hi] @ d[:, lo:hi].T
+            grads.wb[k] += d[:, lo:hi].sum(axis=1)
         out = np.empty_like(log_p)
         out[order] = log_p
         if grads is None:
@@ -392,6 +393,15 @@ def dealt(rows: DataFrame, tokens: int, rounds: int = ROUNDS, replica_tokens: in
     return rows.select("ids", "row", "h", F.pmod(F.xxhash64("h", salt), F.lit(rounds * replicas)).alias("part")), replicas
 
 
+def own_partitions(rows: DataFrame, column: Column, tasks: int) -> DataFrame:
+    """``rows`` repartitioned so that each number 0 .. tasks - 1 of ``column`` has a partition of its own.
+
+    A number stands for a key that Spark's hash deals to that partition; there are ``tasks`` of them."""
+    keys = rows.sparkSession.range(100 + 20 * tasks).groupBy(F.pmod(F.hash("id"), F.lit(tasks)).alias("p")).agg(F.min("id").alias("key"))
+    dealt = rows.withColumn("number", column.cast("int")).join(F.broadcast(keys), F.col("number") == F.col("p"), "left")
+    return dealt.withColumn("key", F.coalesce("key", F.col("number").cast("long"))).repartition(tasks, "key").drop("number", "p", "key")
+
+
 def fit(rows: DataFrame, stats: Statistics, rounds: int = ROUNDS, replica_tokens: int = REPLICA_TOKENS) -> Network:
     """Train on all ``rows`` (doc_id, ids, row) in rounds, replicas averaged by tokens."""
     context = rows.sparkSession.sparkContext
@@ -429,7 +439,9 @@ def fit(rows: DataFrame, stats: Statistics, rounds: int = ROUNDS, replica_tokens
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total], pa.list_(pa.float64()))], ["n", "v"])
 
-        mine = parts.where(F.pmod("part", F.lit(rounds)) == r).repartition(min(replicas, MOST_TASKS), "part").sortWithinPartitions("part", "h", "row")
+        tasks = min(replicas, MOST_TASKS)
+        number = F.pmod(F.floor(F.col("part") / rounds), F.lit(tasks))
+        mine = own_partitions(parts.where(F.pmod("part", F.lit(rounds)) == r), number, tasks).sortWithinPartitions("part", "h", "row")
         sums = mine.select("part", "ids").mapInArrow(run, "n long, v array<double>")
         mean = sums.select("n", F.posexplode("v").alias("i", "x")).groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).toPandas()
         if len(mean):

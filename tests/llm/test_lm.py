@@ -150,3 +150,11 @@ def test_very_long_text(spark):
     got = collected(L.scored(frame(spark, [long, "w1 w2 w3", "new words"]), L.held_out(F.col("doc_id"))))
     assert got[0].n_tokens == 120_001 and got[2].n_tokens == 3
     assert all(np.isfinite(got[i].score) and got[i].score < 0 for i in range(3))
+
+
+def test_every_replica_has_a_task_of_its_own(spark):
+    for tasks in (1, 3, 17, 40):
+        rows = spark.range(2000).withColumn("part", F.col("id") % tasks)
+        got = L.own_partitions(rows, F.col("part"), tasks)
+        per = got.groupBy(F.spark_partition_id().alias("at")).agg(F.countDistinct("part").alias("n")).collect()
+        assert got.columns == rows.columns and len(per) == tasks and {r.n for r in per} == {1}
