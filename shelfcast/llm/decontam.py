@@ -42,6 +42,8 @@ SHINGLE = 3
 FILTER_BITS = 27
 #: Windows (about 150 bytes each) up to which the prefixes are broadcast, and copies of a prefix beyond it.
 MOST_WINDOWS, SALT = 200_000, 16
+#: Contaminated rows (8 bytes each) up to which their numbers are broadcast.
+MOST_ROWS = 1_000_000
 
 
 def words_of(batch_column: pa.Array):
@@ -200,8 +202,14 @@ def contamination(docs: DataFrame, items: DataFrame, carry: tuple[str, ...] = ("
         out(maybe, F.coalesce("n_hit", zero), F.coalesce("n_items", zero), F.coalesce("items_sha256", none)))
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no window of an item."""
+def clean(docs: DataFrame, items: DataFrame, few: int = MOST_ROWS) -> DataFrame:
+    """The rows of ``docs`` that hold no window of an item.
+
+    The rows are written with a number, and only that goes through the search; the numbers of contaminated
+    rows come back, broadcast while there are at most ``few``."""
     names = ("doc_id", "text")
-    rows = protected(docs, *names)
-    return restored(contamination(rows, items, tuple(rows.columns)).where("not contaminated"), docs, *names)
+    rows = written(protected(docs, *names).withColumn("decontam_id", F.monotonically_increasing_id()), "decontam-docs")
+    found = contamination(rows, items, ("decontam_id",), WINDOW).where("contaminated").select(F.col("decontam_id").alias("gone"))
+    found = written(found, "decontam-found")
+    gone = F.broadcast(found) if found.count() <= few else found
+    return restored(rows.join(gone, F.col("decontam_id") == F.col("gone"), "left_anti"), docs, *names)

@@ -110,5 +110,7 @@ def test_long_texts_hot_passages_and_one_window_of_all_items(spark):
 def test_clean_with_clashing_columns(spark):
     _, docs, item_table, doc_table = tables(spark)
     odd = doc_table.selectExpr("*", "1 AS row", "2 AS found", "3 AS n_words", "4 AS window", "5 AS decontam_text", "6 AS `set`")
-    out = D.clean(odd, item_table)
-    assert out.columns == odd.columns and out.count() == D.clean(doc_table, item_table).count()
+    odd = odd.selectExpr("*", "7 AS decontam_id", "8 AS gone")
+    kept = sorted(map(tuple, D.clean(odd, item_table).collect()), key=str)
+    assert D.clean(odd, item_table).columns == odd.columns and len(kept) == D.clean(doc_table, item_table).count()
+    assert sorted(map(tuple, D.clean(odd, item_table, few=0).collect()), key=str) == kept
