@@ -23,7 +23,6 @@ documents all counts are zero and the network keeps its initial weights."""
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,16 +96,32 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def level_of(c: str) -> Column:
+    """The level of a count, in sixteenths of a doubling."""
+    return F.floor(F.log2(c) * 16).cast("int")
+
+
+def range_of(h: str) -> Column:
+    """The range of a hash, of 65,536."""
+    return F.shiftrightunsigned(h, 48).cast("int")
+
+
 class Statistics:
     """Totals, and the counts of the most frequent tokens."""
 
     def __init__(self, counts: DataFrame, known: int = KNOWN, words: int = CLASSES * CLASS_WORDS - 2):
         self.n, self.v = (int(x or 0) for x in counts.agg(F.sum("c"), F.count("*")).first())
-        # the end token, and the first of the others by count and hash
+        # whole levels of counts while they fit, then of the next level whole ranges of hashes
         others = counts.where(F.col("h") != 0)
-        top = others.orderBy(F.desc("c"), F.asc("h")).limit(known).toPandas()
-        self.last = (int(top["c"].iloc[-1]), int(top["h"].iloc[-1])) if len(top) else None
-        top = pd.concat((top, counts.where(F.col("h") == 0).toPandas()))
+        levels = others.groupBy(level_of("c").alias("at")).agg(F.count("*").alias("n")).toPandas().sort_values("at", ascending=False)
+        total = levels["n"].cumsum()
+        self.level, self.range = -1, 0
+        if (total > known).any():
+            self.level = int(levels["at"][total > known].max())
+            ranges = others.where(level_of("c") == self.level).groupBy(range_of("h").alias("at")).agg(F.count("*").alias("n")).toPandas().sort_values("at")
+            fits = ranges["n"].cumsum() <= known - levels["n"][levels["at"] > self.level].sum()
+            self.range = int(ranges["at"][fits].max()) + 1 if fits.any() else 0
+        top = counts.where((F.col("h") == 0) | self.is_known()).toPandas()
         h, c = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
         order = np.argsort(h)
         self.h, self.c = h[order], c[order]
@@ -126,10 +141,10 @@ class Statistics:
 
     def tail(self, counts: DataFrame) -> DataFrame:
         """The counts that are not among the known."""
-        if self.last is None:
-            return counts.limit(0)
-        c, h = self.last
-        return counts.where((F.col("h") != 0) & ((F.col("c") < c) | (F.col("c") == c) & (F.col("h") > h)))
+        return counts.where((F.col("h") != 0) & ~self.is_known())
+
+    def is_known(self) -> Column:
+        return (level_of("c") > self.level) | (level_of("c") == self.level) & (range_of("h") < self.range)
 
     def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id of each token and its place among the known, or -1."""
