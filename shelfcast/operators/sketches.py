@@ -1,6 +1,6 @@
 """Monthly sketches of sales (G2, G9 at scale): quantiles and distinct counts that merge.
 
-A month's sketches are a few kilobytes whatever its sales.  Kept beside the monthly extract, they
+A month's sketches are some kilobytes whatever its sales.  Kept beside the monthly extract, they
 answer medians, other quantiles and distinct counts for any range of months by merging, without a scan of the
 sales.  Quantiles are KLL sketches (error in rank), distinct counts HyperLogLog (relative error)."""
 
@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: KLL size: the rank of an answer is within RANK_ERROR of the asked one (99 % of the time and more).
-KLL_K, RANK_ERROR = 400, 0.01
-#: HyperLogLog size: three standard errors of 1.04 / sqrt(2^12) are 5 %.
-HLL_BITS, DISTINCT_ERROR = 12, 0.05
+#: KLL size, for which 99 % of answers are within 0.4 % of the asked rank: RANK_ERROR is some seven standard errors.
+KLL_K, RANK_ERROR = 800, 0.01
+#: HyperLogLog size: a standard error is 1.04 / sqrt(2^14), DISTINCT_ERROR is six.
+HLL_BITS, DISTINCT_ERROR = 14, 0.05
 
 
 def monthly_sketches(sales: DataFrame, value: str = "unit_price", distinct: tuple[str, ...] = ("store_code", "product_id"),
@@ -33,7 +33,7 @@ def merged_range(sketches: DataFrame, first: str, last: str, keys: tuple[str, ..
 
 def trailing_ranges(sketches: DataFrame, months: int = 3) -> DataFrame:
     """For every month the sketches of it and the ``months`` - 1 before: each month's row is sent to
-    the ranges it belongs to, a few kilobytes each."""
+    the ranges it belongs to, some kilobytes each."""
     start = F.to_date(F.concat("month", F.lit("-01")))
     ends = F.transform(F.sequence(F.lit(0), F.lit(months - 1)), lambda k: F.date_format(F.add_months(start, k), "yyyy-MM"))
     known = sketches.select(F.col("month").alias("range_end"))
