@@ -86,11 +86,18 @@ def store_sku_pairs(stock_agg: DataFrame, prediction: DataFrame | None = None,
 
 def style_to_variants(pairs: DataFrame, product: DataFrame, only_active: bool = True) -> DataFrame:
     """Every (store, style) pair expanded to the style's (active) variants; a style
-    without variants keeps one row with a NULL product_id."""
+    without variants keeps one row with a NULL product_id.
+
+    Both sides are distinct before the join, so its rows are, and nothing holds the expansion.  The
+    number of partitions is given: AQE would size them by the two small inputs, and one task would
+    write all the variants of all stores."""
     p = active_products(product) if only_active else product
     p = p.select(F.col("product_code").cast("string").alias("product_code"), F.col("product_id").cast("string").alias("product_id"))
-    out = pairs.join(p, pairs.stok_kodu == p.product_code, "left").drop("product_code")
-    return out.select(F.col("magaza").alias("store_code"), "stok_kodu", "product_id").distinct()
+    n = int(p.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.select("magaza", "stok_kodu").distinct().repartition(n, "stok_kodu")
+    p = p.distinct().repartition(n, "product_code")
+    out = pairs.join(p, pairs.stok_kodu == p.product_code, "left")
+    return out.select(F.col("magaza").alias("store_code"), "stok_kodu", "product_id")
 
 
 def store_product_pairs(stock_agg: DataFrame, product: DataFrame, prediction: DataFrame | None = None,
