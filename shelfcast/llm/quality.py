@@ -1,7 +1,7 @@
 """Quality rules: hashed n-gram log-likelihood ratio of a trusted target against the raw corpus.
 
 Words and word pairs of every text go into ``buckets`` hash buckets.  Two multinomials are
-counted: the raw one over all documents, the target one over the trusted documents.  A document's
+counted: the raw one over all documents, the target one over all trusted documents.  A document's
 score is the mean over its n-grams of log(target / raw); it is kept when the score reaches the
 threshold and the base rules hold.  The threshold is derived from the trusted documents: each is
 scored with its own n-grams taken out of the target, as a document that is not trusted would be, and
@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import map_batches, pieces, protected, restored, text_bytes
+from .common import drop_stage, map_batches, pieces, protected, restored, text_bytes, written
 
 #: Hash buckets of the multinomials: this bounds what is sent to the driver and broadcast (8 bytes each).
 BUCKETS = 1 << 16
-#: Trusted documents that the target is fitted on: the first by md5 of doc_id, at most so many.
-TARGET_DOCS = 100_000
+#: Words of the filter of trusted doc_ids: the rows that are broadcast at most.
+FILTER_WORDS = 1 << 18
 #: Pseudo-count of the target, shared by the raw distribution: n-grams for each of the target's own,
 #: so that scores keep their scale at any size.  With a given threshold: n-grams for each bucket.
 TARGET_SHARE, SMOOTHING = 1.0, 1.0
@@ -50,42 +50,46 @@ def ngram_buckets(words: np.ndarray, word_offsets: np.ndarray, buckets: int) ->
     return (both % np.uint64(buckets)).astype(np.int64), np.concatenate((rows, rows[pairs]))
 
 
-def bucket_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, raw, target) over all of ``docs``; ``trusted`` has the doc_ids of the target, at
-    most TARGET_DOCS of them."""
-    marked = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(True).alias("t"))), "doc_id", "left").select("text", F.coalesce("t", F.lit(False)).alias("t"))
-
+def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, n) over all n-grams of ``docs``."""
     def run(batches):
-        raw_n, target_n = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        counts = np.zeros(buckets, np.int64)
         for batch in batches:
             data, at = text_bytes(batch.column(0))
-            flag = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for lo, hi in pieces(at):
                 part, off = data[at[lo]:at[hi]], at[lo:hi + 1] - at[lo]
                 starts, ends, words_at = T.runs(part, off, T.SPACE)
-                b, row = ngram_buckets(T.span_hashes(part, starts, ends), words_at, buckets)
-                raw_n += np.bincount(b, minlength=buckets)
-                target_n += np.bincount(b[flag[lo:hi][row]], minlength=buckets)
-        some = np.flatnonzero(raw_n)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw_n[some]), pa.array(target_n[some])], ["bucket", "raw", "target"])
-
-    counts = marked.mapInArrow(run, "bucket long, raw long, target long")
-    return counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-
-
-def trusted_docs(labels: DataFrame, limit: int = TARGET_DOCS) -> DataFrame:
-    """doc_ids that are labelled good and not toxic; at most ``limit``, chosen by hash."""
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    return good.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(limit)
-
-
-def bucket_arrays(counts: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """Raw and target counts by bucket.  At most ``buckets`` rows reach the driver."""
-    raw, target = np.zeros(buckets), np.zeros(buckets)
+                b, _ = ngram_buckets(T.span_hashes(part, starts, ends), words_at, buckets)
+                counts += np.bincount(b, minlength=buckets)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["bucket", "n"])
+
+    return docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+
+
+def trusted_docs(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text) of every row of ``docs`` that is labelled good and not toxic.
+
+    The ids are not broadcast, they grow with the corpus.  Their hashes set bits in FILTER_WORDS words of 64
+    bits; texts whose bit is not set are not shuffled, the join by doc_id decides on the others."""
+    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null")
+    # hashes agree within one type only
+    good = good.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")).distinct()
+    h = F.xxhash64("doc_id")
+    word, bit = F.pmod(h, F.lit(FILTER_WORDS)), F.expr("shiftleft(1L, cast(pmod(shiftright(h, 32), 64) as int))")
+    bits = good.withColumn("h", h).select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    some = (docs.select("doc_id", "text").withColumn("h", h).withColumn("word", word).withColumn("bit", bit)
+            .join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(F.col("bit")) != 0))
+    # an inner join on distinct ids: a semi-join would be pushed below the filter
+    return some.select("doc_id", "text").join(good.hint("merge"), "doc_id").select("text")
+
+
+def bucket_array(counts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+    """Counts by bucket.  At most ``buckets`` rows reach the driver."""
+    out = np.zeros(buckets)
     got = counts.toPandas()
-    raw[got["bucket"].to_numpy(np.int64)] = got["raw"].to_numpy(np.float64)
-    target[got["bucket"].to_numpy(np.int64)] = got["target"].to_numpy(np.float64)
-    return raw, target
+    out[got["bucket"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
+    return out
 
 
 def raw_share(raw: np.ndarray) -> np.ndarray:
@@ -101,13 +105,12 @@ def bucket_weights(raw: np.ndarray, target: np.ndarray, pseudo: float) -> np.nda
     return np.rint(1e6 * np.log(p_target / p_raw)).astype(np.int64)
 
 
-def derived_threshold(docs: DataFrame, trusted: DataFrame, raw: np.ndarray, target: np.ndarray, pseudo: float) -> int:
+def derived_threshold(trusted: DataFrame, raw: np.ndarray, target: np.ndarray, pseudo: float) -> int:
     """The low quantile of the trusted documents' scores, each counted without itself, less the
     margin.  Scores are counted in thousandths, so a bounded histogram reaches the driver."""
     if not target.sum():
         return LEAST
-    mine = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id")), "doc_id").select("text")
-    shared, buckets = docs.sparkSession.sparkContext.broadcast((raw_share(raw), target)), len(raw)
+    shared, buckets = trusted.sparkSession.sparkContext.broadcast((raw_share(raw), target)), len(raw)
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         (p_raw, counted), found = shared.value, []
@@ -126,7 +129,7 @@ def derived_threshold(docs: DataFrame, trusted: DataFrame, raw: np.ndarray, targ
             found.append(np.floor(1e3 * score[judged]).astype(np.int64))
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(found))], ["score"])
 
-    by_score = map_batches(mine, one, "score long").groupBy("score").count().toPandas().sort_values("score")
+    by_score = map_batches(trusted, one, "score long").groupBy("score").count().toPandas().sort_values("score")
     if by_score.empty:
         return LEAST
     up_to = by_score["count"].cumsum().to_numpy()
@@ -136,12 +139,16 @@ def derived_threshold(docs: DataFrame, trusted: DataFrame, raw: np.ndarray, targ
 
 def fitted(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: int | None = None) -> tuple[np.ndarray, int]:
     """Weights of the buckets and the threshold, derived unless it is given."""
-    trusted = trusted_docs(labels)
-    raw, target = bucket_arrays(bucket_counts(docs, trusted, buckets), buckets)
+    # read twice: for the target and for the threshold
+    trusted = written(trusted_docs(docs, labels), "trusted")
+    raw, target = (bucket_array(bucket_counts(d, buckets), buckets) for d in (docs, trusted))
     if threshold is not None:
-        return bucket_weights(raw, target, SMOOTHING * buckets), threshold
-    pseudo = TARGET_SHARE * target.sum()
-    return bucket_weights(raw, target, pseudo), derived_threshold(docs, trusted, raw, target, pseudo)
+        weights = bucket_weights(raw, target, SMOOTHING * buckets)
+    else:
+        pseudo = TARGET_SHARE * target.sum()
+        weights, threshold = bucket_weights(raw, target, pseudo), derived_threshold(trusted, raw, target, pseudo)
+    drop_stage(trusted)
+    return weights, threshold
 
 
 def base_columns(part: np.ndarray, off: np.ndarray, starts, ends, words_at, words) -> dict[str, np.ndarray]:
