@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import as_date, clean_attribute_code, month_floor_lookback, not_sentinel, number
 from ..profiles import Profile, get_profile
+from ..session import spread
 from .clean import active_products
 
 
@@ -93,9 +94,8 @@ def style_to_variants(pairs: DataFrame, product: DataFrame, only_active: bool =
     write all the variants of all stores."""
     p = active_products(product) if only_active else product
     p = p.select(F.col("product_code").cast("string").alias("product_code"), F.col("product_id").cast("string").alias("product_id"))
-    n = int(p.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.select("magaza", "stok_kodu").distinct().repartition(n, "stok_kodu")
-    p = p.distinct().repartition(n, "product_code")
+    pairs = spread(pairs.select("magaza", "stok_kodu").distinct(), "stok_kodu")
+    p = spread(p, "product_code").distinct()
     out = pairs.join(p, pairs.stok_kodu == p.product_code, "left")
     return out.select(F.col("magaza").alias("store_code"), "stok_kodu", "product_id")
 
@@ -106,5 +106,8 @@ def store_product_pairs(stock_agg: DataFrame, product: DataFrame, prediction: Da
 
 
 def pairs_semi_join(rows: DataFrame, pairs: DataFrame, keys=("store_code", "stok_kodu", "product_id")) -> DataFrame:
-    """Keep rows whose key is in the pair set (pairs are distinct, so no fan-out)."""
-    return rows.join(pairs.select(*keys), list(keys), "left_semi")
+    """Keep rows whose key is in the pair set (pairs are distinct, so no fan-out).
+
+    The pairs are dealt over a given number of partitions, and the rows with them (dealt the rows,
+    the optimizer would move the join below)."""
+    return rows.join(spread(pairs.select(*keys), *keys), list(keys), "left_semi")

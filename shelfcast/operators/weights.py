@@ -1,7 +1,8 @@
 """Variant weights and the 14-day product prediction.
 
 Shares are window sums over (store, style): a partition holds the variants of one
-style in one store, a group bounded by the style's size, never by sales volume.
+style in one store, a group bounded by the style's size, never by sales volume.  Rows of the universe are
+dealt over a given number of partitions (``spread``), since their keys compress too well to be dealt by bytes.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_date, number
+from ..session import spread
 from .universe import pairs_semi_join
 
 PAIR = ["store_code", "stok_kodu", "product_id"]
@@ -27,7 +29,7 @@ def variant_sales_share(sales: DataFrame, pairs: DataFrame, end_date: Column | N
     s = sales.filter((F.col("date") >= F.date_sub(end, lookback_days - 1)) & (F.col("date") <= end)
                      & (F.col("net_quantity") > 0))
     s = pairs_semi_join(s, pairs, PAIR)
-    agg = s.groupBy(*PAIR).agg(F.greatest(F.sum("net_quantity"), F.lit(0.0)).alias("sales_90d"))
+    agg = spread(s.groupBy(*PAIR).agg(F.greatest(F.sum("net_quantity"), F.lit(0.0)).alias("sales_90d")), *GROUP)
     return agg.withColumn("weight_sales", F.try_divide(F.col("sales_90d"), F.sum("sales_90d").over(Window.partitionBy(*GROUP))))
 
 
@@ -39,7 +41,7 @@ def variant_stock_share(stock_agg: DataFrame, pairs: DataFrame, end_date: Column
                           & (F.col("stok_tarihi") <= end_date) & (F.col("stok_miktar") > 0))
     st = st.withColumnRenamed("magaza", "store_code")
     st = pairs_semi_join(st, pairs, PAIR)
-    agg = st.groupBy(*PAIR).agg(F.sum("stok_miktar").alias("onhand_30d"))
+    agg = spread(st.groupBy(*PAIR).agg(F.sum("stok_miktar").alias("onhand_30d")), *GROUP)
     return agg.withColumn("weight_onhand", F.try_divide(F.col("onhand_30d"), F.sum("onhand_30d").over(Window.partitionBy(*GROUP))))
 
 
@@ -53,8 +55,9 @@ def variant_weight_map(sales: DataFrame, stock_agg: DataFrame, pairs: DataFrame,
     end = end_date if end_date is not None else _end(sales, "date")
     ws = variant_sales_share(sales, pairs, end).select(*PAIR, "weight_sales")
     wo = variant_stock_share(stock_agg, pairs, end).select(*PAIR, "weight_onhand")
-    p = pairs.select(*PAIR)
-    w = p.join(ws, PAIR, "left").join(wo, PAIR, "left")
+    # the very exchange that the shares join, so the universe is expanded and dealt by it once
+    p = spread(pairs.select(*PAIR), *PAIR)
+    w = spread(p.join(ws, PAIR, "left").join(wo, PAIR, "left"), *GROUP)
     g = Window.partitionBy(*GROUP)
     w = w.withColumn("weight", F.coalesce("weight_sales", "weight_onhand"))
     w = w.withColumn("n_option", F.count("product_id").over(g))

@@ -115,6 +115,15 @@ def materialize(df, name: str = "stage"):
     return spark.read.parquet(path)
 
 
+def spread(df, *keys):
+    """Deal rows by ``keys`` over all of ``spark.sql.shuffle.partitions``.
+
+    AQE merges the partitions of its own exchanges by their compressed bytes, and keys that repeat compress
+    to a byte or two a row: one task would then sort all rows.  It leaves a given number as it is, also
+    for the other side of a join with these rows."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def materialize_bucketed(df, keys: list[str], name: str = "stage", buckets: int | None = None):
     """Write a stage output bucketed and sorted by ``keys`` and continue from that table.
 

@@ -27,6 +27,36 @@ def test_weight_map_rules(spark):
     assert w["d1"] == 1.0 and w["d2"] is None
 
 
+def _tasks(df):
+    """How many tasks the last step's rows come from."""
+    return df.select(F.spark_partition_id().alias("t")).distinct().count()
+
+
+def test_universe_rows_are_not_merged_into_one_task(spark):
+    """AQE would put the universe, whose keys compress well, into one task of the semi-join and of the windows."""
+    from shelfcast.operators import universe
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    key = [F.concat(F.lit("s"), F.col("id") % 7).alias("store_code"), F.concat(F.lit("A"), F.col("id") % 5).alias("stok_kodu"),
+           F.col("id").cast("string").alias("product_id")]
+    pairs = spark.range(2000).select(*key)
+    sales = spark.range(3000).select(F.lit(END).alias("date"), *key, F.lit(1.0).alias("net_quantity"))
+    stock = spark.range(0).select(F.lit(END).alias("stok_tarihi"), key[0].alias("magaza"), *key[1:], F.lit(1).alias("stok_miktar"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        met = universe.pairs_semi_join(sales, pairs)
+        assert met.count() == 2000 and _tasks(met) == 4
+        share = weights.variant_sales_share(sales, pairs, F.lit(END))
+        assert _tasks(share) == 4
+        w = weights.variant_weight_map(sales, stock, pairs, F.lit(END))
+        assert _tasks(w) == 4 and abs(w.agg(F.sum("weight")).first()[0] - 35) < 1e-9
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _base(spark, rows):
     return spark.createDataFrame(rows, "store_code string, stok_kodu string, product_id string, safety_stock double, "
                                        "prediction_df double, stok_miktar long, net_quantity_7 long, net_quantity_14 long, "
