@@ -15,6 +15,7 @@ materialised table instead of re-running scans, joins and scalar subqueries.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +58,9 @@ def weekly_forecast_job(sales: DataFrame, product: DataFrame, clusters: DataFram
 
 @dataclass
 class DailyOutputs:
+    """The need and the allocation are computed when they are first asked for: what only reads the base
+    does not wait for them."""
+
     sales: DataFrame
     stock: DataFrame
     pairs: DataFrame
@@ -64,8 +68,17 @@ class DailyOutputs:
     weights: DataFrame
     prediction: DataFrame
     base: DataFrame
-    results: DataFrame
-    distribution: DataFrame
+    warehouse_stock: DataFrame
+    profile: Profile
+    include_unserved: bool = False
+
+    @cached_property
+    def results(self) -> DataFrame:
+        return cut(need.need_with_14day_coverage(self.base, self.profile))
+
+    @cached_property
+    def distribution(self) -> DataFrame:
+        return allocate.distribute_warehouse_stock(self.results, self.warehouse_stock, include_unserved=self.include_unserved)
 
 
 def daily_replenishment_job(sales: DataFrame, product: DataFrame, store_stock: DataFrame,
@@ -88,10 +101,13 @@ def daily_replenishment_job(sales: DataFrame, product: DataFrame, store_stock: D
     if pf.forecast_universe:
         # forecast-driven universe: forecast pairs join the stock pairs, 'today' is the later
         # of the two dates, and variant weights are only needed where a forecast exists
-        pairs = universe.store_product_pairs(stock, product, daily_pred, anchor="max", lookahead_pred_days=None)
+        skus = universe.store_sku_pairs(stock, daily_pred, anchor="max", lookahead_pred_days=None)
+        pairs = universe.style_to_variants(skus, product)
         positive = (daily_pred.filter(F.col("prediction_store_daily") > 0)
                               .select("store_code", "stok_kodu").distinct())
-        weight_pairs = pairs.join(positive, ["store_code", "stok_kodu"], "left_semi")
+        # the styles are chosen before they are expanded to their variants
+        forecast_skus = skus.join(positive.withColumnRenamed("store_code", "magaza"), ["magaza", "stok_kodu"], "left_semi")
+        weight_pairs = universe.style_to_variants(forecast_skus, product)
     else:
         pairs = universe.store_product_pairs(stock, product)
         weight_pairs = pairs
@@ -104,6 +120,4 @@ def daily_replenishment_job(sales: DataFrame, product: DataFrame, store_stock: D
     orders = open_order_qty(stock_movement, null_safe=pf.null_safe_open_orders, depot=pf.open_order_depot)
     base = need.replenishment_base(pairs, ss, p14, universe.latest_stock(stock), need.sales_7_14_28(s, end), orders,
                                    integer_orders=pf.integer_open_orders)
-    results = cut(need.need_with_14day_coverage(base, pf))
-    dist = allocate.distribute_warehouse_stock(results, warehouse_stock, include_unserved=include_unserved)
-    return DailyOutputs(s, stock, pairs, ss, wm, p14, base, results, dist)
+    return DailyOutputs(s, stock, pairs, ss, wm, p14, base, warehouse_stock, pf, include_unserved)

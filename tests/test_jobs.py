@@ -52,6 +52,23 @@ def test_need_and_allocation_bounds(outputs, spark):
     assert shipped.join(need, "urun").filter(F.col("s") > F.col("n")).count() == 0
 
 
+def test_base_does_not_run_need_and_allocation(spark, outputs, monkeypatch):
+    """What reads the base alone writes no need table and no input of the allocation."""
+    from shelfcast import session
+    from shelfcast.operators import allocate
+    from shelfcast.plans import jobs
+    written = []
+    for module in (jobs, allocate):
+        monkeypatch.setattr(module, "materialize", lambda df, name="stage": written.append(name) or session.materialize(df, name))
+    wk, dy = outputs
+    r = Retail(spark, SF)
+    job = daily_replenishment_job(r.history_sales, r.dim_product, r.store_stock, r.warehouse_stock, r.stock_movement,
+                                  wk.daily, F.lit(r.as_of), profile="prod")
+    assert job.base.count() == dy.base.count() and not written
+    assert job.results.count() == dy.results.count() and written == ["stage"]
+    assert job.distribution.count() == dy.distribution.count() and written == ["stage", "alloc-needs", "alloc-stock"]
+
+
 def test_fused_profile_runs(spark, outputs):
     wk, _ = outputs
     r = Retail(spark, SF)
