@@ -10,6 +10,7 @@ from __future__ import annotations
 import csv
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -93,6 +94,20 @@ class CheckedCsv:
     rejects: DataFrame
 
 
+@contextmanager
+def both_files_open(spark: SparkSession, partitions: int):
+    """Writes of at most so many partitions keep a file of each open.
+
+    Spark otherwise sorts a task's rows by the partition first, and one task holds its whole share of the input."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    spark.conf.set(key, max(int(before), partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def land_checked_csv(spark: SparkSession, path: str, schema: T.StructType, out: str, header: bool = True,
                      sep: str = ",", locale: str | None = None, **options) -> CheckedCsv:
     """S1/S2 with a quarantine: rows that fit ``schema`` and the records that do not.
@@ -110,7 +125,8 @@ def land_checked_csv(spark: SparkSession, path: str, schema: T.StructType, out:
     df = spark.read.schema(fields).options(header=header, mode="PERMISSIVE", columnNameOfCorruptRecord="_record", **options).csv(path)
     typed = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
     df = df.select(*typed, "_record", F.col("_metadata.file_path").alias("_file"), F.col("_record").isNotNull().alias("_rejected"))
-    df.write.partitionBy("_rejected").parquet(out)
+    with both_files_open(spark, 2):
+        df.write.partitionBy("_rejected").parquet(out)
     stored = spark.read.schema(df.schema).parquet(out)
     rejected = stored.filter("_rejected")
     return CheckedCsv(stored.filter("not _rejected").select(*(F.col(f"`{f.name}`") for f in schema.fields)),

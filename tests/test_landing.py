@@ -60,6 +60,18 @@ def test_rejects_name_their_reasons(spark, tmp_path):
         assert re.search(r"PartitionFilters: \[[^\]]*_rejected", plan), flag
 
 
+def test_rows_are_not_sorted_before_the_write(spark, tmp_path, monkeypatch):
+    """A file of each partition stays open while the table is written, so no task sorts its rows."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    key, seen, parquet = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: seen.append(int(spark.conf.get(key))) or parquet(self, *a, **k))
+    put(tmp_path, "f.csv", "code,qty,day,n\n" + "A,1,2024-01-02,1\nB,x,2024-01-02,1\n" * 50)
+    before = spark.conf.get(key)
+    checked = landing.land_checked_csv(spark, str(tmp_path / "f.csv"), SCHEMA, str(tmp_path / "out"))
+    assert seen == [2] and spark.conf.get(key) == before
+    assert (checked.rows.count(), checked.rejects.count()) == (50, 50) and len(files_of(tmp_path / "out")) == 2
+
+
 def test_regional_numbers_are_checked_too(spark, tmp_path):
     put(tmp_path, "f.csv", "code;qty;day;n\nA;1.234,5;2024-01-02;1\nB;12x;2024-01-02;2\n")
     checked = landing.land_checked_csv(spark, str(tmp_path / "f.csv"), SCHEMA, str(tmp_path / "out"), sep=";", locale="tr-TR")
