@@ -48,8 +48,9 @@ def _totals(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def initial_state(weekly: DataFrame, spec: FeatureSpec | None = None) -> FeatureState:
-    """The state after a full history."""
+    """The state after a full history; the weekly aggregate is written once, not computed for each table."""
     spec = spec or FeatureSpec()
+    weekly = materialize(weekly, "weekly-history")
     return FeatureState(materialize(_last_rows(weekly, rows_back(spec)), "feature-rows"), materialize(_totals(weekly, spec), "feature-totals"))
 
 

@@ -66,6 +66,14 @@ def test_a_step_reads_only_state_and_new_weeks(spark, calendar):
     assert files <= {"feature-rows", "feature-totals", "new-weeks"}
 
 
+def test_the_first_state_reads_the_history_once(spark, tmp_path, monkeypatch):
+    path, reads, write = str(tmp_path / "weekly"), [], incremental.materialize
+    spark.createDataFrame(history(weeks=8), SCHEMA).write.parquet(path)
+    monkeypatch.setattr(incremental, "materialize", lambda df, name="stage": reads.append(any(path in f for f in df.inputFiles())) or write(df, name))
+    state = incremental.initial_state(spark.read.parquet(path))
+    assert reads.count(True) == 1 and state.totals.count() == 5 and state.rows.count() == len(history(weeks=8))
+
+
 def test_no_new_rows(spark, calendar):
     state = incremental.initial_state(spark.createDataFrame(history()[:50], SCHEMA))
     out, after = incremental.next_weeks(state, spark.createDataFrame([], SCHEMA), calendar, PROD)
