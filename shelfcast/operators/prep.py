@@ -2,8 +2,8 @@
 
 Plan shape: parquet scan (date filter pushed down) -> products that the rules drop leave before
 anything is shuffled -> optional partial+final aggregate to day x store x product -> joins with
-the dimensions -> one aggregate by segment-week and unit price, from which the weekly sums, means
-and the exact median are taken.  No step needs a segment-week's rows in one task.
+the dimensions -> one aggregate by segment-week and unit price, written as a stage table, from which the
+weekly sums, means and the exact median are taken.  No step needs a segment-week's rows in one task.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import (as_date, clean_attribute_code, clip, discount_fraction, month_floor_lookback,
                                  not_sentinel, number, require_columns, week_start)
 from ..profiles import Profile, get_profile
+from ..session import materialize
 
 # Column names of the segment tables.
 SEGMENT = ["product_att_01", "product_att_02", "product_att_05", "store_cluster"]
@@ -117,7 +118,8 @@ def weekly_segment_sales(sales: DataFrame, product: DataFrame, clusters: DataFra
         median = s.groupBy(*WEEKLY_KEYS).agg(F.percentile_approx("unit_price", 0.5, pf.median_accuracy).cast("double").alias("unit_price_median"))
         out = by_price.groupBy(*WEEKLY_KEYS).agg(*[F.sum(c).alias(c) for c in sums]).join(median, WEEKLY_KEYS, "left")
     else:
-        out = sums_and_median(by_price, WEEKLY_KEYS, sums, "unit_price", "n", "unit_price_median")
+        # the cells and the middle values both read it: written once, or the sales would be scanned and joined for each
+        out = sums_and_median(materialize(by_price, "by-price"), WEEKLY_KEYS, sums, "unit_price", "n", "unit_price_median")
     mean_frac = F.col("f") / F.col("n")
     fallback = mean_frac if pf.wavg_fallback_mean else F.lit(None).cast("double")
     total = F.bround("q", 0) if pf.total_quantity_rounding == "half_even" else F.col("q")

@@ -65,6 +65,34 @@ def test_sums_and_median_against_python(spark):
         assert got[g].m == (statistics.median(values) if values else None) == old.get(g)
 
 
+def test_weekly_aggregate_reads_the_sales_once(spark):
+    """The sums and the median come from one pass over the sales, whatever the optimizer prunes for either."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=d) for d in range(14)]
+    rows = [(d, "s1", f"p{i % 3}", float(1 + i % 4), 0.5, float(10 + i)) for i, d in enumerate(days * 5)]
+    schema = "date date, store_code string, product_id string, net_quantity double, discount_amount double, net_amount_wovat double"
+    sales_rows = spark.createDataFrame(rows, schema)
+    product = spark.createDataFrame([(f"p{i}", 1, "2", 3, "a", "b", "c") for i in range(3)], "product_id string, product_att_01 int, product_att_02 string, product_att_05 int, product_att_01_desc string, product_att_02_desc string, product_att_05_desc string")
+    clusters = spark.createDataFrame([("s1", 1)], "store_code string, store_cluster int")
+    profile = prep.get_profile("prod").with_(prep_lookback_months=None)
+    got = prep.weekly_segment_sales(sales_rows.mapInArrow(counted, schema), product, clusters, profile=profile).orderBy("week_start_date").collect()
+    assert [r.total_quantity for r in got] == [round(sum(x[3] for x in rows if x[0] in days[w:w + 7])) for w in (0, 7)]
+    for r in got:
+        daily = {}
+        for d, _, p, q, _, a in rows:
+            if r.week_start_date <= d < r.week_start_date + dt.timedelta(days=7):
+                n, m = daily.get((d, p), (0.0, 0.0))
+                daily[d, p] = n + q, m + a
+        assert abs(r.unit_price_median - statistics.median(m / n for n, m in daily.values())) < 1e-9
+    assert read.value == len(rows)
+
+
 def sales(spark, n=4000, seed=1):
     rng = np.random.default_rng(seed)
     rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=int(d)), f"s{s}", f"p{p}", None if p % 50 == 0 else float(v))
