@@ -22,27 +22,41 @@ def _end(df: DataFrame, c: str) -> Column:
     return df.agg(F.max(c)).scalar()
 
 
+def _recent_sales(sales: DataFrame, end: Column, lookback_days: int = 90) -> DataFrame:
+    """Positive sales of the last 90 days per variant."""
+    s = sales.filter((F.col("date") >= F.date_sub(end, lookback_days - 1)) & (F.col("date") <= end)
+                     & (F.col("net_quantity") > 0))
+    return s.groupBy(*PAIR).agg(F.greatest(F.sum("net_quantity"), F.lit(0.0)).alias("sales_90d"))
+
+
+def _recent_stock(stock_agg: DataFrame, end: Column, lookback_days: int = 60) -> DataFrame:
+    """Positive stock of the last 60 days per variant."""
+    st = stock_agg.filter((F.col("stok_tarihi") >= F.date_sub(end, lookback_days - 1))
+                          & (F.col("stok_tarihi") <= end) & (F.col("stok_miktar") > 0))
+    # grouped under the table's own names, which a bucketed table serves in place
+    st = st.groupBy("magaza", "stok_kodu", "product_id").agg(F.sum("stok_miktar").alias("onhand_30d"))
+    return st.withColumnRenamed("magaza", "store_code")
+
+
+def _share(qty: str) -> Column:
+    """A variant's share of a quantity within (store, style)."""
+    return F.try_divide(F.col(qty), F.sum(qty).over(Window.partitionBy(*GROUP)))
+
+
 def variant_sales_share(sales: DataFrame, pairs: DataFrame, end_date: Column | None = None,
                         lookback_days: int = 90) -> DataFrame:
     """Positive sales of the last 90 days per variant and its share within (store, style)."""
     end = end_date if end_date is not None else _end(sales, "date")
-    s = sales.filter((F.col("date") >= F.date_sub(end, lookback_days - 1)) & (F.col("date") <= end)
-                     & (F.col("net_quantity") > 0))
-    s = pairs_semi_join(s, pairs, PAIR)
-    agg = spread(s.groupBy(*PAIR).agg(F.greatest(F.sum("net_quantity"), F.lit(0.0)).alias("sales_90d")), *GROUP)
-    return agg.withColumn("weight_sales", F.try_divide(F.col("sales_90d"), F.sum("sales_90d").over(Window.partitionBy(*GROUP))))
+    agg = spread(pairs_semi_join(_recent_sales(sales, end, lookback_days), pairs, PAIR), *GROUP)
+    return agg.withColumn("weight_sales", _share("sales_90d"))
 
 
 def variant_stock_share(stock_agg: DataFrame, pairs: DataFrame, end_date: Column,
                         lookback_days: int = 60) -> DataFrame:
     """Positive stock of the last 60 days per variant and its share (column name kept
     as the pipeline's ``onhand_30d``)."""
-    st = stock_agg.filter((F.col("stok_tarihi") >= F.date_sub(end_date, lookback_days - 1))
-                          & (F.col("stok_tarihi") <= end_date) & (F.col("stok_miktar") > 0))
-    st = st.withColumnRenamed("magaza", "store_code")
-    st = pairs_semi_join(st, pairs, PAIR)
-    agg = spread(st.groupBy(*PAIR).agg(F.sum("stok_miktar").alias("onhand_30d")), *GROUP)
-    return agg.withColumn("weight_onhand", F.try_divide(F.col("onhand_30d"), F.sum("onhand_30d").over(Window.partitionBy(*GROUP))))
+    agg = spread(pairs_semi_join(_recent_stock(stock_agg, end_date, lookback_days), pairs, PAIR), *GROUP)
+    return agg.withColumn("weight_onhand", _share("onhand_30d"))
 
 
 def variant_weight_map(sales: DataFrame, stock_agg: DataFrame, pairs: DataFrame,
@@ -51,14 +65,17 @@ def variant_weight_map(sales: DataFrame, stock_agg: DataFrame, pairs: DataFrame,
 
     Sales share first, stock share where a variant has no sales; a group with neither
     gets 1/n; a group whose weights sum to 0 gets 1/n; finally weights are
-    renormalised to sum to 1 over the non-null ones."""
+    renormalised to sum to 1 over the non-null ones.
+
+    The shares are those of ``variant_sales_share`` and ``variant_stock_share``, taken on the universe's own rows:
+    the left joins keep just its variants, and the windows that the weights need anyway add them up.  So the universe
+    is expanded, dealt and sorted once, not again for each share's semi-join."""
     end = end_date if end_date is not None else _end(sales, "date")
-    ws = variant_sales_share(sales, pairs, end).select(*PAIR, "weight_sales")
-    wo = variant_stock_share(stock_agg, pairs, end).select(*PAIR, "weight_onhand")
-    # the very exchange that the shares join, so the universe is expanded and dealt by it once
     p = spread(pairs.select(*PAIR), *PAIR)
-    w = spread(p.join(ws, PAIR, "left").join(wo, PAIR, "left"), *GROUP)
+    w = p.join(_recent_sales(sales, end), PAIR, "left").join(_recent_stock(stock_agg, end), PAIR, "left")
+    w = spread(w, *GROUP)
     g = Window.partitionBy(*GROUP)
+    w = w.withColumn("weight_sales", _share("sales_90d")).withColumn("weight_onhand", _share("onhand_30d"))
     w = w.withColumn("weight", F.coalesce("weight_sales", "weight_onhand"))
     w = w.withColumn("n_option", F.count("product_id").over(g))
     inv_n = F.try_divide(F.lit(1.0), F.col("n_option").cast("double"))

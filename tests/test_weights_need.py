@@ -57,6 +57,39 @@ def test_universe_rows_are_not_merged_into_one_task(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_weight_map_reads_the_universe_once(spark):
+    """The shares are those of the two operators, also with sales and stock beyond the universe, from one pass over it."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    schema = "store_code string, stok_kodu string, product_id string"
+    universe_rows = [(str(s), f"A{a}", f"{a}-{v}") for s in range(3) for a in range(4) for v in range(5)] + [("9", "none", None)]
+    pairs = spark.createDataFrame(universe_rows, schema)
+    key = [F.concat(F.lit(""), F.col("id") % 4).alias("store_code"), F.concat(F.lit("A"), F.col("id") % 3).alias("stok_kodu"),
+           F.concat_ws("-", F.col("id") % 3, F.col("id") % 7).alias("product_id")]
+    sales = spark.range(60).select(F.date_sub(F.lit(END), (F.col("id") % 120).cast("int")).alias("date"), *key, (F.col("id") % 4).cast("double").alias("net_quantity"))
+    sales = sales.unionByName(spark.createDataFrame([(END, "9", "none", None, 5.0)], "date date, store_code string, stok_kodu string, product_id string, net_quantity double"))
+    stock = spark.range(90).select(F.date_sub(F.lit(END), (F.col("id") % 80).cast("int")).alias("stok_tarihi"), key[0].alias("magaza"), *key[1:], (F.col("id") % 5).alias("stok_miktar"))
+    got = {tuple(r)[:3]: r.weight for r in weights.variant_weight_map(sales, stock, pairs.mapInArrow(counted, schema), F.lit(END)).collect()}
+    assert set(got) == set(universe_rows) and len(got) == len(universe_rows)
+    by_sales = {tuple(r)[:3]: r.weight_sales for r in weights.variant_sales_share(sales, pairs, F.lit(END)).collect()}
+    by_stock = {tuple(r)[:3]: r.weight_onhand for r in weights.variant_stock_share(stock, pairs, F.lit(END)).collect()}
+    assert by_sales and set(by_stock) - set(by_sales) and set(by_sales) | set(by_stock) < set(universe_rows)
+    for group in {k[:2] for k in got}:
+        of = [k for k in got if k[:2] == group]
+        first = {k: by_sales.get(k, by_stock.get(k)) for k in of}
+        n = sum(k[2] is not None for k in of)
+        if all(v is None for v in first.values()) or not sum(v or 0.0 for v in first.values()):
+            first = {k: 1 / n if n else None for k in of}
+        total = sum(v or 0.0 for v in first.values())
+        assert all((got[k] is None) == (v is None) and (v is None or abs(got[k] - v / total) < 1e-12) for k, v in first.items())
+    assert read.value == len(universe_rows)
+
+
 def _base(spark, rows):
     return spark.createDataFrame(rows, "store_code string, stok_kodu string, product_id string, safety_stock double, "
                                        "prediction_df double, stok_miktar long, net_quantity_7 long, net_quantity_14 long, "
